@@ -81,3 +81,19 @@ def round_half_up(x, digits: int = 6) -> Column:
     """
     scale = float(10 ** digits)
     return (F.floor(_c(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
+
+
+QUANT_BITS = 20
+
+
+def quantize(x, bits: int = QUANT_BITS) -> Column:
+    """Snap a double to the nearest multiple of 2^-bits (about 1e-6).
+
+    Used only to present results for cross-engine comparison: scaling by a
+    power of two is exact in IEEE arithmetic, and decimal-origin values (the
+    usual source of rounding ties) are essentially never odd multiples of
+    2^-(bits+1), so two engines that computed the same double print the same
+    double.
+    """
+    scale = float(2 ** bits)
+    return F.floor(_c(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogcast.functions.scalars import safe_number
+from smogcast.functions.scalars import round_half_up, safe_number
 
 # --- fixed values -----------------------------------------------------------
 WEATHER_DEFAULTS = {"temp": 25.0, "humidity": 50.0, "precip": 0.0, "windspeed": 10.0,
@@ -124,5 +124,5 @@ def climatology_trend(requests: DataFrame, means: DataFrame, value: str = "AQI",
     out = (r.join(md, (r[key] == md["__k1"]) & (tm == md["__m1"]) & (td == md["__d1"]), "left")
             .join(mo, (r[key] == mo["__k2"]) & (tm == mo["__m2"]), "left"))
     chosen = F.when(F.col("__m1").isNotNull(), F.col("__v1")).when(F.col("__n2").isNotNull(), F.col("__v2"))
-    out = out.withColumn("trend_aqi", F.round(safe_number(chosen, default), 2))
+    out = out.withColumn("trend_aqi", round_half_up(safe_number(chosen, default), 2))
     return out.drop("__k1", "__m1", "__d1", "__v1", "__k2", "__m2", "__n2", "__v2")

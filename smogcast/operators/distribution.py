@@ -47,9 +47,10 @@ def month_trend_slope(df: DataFrame, value: str = "AQI", key="series_key", date=
     yearly = (df.where(F.col(value).isNotNull())
                 .groupBy(key, F.month(date).alias("month"), F.year(date).alias("year"))
                 .agg(F.avg(value).alias("ym")))
+    slope = F.regr_slope(F.col("ym"), F.col("year").cast("double"))
     return yearly.groupBy(key, "month").agg(
         F.count(F.lit(1)).alias("n_years"),
-        F.coalesce(F.regr_slope(F.col("ym"), F.col("year").cast("double")), F.lit(0.0)).alias("trend_slope"))
+        F.when(F.count(F.lit(1)) > 1, F.coalesce(slope, F.lit(0.0))).otherwise(F.lit(0.0)).alias("trend_slope"))
 
 
 def normal_pdf_points(stats: DataFrame, mean: str = "mean", std: str = "std_dev",

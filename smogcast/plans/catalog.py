@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from smogcast.functions import calendar as cal
 from smogcast.functions.categories import (ADVICE, aqi_category, category_color, category_name,
                                            with_category_info)
-from smogcast.functions.scalars import (alarm, argmax_index, clip, exp_target, log_target,
+from smogcast.functions.scalars import (alarm, argmax_index, clip, exp_target, log_target, quantize,
                                         round_half_up, safe_number, trend_label)
 from smogcast.operators import cleaning, climatology, distribution, joins, metrics, splits
 from smogcast.operators import thresholds as th
@@ -23,13 +23,13 @@ from smogcast.operators import timeseries as ts
 from smogcast.operators import weights as wts
 from smogcast.plans.features import FEATURES, LABEL, engineer_features
 from smogcast.sources import binding
-from smogcast.sources.observations import WEATHER_COLS
+from smogcast.sources.observations import WEATHER_COLS, to_date_col
 
 
-def finish(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (output presentation only)."""
+def finish(df: DataFrame) -> DataFrame:
+    """Quantize every double column (output presentation only)."""
     return df.select(*[
-        round_half_up(F.col(f.name), digits).alias(f.name)
+        quantize(F.col(f.name)).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
         for f in df.schema.fields])
 
@@ -208,3 +208,194 @@ def log_transform(spark, sf_dir):
     o = obs(spark, sf_dir)
     return finish(o.select("series_key", "Date", log_target("AQI").alias("aqi_log"),
                            exp_target(F.col("AQI") / F.lit(100.0)).alias("aqi_expm1")))
+
+
+# ---- climatology, horizon, joins (OP-42 .. OP-52) --------------------------------
+def _requests(spark, sf_dir):
+    return binding.requests(spark, sf_dir).withColumn("date", to_date_col("date"))
+
+
+def forecast_horizon(spark, sf_dir):
+    """OP-47 + OP-42 + OP-28 + OP-38: history and 30 future days per series,
+    day-of-year weather climatology joined on (series, doy), remaining gaps
+    forward- then backward-filled, seasonal flag."""
+    fi = binding.forecast_input(spark, sf_dir)
+    horizon = joins.future_horizon(fi.withColumnRenamed("date", "ds"), 30, date="ds")
+    clim = climatology.doy_climatology(fi, ["temperature", "wind_speed"], date="date")
+    out = climatology.join_doy_climatology(horizon, clim, ["temperature", "wind_speed"], date="ds")
+    out = ts.fill_forward_backward(out, ["temperature", "wind_speed"], date="ds")
+    return finish(out.withColumn("is_stubble_burning", cal.season_flag("ds")))
+
+
+def climatology_fallback(spark, sf_dir):
+    """OP-43: weather climatology for requested dates, a day of year absent
+    from the series' history falling back to day 365."""
+    fi = binding.forecast_input(spark, sf_dir)
+    clim = climatology.doy_climatology(fi, ["temperature", "wind_speed"], date="date")
+    req = _requests(spark, sf_dir)
+    out = climatology.join_doy_climatology(req, clim, ["temperature", "wind_speed"], date="date",
+                                           fallback_doy=climatology.FALLBACK_DOY)
+    return finish(out.select("request_id", "series_key", "date", "temperature", "wind_speed"))
+
+
+def climatology_features(spark, sf_dir):
+    """OP-50 + OP-51: synthesised feature vector for requested dates from
+    (month, day) -> month -> series means by group presence, then the
+    all-series mean, then 0; weather made safe with fixed defaults."""
+    f = engineer_features(obs(spark, sf_dir), training=False)
+    means = climatology.calendar_means(f, FEATURES)
+    req = _requests(spark, sf_dir)
+    out = climatology.climatology_lookup(req, means, FEATURES)
+    out = climatology.weather_with_defaults(out)
+    return finish(out.select("request_id", "series_key", "date", "clim_level", *FEATURES))
+
+
+def climatology_trend(spark, sf_dir):
+    """OP-52: seven climatological trend points before each requested date."""
+    means = climatology.calendar_means(obs(spark, sf_dir), ["AQI"])
+    out = climatology.climatology_trend(_requests(spark, sf_dir), means)
+    return finish(out.select("request_id", "offset", "trend_date", "trend_aqi"))
+
+
+def month_stats(spark, sf_dir):
+    return finish(distribution.month_stats(obs(spark, sf_dir)))
+
+
+def month_trend_slope(spark, sf_dir):
+    s = distribution.month_trend_slope(obs(spark, sf_dir))
+    return finish(s.withColumn("trend_label", trend_label("trend_slope")))
+
+
+def month_pdf(spark, sf_dir):
+    st = distribution.month_stats(obs(spark, sf_dir))
+    pts = distribution.normal_pdf_points(st)
+    return finish(pts.select("series_key", "month", F.col("i").cast("int").alias("i"), "x", "y"))
+
+
+def forecast_eval_join(spark, sf_dir):
+    """OP-65 + OP-44 + OP-45: a day-of-year climatology forecast fitted on the
+    part before the 90-day cut, kept only on dates present in the test part
+    (semi join) and joined to the actual values."""
+    fi = binding.forecast_input(spark, sf_dir).withColumnRenamed("date", "ds")
+    part = splits.cutoff_split(fi, days=90, date="ds")
+    train = part.where(F.col("split") == "train")
+    test = part.where(F.col("split") == "test").select("series_key", "ds", F.col("aqi").alias("y"))
+    clim = climatology.doy_climatology(train.withColumnRenamed("ds", "date"), ["aqi"], date="date")
+    fut = joins.future_horizon(train, 30, date="ds", include_history=False)
+    fc = climatology.join_doy_climatology(fut, clim, ["aqi"], date="ds").withColumnRenamed("aqi", "yhat")
+    fc = joins.semi_filter(fc, test, ["series_key", "ds"])
+    return finish(joins.inner_join(test, fc, ["series_key", "ds"]))
+
+
+# ---- splits (OP-63 .. OP-66) -------------------------------------------------------
+def split_fraction(spark, sf_dir):
+    return split_table(spark, sf_dir).select("series_key", "Date", "split")
+
+
+def split_cutoff(spark, sf_dir):
+    return splits.cutoff_split(training_table(spark, sf_dir), days=180).select("series_key", "Date", "split")
+
+
+def split_summary(spark, sf_dir):
+    return splits.split_summary(split_table(spark, sf_dir))
+
+
+def split_stratified(spark, sf_dir):
+    t = training_table(spark, sf_dir)
+    return splits.stratified_split(t, LABEL).select("series_key", "Date", LABEL, "split")
+
+
+# ---- metrics, weights (OP-56 .. OP-61) ----------------------------------------------
+def _scored(spark, sf_dir):
+    """Split table with a model-free prediction (yesterday's EWM) and its
+    category, the stand-in predictor for metric queries."""
+    t = split_table(spark, sf_dir)
+    return t.withColumns({"predicted": F.col("AQI_ewma_7"),
+                          "predicted_cat": aqi_category(F.col("AQI_ewma_7"))})
+
+
+def regression_metrics(spark, sf_dir):
+    return finish(metrics.regression_metrics(_scored(spark, sf_dir), "AQI", "predicted", ["split"]))
+
+
+def confusion_matrix(spark, sf_dir):
+    test = _scored(spark, sf_dir).where(F.col("split") == "test")
+    return metrics.confusion_matrix(test, LABEL, "predicted_cat")
+
+
+def classification_report(spark, sf_dir):
+    from smogcast.functions.categories import CATEGORY_NAMES
+    test = _scored(spark, sf_dir).where(F.col("split") == "test")
+    return finish(metrics.classification_report(test, LABEL, "predicted_cat", CATEGORY_NAMES))
+
+
+def f1_summary(spark, sf_dir):
+    return finish(metrics.f1_summary(_scored(spark, sf_dir).where(F.col("split") == "test"),
+                                     LABEL, "predicted_cat"))
+
+
+def class_weights(spark, sf_dir):
+    return finish(wts.class_weights(split_table(spark, sf_dir).where(F.col("split") == "train"), LABEL))
+
+
+def sample_weights(spark, sf_dir):
+    t = _scored(spark, sf_dir).where(F.col("split") == "train")
+    return finish(t.select("series_key", "Date", F.col(LABEL).alias("actual"),
+                           F.col("predicted_cat").alias("predicted"),
+                           wts.sample_weight(LABEL, "predicted_cat").alias("weight")))
+
+
+# ---- probabilities and thresholds (OP-35, OP-40, OP-48, OP-62) ------------------------
+def _prob_table(spark, sf_dir):
+    t = split_table(spark, sf_dir)
+    return t.withColumn("probs", th.distance_probabilities(F.col("AQI_lag_1")))
+
+
+def argmax_label(spark, sf_dir):
+    t = _prob_table(spark, sf_dir)
+    return finish(t.select("series_key", "Date", *[F.col("probs")[i].alias(f"p{i}") for i in range(6)],
+                           argmax_index("probs").alias("argmax"),
+                           alarm("AQI_lag_1").alias("alarm_lag_poor")))
+
+
+def _tuned(spark, sf_dir):
+    return th.tune_thresholds(_prob_table(spark, sf_dir).where(F.col("split") == "val"), "probs", LABEL)
+
+
+def threshold_tune(spark, sf_dir):
+    return finish(_tuned(spark, sf_dir))
+
+
+def threshold_apply(spark, sf_dir):
+    """Thresholds tuned on the validation part (four rows, collected) applied
+    in order to the test part."""
+    tuned = th.collect_thresholds(_tuned(spark, sf_dir))
+    test = _prob_table(spark, sf_dir).where(F.col("split") == "test")
+    out = th.apply_thresholds(test.withColumn("argmax", argmax_index("probs")), "probs", tuned)
+    return out.select("series_key", "Date", "argmax", "predicted")
+
+
+# ---- scaling, voting (OP-72, OP-73, OP-76) -----------------------------------------
+SCALE_COLS = ["AQI", "AQI_lag_1", "temp", "windspeed"]
+
+
+def minmax_scale(spark, sf_dir):
+    from smogcast.ml.scaling import fit_minmax, inverse_minmax, transform_minmax
+    t = split_table(spark, sf_dir)
+    stats = fit_minmax(t.where(F.col("split") == "train"), SCALE_COLS, key="series_key")
+    out = transform_minmax(t, stats, SCALE_COLS, key="series_key")
+    out = inverse_minmax(out, stats, "AQI_scaled", "AQI", "AQI_restored", key="series_key")
+    return finish(out.select("series_key", "Date", "split", *[f"{c}_scaled" for c in SCALE_COLS],
+                             "AQI_restored"))
+
+
+def voting_mean(spark, sf_dir):
+    """Unweighted mean of member predictions on the log scale, back-transformed,
+    then the two stage-2 alarm features."""
+    from smogcast.ml.stage1 import voting_column
+    t = training_table(spark, sf_dir)
+    members = ["AQI_lag_1", "AQI_roll_mean_7", "AQI_ewma_7"]
+    t = t.withColumn("Predicted_AQI", exp_target(voting_column([log_target(m) for m in members])))
+    return finish(t.select("series_key", "Date", "Predicted_AQI",
+                           alarm("Predicted_AQI").alias("alarm_predicted_poor"),
+                           alarm("AQI_lag_1").alias("alarm_lag_poor")))

@@ -31,3 +31,34 @@ QUERIES = {
     "feature_table": c.feature_table,
     "clean_drop_fill": c.clean_drop_fill,
 }
+
+QUERIES.update({
+    # climatology, horizon, joins (OP-42 .. OP-52)
+    "forecast_horizon": c.forecast_horizon,
+    "climatology_fallback": c.climatology_fallback,
+    "climatology_features": c.climatology_features,
+    "climatology_trend": c.climatology_trend,
+    "month_stats": c.month_stats,
+    "month_trend_slope": c.month_trend_slope,
+    "month_pdf": c.month_pdf,
+    "forecast_eval_join": c.forecast_eval_join,
+    # splits (OP-63 .. OP-66)
+    "split_fraction": c.split_fraction,
+    "split_cutoff": c.split_cutoff,
+    "split_summary": c.split_summary,
+    "split_stratified": c.split_stratified,
+    # metrics and weights (OP-56 .. OP-61)
+    "regression_metrics": c.regression_metrics,
+    "confusion_matrix": c.confusion_matrix,
+    "classification_report": c.classification_report,
+    "f1_summary": c.f1_summary,
+    "class_weights": c.class_weights,
+    "sample_weights": c.sample_weights,
+    # probabilities and thresholds (OP-35, OP-40, OP-48, OP-62)
+    "argmax_label": c.argmax_label,
+    "threshold_tune": c.threshold_tune,
+    "threshold_apply": c.threshold_apply,
+    # scaling and voting (OP-72, OP-73, OP-76)
+    "minmax_scale": c.minmax_scale,
+    "voting_mean": c.voting_mean,
+})

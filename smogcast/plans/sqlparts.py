@@ -10,8 +10,8 @@ from smogcast.operators.timeseries import EWM_SPAN, ewm_frame_rows
 
 
 def r6(expr: str) -> str:
-    """Same rounding arithmetic as ``round_half_up(x, 6)`` on the Spark side."""
-    return f"(floor(({expr}) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE)"
+    """Same arithmetic as ``quantize(x)`` (2^-20 grid) on the Spark side."""
+    return f"(floor(({expr}) * 1048576.0::DOUBLE + 0.5::DOUBLE) / 1048576.0::DOUBLE)"
 
 
 def d(x: float) -> str:

@@ -64,6 +64,27 @@ def sparse_readings_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.withColumn("AQI", F.when(F.col("n_readings") >= 2, F.col("AQI"))).drop("n_readings")
 
 
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date requests derived from ``events``: request_id = event_id, date text
+    = the event's day, series = the series whose rank among series keys
+    equals the rank of the event type among event types.
+
+    Both rank tables are built from DISTINCT values (a handful of rows), so
+    their single-partition ranking window never sees the event table; the
+    event table itself is only scanned and joined on an equality key.
+    """
+    from pyspark.sql import Window
+    ev = table(spark, sf_dir, "events")
+    types = ev.select("event_type").distinct().withColumn(
+        "__r", F.dense_rank().over(Window.orderBy("event_type")))
+    keys = daily_series(spark, sf_dir).select("series_key").distinct().withColumn(
+        "__r", F.dense_rank().over(Window.orderBy("series_key")))
+    m = types.join(keys, "__r", "left").select("event_type", "series_key")
+    return ev.join(m, "event_type", "left").select(
+        F.col("event_id").alias("request_id"), "series_key",
+        F.date_format(F.col("ts"), "yyyy-MM-dd").alias("date"))
+
+
 def forecast_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The forecaster's input shape (series_key, date, aqi, temperature,
     wind_speed, is_stubble_burning) bound to the observations."""
