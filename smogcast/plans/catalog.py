@@ -399,3 +399,148 @@ def voting_mean(spark, sf_dir):
     return finish(t.select("series_key", "Date", "Predicted_AQI",
                            alarm("Predicted_AQI").alias("alarm_predicted_poor"),
                            alarm("AQI_lag_1").alias("alarm_lag_poor")))
+
+
+# ---- models (rows-only: no SQL oracle) ----------------------------------------------
+def _fit_frame(spark, sf_dir):
+    return split_table(spark, sf_dir).withColumn("__ylog", log_target(F.col("AQI")))
+
+
+def _stage1_output(model, frame, pred_col):
+    out = model.transform(frame)
+    return out.select("series_key", "Date", "split", "AQI", exp_target(F.col(pred_col)).alias("predicted"))
+
+
+def gbt_regression(spark, sf_dir):
+    from smogcast.ml.stage1 import fit_gbt
+    f = _fit_frame(spark, sf_dir)
+    m = fit_gbt(f.where(F.col("split") == "train"), FEATURES, "__ylog", max_iter=10)
+    return _stage1_output(m, f, "pred_gbt")
+
+
+def ridge_regression(spark, sf_dir):
+    from smogcast.ml.stage1 import fit_ridge
+    f = _fit_frame(spark, sf_dir)
+    m = fit_ridge(f.where(F.col("split") == "train"), FEATURES, "__ylog", alpha=10.0)
+    return _stage1_output(m, f, "pred_ridge")
+
+
+def asymmetric_boost(spark, sf_dir):
+    from smogcast.ml.asymmetric import fit_asymmetric_boost
+    from smogcast.ml.stage1 import assembler
+    f = assembler(FEATURES).transform(_fit_frame(spark, sf_dir))
+    m = fit_asymmetric_boost(f.where(F.col("split") == "train"), "__ylog", rounds=5, step=0.2)
+    return _stage1_output(m, f, "pred_asym")
+
+
+def _forest_probs(spark, sf_dir):
+    from smogcast.ml.stage2 import fit_forest, padded_probs
+    f = split_table(spark, sf_dir).withColumn("Predicted_AQI", F.col("AQI_ewma_7"))
+    from smogcast.ml.stage2 import STAGE2_EXTRA, add_stage2_features
+    f = add_stage2_features(f)
+    tr = f.where(F.col("split") == "train")
+    cw = wts.class_weights(tr, LABEL)
+    m = fit_forest(wts.attach_class_weight(tr, LABEL, cw), FEATURES + STAGE2_EXTRA, LABEL, "weight", trees=20)
+    out = m.transform(f).withColumn("probs", padded_probs("probability"))
+    return m, out.drop("features", "rawPrediction", "probability", "prediction")
+
+
+def stage2_classifier(spark, sf_dir):
+    _, p = _forest_probs(spark, sf_dir)
+    p = p.where(F.col("split") == "test")
+    return p.select("series_key", "Date", LABEL, *[F.col("probs")[i].alias(f"p{i}") for i in range(6)],
+                    argmax_index("probs").alias("argmax"))
+
+
+def isotonic_calibration(spark, sf_dir):
+    from smogcast.ml.stage2 import IsotonicCalibrator
+    _, p = _forest_probs(spark, sf_dir)
+    cal = IsotonicCalibrator.fit(p.where(F.col("split") == "val"), "probs", LABEL)
+    out = cal.transform(p.where(F.col("split") == "test"), "probs", "cal_probs")
+    return out.select("series_key", "Date", LABEL, *[F.col("cal_probs")[i].alias(f"c{i}") for i in range(6)])
+
+
+def feature_importance(spark, sf_dir):
+    from smogcast.ml.stage1 import fit_gbt
+    from smogcast.ml.stage2 import feature_importance as fi
+    f = _fit_frame(spark, sf_dir)
+    m = fit_gbt(f.where(F.col("split") == "train"), FEATURES, "__ylog", max_iter=10)
+    return fi(spark, m.stages[-1].featureImportances, FEATURES, top=10)
+
+
+def _train(spark, sf_dir, cfg=None):
+    from smogcast.plans.training import TrainConfig, train_two_stage
+    cfg = cfg or TrainConfig(gbt_rounds=10, asym_rounds=5, forest_trees=20)
+    return train_two_stage(training_table(spark, sf_dir), cfg)
+
+
+def two_stage_train(spark, sf_dir):
+    res = _train(spark, sf_dir)
+    return res.scored.where(F.col("split") == "test").select(
+        "series_key", "Date", "AQI", LABEL, "Predicted_AQI", "alarm_predicted_poor", "alarm_lag_poor",
+        "predicted")
+
+
+def _forecaster_input(spark, sf_dir):
+    fi = binding.forecast_input(spark, sf_dir).withColumnRenamed("date", "ds").withColumnRenamed("aqi", "y")
+    ev = joins.festival_events(spark)
+    return joins.flag_near_events(fi, ev, date="ds")
+
+
+def seasonal_forecast(spark, sf_dir):
+    """OP-77: fit on the part before the 90-day cut; forecast history plus 30
+    days with day-of-year weather climatology; output the forecast columns."""
+    from smogcast.ml.forecast import SeasonalForecaster
+    fi = _forecaster_input(spark, sf_dir)
+    part = splits.cutoff_split(fi, days=90, date="ds")
+    train = part.where(F.col("split") == "train").drop("split")
+    model = SeasonalForecaster().fit(train)
+    horizon = joins.future_horizon(train, 30, date="ds")
+    clim = climatology.doy_climatology(train.withColumnRenamed("ds", "date"), ["temperature", "wind_speed"],
+                                       date="date")
+    fut = climatology.join_doy_climatology(horizon, clim, ["temperature", "wind_speed"], date="ds")
+    fut = ts.fill_forward_backward(fut, ["temperature", "wind_speed"], date="ds")
+    fut = joins.flag_near_events(fut.withColumn("is_stubble_burning", cal.season_flag("ds")),
+                                 joins.festival_events(spark), date="ds")
+    out = model.transform(fut)
+    return out.select("series_key", "ds", "yhat", "yhat_lower", "yhat_upper", "trend", "aqi_category")
+
+
+def forecast_dates(spark, sf_dir):
+    """OP-78: forecasts for arbitrary requested dates with expected weather
+    from the day-of-year climatology (fallback day 365), clipped to [0, 500]."""
+    from smogcast.ml.forecast import SeasonalForecaster
+    fi = _forecaster_input(spark, sf_dir)
+    model = SeasonalForecaster().fit(fi)
+    clim = climatology.doy_climatology(fi.withColumnRenamed("ds", "date"), ["temperature", "wind_speed"],
+                                       date="date")
+    req = _requests(spark, sf_dir).where(F.col("date").isNotNull()).withColumnRenamed("date", "ds")
+    req = climatology.join_doy_climatology(req, clim, ["temperature", "wind_speed"], date="ds",
+                                           fallback_doy=climatology.FALLBACK_DOY)
+    req = joins.flag_near_events(req.withColumn("is_stubble_burning", cal.season_flag("ds")),
+                                 joins.festival_events(spark), date="ds")
+    out = model.transform(req)
+    return out.select("request_id", "series_key", "ds", "yhat", "yhat_lower", "yhat_upper", "aqi_category",
+                      "temperature", "wind_speed", "is_stubble_burning")
+
+
+def score_requests(spark, sf_dir):
+    """OP-81 (+OP-05): responses for every order date (present in the data)
+    and every event date (absent: climatology path)."""
+    from smogcast.plans.scoring import score_requests as score
+    res = _train(spark, sf_dir)
+    return score(binding.all_requests(spark, sf_dir), obs(spark, sf_dir), res.model)
+
+
+def score_lookup(spark, sf_dir):
+    """The SQL-checkable lookup part of OP-81: status, whether the date is in
+    the data, the actual value and the month statistics of each request."""
+    from smogcast.plans.scoring import parse_requests
+    req = parse_requests(binding.all_requests(spark, sf_dir))
+    o = obs(spark, sf_dir).select("series_key", F.col("Date").alias("req_date"), F.col("AQI").alias("actual_aqi"))
+    out = req.join(o, ["series_key", "req_date"], "left").withColumn("month", F.month("req_date"))
+    st = distribution.month_stats(obs(spark, sf_dir)).select("series_key", "month", "mean", "median", "std_dev")
+    out = out.join(st, ["series_key", "month"], "left")
+    return finish(out.select("request_id", "series_key", F.col("date_text").alias("date"), "status",
+                             F.col("actual_aqi").isNull().alias("is_future"), "actual_aqi",
+                             "mean", "median", "std_dev"))

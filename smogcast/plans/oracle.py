@@ -496,3 +496,19 @@ SQL["voting_mean"] = with_obs(
     "CAST(coalesce(pv >= 200.0::DOUBLE, false) AS INTEGER) AS alarm_predicted_poor, "
     "CAST(coalesce(AQI_lag_1 >= 200.0::DOUBLE, false) AS INTEGER) AS alarm_lag_poor "
     f"FROM (SELECT *, {_V} AS pv FROM train)", train_cte())
+
+
+SQL["score_lookup"] = with_obs(
+    f"SELECT p.request_id, p.series_key, p.date_text AS date, p.status, o.AQI IS NULL AS is_future, "
+    f"{r6('o.AQI')} AS actual_aqi, {r6('st.mean')} AS mean, {r6('st.med')} AS median, {r6('st.std_dev')} AS std_dev "
+    "FROM p LEFT JOIN obs o ON p.series_key = o.series_key AND p.req_date = o.\"Date\" "
+    "LEFT JOIN st ON p.series_key = st.series_key AND month(p.req_date) = st.m",
+    extra=REQ_CTE + ",\n" + MSTAT_CTE + """,
+allreq AS (SELECT o_orderkey AS request_id, o_orderpriority AS series_key, strftime(o_orderdate, '%Y-%m-%d') AS date_text
+           FROM orders
+           UNION ALL
+           SELECT -(request_id + 1), series_key, strftime(date, '%Y-%m-%d') FROM req),
+p AS (SELECT *, TRY_CAST(trim(date_text) AS DATE) AS req_date,
+             CASE WHEN date_text IS NULL OR trim(date_text) = '' THEN 'missing_date'
+                  WHEN TRY_CAST(trim(date_text) AS DATE) IS NULL THEN 'invalid_date' ELSE 'ok' END AS status
+      FROM allreq)""")

@@ -62,3 +62,19 @@ QUERIES.update({
     "minmax_scale": c.minmax_scale,
     "voting_mean": c.voting_mean,
 })
+
+QUERIES.update({
+    # models (rows-only checks; properties in tests/)
+    "gbt_regression": c.gbt_regression,
+    "asymmetric_boost": c.asymmetric_boost,
+    "ridge_regression": c.ridge_regression,
+    "stage2_classifier": c.stage2_classifier,
+    "isotonic_calibration": c.isotonic_calibration,
+    "feature_importance": c.feature_importance,
+    "two_stage_train": c.two_stage_train,
+    "seasonal_forecast": c.seasonal_forecast,
+    "forecast_dates": c.forecast_dates,
+    # request scoring (OP-81, OP-05); the lookup part is SQL-checked
+    "score_requests": c.score_requests,
+    "score_lookup": c.score_lookup,
+})

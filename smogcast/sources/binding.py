@@ -98,3 +98,18 @@ def forecast_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("windspeed").alias("wind_speed"),
         season_flag("Date").alias("is_stubble_burning"),
     )
+
+
+def history_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for dates present in the data: one per order (request_id =
+    order key, series = its priority, date = its order date)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("request_id"), F.col("o_orderpriority").alias("series_key"),
+                    F.date_format(F.col("o_orderdate"), "yyyy-MM-dd").alias("date"))
+
+
+def all_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History requests plus event-derived requests (dates absent from the
+    data); event ids are mapped to negative ids so the two never collide."""
+    ev = requests(spark, sf_dir).withColumn("request_id", -(F.col("request_id") + 1))
+    return history_requests(spark, sf_dir).unionByName(ev)
