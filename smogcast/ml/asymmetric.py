@@ -86,6 +86,7 @@ def fit_asymmetric_boost(df: DataFrame, label: str, features_col: str = "feature
     ensure_checkpoint_dir(spark)
     init = float(df.agg(F.avg(label)).first()[0] or 0.0)
     cur = df.select(features_col, F.col(label).alias("__y")).withColumn("__f", F.lit(init))
+    cur = cur.checkpoint(eager=True)
     model = AsymmetricBoostModel(init, step, [], [], features_col)
     for m in range(rounds):
         r = F.col("__y") - F.col("__f")
@@ -103,8 +104,11 @@ def fit_asymmetric_boost(df: DataFrame, label: str, features_col: str = "feature
             vals[int(row["__leaf"])] = shrunk / (h + reg_lambda)
         model.trees.append(tree)
         model.leaf_values.append(vals)
+        prev = cur
         cur = scored.withColumn("__f", F.col("__f") + F.lit(step) * _leaf_value_expr("__leaf", vals)).select(
             features_col, "__y", "__f")
-        if (m + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint(eager=True)
+        # Cached between rounds (recomputable from at most checkpoint_every
+        # rounds of lineage if an executor is lost); lineage cut periodically.
+        cur = cur.checkpoint(eager=True) if (m + 1) % checkpoint_every == 0 else cur.persist()
+        prev.unpersist()
     return model

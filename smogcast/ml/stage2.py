@@ -92,8 +92,11 @@ class IsotonicCalibrator:
 
     @classmethod
     def fit(cls, df: DataFrame, probs: str, label: str, n: int = N_CLASSES) -> "IsotonicCalibrator":
+        from smogcast.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
         models = {}
-        base = df.select(F.col(probs).alias("__p"), F.col(label).cast("int").alias("__y"))
+        # n fits read the same two columns: materialise them once.
+        base = df.select(F.col(probs).alias("__p"), F.col(label).cast("int").alias("__y")).checkpoint(eager=True)
         for c in range(n):
             d = base.select(F.element_at("__p", c + 1).alias("__x"),
                             (F.col("__y") == c).cast("double").alias("__t"))

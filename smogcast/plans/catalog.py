@@ -403,7 +403,11 @@ def voting_mean(spark, sf_dir):
 
 # ---- models (rows-only: no SQL oracle) ----------------------------------------------
 def _fit_frame(spark, sf_dir):
-    return split_table(spark, sf_dir).withColumn("__ylog", log_target(F.col("AQI")))
+    """Split feature table with the log target, checkpointed: every model
+    query fits several passes over it."""
+    from smogcast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return split_table(spark, sf_dir).withColumn("__ylog", log_target(F.col("AQI"))).checkpoint(eager=True)
 
 
 def _stage1_output(model, frame, pred_col):
@@ -435,14 +439,14 @@ def asymmetric_boost(spark, sf_dir):
 
 def _forest_probs(spark, sf_dir):
     from smogcast.ml.stage2 import fit_forest, padded_probs
-    f = split_table(spark, sf_dir).withColumn("Predicted_AQI", F.col("AQI_ewma_7"))
     from smogcast.ml.stage2 import STAGE2_EXTRA, add_stage2_features
+    f = _fit_frame(spark, sf_dir).withColumn("Predicted_AQI", F.col("AQI_ewma_7"))
     f = add_stage2_features(f)
     tr = f.where(F.col("split") == "train")
     cw = wts.class_weights(tr, LABEL)
     m = fit_forest(wts.attach_class_weight(tr, LABEL, cw), FEATURES + STAGE2_EXTRA, LABEL, "weight", trees=20)
     out = m.transform(f).withColumn("probs", padded_probs("probability"))
-    return m, out.drop("features", "rawPrediction", "probability", "prediction")
+    return m, out.drop("features", "rawPrediction", "probability", "prediction").checkpoint(eager=True)
 
 
 def stage2_classifier(spark, sf_dir):
