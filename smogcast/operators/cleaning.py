@@ -27,9 +27,17 @@ def fill_with_means(df: DataFrame, cols: list[str], key: str | None = "series_ke
     feature table is already hash-partitioned by the key after the feature
     windows, so this adds no exchange.
     """
-    w = Window.partitionBy(key) if key else Window.partitionBy()
+    if key:
+        w = Window.partitionBy(key)
+        return df.withColumns({
+            c: F.coalesce(F.col(c).cast("double"), F.avg(F.col(c)).over(w), F.lit(float(then)))
+            for c in cols
+        })
+    # Whole-table means: one partial aggregate, a single row of len(cols)
+    # values brought back as literals (never an unpartitioned window).
+    means = df.agg(*[F.avg(F.col(c)).alias(c) for c in cols]).first().asDict()
     return df.withColumns({
-        c: F.coalesce(F.col(c).cast("double"), F.avg(F.col(c)).over(w), F.lit(float(then)))
+        c: F.coalesce(F.col(c).cast("double"), F.lit(means[c]).cast("double"), F.lit(float(then)))
         for c in cols
     })
 

@@ -268,3 +268,48 @@ def leakage_audit(df: DataFrame, stored: str, value: str = "AQI", size: int = 7,
         F.count(F.lit(1)).alias("n_rows"),
         share("__s", "__inc").alias("share_inclusive"),
         share("__s", "__exc").alias("share_exclusive"))
+
+
+# ---- long series: exact computation in bounded chunks ---------------------------
+def max_lookback() -> int:
+    """Longest row lookback of :func:`feature_columns` (the exclusive EWM frame)."""
+    return max(ewm_frame_rows(EWM_SPAN), max(ROLL_WINDOWS), max(LAGS), 2)
+
+
+def with_series_position(df: DataFrame, key: str = "series_key", date: str = "Date",
+                         bucket: str = "month") -> DataFrame:
+    """Adds ``__pos``, the 0-based row position inside the series, without a
+    window over the whole series: rows are counted per (series, time bucket)
+    by an aggregate, bucket offsets are running sums over that count table
+    (one row per bucket), and positions inside a bucket come from a window
+    partitioned by (series, bucket)."""
+    b = F.date_trunc(bucket, F.col(date)).alias("__bucket")
+    counts = df.groupBy(key, b).agg(F.count(F.lit(1)).alias("__n"))
+    wb = Window.partitionBy(key).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(wb), F.lit(0))).drop("__n")
+    inner = Window.partitionBy(key, "__bucket").orderBy(F.col(date))
+    return (df.withColumn("__bucket", F.date_trunc(bucket, F.col(date)))
+              .join(offsets, [key, "__bucket"], "inner")
+              .withColumn("__pos", F.col("__off") + F.row_number().over(inner) - 1)
+              .drop("__bucket", "__off"))
+
+
+def chunk_with_halo(df: DataFrame, chunk_rows: int, halo: int, key: str = "series_key",
+                    date: str = "Date") -> DataFrame:
+    """Assign rows to chunks of ``chunk_rows`` consecutive rows of a series and
+    copy the last ``halo`` rows of every chunk into the next one. Output
+    columns ``__chunk`` (the partition to compute in) and ``__home`` (the
+    chunk that owns the row). Every row frame reaching at most ``halo`` rows
+    back sees exactly the rows it would see in the whole series."""
+    if chunk_rows < halo:
+        raise ValueError("chunk_rows must be at least the halo size")
+    p = with_series_position(df, key, date)
+    home = F.floor(F.col("__pos") / F.lit(chunk_rows)).cast("long")
+    tail = (F.col("__pos") % F.lit(chunk_rows)) >= F.lit(chunk_rows - halo)
+    return (p.withColumn("__home", home)
+             .withColumn("__chunk", F.explode(F.when(tail, F.array(home, home + 1)).otherwise(F.array(home))))
+             .drop("__pos"))
+
+
+def chunked_window(key: str = "series_key", date: str = "Date") -> WindowSpec:
+    return Window.partitionBy(key, "__chunk").orderBy(F.col(date).asc())

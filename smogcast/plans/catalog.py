@@ -548,3 +548,9 @@ def score_lookup(spark, sf_dir):
     return finish(out.select("request_id", "series_key", F.col("date_text").alias("date"), "status",
                              F.col("actual_aqi").isNull().alias("is_future"), "actual_aqi",
                              "mean", "median", "std_dev"))
+
+
+def feature_table_chunked(spark, sf_dir):
+    """The flagship feature table computed in halo chunks of 200 rows per
+    series (exactness check of the long-series path: same oracle)."""
+    return finish(engineer_features(obs(spark, sf_dir), training=True, chunk_rows=200))

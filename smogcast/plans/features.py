@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from smogcast.functions.calendar import add_cyclic_encodings
 from smogcast.functions.categories import aqi_category
-from smogcast.operators.timeseries import feature_columns, series_window
+from smogcast.operators.timeseries import (chunk_with_halo, chunked_window, feature_columns, max_lookback,
+                                          series_window)
 from smogcast.sources.observations import WEATHER_COLS
 
 # Feature list in model order: the input table's own columns first (observed
@@ -35,15 +36,25 @@ def select_features(df: DataFrame, deny: set[str] = NOT_FEATURES) -> list[str]:
 
 
 def engineer_features(obs: DataFrame, training: bool = True, key: str = "series_key",
-                      date: str = "Date", value: str = "AQI") -> DataFrame:
+                      date: str = "Date", value: str = "AQI", chunk_rows: int | None = None) -> DataFrame:
     """Observations -> feature table.
 
     ``training=True`` drops every row with a NULL anywhere (OP-09) and adds the
     category label; the serving variant keeps all rows.
+
+    With ``chunk_rows`` the windows run per (series, chunk of that many rows)
+    with a halo of the longest lookback copied from the previous chunk, so a
+    series of any length is spread over many tasks; results are identical.
     """
-    w = series_window(key, date)
-    cols = feature_columns(value, w)
-    df = add_cyclic_encodings(obs, date).withColumns(cols)
+    if chunk_rows:
+        halo = max_lookback()
+        src = chunk_with_halo(obs, chunk_rows, halo, key, date)
+        cols = feature_columns(value, chunked_window(key, date))
+        df = add_cyclic_encodings(src, date).withColumns(cols)
+        df = df.where(F.col("__chunk") == F.col("__home")).drop("__chunk", "__home")
+    else:
+        cols = feature_columns(value, series_window(key, date))
+        df = add_cyclic_encodings(obs, date).withColumns(cols)
     out = df.select(key, date, value, *FEATURES)
     if training:
         out = out.na.drop("any")

@@ -512,3 +512,6 @@ p AS (SELECT *, TRY_CAST(trim(date_text) AS DATE) AS req_date,
              CASE WHEN date_text IS NULL OR trim(date_text) = '' THEN 'missing_date'
                   WHEN TRY_CAST(trim(date_text) AS DATE) IS NULL THEN 'invalid_date' ELSE 'ok' END AS status
       FROM allreq)""")
+
+# The chunked path must reproduce the plain feature table exactly.
+SQL["feature_table_chunked"] = SQL["feature_table"]

@@ -78,3 +78,5 @@ QUERIES.update({
     "score_requests": c.score_requests,
     "score_lookup": c.score_lookup,
 })
+
+QUERIES["feature_table_chunked"] = c.feature_table_chunked
