@@ -247,16 +247,26 @@ def feature_columns(value: str = "AQI", w: WindowSpec | None = None) -> dict:
     return cols
 
 
-def leakage_audit(df: DataFrame, stored: str, value: str = "AQI", size: int = 7,
-                  key="series_key", date="Date", tol: float = 1e-6) -> DataFrame:
-    """OP-31 (with OP-22): compare a stored rolling-mean column against the
-    inclusive (leaky, rows t-6..t) and exclusive (safe, rows t-7..t-1)
-    recomputations, and the stored EWM against both EWM variants. Returns one
-    row per series with the share of comparable rows matching each variant."""
+def leakage_audit(df: DataFrame, stored_roll: str | None = None, stored_ewm: str | None = None,
+                  value: str = "AQI", size: int = 7, span: int = EWM_SPAN, key="series_key",
+                  date="Date", tol: float = 1e-6) -> DataFrame:
+    """OP-31 (with OP-22): compare stored rolling-mean / EWM columns against
+    their inclusive (leaky: the current day included) and exclusive (safe)
+    recomputations. One window pass, one aggregate: one row per series with
+    the share of comparable rows matching each variant."""
     w = series_window(key, date)
-    incl = trailing_stat(value, "mean", size, w, include_current=True)
-    excl = trailing_stat(value, "mean", size, w, include_current=False)
-    t = df.select(key, F.col(stored).alias("__s"), incl.alias("__inc"), excl.alias("__exc"))
+    sel = [F.col(key)]
+    pairs = []
+    if stored_roll:
+        sel += [F.col(stored_roll).alias("__sr"),
+                trailing_stat(value, "mean", size, w, include_current=True).alias("__ri"),
+                trailing_stat(value, "mean", size, w, include_current=False).alias("__rx")]
+        pairs += [("roll_share_inclusive", "__sr", "__ri"), ("roll_share_exclusive", "__sr", "__rx")]
+    if stored_ewm:
+        sel += [F.col(stored_ewm).alias("__se"), ewm_mean(value, span, w, True).alias("__ei"),
+                ewm_mean(value, span, w, False).alias("__ex")]
+        pairs += [("ewm_share_inclusive", "__se", "__ei"), ("ewm_share_exclusive", "__se", "__ex")]
+    t = df.select(*sel)
 
     def share(a, b):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
@@ -264,10 +274,8 @@ def leakage_audit(df: DataFrame, stored: str, value: str = "AQI", size: int = 7,
         n = F.sum(F.when(both, 1).otherwise(0))
         return F.try_divide(hit.cast("double"), n.cast("double"))
 
-    return t.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        share("__s", "__inc").alias("share_inclusive"),
-        share("__s", "__exc").alias("share_exclusive"))
+    return t.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"),
+                              *[share(a, b).alias(name) for name, a, b in pairs])
 
 
 # ---- long series: exact computation in bounded chunks ---------------------------

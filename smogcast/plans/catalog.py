@@ -105,20 +105,7 @@ def leakage_audit(spark, sf_dir):
         "stored_roll": ts.trailing_stat("AQI", "mean", 7, w, include_current=True),
         "stored_ewm": ts.ewm_mean("AQI", ts.EWM_SPAN, w, include_current=True),
     })
-    roll = ts.leakage_audit(o, "stored_roll")
-    o2 = o.withColumns({"__inc": ts.ewm_mean("AQI", ts.EWM_SPAN, w, True),
-                        "__exc": ts.ewm_mean("AQI", ts.EWM_SPAN, w, False)})
-
-    def share(a, b):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        hit = F.sum(F.when(both & (F.abs(F.col(a) - F.col(b)) <= F.lit(1e-6)), 1).otherwise(0))
-        return F.try_divide(hit.cast("double"), F.sum(F.when(both, 1).otherwise(0)).cast("double"))
-
-    ewm = o2.groupBy("series_key").agg(share("stored_ewm", "__inc").alias("ewm_share_inclusive"),
-                                       share("stored_ewm", "__exc").alias("ewm_share_exclusive"))
-    out = roll.withColumnsRenamed({"share_inclusive": "roll_share_inclusive",
-                                   "share_exclusive": "roll_share_exclusive"}).join(ewm, "series_key")
-    return finish(out)
+    return finish(ts.leakage_audit(o, stored_roll="stored_roll", stored_ewm="stored_ewm"))
 
 
 def ventilation_features(spark, sf_dir):
@@ -243,7 +230,8 @@ def climatology_features(spark, sf_dir):
     (month, day) -> month -> series means by group presence, then the
     all-series mean, then 0; weather made safe with fixed defaults."""
     f = engineer_features(obs(spark, sf_dir), training=False)
-    means = climatology.calendar_means(f, FEATURES)
+    # bounded (series x 366 x 3 levels + 1 row) and read twice: keep it cached
+    means = climatology.calendar_means(f, FEATURES).persist()
     req = _requests(spark, sf_dir)
     out = climatology.climatology_lookup(req, means, FEATURES)
     out = climatology.weather_with_defaults(out)
@@ -366,6 +354,13 @@ def threshold_tune(spark, sf_dir):
     return finish(_tuned(spark, sf_dir))
 
 
+def threshold_tune_single(spark, sf_dir):
+    """OP-62, single-boundary form: Moderate/Poor only, grid 0.1..0.9, tuned
+    on the training part (the earlier job's variant)."""
+    t = _prob_table(spark, sf_dir).where(F.col("split") == "train")
+    return finish(th.tune_thresholds(t, "probs", LABEL, boundaries=[(2, 3)], start=0.1, stop=0.9, num=90))
+
+
 def threshold_apply(spark, sf_dir):
     """Thresholds tuned on the validation part (four rows, collected) applied
     in order to the test part."""
@@ -486,9 +481,11 @@ def two_stage_train(spark, sf_dir):
 
 
 def _forecaster_input(spark, sf_dir):
-    fi = binding.forecast_input(spark, sf_dir).withColumnRenamed("date", "ds").withColumnRenamed("aqi", "y")
-    ev = joins.festival_events(spark)
-    return joins.flag_near_events(fi, ev, date="ds")
+    """The forecaster's preparation: rename to (ds, y) (OP-07), interpolate y
+    by position (OP-27), drop rows with NULL ds/y (OP-10), event flag (OP-49)."""
+    fi = cleaning.rename(binding.forecast_input(spark, sf_dir), {"date": "ds", "aqi": "y"})
+    fi = cleaning.drop_any_null(ts.interpolate_linear(fi, "y", date="ds"), subset=["ds", "y"])
+    return joins.flag_near_events(fi, joins.festival_events(spark), date="ds")
 
 
 def seasonal_forecast(spark, sf_dir):
@@ -554,3 +551,27 @@ def feature_table_chunked(spark, sf_dir):
     """The flagship feature table computed in halo chunks of 200 rows per
     series (exactness check of the long-series path: same oracle)."""
     return finish(engineer_features(obs(spark, sf_dir), training=True, chunk_rows=200))
+
+
+def two_stage_stratified(spark, sf_dir):
+    """The earlier two-stage job: stratified 15 % split, boosted class
+    weights, no calibration, Moderate/Poor threshold tuned on the training
+    part over 0.1..0.9; test predictions."""
+    from smogcast.plans.training import TrainConfig, train_two_stage
+    cfg = TrainConfig(gbt_rounds=10, asym_rounds=5, forest_trees=20, split_kind="stratified",
+                      weight_kind="weight_boosted", calibrate=False, tune_on="train",
+                      tune_boundaries=((2, 3),), tune_start=0.1, tune_stop=0.9)
+    res = train_two_stage(training_table(spark, sf_dir), cfg)
+    return res.scored.where(F.col("split") == "test").select("series_key", "Date", LABEL, "predicted")
+
+
+def ensemble_fixed_threshold(spark, sf_dir):
+    """The ensemble experiment: stratified split, boosted class weights, fixed
+    Moderate/Poor threshold 0.585; accuracy, macro-F1 and weighted-F1 over
+    the union of true and predicted labels (OP-59) on the test part."""
+    from smogcast.plans.training import TrainConfig, train_two_stage
+    cfg = TrainConfig(gbt_rounds=10, asym_rounds=5, forest_trees=20, split_kind="stratified",
+                      weight_kind="weight_boosted", calibrate=False,
+                      fixed_thresholds=((2, 3, th.FIXED_MODERATE_POOR),))
+    res = train_two_stage(training_table(spark, sf_dir), cfg)
+    return metrics.f1_summary(res.scored.where(F.col("split") == "test"), LABEL, "predicted")

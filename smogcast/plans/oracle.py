@@ -515,3 +515,43 @@ p AS (SELECT *, TRY_CAST(trim(date_text) AS DATE) AS req_date,
 
 # The chunked path must reproduce the plain feature table exactly.
 SQL["feature_table_chunked"] = SQL["feature_table"]
+
+
+def tune_sql(split: str, bounds: list[tuple[int, int]], start: float, stop: float, num: int) -> str:
+    """Brute-force grid evaluation of OP-62 (every row against every grid
+    point): the independent check of the count-based Spark plan."""
+    step = d((stop - start) / (num - 1))
+    vals = ", ".join(f"({i}, {lo}, {hi})" for i, (lo, hi) in enumerate(bounds))
+    return PROB_CTE + f""",
+v AS (SELECT * FROM pa WHERE split = '{split}'),
+grid AS (SELECT CAST(i AS INTEGER) AS i,
+                CASE WHEN i = {num - 1} THEN {d(stop)} ELSE CAST(i AS DOUBLE) * {step} + {d(start)} END AS t
+         FROM range({num}) g(i)),
+bnd AS (SELECT * FROM (VALUES {vals}) b(ord, lo, hi)),
+sup AS (SELECT y, count(*) AS n FROM v GROUP BY y),
+vb AS (SELECT v.*, b2.ord AS bo, list_extract({_PL}, b2.hi + 1)
+              / (list_extract({_PL}, b2.lo + 1) + list_extract({_PL}, b2.hi + 1) + 1e-9::DOUBLE) AS rel
+       FROM v CROSS JOIN bnd b2),
+ev AS (SELECT b.ord, b.lo, b.hi, g.i, g.t,
+         sum(CASE WHEN vb.a IN (b.lo, b.hi) THEN 1 ELSE 0 END) AS n_mask,
+         sum(CASE WHEN vb.a IN (b.lo, b.hi) AND NOT (rel > g.t) THEN 1 ELSE 0 END) AS pred_lo,
+         sum(CASE WHEN vb.a IN (b.lo, b.hi) AND NOT (rel > g.t) AND vb.y = b.lo THEN 1 ELSE 0 END) AS tp_lo,
+         sum(CASE WHEN vb.a IN (b.lo, b.hi) AND rel > g.t THEN 1 ELSE 0 END) AS pred_hi,
+         sum(CASE WHEN vb.a IN (b.lo, b.hi) AND rel > g.t AND vb.y = b.hi THEN 1 ELSE 0 END) AS tp_hi
+       FROM bnd b CROSS JOIN grid g JOIN vb ON vb.bo = b.ord
+       GROUP BY 1, 2, 3, 4, 5),
+sc AS (SELECT ev.*, coalesce(sl.n, 0) AS act_lo, coalesce(sh.n, 0) AS act_hi FROM ev
+       LEFT JOIN sup sl ON sl.y = ev.lo LEFT JOIN sup sh ON sh.y = ev.hi),
+f AS (SELECT *, (CASE WHEN pred_lo + act_lo > 0 THEN CAST(2 * tp_lo AS DOUBLE) / CAST(pred_lo + act_lo AS DOUBLE) ELSE 0.0::DOUBLE END
+               + CASE WHEN pred_hi + act_hi > 0 THEN CAST(2 * tp_hi AS DOUBLE) / CAST(pred_hi + act_hi AS DOUBLE) ELSE 0.0::DOUBLE END)
+              / 2.0::DOUBLE AS score FROM sc),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, i ASC) AS rn FROM f) WHERE rn = 1),
+tuned AS (SELECT CAST(ord AS INTEGER) AS ord, CAST(lo AS INTEGER) AS low, CAST(hi AS INTEGER) AS high,
+                 CASE WHEN score > 0 AND n_mask > 0 THEN t ELSE 0.5::DOUBLE END AS t,
+                 CASE WHEN score > 0 AND n_mask > 0 THEN score ELSE 0.0::DOUBLE END AS best_score,
+                 CAST(n_mask AS BIGINT) AS n_at_boundary FROM best)"""
+
+
+SQL["threshold_tune_single"] = with_split(
+    f"SELECT ord, low, high, {r6('t')} AS t, {r6('best_score')} AS best_score, n_at_boundary FROM tuned",
+    tune_sql("train", [(2, 3)], 0.1, 0.9, 90))

@@ -80,3 +80,9 @@ QUERIES.update({
 })
 
 QUERIES["feature_table_chunked"] = c.feature_table_chunked
+
+QUERIES.update({
+    "threshold_tune_single": c.threshold_tune_single,
+    "two_stage_stratified": c.two_stage_stratified,
+    "ensemble_fixed_threshold": c.ensemble_fixed_threshold,
+})

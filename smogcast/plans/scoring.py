@@ -48,7 +48,8 @@ def context_tables(obs: DataFrame) -> dict[str, DataFrame]:
     filled = cleaning.fill_with_means(serving, FEATURES, key="series_key")
     trend = ts.preceding_context(obs.select("series_key", "Date", "AQI"))
     exact = filled.join(trend.select("series_key", "Date", "trend"), ["series_key", "Date"], "left")
-    means = climatology.calendar_means(serving, FEATURES + ["AQI"])
+    # bounded by series x 366 (+ month and series levels); read by three lookups
+    means = climatology.calendar_means(serving, FEATURES + ["AQI"]).persist()
     stats = distribution.month_stats(obs).join(distribution.month_trend_slope(obs), ["series_key", "month"],
                                                "left")
     pdf = (distribution.normal_pdf_points(stats)
@@ -102,7 +103,13 @@ def score_requests(requests: DataFrame, obs: DataFrame, model, ctx: dict | None
 
     keep = ["request_id", "series_key", "date_text", "req_date", "status", "is_future", "actual_aqi",
             "weather", "trend"] + FEATURES
-    both = hit.select(*keep).unionByName(look.select(*keep))
+    # The feature rows of all requests are the input of the heaviest stage
+    # (six models): materialise them once in the reliable checkpoint folder
+    # so the model stage neither re-runs the lookups nor loses them with an
+    # executor.
+    from smogcast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(requests.sparkSession)
+    both = hit.select(*keep).unionByName(look.select(*keep)).checkpoint(eager=True)
     pred = model.predict(both)
 
     stats = ctx["stats"].join(ctx["pdf"], ["series_key", "month"], "left")

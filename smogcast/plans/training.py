@@ -45,6 +45,15 @@ class TrainConfig:
     forest_depth: int = 6
     refit_on_val: bool = False
     seed: int = 42
+    # variants of the reference's experiments
+    split_kind: str = "chronological"        # or "stratified" (15 % test, hash-based)
+    weight_kind: str = "weight_scaled"       # balanced x base cost; or "weight_boosted"
+    calibrate: bool = True                   # isotonic on validation (needs a val part)
+    tune_on: str = "val"                     # part the thresholds are tuned on
+    tune_boundaries: tuple = tuple(th.BOUNDARIES)
+    tune_start: float = th.GRID_START
+    tune_stop: float = th.GRID_STOP
+    fixed_thresholds: tuple | None = None    # e.g. ((2, 3, 0.585),): no tuning
 
 
 @dataclass
@@ -71,7 +80,10 @@ class TwoStageModel:
         cur = add_stage2_features(self.predict_stage1(df))
         cur = self.forest.transform(cur).withColumn("probs", padded_probs("probability"))
         cur = cur.drop("features", "rawPrediction", "probability", "prediction")
-        cur = self.calibrator.transform(cur, "probs", "cal_probs")
+        if self.calibrator is not None:
+            cur = self.calibrator.transform(cur, "probs", "cal_probs")
+        else:
+            cur = cur.withColumn("cal_probs", F.col("probs"))
         return th.apply_thresholds(cur, "cal_probs", self.thresholds, "predicted")
 
     # ---- OP-04 bundle --------------------------------------------------------------
@@ -80,21 +92,23 @@ class TwoStageModel:
         self.ridge.write().overwrite().save(f"{path}/stage1_ridge")
         self.asym.save(f"{path}/stage1_asym", spark)
         self.forest.write().overwrite().save(f"{path}/stage2_forest")
-        self.calibrator.save(f"{path}/stage2_calibration")
+        if self.calibrator is not None:
+            self.calibrator.save(f"{path}/stage2_calibration")
         spark.createDataFrame([(i, lo, hi, float(t)) for i, (lo, hi, t) in enumerate(self.thresholds)],
                               "ord int, low int, high int, t double").write.mode("overwrite").parquet(
             f"{path}/thresholds")
-        spark.createDataFrame([(json.dumps(self.features),)], "features string").write.mode(
+        meta = {"features": self.features, "calibrated": self.calibrator is not None}
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode(
             "overwrite").json(f"{path}/feature_columns")
 
     @classmethod
     def load(cls, path: str, spark: SparkSession) -> "TwoStageModel":
         thr = th.collect_thresholds(spark.read.parquet(f"{path}/thresholds"))
-        feats = json.loads(spark.read.json(f"{path}/feature_columns").first()["features"])
+        meta = json.loads(spark.read.json(f"{path}/feature_columns").first()["meta"])
+        cal = IsotonicCalibrator.load(f"{path}/stage2_calibration") if meta["calibrated"] else None
         return cls(PipelineModel.load(f"{path}/stage1_gbt"), PipelineModel.load(f"{path}/stage1_ridge"),
                    AsymmetricBoostModel.load(f"{path}/stage1_asym", spark),
-                   PipelineModel.load(f"{path}/stage2_forest"),
-                   IsotonicCalibrator.load(f"{path}/stage2_calibration"), thr, feats)
+                   PipelineModel.load(f"{path}/stage2_forest"), cal, thr, meta["features"])
 
 
 @dataclass
@@ -112,7 +126,11 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
     ensure_checkpoint_dir(spark)
     # The feature table feeds a dozen fits: cut its lineage once (reliable
     # checkpoint in spark.checkpoint.dir, survives executor loss).
-    data = splits.chronological_split(feat).withColumn("__ylog", log_target(F.col("AQI"))).checkpoint(eager=True)
+    if cfg.split_kind == "stratified":
+        parts = splits.stratified_split(feat, LABEL, test_frac=0.15, seed=cfg.seed)
+    else:
+        parts = splits.chronological_split(feat)
+    data = parts.withColumn("__ylog", log_target(F.col("AQI"))).checkpoint(eager=True)
     train = data.where(F.col("split") == "train")
     fit1 = data.where(F.col("split").isin("train", "val")) if cfg.refit_on_val else train
 
@@ -126,14 +144,25 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
     s2_features = list(FEATURES) + STAGE2_EXTRA
     tr2 = s1.where(F.col("split") == "train")
     cw = wts.class_weights(tr2, LABEL)
-    forest = fit_forest(wts.attach_class_weight(tr2, LABEL, cw), s2_features, LABEL, "weight",
-                        cfg.forest_trees, cfg.forest_depth, cfg.seed)
+    forest = fit_forest(wts.attach_class_weight(tr2, LABEL, cw, which=cfg.weight_kind), s2_features, LABEL,
+                        "weight", cfg.forest_trees, cfg.forest_depth, cfg.seed)
     probs = forest.transform(s1).withColumn("probs", padded_probs("probability")).drop(
         "features", "rawPrediction", "probability", "prediction")
-    calibrator = IsotonicCalibrator.fit(probs.where(F.col("split") == "val"), "probs", LABEL)
-    cal = calibrator.transform(probs, "probs", "cal_probs").checkpoint(eager=True)
-    tuned = th.tune_thresholds(cal.where(F.col("split") == "val"), "cal_probs", LABEL)
-    thresholds = th.collect_thresholds(tuned)
+    if cfg.calibrate:
+        calibrator = IsotonicCalibrator.fit(probs.where(F.col("split") == "val"), "probs", LABEL)
+        cal = calibrator.transform(probs, "probs", "cal_probs").checkpoint(eager=True)
+    else:
+        calibrator = None
+        cal = probs.withColumn("cal_probs", F.col("probs")).checkpoint(eager=True)
+    if cfg.fixed_thresholds is not None:
+        thresholds = [tuple(t) for t in cfg.fixed_thresholds]
+        tuned = spark.createDataFrame([(i, lo, hi, float(t), None, None) for i, (lo, hi, t) in enumerate(thresholds)],
+                                      "ord int, low int, high int, t double, best_score double, n_at_boundary long")
+    else:
+        tuned = th.tune_thresholds(cal.where(F.col("split") == cfg.tune_on), "cal_probs", LABEL,
+                                   boundaries=list(cfg.tune_boundaries), start=cfg.tune_start,
+                                   stop=cfg.tune_stop)
+        thresholds = th.collect_thresholds(tuned)
     scored = th.apply_thresholds(cal, "cal_probs", thresholds, "predicted")
 
     model = TwoStageModel(gbt, ridge, asym, forest, calibrator, thresholds, list(FEATURES))
