@@ -95,6 +95,14 @@ class SeasonalForecaster:
         stats = self._stats(df)
         d = self.design(df.where(F.col(self.value).isNotNull() & (F.col(self.value) > 0)), stats)
         d = d.select(F.col(self.key).alias("k"), "__x", F.log(F.col(self.value)).alias("__y"))
+        # Hash-partition by (series, salt of the date) and keep each series'
+        # rows contiguous: a series is spread over at most `salts` tasks (a
+        # hot series is never gathered into one), while each Arrow batch
+        # emits one partial matrix per series it holds instead of one per
+        # scattered (series, batch) pair.
+        salts = 16
+        salt = F.pmod(F.xxhash64(F.col("__x")), F.lit(salts))
+        d = d.repartition("k", salt).sortWithinPartitions("k")
 
         def partial(batches):
             for pdf in batches:

@@ -1,8 +1,8 @@
 """Registered queries: one per operator group of the inventory.
 
 Every query reads the driver's tables (all rows) through the binding in
-``smogcast.sources.binding`` and returns a DataFrame whose double columns are
-rounded with :func:`round_half_up` to 6 decimals (the oracle uses the same
+``smogcast.sources.binding``. SQL-checked queries return their double columns
+quantized to the 2^-20 grid with :func:`quantize` (the oracle uses the same
 arithmetic), so value hashes are comparable across engines.
 """
 
