@@ -203,10 +203,10 @@ SQL["log_transform"] = with_obs(
 REQ_CTE = """req AS (
   SELECT e.event_id AS request_id, k.series_key, CAST(e.ts AS DATE) AS date
   FROM events e
-  LEFT JOIN (SELECT event_type, dense_rank() OVER (ORDER BY event_type) AS r
-             FROM (SELECT DISTINCT event_type FROM events)) t ON e.event_type = t.event_type
-  LEFT JOIN (SELECT series_key, dense_rank() OVER (ORDER BY series_key) AS r
-             FROM (SELECT DISTINCT series_key FROM series)) k ON t.r = k.r)"""
+  LEFT JOIN (SELECT o_custkey, o_orderpriority AS series_key FROM (
+               SELECT o_custkey, o_orderpriority,
+                      row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+               FROM orders) WHERE rn = 1) k ON e.user_id = k.o_custkey)"""
 
 FI_CTE = """fi AS (SELECT series_key, "Date" AS date, AQI AS aqi, temp AS temperature, windspeed AS wind_speed FROM obs),
 clim AS (SELECT series_key, dayofyear(date) AS doy, avg(temperature) AS temperature, avg(wind_speed) AS wind_speed

@@ -66,21 +66,19 @@ def sparse_readings_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Date requests derived from ``events``: request_id = event_id, date text
-    = the event's day, series = the series whose rank among series keys
-    equals the rank of the event type among event types.
+    = the event's day, series = the priority of the user's most recent order
+    (latest order date, then highest order key).
 
-    Both rank tables are built from DISTINCT values (a handful of rows), so
-    their single-partition ranking window never sees the event table; the
-    event table itself is only scanned and joined on an equality key.
+    The latest order per customer is one groupBy with map-side partial
+    aggregation (a customer holding a third of all orders costs one partial
+    row per map task); events attach to it by an equality join that AQE can
+    broadcast or split when skewed.
     """
-    from pyspark.sql import Window
     ev = table(spark, sf_dir, "events")
-    types = ev.select("event_type").distinct().withColumn(
-        "__r", F.dense_rank().over(Window.orderBy("event_type")))
-    keys = daily_series(spark, sf_dir).select("series_key").distinct().withColumn(
-        "__r", F.dense_rank().over(Window.orderBy("series_key")))
-    m = types.join(keys, "__r", "left").select("event_type", "series_key")
-    return ev.join(m, "event_type", "left").select(
+    o = table(spark, sf_dir, "orders")
+    latest = o.groupBy(F.col("o_custkey").alias("user_id")).agg(
+        F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("series_key"))
+    return ev.join(latest, "user_id", "left").select(
         F.col("event_id").alias("request_id"), "series_key",
         F.date_format(F.col("ts"), "yyyy-MM-dd").alias("date"))
 
