@@ -81,3 +81,42 @@ def test_minmax_constant_column(spark):
     st = fit_minmax(df, ["c", "v"], key="series_key")
     out = transform_minmax(df, st, ["c", "v"], key="series_key").orderBy("v").collect()
     assert [r.c_scaled for r in out] == [0.0, 0.0] and [r.v_scaled for r in out] == [0.0, 1.0]
+
+
+def test_asymmetric_boost_equal_weights_is_plain_boosting(spark):
+    """With weight 1 on both sides and no L1/L2 terms every leaf value is the
+    tree's own leaf mean, i.e. plain least-squares boosting with the same trees."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from smogcast.ml.asymmetric import fit_asymmetric_boost
+    from smogcast.ml.stage1 import assembler
+    rng = np.random.default_rng(11)
+    X = rng.uniform(size=(300, 2))
+    y = np.cos(3 * X[:, 0]) + 0.5 * X[:, 1]
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(X, y)],
+                               "a double, b double, y double")
+    a = assembler(["a", "b"]).transform(df).cache()
+    m = fit_asymmetric_boost(a, "y", rounds=3, step=0.5, max_depth=3, reg_lambda=0.0, reg_alpha=0.0,
+                             under_weight=1.0, seed=7)
+    got = m.transform(a, "p").select("a", "b", "p").toPandas().sort_values(["a", "b"])["p"].to_numpy()
+    cur = a.withColumn("f", F.lit(float(np.mean(y))))
+    for r in range(3):
+        work = cur.withColumns({"r": F.col("y") - F.col("f"), "w": F.lit(1.0)})
+        t = DecisionTreeRegressor(featuresCol="features", labelCol="r", weightCol="w", maxDepth=3,
+                                  seed=7 + r, maxBins=64, predictionCol="tp").fit(work)
+        cur = t.transform(work).withColumn("f", F.col("f") + 0.5 * F.col("tp")).drop("tp", "r", "w")
+    exp = cur.select("a", "b", "f").toPandas().sort_values(["a", "b"])["f"].to_numpy()
+    assert np.allclose(got, exp, atol=1e-9)
+
+
+def test_isotonic_output_monotone(spark):
+    from smogcast.ml.stage2 import IsotonicCalibrator
+    rng = np.random.default_rng(2)
+    p = rng.dirichlet(np.ones(6), size=300)
+    y = rng.integers(0, 6, size=300)
+    df = spark.createDataFrame([(p[i].tolist(), int(y[i])) for i in range(300)], "probs array<double>, y int")
+    cal = IsotonicCalibrator.fit(df, "probs", "y")
+    grid = spark.createDataFrame([(float(x),) for x in np.linspace(0, 1, 51)], "x double")
+    for c, mdl in cal.models.items():
+        vals = [r[0] for r in mdl.copy().setFeaturesCol("x").setPredictionCol("c").transform(grid)
+                .orderBy("x").select("c").collect()]
+        assert all(b >= a - 1e-12 for a, b in zip(vals, vals[1:])), c

@@ -104,3 +104,12 @@ def test_preceding_context_and_sequences(series_df):
     assert last[-1]["category"] == "Severe" and last[0]["color"] == "#4ade80"
     seq = ts.sequence_windows(series_df, ["AQI"], "AQI", steps=7).collect()
     assert len(seq) == 1 and seq[0]["target"] == 90.0 and seq[0]["sequence"][0] == [40.0]
+
+
+def test_feature_table_invariant_under_repartitioning(spark):
+    from smogcast.plans.features import engineer_features
+    from smogcast.sources import binding
+    obs = binding.observations(spark, "/root/testdata/sf0.001")
+    a = engineer_features(obs, training=True)
+    b = engineer_features(obs.repartition(13, "Date"), training=True)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
