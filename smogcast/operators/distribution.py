@@ -11,7 +11,7 @@ PDF_POINTS = 40
 
 
 def month_stats(df: DataFrame, value: str = "AQI", key="series_key", date="Date",
-                approx_median: bool = False) -> DataFrame:
+                approx_median: bool = False, by_month: bool = True) -> DataFrame:
     """OP-53: per (series, month): n, mean, median, mode, sample variance and
     std (0 when n <= 1).
 
@@ -22,7 +22,10 @@ def month_stats(df: DataFrame, value: str = "AQI", key="series_key", date="Date"
     per day; ``approx_median`` switches to ``percentile_approx`` for inputs
     without that bound.
     """
-    base = df.where(F.col(value).isNotNull()).withColumn("month", F.month(date))
+    # by_month=False: whole-series statistics (month NULL), the fallback for a
+    # month without data.
+    month = F.month(date) if by_month else F.lit(None).cast("int")
+    base = df.where(F.col(value).isNotNull()).withColumn("month", month)
     per_val = base.groupBy(key, "month", value).agg(F.count(F.lit(1)).alias("__c"))
     mode = per_val.groupBy(key, "month").agg(
         F.max(F.struct(F.col("__c"), (-F.col(value)).alias("__neg"))).alias("__best")
@@ -38,7 +41,9 @@ def month_stats(df: DataFrame, value: str = "AQI", key="series_key", date="Date"
         key, "month", "n", "mean", "median",
         F.when(F.col("n") > 1, F.col("__var")).otherwise(F.lit(0.0)).alias("variance"),
         F.when(F.col("n") > 1, F.col("__std")).otherwise(F.lit(0.0)).alias("std_dev"))
-    return stats.join(mode, [key, "month"], "left")
+    m = mode.withColumnsRenamed({key: "__k", "month": "__m"})
+    cond = (stats[key] == m["__k"]) & stats["month"].eqNullSafe(m["__m"])
+    return stats.join(m, cond, "left").drop("__k", "__m")
 
 
 def month_trend_slope(df: DataFrame, value: str = "AQI", key="series_key", date="Date") -> DataFrame:

@@ -52,12 +52,14 @@ def context_tables(obs: DataFrame) -> dict[str, DataFrame]:
     means = climatology.calendar_means(serving, FEATURES + ["AQI"]).persist()
     stats = distribution.month_stats(obs).join(distribution.month_trend_slope(obs), ["series_key", "month"],
                                                "left")
+    # whole-series statistics for requested months absent from a series
+    fallback = distribution.month_stats(obs, by_month=False).drop("month")
     pdf = (distribution.normal_pdf_points(stats)
            .groupBy("series_key", "month")
            .agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("__pts"))
            .select("series_key", "month",
                    F.transform("__pts", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("pdf")))
-    return {"exact": exact, "means": means, "stats": stats, "pdf": pdf}
+    return {"exact": exact, "means": means, "stats": stats, "pdf": pdf, "fallback": fallback}
 
 
 def score_requests(requests: DataFrame, obs: DataFrame, model, ctx: dict | None = None) -> DataFrame:
@@ -114,12 +116,19 @@ def score_requests(requests: DataFrame, obs: DataFrame, model, ctx: dict | None
 
     stats = ctx["stats"].join(ctx["pdf"], ["series_key", "month"], "left")
     pred = pred.withColumn("month", F.month("req_date")).join(stats, ["series_key", "month"], "left")
+    # month without data -> whole-series statistics (chosen by presence)
+    stat_cols = ["mean", "median", "mode", "variance", "std_dev"]
+    fb = ctx["fallback"].select("series_key", F.col("n").alias("__fn"),
+                                *[F.col(c).alias(f"__f_{c}") for c in stat_cols])
+    pred = pred.join(fb, "series_key", "left").withColumns({
+        c: F.when(F.col("n").isNotNull(), F.col(c)).otherwise(F.col(f"__f_{c}")) for c in stat_cols})
+    pred = pred.withColumn("trend_slope", F.coalesce(F.col("trend_slope"), F.lit(0.0)))
     code = F.col("predicted")
     resp = pred.select(
         "request_id", "series_key", F.col("date_text").alias("date"), "status",
         round_half_up(F.col("Predicted_AQI"), 2).alias("predicted_aqi"),
         category_name(code).alias("category"), category_color(code).alias("color"),
-        "actual_aqi", "is_future",
+        "actual_aqi", "is_future", F.col("is_future").alias("is_climatology"),
         F.when(F.col("is_future"), F.lit(PREDICTION_TYPES[1])).otherwise(F.lit(PREDICTION_TYPES[0]))
          .alias("prediction_type"),
         "weather", "trend",

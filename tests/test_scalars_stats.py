@@ -39,6 +39,14 @@ def test_mode_lowest_tie_and_slope_one_year(spark):
     assert distribution.month_trend_slope(df).first()["trend_slope"] == 0.0
 
 
+def test_series_level_stats_fallback(spark):
+    d = days(4, start=dt.date(2020, 3, 30))
+    df = spark.createDataFrame([("A", x, v) for x, v in zip(d, [5.0, 1.0, 5.0, 2.0])],
+                               "series_key string, Date date, AQI double")
+    st = distribution.month_stats(df, by_month=False).collect()
+    assert len(st) == 1 and st[0]["month"] is None and st[0]["mode"] == 5.0 and st[0]["n"] == 4
+
+
 def test_slope_matches_least_squares(spark):
     rows = []
     for y, v in [(2015, 10.0), (2016, 14.0), (2017, 15.0), (2018, 21.0)]:
