@@ -43,6 +43,20 @@ def test_forecast_csv_and_response_json(spark):
     assert doc["trend"][0]["aqi"] == 10.0
 
 
+def test_partitioned_sink_prunes_partitions(spark):
+    from smogcast.sources import binding
+    from smogcast.sources.sinks import with_year, write_table
+    out = tempfile.mkdtemp(prefix="smogcast-part-") + "/obs"
+    obs = binding.observations(spark, "/root/testdata/sf0.001")
+    write_table(with_year(obs), out, ["year"])
+    d0 = obs.orderBy("Date").first()["Date"]
+    q = spark.read.parquet(out).where((F.col("year") == d0.year) & (F.col("Date") == d0))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
+    assert f"PushedFilters: [IsNotNull(Date), EqualTo(Date,{d0.isoformat()})]" in plan
+    assert q.count() >= 1
+
+
 def test_cleaning_helpers(spark):
     df = spark.createDataFrame([("A", d, float(i) if i % 3 else None) for i, d in enumerate(days(25))],
                                "series_key string, Date date, v double")

@@ -113,3 +113,14 @@ def test_feature_table_invariant_under_repartitioning(spark):
     a = engineer_features(obs, training=True)
     b = engineer_features(obs.repartition(13, "Date"), training=True)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_chunked_path_exact_and_auto_choice(spark):
+    from smogcast.plans import features as fx
+    from smogcast.sources import binding
+    obs = binding.observations(spark, "/root/testdata/sf0.001")
+    plain = fx.engineer_features(obs, training=False)
+    chunked = fx.engineer_features(obs, training=False, chunk_rows=140)
+    assert plain.exceptAll(chunked).count() == 0 and chunked.exceptAll(plain).count() == 0
+    assert fx.auto_chunk_rows(obs) is None                 # short series: plain windows
+    assert fx.auto_chunk_rows(obs, limit=150) == 150       # long series: chunked
