@@ -62,17 +62,14 @@ def context_tables(obs: DataFrame) -> dict[str, DataFrame]:
     return {"exact": exact, "means": means, "stats": stats, "pdf": pdf, "fallback": fallback}
 
 
-def score_requests(requests: DataFrame, obs: DataFrame, model, ctx: dict | None = None) -> DataFrame:
-    """One response per request: prediction, category, weather, 7-day trend
-    and month statistics, plus ``status``, ``is_future`` (date absent from the
-    data) and ``prediction_type``."""
-    ctx = ctx or context_tables(obs)
-    req = parse_requests(requests)
-    ok = req.where(F.col("status") == "ok")
+def score_keys(keys: DataFrame, model, ctx: dict) -> DataFrame:
+    """Every response field for each distinct (series_key, req_date).
 
+    All of them (features, weather, trend, model prediction, statistics)
+    depend only on the key, so they are computed once per key: the work is
+    bounded by series x calendar, not by the number of requests."""
     ex = ctx["exact"].withColumnRenamed("Date", "req_date")
-    hit = ok.join(ex, ["series_key", "req_date"], "inner")
-    hit = hit.withColumns({
+    hit = keys.join(ex, ["series_key", "req_date"], "inner").withColumns({
         "is_future": F.lit(False),
         "actual_aqi": F.col("AQI"),
         "weather": F.struct(*[safe_number(F.col(c), climatology.WEATHER_DEFAULTS[c]).alias(c)
@@ -83,34 +80,31 @@ def score_requests(requests: DataFrame, obs: DataFrame, model, ctx: dict | None
             t["category"].alias("category"), t["color"].alias("color"))),
     })
 
-    miss = ok.join(ex.select("series_key", "req_date"), ["series_key", "req_date"], "left_anti")
+    miss = keys.join(ex.select("series_key", "req_date"), ["series_key", "req_date"], "left_anti")
     look = climatology.climatology_lookup(miss, ctx["means"], FEATURES + ["AQI"], date="req_date")
-    tr = climatology.climatology_trend(miss.select("request_id", "series_key", "req_date"),
-                                       ctx["means"].where(F.col("level").isin("month_day", "month")),
+    tr = climatology.climatology_trend(miss, ctx["means"].where(F.col("level").isin("month_day", "month")),
                                        date="req_date")
     tcode = aqi_category(F.col("trend_aqi"))
-    tr = (tr.groupBy("request_id")
+    tr = (tr.groupBy("series_key", "req_date")
             .agg(F.array_sort(F.collect_list(F.struct(
                 F.col("trend_date").alias("__d"),
                 F.struct(F.date_format("trend_date", "yyyy-MM-dd").alias("date"), F.col("trend_aqi").alias("aqi"),
                          category_name(tcode).alias("category"), category_color(tcode).alias("color")
                          ).alias("__v")))).alias("__t"))
-            .select("request_id", F.transform("__t", lambda x: x["__v"]).alias("trend")))
-    look = look.join(tr, "request_id", "left").withColumns({
+            .select("series_key", "req_date", F.transform("__t", lambda x: x["__v"]).alias("trend")))
+    look = look.join(tr, ["series_key", "req_date"], "left").withColumns({
         "is_future": F.lit(True),
         "actual_aqi": F.lit(None).cast("double"),
         "weather": F.struct(*[safe_number(F.col(c), climatology.WEATHER_DEFAULTS[c]).alias(c)
                               for c in WEATHER_COLS]),
     })
 
-    keep = ["request_id", "series_key", "date_text", "req_date", "status", "is_future", "actual_aqi",
-            "weather", "trend"] + FEATURES
-    # The feature rows of all requests are the input of the heaviest stage
-    # (six models): materialise them once in the reliable checkpoint folder
-    # so the model stage neither re-runs the lookups nor loses them with an
-    # executor.
+    keep = ["series_key", "req_date", "is_future", "actual_aqi", "weather", "trend"] + FEATURES
+    # The feature rows are the input of the heaviest stage (six models):
+    # materialise them once in the reliable checkpoint folder so the model
+    # stage neither re-runs the lookups nor loses them with an executor.
     from smogcast.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(requests.sparkSession)
+    ensure_checkpoint_dir(keys.sparkSession)
     both = hit.select(*keep).unionByName(look.select(*keep)).checkpoint(eager=True)
     pred = model.predict(both)
 
@@ -118,14 +112,13 @@ def score_requests(requests: DataFrame, obs: DataFrame, model, ctx: dict | None
     pred = pred.withColumn("month", F.month("req_date")).join(stats, ["series_key", "month"], "left")
     # month without data -> whole-series statistics (chosen by presence)
     stat_cols = ["mean", "median", "mode", "variance", "std_dev"]
-    fb = ctx["fallback"].select("series_key", F.col("n").alias("__fn"),
-                                *[F.col(c).alias(f"__f_{c}") for c in stat_cols])
+    fb = ctx["fallback"].select("series_key", *[F.col(c).alias(f"__f_{c}") for c in stat_cols])
     pred = pred.join(fb, "series_key", "left").withColumns({
         c: F.when(F.col("n").isNotNull(), F.col(c)).otherwise(F.col(f"__f_{c}")) for c in stat_cols})
     pred = pred.withColumn("trend_slope", F.coalesce(F.col("trend_slope"), F.lit(0.0)))
     code = F.col("predicted")
-    resp = pred.select(
-        "request_id", "series_key", F.col("date_text").alias("date"), "status",
+    return pred.select(
+        "series_key", "req_date",
         round_half_up(F.col("Predicted_AQI"), 2).alias("predicted_aqi"),
         category_name(code).alias("category"), category_color(code).alias("color"),
         "actual_aqi", "is_future", F.col("is_future").alias("is_climatology"),
@@ -140,6 +133,21 @@ def score_requests(requests: DataFrame, obs: DataFrame, model, ctx: dict | None
                  F.coalesce(F.col("pdf"), F.array().cast("array<struct<x:double,y:double>>")).alias("pdf"))
          .alias("stats"))
 
+
+def score_requests(requests: DataFrame, obs: DataFrame, model, ctx: dict | None = None) -> DataFrame:
+    """One response per request: prediction, category, weather, 7-day trend
+    and month statistics, plus ``status``, ``is_future`` (date absent from the
+    data) and ``prediction_type``.
+
+    Responses are computed per distinct (series, date) by :func:`score_keys`
+    and attached to the requests with one equi-join (AQE broadcasts the
+    per-key table when small, or splits a hot key's partition when skewed)."""
+    ctx = ctx or context_tables(obs)
+    req = parse_requests(requests)
+    ok = req.where(F.col("status") == "ok")
+    per_key = score_keys(ok.select("series_key", "req_date").distinct(), model, ctx)
+    resp = (ok.select("request_id", "series_key", "req_date", F.col("date_text").alias("date"), "status")
+              .join(per_key, ["series_key", "req_date"], "left").drop("req_date"))
     bad = req.where(F.col("status") != "ok").select(
         "request_id", "series_key", F.col("date_text").alias("date"), "status")
     return resp.unionByName(bad, allowMissingColumns=True)
