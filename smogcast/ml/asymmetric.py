@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smogcast.session import ensure_checkpoint_dir
+from smogcast.session import materialize
 
 
 def _leaf_value_expr(leaf_col: str, values: dict[int, float]) -> Column:
@@ -86,7 +87,7 @@ def fit_asymmetric_boost(df: DataFrame, label: str, features_col: str = "feature
     ensure_checkpoint_dir(spark)
     init = float(df.agg(F.avg(label)).first()[0] or 0.0)
     cur = df.select(features_col, F.col(label).alias("__y")).withColumn("__f", F.lit(init))
-    cur = cur.checkpoint(eager=True)
+    cur = cur.transform(materialize)
     model = AsymmetricBoostModel(init, step, [], [], features_col)
     for m in range(rounds):
         r = F.col("__y") - F.col("__f")
@@ -109,6 +110,6 @@ def fit_asymmetric_boost(df: DataFrame, label: str, features_col: str = "feature
             features_col, "__y", "__f")
         # Cached between rounds (recomputable from at most checkpoint_every
         # rounds of lineage if an executor is lost); lineage cut periodically.
-        cur = cur.checkpoint(eager=True) if (m + 1) % checkpoint_every == 0 else cur.persist()
+        cur = cur.transform(materialize) if (m + 1) % checkpoint_every == 0 else cur.persist()
         prev.unpersist()
     return model

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from smogcast.functions.scalars import alarm
 from smogcast.ml.stage1 import assembler
+from smogcast.session import materialize
 
 N_CLASSES = 6
 STAGE2_EXTRA = ["Predicted_AQI", "alarm_predicted_poor", "alarm_lag_poor"]
@@ -96,7 +97,7 @@ class IsotonicCalibrator:
         ensure_checkpoint_dir(df.sparkSession)
         models = {}
         # n fits read the same two columns: materialise them once.
-        base = df.select(F.col(probs).alias("__p"), F.col(label).cast("int").alias("__y")).checkpoint(eager=True)
+        base = df.select(F.col(probs).alias("__p"), F.col(label).cast("int").alias("__y")).transform(materialize)
         for c in range(n):
             d = base.select(F.element_at("__p", c + 1).alias("__x"),
                             (F.col("__y") == c).cast("double").alias("__t"))

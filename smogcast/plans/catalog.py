@@ -24,6 +24,7 @@ from smogcast.operators import weights as wts
 from smogcast.plans.features import FEATURES, LABEL, engineer_features
 from smogcast.sources import binding
 from smogcast.sources.observations import WEATHER_COLS, to_date_col
+from smogcast.session import materialize
 
 
 def finish(df: DataFrame) -> DataFrame:
@@ -402,7 +403,7 @@ def _fit_frame(spark, sf_dir):
     query fits several passes over it."""
     from smogcast.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    return split_table(spark, sf_dir).withColumn("__ylog", log_target(F.col("AQI"))).checkpoint(eager=True)
+    return split_table(spark, sf_dir).withColumn("__ylog", log_target(F.col("AQI"))).transform(materialize)
 
 
 def _stage1_output(model, frame, pred_col):
@@ -441,7 +442,7 @@ def _forest_probs(spark, sf_dir):
     cw = wts.class_weights(tr, LABEL)
     m = fit_forest(wts.attach_class_weight(tr, LABEL, cw), FEATURES + STAGE2_EXTRA, LABEL, "weight", trees=20)
     out = m.transform(f).withColumn("probs", padded_probs("probability"))
-    return m, out.drop("features", "rawPrediction", "probability", "prediction").checkpoint(eager=True)
+    return m, out.drop("features", "rawPrediction", "probability", "prediction").transform(materialize)
 
 
 def stage2_classifier(spark, sf_dir):

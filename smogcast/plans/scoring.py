@@ -27,6 +27,7 @@ from smogcast.operators import climatology, cleaning, distribution
 from smogcast.operators import timeseries as ts
 from smogcast.plans.features import FEATURES, engineer_features
 from smogcast.sources.observations import WEATHER_COLS, to_date_col
+from smogcast.session import materialize
 
 PREDICTION_TYPES = ("Historical Baseline", "Seasonal Climatology Synthesis")
 
@@ -105,7 +106,7 @@ def score_keys(keys: DataFrame, model, ctx: dict) -> DataFrame:
     # stage neither re-runs the lookups nor loses them with an executor.
     from smogcast.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(keys.sparkSession)
-    both = hit.select(*keep).unionByName(look.select(*keep)).checkpoint(eager=True)
+    both = hit.select(*keep).unionByName(look.select(*keep)).transform(materialize)
     pred = model.predict(both)
 
     stats = ctx["stats"].join(ctx["pdf"], ["series_key", "month"], "left")

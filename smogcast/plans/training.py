@@ -30,6 +30,7 @@ from smogcast.operators import thresholds as th
 from smogcast.operators import weights as wts
 from smogcast.plans.features import FEATURES, LABEL
 from smogcast.session import ensure_checkpoint_dir
+from smogcast.session import materialize
 
 
 @dataclass
@@ -130,7 +131,7 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
         parts = splits.stratified_split(feat, LABEL, test_frac=0.15, seed=cfg.seed)
     else:
         parts = splits.chronological_split(feat)
-    data = parts.withColumn("__ylog", log_target(F.col("AQI"))).checkpoint(eager=True)
+    data = parts.withColumn("__ylog", log_target(F.col("AQI"))).transform(materialize)
     train = data.where(F.col("split") == "train")
     fit1 = data.where(F.col("split").isin("train", "val")) if cfg.refit_on_val else train
 
@@ -139,7 +140,7 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
     asym = fit_asymmetric_boost(assembler(FEATURES).transform(fit1), "__ylog", rounds=cfg.asym_rounds,
                                 step=cfg.asym_step, max_depth=cfg.asym_depth, seed=cfg.seed)
     partial = TwoStageModel(gbt, ridge, asym, None, None, [], list(FEATURES))
-    s1 = add_stage2_features(partial.predict_stage1(data)).checkpoint(eager=True)
+    s1 = add_stage2_features(partial.predict_stage1(data)).transform(materialize)
 
     s2_features = list(FEATURES) + STAGE2_EXTRA
     tr2 = s1.where(F.col("split") == "train")
@@ -150,10 +151,10 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
         "features", "rawPrediction", "probability", "prediction")
     if cfg.calibrate:
         calibrator = IsotonicCalibrator.fit(probs.where(F.col("split") == "val"), "probs", LABEL)
-        cal = calibrator.transform(probs, "probs", "cal_probs").checkpoint(eager=True)
+        cal = calibrator.transform(probs, "probs", "cal_probs").transform(materialize)
     else:
         calibrator = None
-        cal = probs.withColumn("cal_probs", F.col("probs")).checkpoint(eager=True)
+        cal = probs.withColumn("cal_probs", F.col("probs")).transform(materialize)
     if cfg.fixed_thresholds is not None:
         thresholds = [tuple(t) for t in cfg.fixed_thresholds]
         tuned = spark.createDataFrame([(i, lo, hi, float(t), None, None) for i, (lo, hi, t) in enumerate(thresholds)],

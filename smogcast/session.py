@@ -55,3 +55,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="smogcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint without computing ``df`` twice.
+
+    A reliable checkpoint writes the data in a second job after the first
+    one; persisting for the duration makes that second job read the cached
+    blocks instead of recomputing the plan. The cache is released once the
+    checkpoint files exist (recovery then reads the shared folder).
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+    return out

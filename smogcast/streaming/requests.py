@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogcast.plans.scoring import context_tables, score_requests
+from smogcast.session import materialize
 
 REQUEST_SCHEMA = "request_id long, series_key string, date string"
 
@@ -22,7 +23,7 @@ REQUEST_SCHEMA = "request_id long, series_key string, date string"
 def start_request_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                          obs: DataFrame, model, fmt: str = "json", available_now: bool = True,
                          max_files_per_trigger: int | None = None):
-    ctx = {k: v.checkpoint(eager=True) for k, v in context_tables(obs).items()}
+    ctx = {k: v.transform(materialize) for k, v in context_tables(obs).items()}
     reader = spark.readStream.schema(REQUEST_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
