@@ -55,6 +55,7 @@ class TrainConfig:
     tune_start: float = th.GRID_START
     tune_stop: float = th.GRID_STOP
     fixed_thresholds: tuple | None = None    # e.g. ((2, 3, 0.585),): no tuning
+    calibration_bins: int | None = None      # bound the isotonic fit's driver-side input
 
 
 @dataclass
@@ -150,7 +151,8 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
     probs = forest.transform(s1).withColumn("probs", padded_probs("probability")).drop(
         "features", "rawPrediction", "probability", "prediction")
     if cfg.calibrate:
-        calibrator = IsotonicCalibrator.fit(probs.where(F.col("split") == "val"), "probs", LABEL)
+        calibrator = IsotonicCalibrator.fit(probs.where(F.col("split") == "val"), "probs", LABEL,
+                                            bins=cfg.calibration_bins)
         cal = calibrator.transform(probs, "probs", "cal_probs").transform(materialize)
     else:
         calibrator = None
