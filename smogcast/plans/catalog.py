@@ -8,15 +8,14 @@ arithmetic), so value hashes are comparable across engines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smogcast.functions import calendar as cal
-from smogcast.functions.categories import (ADVICE, aqi_category, category_color, category_name,
-                                           with_category_info)
+from smogcast.functions.categories import aqi_category, with_category_info
 from smogcast.functions.scalars import (alarm, argmax_index, clip, exp_target, log_target, quantize,
-                                        round_half_up, safe_number, trend_label)
+                                        safe_number, trend_label)
 from smogcast.operators import cleaning, climatology, distribution, joins, metrics, splits
 from smogcast.operators import thresholds as th
 from smogcast.operators import timeseries as ts
