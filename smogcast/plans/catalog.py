@@ -575,3 +575,25 @@ def ensemble_fixed_threshold(spark, sf_dir):
                       fixed_thresholds=((2, 3, th.FIXED_MODERATE_POOR),))
     res = train_two_stage(training_table(spark, sf_dir), cfg)
     return metrics.f1_summary(res.scored.where(F.col("split") == "test"), LABEL, "predicted")
+
+
+LSTM_FEATURES = ["AQI_lag_1", "AQI_roll_mean_7", "AQI_ewma_7", "AQI_diff_1"] + WEATHER_COLS
+
+
+def scaled_sequences(spark, sf_dir):
+    """The sequence model's data preparation (OP-65 + OP-76 + OP-30): the
+    input columns (leak-shifted), rows with NULLs dropped, last 180 days per
+    series as test, min-max scaling of features and target fitted on the
+    training part, then 7-step sequences built inside each part separately."""
+    from smogcast.ml.scaling import fit_minmax, transform_minmax
+    f = engineer_features(obs(spark, sf_dir), training=False).select("series_key", "Date", "AQI", *LSTM_FEATURES)
+    f = splits.cutoff_split(cleaning.drop_any_null(f), days=180)
+    cols = ["AQI"] + LSTM_FEATURES
+    st = fit_minmax(f.where(F.col("split") == "train"), cols, key="series_key")
+    scaled = transform_minmax(f, st, cols, key="series_key")
+    seq = ts.sequence_windows(scaled, [f"{c}_scaled" for c in LSTM_FEATURES], "AQI_scaled", steps=7,
+                              key=["series_key", "split"])
+    out = seq.select("series_key", "split", "Date", "target", F.posexplode("sequence").alias("pos", "x"))
+    return finish(out.select("series_key", "split", "Date", (F.col("pos") + 1).cast("int").alias("step"),
+                             F.col("target").alias("target_scaled"),
+                             *[F.col("x")[i].alias(f"f_{c}") for i, c in enumerate(LSTM_FEATURES)]))

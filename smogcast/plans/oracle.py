@@ -555,3 +555,24 @@ tuned AS (SELECT CAST(ord AS INTEGER) AS ord, CAST(lo AS INTEGER) AS low, CAST(h
 SQL["threshold_tune_single"] = with_split(
     f"SELECT ord, low, high, {r6('t')} AS t, {r6('best_score')} AS best_score, n_at_boundary FROM tuned",
     tune_sql("train", [(2, 3)], 0.1, 0.9, 90))
+
+
+_LSTM = ["AQI_lag_1", "AQI_roll_mean_7", "AQI_ewma_7", "AQI_diff_1", "temp", "humidity", "precip", "windspeed",
+         "sealevelpressure"]
+_LCOLS = ["AQI"] + _LSTM
+SQL["scaled_sequences"] = with_obs(
+    "SELECT t.series_key, t.split, t.\"Date\", CAST(c.rn - t.rn + 8 AS INTEGER) AS step, "
+    f"{r6('t.AQI_s')} AS target_scaled, " + ", ".join(f"{r6('c.' + x + '_s')} AS f_{x}" for x in _LSTM)
+    + " FROM b t JOIN b c ON c.series_key = t.series_key AND c.split = t.split AND c.rn BETWEEN t.rn - 7 AND t.rn - 1"
+    " WHERE t.rn > 7",
+    extra=f"""feat AS ({feature_select('obs')}),
+l AS (SELECT series_key, "Date", {", ".join(_LCOLS)} FROM feat WHERE {" AND ".join(c + " IS NOT NULL" for c in _LCOLS)}),
+ls AS (SELECT *, CASE WHEN "Date" <= max("Date") OVER (PARTITION BY series_key) - 180 THEN 'train' ELSE 'test' END AS split
+       FROM l),
+mm AS (SELECT series_key, """ + ", ".join(
+        f"min({c}) AS {c}_min, CASE WHEN max({c}) - min({c}) = 0 THEN 1.0::DOUBLE ELSE max({c}) - min({c}) END AS {c}_range"
+        for c in _LCOLS) + """ FROM ls WHERE split = 'train' GROUP BY 1),
+sc AS (SELECT ls.series_key, ls."Date", ls.split, """ + ", ".join(
+        f"(ls.{c} - mm.{c}_min) / mm.{c}_range AS {c}_s" for c in _LCOLS) + """
+       FROM ls LEFT JOIN mm ON ls.series_key = mm.series_key),
+b AS (SELECT *, row_number() OVER (PARTITION BY series_key, split ORDER BY "Date") AS rn FROM sc)""")

@@ -86,3 +86,5 @@ QUERIES.update({
     "two_stage_stratified": c.two_stage_stratified,
     "ensemble_fixed_threshold": c.ensemble_fixed_threshold,
 })
+
+QUERIES["scaled_sequences"] = c.scaled_sequences
