@@ -26,6 +26,28 @@ def chronological_split(df: DataFrame, train_frac: float = 0.70, val_end: float
                                 .otherwise(F.lit("test")))
 
 
+def global_chronological_split(df: DataFrame, train_frac: float = 0.70, val_end: float = 0.85,
+                              key="series_key", date="Date", out: str = "split") -> DataFrame:
+    """OP-64, global form: all rows ordered by (date, key), first
+    floor(n*0.70) train, up to floor(n*0.85) validation, rest test.
+
+    No global sort: rows are counted per date (a table bounded by the
+    calendar), running sums over that table give each date's offset, and a
+    row's position is its date offset plus its rank among the rows of that
+    date (a window partitioned by date)."""
+    per_day = df.groupBy(date).agg(F.count(F.lit(1)).alias("__c"))
+    run = Window.orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_day.select(date, F.coalesce(F.sum("__c").over(run), F.lit(0)).alias("__off"),
+                             F.sum("__c").over(Window.partitionBy()).alias("__n"))
+    pos = F.col("__off") + F.row_number().over(Window.partitionBy(date).orderBy(key))
+    j = df.join(offsets, date, "inner").withColumn("__pos", pos)
+    n = F.col("__n").cast("double")
+    return (j.withColumn(out, F.when(F.col("__pos") <= F.floor(n * F.lit(float(train_frac))), F.lit("train"))
+                               .when(F.col("__pos") <= F.floor(n * F.lit(float(val_end))), F.lit("val"))
+                               .otherwise(F.lit("test")))
+             .drop("__off", "__n", "__pos"))
+
+
 def cutoff_split(df: DataFrame, days: int = 180, key="series_key", date="Date",
                  out: str = "split") -> DataFrame:
     """OP-65: dates after (series max - ``days``) are test (strict >)."""

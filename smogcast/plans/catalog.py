@@ -597,3 +597,9 @@ def scaled_sequences(spark, sf_dir):
     return finish(out.select("series_key", "split", "Date", (F.col("pos") + 1).cast("int").alias("step"),
                              F.col("target").alias("target_scaled"),
                              *[F.col("x")[i].alias(f"f_{c}") for i, c in enumerate(LSTM_FEATURES)]))
+
+
+def split_global(spark, sf_dir):
+    """OP-64 global form: one 70/15/15 cut over all rows ordered by date."""
+    t = splits.global_chronological_split(training_table(spark, sf_dir))
+    return t.select("series_key", "Date", "split")

@@ -576,3 +576,9 @@ sc AS (SELECT ls.series_key, ls."Date", ls.split, """ + ", ".join(
         f"(ls.{c} - mm.{c}_min) / mm.{c}_range AS {c}_s" for c in _LCOLS) + """
        FROM ls LEFT JOIN mm ON ls.series_key = mm.series_key),
 b AS (SELECT *, row_number() OVER (PARTITION BY series_key, split ORDER BY "Date") AS rn FROM sc)""")
+
+SQL["split_global"] = with_obs(
+    'SELECT series_key, "Date", CASE WHEN pos <= floor(CAST(n AS DOUBLE) * 0.7::DOUBLE) THEN \'train\' '
+    "WHEN pos <= floor(CAST(n AS DOUBLE) * 0.85::DOUBLE) THEN 'val' ELSE 'test' END AS split "
+    'FROM (SELECT series_key, "Date", row_number() OVER (ORDER BY "Date", series_key) AS pos, '
+    "count(*) OVER () AS n FROM train)", train_cte())

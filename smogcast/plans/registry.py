@@ -88,3 +88,4 @@ QUERIES.update({
 })
 
 QUERIES["scaled_sequences"] = c.scaled_sequences
+QUERIES["split_global"] = c.split_global
