@@ -6,11 +6,12 @@ log y = intercept + slope*t + sum_j d_j*max(0, t - s_j)      (piecewise trend)
         + event flag + standardised regressors.
 Fitted as ridge regression from per-series normal equations:
 
-1. every task computes partial X'X, X'y, y'y, n for the series it sees
-   (``mapInPandas``, numpy on an Arrow batch);
+1. rows are hash-partitioned by (series, 16-way salt), so even a series
+   holding a third of all rows is spread over 16 tasks; every task computes
+   partial X'X, X'y, y'y, n for the series it holds (``mapInPandas``, numpy
+   on an Arrow batch);
 2. the partial matrices are summed element-wise by a Spark aggregate keyed
-   by (series, cell) with map-side combine, so a series holding a third of all
-   rows never gathers its rows anywhere;
+   by (series, cell) with map-side combine;
 3. each series' (p^2 + p + 2)-cell total is solved with numpy
    (``applyInPandas``; the group size is fixed by p, not by the data).
 
@@ -94,7 +95,7 @@ class SeasonalForecaster:
         p = self.n_features
         stats = self._stats(df)
         d = self.design(df.where(F.col(self.value).isNotNull() & (F.col(self.value) > 0)), stats)
-        d = d.select(F.col(self.key).alias("k"), "__x", F.log(F.col(self.value)).alias("__y"))
+        d = d.select(F.col(self.key).cast("string").alias("k"), "__x", F.log(F.col(self.value)).alias("__y"))
         # Hash-partition by (series, salt of the date) and keep each series'
         # rows contiguous: a series is spread over at most `salts` tasks (a
         # hot series is never gathered into one), while each Arrow batch
@@ -132,7 +133,7 @@ class SeasonalForecaster:
                                  "n": [int(n)]})
 
         coef = totals.groupBy("k").applyInPandas(solve, "k string, beta array<double>, sigma double, n long")
-        coef = coef.withColumnRenamed("k", self.key)
+        coef = coef.withColumnRenamed("k", "__kstr")   # key carried as text through Arrow
         return SeasonalForecastModel(self, stats, coef)
 
 
@@ -144,7 +145,9 @@ class SeasonalForecastModel:
 
     def transform(self, df: DataFrame, clip_range: tuple = (0.0, 500.0)) -> DataFrame:
         s = self.spec
-        d = s.design(df, self.stats).join(self.coef.select(s.key, "beta", "sigma"), s.key, "inner")
+        coef = self.coef.select("__kstr", "beta", "sigma")
+        d = s.design(df, self.stats)
+        d = d.join(coef, F.col(s.key).cast("string") == F.col("__kstr"), "inner").drop("__kstr")
         dot = F.aggregate(F.zip_with("__x", "beta", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
         n_trend = 2 + s.n_changepoints
         trend = F.aggregate(F.slice(F.zip_with("__x", "beta", lambda a, b: a * b), 1, n_trend),
