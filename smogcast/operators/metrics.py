@@ -50,6 +50,8 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str,
                          F.col(predicted).cast("int").alias("predicted"))
                 .agg(F.count(F.lit(1)).alias("n")))
     grid = label_grid(df.sparkSession, n_classes)
+    # counts has one row per (actual, predicted) pair of category codes:
+    # at most n_classes^2 rows whatever the input size, so broadcasting is safe.
     return (grid.join(F.broadcast(counts), ["actual", "predicted"], "left")
                 .select("actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 

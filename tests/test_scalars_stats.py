@@ -30,6 +30,13 @@ def test_safe_number_and_clip(spark):
     assert [r[0] for r in df2.select(clip("x", 0.0, 500.0)).collect()] == [None, 500.0, 0.0]
 
 
+def test_trend_label_and_signed_text(spark):
+    from smogcast.functions.scalars import signed_text, trend_label
+    df = spark.createDataFrame([(-1.25,), (0.0,), (2.5,)], "s double")
+    got = [(r[0], r[1]) for r in df.select(trend_label("s"), signed_text("s")).collect()]
+    assert got == [("Improving Trend", "-1.25"), ("Worsening Trend", "0.0"), ("Worsening Trend", "+2.5")]
+
+
 def test_mode_lowest_tie_and_slope_one_year(spark):
     d = days(4, start=dt.date(2020, 3, 1))
     df = spark.createDataFrame([("A", x, v) for x, v in zip(d, [3.0, 1.0, 3.0, 1.0])],
