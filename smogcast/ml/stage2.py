@@ -76,6 +76,15 @@ class OneVsRestBoost:
         cur = cur.withColumn(out, normalise(raw))
         return cur.drop(*[x for x in cur.columns if x.startswith("__")], "features")
 
+    def save(self, path: str) -> None:
+        for c, m in self.models.items():
+            m.write().overwrite().save(f"{path}/class_{c}")
+
+    @classmethod
+    def load(cls, path: str, classes: list[int], features: list[str]) -> "OneVsRestBoost":
+        from pyspark.ml.classification import GBTClassificationModel
+        return cls({c: GBTClassificationModel.load(f"{path}/class_{c}") for c in classes}, features)
+
 
 def normalise(arr: Column, n: int = N_CLASSES) -> Column:
     """Row-normalise a probability array; all-zero rows become uniform."""

@@ -23,8 +23,8 @@ from smogcast.functions.categories import CATEGORY_NAMES
 from smogcast.functions.scalars import exp_target, log_target
 from smogcast.ml.asymmetric import AsymmetricBoostModel, fit_asymmetric_boost
 from smogcast.ml.stage1 import assembler, fit_gbt, fit_ridge, voting_column
-from smogcast.ml.stage2 import (STAGE2_EXTRA, IsotonicCalibrator, add_stage2_features, fit_forest,
-                                padded_probs)
+from smogcast.ml.stage2 import (STAGE2_EXTRA, IsotonicCalibrator, OneVsRestBoost, add_stage2_features,
+                                fit_forest, padded_probs)
 from smogcast.operators import metrics, splits
 from smogcast.operators import thresholds as th
 from smogcast.operators import weights as wts
@@ -44,6 +44,8 @@ class TrainConfig:
     ridge_alpha: float = 10.0
     forest_trees: int = 30
     forest_depth: int = 6
+    classifier: str = "forest"               # or "gbt_ovr": one weighted boosted model per class
+    ovr_rounds: int = 20
     refit_on_val: bool = False
     seed: int = 42
     # variants of the reference's experiments
@@ -58,6 +60,14 @@ class TrainConfig:
     calibration_bins: int | None = None      # bound the isotonic fit's driver-side input
 
 
+def stage2_probs(model, df: DataFrame) -> DataFrame:
+    """Class probabilities (array of 6) from either stage-2 model kind."""
+    if isinstance(model, OneVsRestBoost):
+        return model.transform(df, "probs")
+    cur = model.transform(df).withColumn("probs", padded_probs("probability"))
+    return cur.drop("features", "rawPrediction", "probability", "prediction")
+
+
 @dataclass
 class TwoStageModel:
     gbt: PipelineModel
@@ -80,8 +90,7 @@ class TwoStageModel:
         """Adds Predicted_AQI, alarms, probs, cal_probs and ``predicted``
         (category code after the boundary thresholds)."""
         cur = add_stage2_features(self.predict_stage1(df))
-        cur = self.forest.transform(cur).withColumn("probs", padded_probs("probability"))
-        cur = cur.drop("features", "rawPrediction", "probability", "prediction")
+        cur = stage2_probs(self.forest, cur)
         if self.calibrator is not None:
             cur = self.calibrator.transform(cur, "probs", "cal_probs")
         else:
@@ -93,13 +102,17 @@ class TwoStageModel:
         self.gbt.write().overwrite().save(f"{path}/stage1_gbt")
         self.ridge.write().overwrite().save(f"{path}/stage1_ridge")
         self.asym.save(f"{path}/stage1_asym", spark)
-        self.forest.write().overwrite().save(f"{path}/stage2_forest")
+        if isinstance(self.forest, OneVsRestBoost):
+            self.forest.save(f"{path}/stage2_ovr")
+        else:
+            self.forest.write().overwrite().save(f"{path}/stage2_forest")
         if self.calibrator is not None:
             self.calibrator.save(f"{path}/stage2_calibration")
         spark.createDataFrame([(i, lo, hi, float(t)) for i, (lo, hi, t) in enumerate(self.thresholds)],
                               "ord int, low int, high int, t double").write.mode("overwrite").parquet(
             f"{path}/thresholds")
-        meta = {"features": self.features, "calibrated": self.calibrator is not None}
+        meta = {"features": self.features, "calibrated": self.calibrator is not None,
+                "ovr_classes": sorted(self.forest.models) if isinstance(self.forest, OneVsRestBoost) else None}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode(
             "overwrite").json(f"{path}/feature_columns")
 
@@ -108,9 +121,13 @@ class TwoStageModel:
         thr = th.collect_thresholds(spark.read.parquet(f"{path}/thresholds"))
         meta = json.loads(spark.read.json(f"{path}/feature_columns").first()["meta"])
         cal = IsotonicCalibrator.load(f"{path}/stage2_calibration") if meta["calibrated"] else None
+        if meta.get("ovr_classes") is not None:
+            stage2 = OneVsRestBoost.load(f"{path}/stage2_ovr", meta["ovr_classes"], meta["features"] + STAGE2_EXTRA)
+        else:
+            stage2 = PipelineModel.load(f"{path}/stage2_forest")
         return cls(PipelineModel.load(f"{path}/stage1_gbt"), PipelineModel.load(f"{path}/stage1_ridge"),
                    AsymmetricBoostModel.load(f"{path}/stage1_asym", spark),
-                   PipelineModel.load(f"{path}/stage2_forest"), cal, thr, meta["features"])
+                   stage2, cal, thr, meta["features"])
 
 
 @dataclass
@@ -146,10 +163,13 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
     s2_features = list(FEATURES) + STAGE2_EXTRA
     tr2 = s1.where(F.col("split") == "train")
     cw = wts.class_weights(tr2, LABEL)
-    forest = fit_forest(wts.attach_class_weight(tr2, LABEL, cw, which=cfg.weight_kind), s2_features, LABEL,
-                        "weight", cfg.forest_trees, cfg.forest_depth, cfg.seed)
-    probs = forest.transform(s1).withColumn("probs", padded_probs("probability")).drop(
-        "features", "rawPrediction", "probability", "prediction")
+    weighted = wts.attach_class_weight(tr2, LABEL, cw, which=cfg.weight_kind)
+    if cfg.classifier == "gbt_ovr":
+        forest = OneVsRestBoost.fit(weighted, s2_features, LABEL, "weight", max_iter=cfg.ovr_rounds,
+                                    seed=cfg.seed)
+    else:
+        forest = fit_forest(weighted, s2_features, LABEL, "weight", cfg.forest_trees, cfg.forest_depth, cfg.seed)
+    probs = stage2_probs(forest, s1)
     if cfg.calibrate:
         calibrator = IsotonicCalibrator.fit(probs.where(F.col("split") == "val"), "probs", LABEL,
                                             bins=cfg.calibration_bins)
