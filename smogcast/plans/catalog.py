@@ -451,6 +451,19 @@ def stage2_classifier(spark, sf_dir):
                     argmax_index("probs").alias("argmax"))
 
 
+def stage2_boosted(spark, sf_dir):
+    """OP-74 boosted variant: one weighted binary GBT per class present,
+    probabilities normalised; test-part probabilities and argmax."""
+    from smogcast.ml.stage2 import STAGE2_EXTRA, OneVsRestBoost, add_stage2_features
+    f = add_stage2_features(_fit_frame(spark, sf_dir).withColumn("Predicted_AQI", F.col("AQI_ewma_7")))
+    tr = f.where(F.col("split") == "train")
+    w = wts.attach_class_weight(tr, LABEL, wts.class_weights(tr, LABEL))
+    m = OneVsRestBoost.fit(w, FEATURES + STAGE2_EXTRA, LABEL, "weight", max_iter=10)
+    p = m.transform(f.where(F.col("split") == "test"), "probs")
+    return p.select("series_key", "Date", LABEL, *[F.col("probs")[i].alias(f"p{i}") for i in range(6)],
+                    argmax_index("probs").alias("argmax"))
+
+
 def isotonic_calibration(spark, sf_dir):
     from smogcast.ml.stage2 import IsotonicCalibrator
     _, p = _forest_probs(spark, sf_dir)

@@ -89,3 +89,4 @@ QUERIES.update({
 
 QUERIES["scaled_sequences"] = c.scaled_sequences
 QUERIES["split_global"] = c.split_global
+QUERIES["stage2_boosted"] = c.stage2_boosted
