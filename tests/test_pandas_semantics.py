@@ -86,6 +86,49 @@ def test_month_stats_and_slope_match_pandas(spark):
         assert slopes[(k, m)] == pytest.approx(exp, rel=1e-6, abs=1e-9)
 
 
+def test_climatology_requests_match_per_request_loop(spark):
+    """One series: the per-request pandas loop (filter month+day, else month,
+    else everything; mean; NULL -> global mean -> 0; trend offsets 7..1 with
+    month+day, else month, else 150, rounded to 2) against the join-based plan."""
+    import datetime as dt
+    from smogcast.operators import climatology
+    from smogcast.plans.features import engineer_features
+    from smogcast.sources import binding
+    cols = ["AQI_lag_1", "AQI_roll_std_14", "temp", "is_spike"]
+    obs = binding.observations(spark, "/root/testdata/sf0.001").where(F.col("series_key") == "1-URGENT")
+    feat = engineer_features(obs, training=False).select("series_key", "Date", "AQI", *cols)
+    pdf = feat.toPandas()
+    pdf["Date"] = pd.to_datetime(pdf["Date"])
+    reqs = [dt.date(2030, 2, 29 - 1), dt.date(2032, 2, 29), dt.date(2031, 7, 4), dt.date(1996, 1, 1),
+            dt.date(2040, 12, 31), dt.date(2035, 3, 1)]
+    rq = spark.createDataFrame([(i, "1-URGENT", d) for i, d in enumerate(reqs)],
+                               "request_id int, series_key string, date date")
+    means = climatology.calendar_means(feat, cols + ["AQI"])
+    got = {r.request_id: r for r in climatology.climatology_lookup(rq, means, cols).collect()}
+    trend = {}
+    for r in climatology.climatology_trend(rq, means).collect():
+        trend.setdefault(r.request_id, {})[r.offset] = r.trend_aqi
+    gmean = pdf[cols].mean()
+    for i, d in enumerate(reqs):
+        ts_ = pd.Timestamp(d)
+        h = pdf[(pdf.Date.dt.month == ts_.month) & (pdf.Date.dt.day == ts_.day)]
+        if h.empty:
+            h = pdf[pdf.Date.dt.month == ts_.month]
+        if h.empty:
+            h = pdf
+        x = h[cols].mean().fillna(gmean).fillna(0.0)
+        for c in cols:
+            assert got[i][c] == pytest.approx(float(x[c]), rel=1e-12, abs=1e-12), (d, c)
+        for off in range(7, 0, -1):
+            p = ts_ - pd.Timedelta(days=off)
+            ph = pdf[(pdf.Date.dt.month == p.month) & (pdf.Date.dt.day == p.day)]
+            if ph.empty:
+                ph = pdf[pdf.Date.dt.month == p.month]
+            v = ph["AQI"].mean() if not ph.empty else 150.0
+            v = 150.0 if pd.isna(v) else v
+            assert trend[i][off] == pytest.approx(round(v, 2), abs=1e-9), (d, off)
+
+
 @pytest.mark.parametrize("seed", [5, 6])
 def test_interpolate_and_fills_match_pandas(spark, seed):
     df, exp = _frame(spark, seed, n=80, null_rate=0.35)
