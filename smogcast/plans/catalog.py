@@ -364,8 +364,10 @@ def threshold_tune_single(spark, sf_dir):
 def threshold_apply(spark, sf_dir):
     """Thresholds tuned on the validation part (four rows, collected) applied
     in order to the test part."""
-    tuned = th.collect_thresholds(_tuned(spark, sf_dir))
-    test = _prob_table(spark, sf_dir).where(F.col("split") == "test")
+    # tuning and application read the same probability table: compute it once
+    probs = _prob_table(spark, sf_dir).transform(materialize)
+    tuned = th.collect_thresholds(th.tune_thresholds(probs.where(F.col("split") == "val"), "probs", LABEL))
+    test = probs.where(F.col("split") == "test")
     out = th.apply_thresholds(test.withColumn("argmax", argmax_index("probs")), "probs", tuned)
     return out.select("series_key", "Date", "argmax", "predicted")
 
