@@ -22,8 +22,8 @@ from smogcast.session import build_session, ensure_checkpoint_dir
 
 
 def _obs(spark, args):
-    from smogcast.sources.observations import read_observations
-    return read_observations(spark, args.obs, fmt=args.obs_format)
+    from smogcast.sources.observations import assert_unique_days, read_observations
+    return assert_unique_days(read_observations(spark, args.obs, fmt=args.obs_format))
 
 
 def cmd_features(spark, args):

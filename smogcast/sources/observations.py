@@ -65,3 +65,15 @@ def duplicate_days(df: DataFrame, key: str = "series_key", date: str = "Date") -
     """(key, date) pairs that occur more than once. Sources must be unique on
     them: the reference silently takes the first of duplicates; we reject."""
     return df.groupBy(key, date).count().where(F.col("count") > 1)
+
+
+def assert_unique_days(df: DataFrame, key: str = "series_key", date: str = "Date") -> DataFrame:
+    """Raise if any (key, date) repeats or the date is unparseable: row-based
+    windows assume one row per series and day. One aggregate; at most five
+    offending keys are brought back for the message."""
+    bad = duplicate_days(df, key, date).limit(5).collect()
+    if bad:
+        raise ValueError(f"duplicate ({key}, {date}) rows, e.g. {[tuple(r)[:2] for r in bad]}")
+    if df.where(F.col(date).isNull()).limit(1).count():
+        raise ValueError(f"rows with a missing or unparseable {date}")
+    return df

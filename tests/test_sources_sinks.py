@@ -25,6 +25,14 @@ def test_read_observations_csv(spark):
     assert rows["None"].AQI is None                  # NaN sanitised to NULL, bad date -> NULL
     assert rows["2020-01-02"].AQI == 55.5
     assert duplicate_days(df).count() == 0
+    import pytest
+    from smogcast.sources.observations import assert_unique_days
+    with pytest.raises(ValueError, match="unparseable"):
+        assert_unique_days(df)
+    ok = df.where(F.col("Date").isNotNull())
+    assert assert_unique_days(ok) is ok
+    with pytest.raises(ValueError, match="duplicate"):
+        assert_unique_days(ok.unionByName(ok))
 
 
 def test_forecast_csv_and_response_json(spark):
