@@ -112,14 +112,19 @@ class IsotonicCalibrator:
         models = {}
         # n fits read the same two columns: materialise them once.
         base = df.select(F.col(probs).alias("__p"), F.col(label).cast("int").alias("__y")).transform(materialize)
-        for c in range(n):
+        def fit_one(c):
             d = base.select(F.element_at("__p", c + 1).alias("__x"),
                             (F.col("__y") == c).cast("double").alias("__t"), F.lit(1.0).alias("__w"))
             if bins:
                 d = (d.withColumn("__x", F.round(F.col("__x") * F.lit(float(bins))) / F.lit(float(bins)))
                       .groupBy("__x").agg(F.avg("__t").alias("__t"), F.sum("__w").alias("__w")))
-            models[c] = IsotonicRegression(featuresCol="__x", labelCol="__t", weightCol="__w",
-                                           predictionCol="__cal", isotonic=True).fit(d)
+            return IsotonicRegression(featuresCol="__x", labelCol="__t", weightCol="__w",
+                                      predictionCol="__cal", isotonic=True).fit(d)
+
+        # independent per-class fits: submitted concurrently
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=n) as pool:
+            models = dict(zip(range(n), pool.map(fit_one, range(n))))
         return cls(models)
 
     def transform(self, df: DataFrame, probs: str, out: str = "cal_probs") -> DataFrame:

@@ -153,10 +153,16 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
     train = data.where(F.col("split") == "train")
     fit1 = data.where(F.col("split").isin("train", "val")) if cfg.refit_on_val else train
 
-    gbt = fit_gbt(fit1, FEATURES, "__ylog", cfg.gbt_rounds, cfg.gbt_depth, cfg.gbt_step, seed=cfg.seed)
-    ridge = fit_ridge(fit1, FEATURES, "__ylog", cfg.ridge_alpha)
-    asym = fit_asymmetric_boost(assembler(FEATURES).transform(fit1), "__ylog", rounds=cfg.asym_rounds,
-                                step=cfg.asym_step, max_depth=cfg.asym_depth, seed=cfg.seed)
+    # The three members are independent: submit their jobs concurrently (the
+    # scheduler interleaves their tasks, as CrossValidator's parallelism does).
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_gbt = pool.submit(fit_gbt, fit1, FEATURES, "__ylog", cfg.gbt_rounds, cfg.gbt_depth, cfg.gbt_step,
+                            seed=cfg.seed)
+        f_ridge = pool.submit(fit_ridge, fit1, FEATURES, "__ylog", cfg.ridge_alpha)
+        f_asym = pool.submit(fit_asymmetric_boost, assembler(FEATURES).transform(fit1), "__ylog",
+                             rounds=cfg.asym_rounds, step=cfg.asym_step, max_depth=cfg.asym_depth, seed=cfg.seed)
+        gbt, ridge, asym = f_gbt.result(), f_ridge.result(), f_asym.result()
     partial = TwoStageModel(gbt, ridge, asym, None, None, [], list(FEATURES))
     s1 = add_stage2_features(partial.predict_stage1(data)).transform(materialize)
 
