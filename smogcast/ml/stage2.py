@@ -55,12 +55,17 @@ class OneVsRestBoost:
         if classes is None:   # at most N_CLASSES values
             classes = sorted(int(r[0]) for r in df.select(label).distinct().collect())
         a = assembler(features).transform(df)
-        models = {}
-        for c in classes:
+
+        def fit_one(c):
             lab = f"__is_{c}"
             gbt = GBTClassifier(featuresCol="features", labelCol=lab, weightCol=weight, maxIter=max_iter,
                                 maxDepth=depth, seed=seed, stepSize=0.1)
-            models[c] = gbt.fit(a.withColumn(lab, (F.col(label) == c).cast("double")))
+            return gbt.fit(a.withColumn(lab, (F.col(label) == c).cast("double")))
+
+        # independent per-class fits: submitted concurrently
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=max(1, len(classes))) as pool:
+            models = dict(zip(classes, pool.map(fit_one, classes)))
         return cls(models, features)
 
     def transform(self, df: DataFrame, out: str = "probs") -> DataFrame:
