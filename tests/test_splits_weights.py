@@ -15,6 +15,15 @@ def test_chronological_split_floor_in_double(spark):
     assert c == {"train": 62, "val": 14, "test": 14}
 
 
+def test_global_split_orders_by_date_then_key(spark):
+    d = days(5)
+    rows = [(k, x, 1.0) for x in d for k in ("B", "A")]
+    df = spark.createDataFrame(rows, "series_key string, Date date, AQI double")
+    got = {(r.series_key, r.Date): r.split for r in splits.global_chronological_split(df).collect()}
+    order = [(k, x) for x in d for k in ("A", "B")]         # 10 rows: 7 train, 1 val, 2 test
+    assert [got[o] for o in order] == ["train"] * 7 + ["val"] + ["test"] * 2
+
+
 def test_split_parts_disjoint_and_ordered(spark):
     from smogcast.plans import catalog
     t = catalog.split_table(spark, "/root/testdata/sf0.001")
