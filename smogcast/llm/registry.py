@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from smogcast.llm.brown import op8_brown
 from smogcast.llm.host_rules import op5_host_rules
 from smogcast.llm.mixing import op9_mixing
+from smogcast.llm.nbsvm import op4_nbsvm
+from smogcast.llm.packing import op6_packing
 from smogcast.llm.simhash_golay import op7_simhash_golay
 
 QUERIES = {
+    "op4_nbsvm": op4_nbsvm,
     "op5_host_rules": op5_host_rules,
+    "op6_packing": op6_packing,
     "op7_simhash_golay": op7_simhash_golay,
+    "op8_brown": op8_brown,
     "op9_mixing": op9_mixing,
 }
 
