@@ -8,6 +8,7 @@ from smogcast.llm.mixing import op9_mixing
 from smogcast.llm.nbsvm import op4_nbsvm
 from smogcast.llm.packing import op6_packing
 from smogcast.llm.simhash_golay import op7_simhash_golay
+from smogcast.llm.vector_graph import op10_vector_graph
 
 QUERIES = {
     "op4_nbsvm": op4_nbsvm,
@@ -16,6 +17,7 @@ QUERIES = {
     "op7_simhash_golay": op7_simhash_golay,
     "op8_brown": op8_brown,
     "op9_mixing": op9_mixing,
+    "op10_vector_graph": op10_vector_graph,
 }
 
 SQL: dict[str, str] = {}
