@@ -7,12 +7,14 @@ from smogcast.llm.host_rules import op5_host_rules
 from smogcast.llm.mixing import op9_mixing
 from smogcast.llm.nbsvm import op4_nbsvm
 from smogcast.llm.packing import op6_packing
+from smogcast.llm.pii_crf import op2_pii_crf
 from smogcast.llm.secrets_cnn import op1_secrets_cnn
 from smogcast.llm.simhash_golay import op7_simhash_golay
 from smogcast.llm.vector_graph import op10_vector_graph
 
 QUERIES = {
     "op1_secrets_cnn": op1_secrets_cnn,
+    "op2_pii_crf": op2_pii_crf,
     "op4_nbsvm": op4_nbsvm,
     "op5_host_rules": op5_host_rules,
     "op6_packing": op6_packing,
