@@ -10,11 +10,13 @@ from smogcast.llm.packing import op6_packing
 from smogcast.llm.pii_crf import op2_pii_crf
 from smogcast.llm.secrets_cnn import op1_secrets_cnn
 from smogcast.llm.simhash_golay import op7_simhash_golay
+from smogcast.llm.suffix_dedup import op3_suffix_dedup
 from smogcast.llm.vector_graph import op10_vector_graph
 
 QUERIES = {
     "op1_secrets_cnn": op1_secrets_cnn,
     "op2_pii_crf": op2_pii_crf,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_nbsvm": op4_nbsvm,
     "op5_host_rules": op5_host_rules,
     "op6_packing": op6_packing,
