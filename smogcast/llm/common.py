@@ -45,6 +45,16 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_names(docs: DataFrame, *keep: str) -> DataFrame:
+    """``docs`` with every column but ``keep`` renamed by position, so that helper columns clash with none."""
+    return docs.toDF(*[c if c in keep else f"_x{i}" for i, c in enumerate(docs.columns)])
+
+
+def numbered(docs: DataFrame, *keep: str) -> DataFrame:
+    """``own_names`` with a number ``_row`` of each row, written down so that it stays."""
+    return stored(own_names(docs, *keep).withColumn("_row", F.monotonically_increasing_id()))
+
+
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first())
 

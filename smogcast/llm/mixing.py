@@ -67,10 +67,14 @@ def water_fill(sources: DataFrame, share: float = SHARE, epochs: float = EPOCHS)
         s = common.stored(s.withColumn("clamped", F.col("clamped") | (F.col("target") > F.col("cap"))).drop("target"))
 
 
-def taken(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, seed: int = SEED,
+def taken(docs: DataFrame, *keep: str, share: float = SHARE, epochs: float = EPOCHS, seed: int = SEED,
           weights: DataFrame | None = None) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken for every row; ``weights`` (source, weight) may be given."""
-    d = common.stored(sizes(docs, "doc_id", "source").withColumn("_h", F.xxhash64("doc_id", F.lit(seed)))
+    """doc_id, source, ``keep``, size, source_size, target and taken words of every row.
+
+    ``weights`` (source, weight) may be given. ``whole`` repetitions and ``part``
+    words of a last one add up to ``taken``.
+    """
+    d = common.stored(sizes(docs, "doc_id", "source", *keep).withColumn("_h", F.xxhash64("doc_id", F.lit(seed)))
                       .withColumn("_b", F.pmod("_h", F.lit(BUCKETS)).cast("int")))
     hist = common.stored(d.groupBy("source", "_b").agg(F.sum("size").alias("_n")))
     per = hist.groupBy("source").agg(F.sum("_n").alias("source_size"))
@@ -97,7 +101,7 @@ def taken(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, seed: i
     run = Window.partitionBy("source").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = d.where(F.col("_b") == F.col("_end")).withColumn("_c", F.coalesce(F.sum("size").over(run), F.lit(0)))
     edge = edge.withColumn("part", F.greatest(F.lit(0), F.least("size", F.col("_room") - F.col("_c")))).drop("_c")
-    return inside.unionByName(edge).select("doc_id", "source", "size", "source_size", "target", "whole", "part",
+    return inside.unionByName(edge).select("doc_id", "source", *keep, "size", "source_size", "target", "whole", "part",
                                            (F.col("whole") * F.col("size") + F.col("part")).alias("taken"))
 
 
@@ -119,21 +123,13 @@ def _first_words(batches):
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed rows: whole copies of every document, then fractional ones cut after their taken words."""
-    keyed = docs.withColumn("_key", F.xxhash64(*[F.col(c) for c in docs.columns]))
-    plan = taken(docs, **options).groupBy("doc_id", "source", "size").agg(
-        F.first("whole").alias("_whole"), F.sum("part").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
-    sized = sizes(keyed, "doc_id", "source", *[c for c in keyed.columns if c not in ("doc_id", "source")])
-    plan = plan.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"),
-                       "_whole", "_sum", "_rows")
-    rows = sized.join(plan, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
-                      & (F.col("size") == F.col("_z")))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("_key")) - 1
-    rows = rows.withColumn("_n", F.when(F.col("_rows") > 1, nth).otherwise(0))
-    part = F.greatest(F.lit(0), F.least("size", F.col("_sum") - F.col("_n") * F.col("size")))
-    copies = F.concat(F.array_repeat(F.lit(-1), F.col("_whole").cast("int")),
-                      F.when(part > 0, F.array(part.cast("int"))).otherwise(F.array().cast("array<int>")))
-    out = rows.select(*docs.columns, F.explode(copies).alias("_part"))
-    return out.mapInArrow(_first_words, docs.schema)
+    d = common.numbered(docs, "doc_id", "source", "text")
+    plan = taken(d, "_row", **options).select("_row", "whole", F.col("part").cast("int").alias("_last"))
+    copies = F.concat(F.array_repeat(F.lit(-1), F.col("whole").cast("int")),
+                      F.when(F.col("_last") > 0, F.array("_last")).otherwise(F.array().cast("array<int>")))
+    names = [c for c in d.columns if c != "_row"]
+    rows = d.join(plan, "_row").select(*names, F.explode(copies).alias("_part"))
+    return rows.mapInArrow(_first_words, rows.drop("_part").schema).toDF(*docs.columns)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -185,6 +185,14 @@ def scored(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
                                                     + [T.StructField("score", T.DoubleType())]))
 
 
+def accepted(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
+    """The rows that score ``limit`` or more, with all their columns."""
+    def run(batches):
+        for rows, raw, at in text.pieces(batches):
+            yield rows.filter(pa.array([model.score(features(raw[at[i]:at[i + 1]])) >= limit for i in range(rows.num_rows)]))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op4_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     model = train(docs, common.table(spark, sf_dir, "labels"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from smogcast.llm.brown import op8_brown
 from smogcast.llm.host_rules import op5_host_rules
 from smogcast.llm.mixing import op9_mixing
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_brown": op8_brown,
     "op9_mixing": op9_mixing,
     "op10_vector_graph": op10_vector_graph,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {}

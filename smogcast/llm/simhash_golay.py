@@ -65,13 +65,15 @@ def _fingerprints(shingle):
     def run(batches):
         for batch in batches:
             out = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            yield batch.drop_columns(["text"]).append_column("fp", pa.array(out.view(np.int64)))
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    d = docs.select("doc_id", "text")
-    return d.mapInArrow(_fingerprints(shingle), T.StructType([d.schema["doc_id"], T.StructField("fp", T.LongType())]))
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *keep: str) -> DataFrame:
+    """doc_id, ``keep`` and the fingerprint of every row, its bits read as a signed number."""
+    d = docs.select("doc_id", *keep, "text")
+    return d.mapInArrow(_fingerprints(shingle), T.StructType(
+        [f for f in d.schema if f.name != "text"] + [T.StructField("fp", T.LongType())]))
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -164,17 +166,30 @@ def links(fps: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
     return pairs.union(ties).distinct()
 
 
+def _groups(each: DataFrame, bits: int) -> DataFrame:
+    """(fp, group, component_id) for (fp, first): linked fingerprints and the smallest id among them."""
+    comp = common.components(links(each, bits))
+    low = common.stored(each.join(comp.withColumnRenamed("id", "fp"), "fp", "left").select(
+        "fp", F.coalesce("component_id", "fp").alias("group"), "first"))
+    names = low.groupBy("group").agg(F.min("first").alias("component_id"))
+    return common.stored(low.drop("first").join(names, "group"))
+
+
 def grouped(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """doc_id, fp and component_id of every row."""
     d = common.stored(fingerprints(docs, shingle))
     each = common.stored(d.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    comp = common.components(links(each, bits))
-    low = (each.join(comp.withColumnRenamed("id", "fp"), "fp", "left")
-           .withColumn("comp", F.coalesce("component_id", "fp")).select("fp", "comp", "first"))
-    low = common.stored(low)
-    names = low.groupBy("comp").agg(F.min("first").alias("component_id"))
-    of = common.stored(low.select("fp", "comp").join(names, "comp").select("fp", "component_id"))
-    return d.join(of, "fp")
+    return d.join(_groups(each, bits).drop("group"), "fp")
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """One row of each group of linked rows: one of its smallest doc_id."""
+    d = common.numbered(docs, "doc_id", "text")
+    f = common.stored(fingerprints(d, shingle, "_row"))
+    each = common.stored(f.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    one = f.join(_groups(each, bits), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
+        "group").agg(F.min("_row").alias("_row"))
+    return d.join(common.stored(one.select("_row")), "_row", "left_semi").drop("_row").toDF(*docs.columns)
 
 
 def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
