@@ -158,7 +158,7 @@ def exchange(pairs: np.ndarray, movable: int, classes: int = CLASSES, rounds: in
             grid[:, old] -= col
             grid[old, old] -= own
             gains = np.empty(classes)
-            out, inn, each = grid[:classes].sum(1), grid[:, :classes].sum(0), np.arange(classes)
+            out, inn, each = grid[:classes].sum(1) + col[:classes], grid[:, :classes].sum(0) + row[:classes], np.arange(classes)
             a, b = grid[:classes], grid[:, :classes]
             new_a, new_b = a + row, b + col[:, None]
             corner = a[each, each]

@@ -1,12 +1,13 @@
 """Embedding near-duplicates by a robust-pruned flat graph.
 
-Equal vectors of a label are one node. Every (label, dimension) draws pivots from
-its nodes, about one per ``SHARD`` nodes and ``PIVOTS`` in all at a time, and a node belongs to the shards of its
-``overlap`` nearest pivots; shards above ``LARGEST`` are dealt out again by pivots
-of their own. Each shard builds a flat graph with robust pruning, the adjacency
-lists of a node's shards are united, and in every shard all members are searched
-greedily from the medoid over the united lists; nodes in range are expanded until
-no new one is found. Links are verified in double precision.
+Equal vectors of a label are one node. The nodes of a (label, dimension) are a
+shard; a shard above ``LARGEST`` nodes draws pivots from them, about one per
+``SHARD`` and ``PIVOTS`` in all at a time, and a node goes to the shards of its
+``overlap`` nearest pivots, again and again until shards are small. Each shard
+builds a flat graph with robust pruning, the adjacency lists of a node's shards
+are united, and in every shard all members are searched greedily from the medoid
+over the united lists; nodes in range are expanded until no new one is found.
+Links are verified in double precision.
 
 The recall of every run is audited: ``AUDIT`` nodes or so, chosen by hash, are
 compared with all rows in blocks; below ``LEAST_RECALL`` the build is repeated
@@ -21,6 +22,8 @@ columns are not read. A null vec_id is kept as null.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from smogcast.llm import common
 
 COSINE = 0.93
-SHARD, LARGEST, OVERLAP, PIVOTS, WIDTH = 1000, 6000, 3, 20_000, 8
+SHARD, LARGEST, OVERLAP, PIVOTS, WIDTH = 500, 2000, 3, 20_000, 8
 DEGREE, POOL, ALPHA, BEAM = 20, 64, 1.2, 16
 AUDIT, LEAST_RECALL, SEED = 256, 0.95, 5
 
@@ -78,9 +81,9 @@ def _nearest(pivots, overlap):
 
 def _deal(rows: DataFrame, sizes: dict[str, int], overlap: int, level: int) -> DataFrame:
     """Split the shards named in ``sizes`` by pivots of their own, about ``PIVOTS`` in all."""
-    most = max(2, PIVOTS // len(sizes))
+    most = PIVOTS // len(sizes)
     share = F.create_map(*[F.lit(x) for s, n in sizes.items()
-                           for x in (s, min(1.0, 1.3 * min(most, -(-n // SHARD)) / n))])
+                           for x in (s, min(1.0, 1.2 * min(most, max(4 * overlap, -(-n // SHARD))) / n))])
     chance = F.pmod(F.xxhash64("node", F.lit(SEED + level)), F.lit(1 << 40)) / float(1 << 40)
     drawn = rows.where(chance < share[F.col("shard")]).select("shard", "node", "vec").collect()
     pivots: dict = {}
@@ -92,18 +95,27 @@ def _deal(rows: DataFrame, sizes: dict[str, int], overlap: int, level: int) -> D
 
 
 def shards(n: DataFrame, overlap: int = OVERLAP) -> DataFrame:
-    """(shard, node, vec): overlapping shards of at most about ``LARGEST`` nodes."""
+    """(shard, node, vec): overlapping shards of at most about ``LARGEST`` nodes.
+
+    A shard is split while its parts are clearly smaller; one of near-equal
+    vectors that pivots can't part stays whole.
+    """
     rows = n.select(F.concat_ws("/", F.col("label").cast("string"), "dim").alias("shard"), "node", "vec")
-    done, level, over = None, 0, SHARD
+    parts, parents, level = [], {}, 0
     while True:
-        big = {r["shard"]: r["n"] for r in rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-               .where(F.col("n") > over).toLocalIterator()}
-        ready = rows.where(~F.col("shard").isin(list(big))) if big else rows
-        done = ready if done is None else done.union(ready)
-        if not big or level == 12:
-            return common.stored((done.union(rows.where(F.col("shard").isin(list(big)))) if big else done))
-        rows = common.stored(_deal(rows.where(F.col("shard").isin(list(big))), big, overlap, level).distinct())
-        level, over = level + 1, LARGEST
+        sizes = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LARGEST)
+        big = {r["shard"]: r["n"] for r in sizes.toLocalIterator()
+               if r["n"] < 0.75 * parents.get(r["shard"].rpartition("/")[0], float("inf"))}
+        if not big:
+            break
+        parts.append(rows.where(~F.col("shard").isin(list(big))))
+        names, step, dealt = sorted(big), max(1, PIVOTS // (4 * overlap)), []
+        for a in range(0, len(names), step):
+            some = {s: big[s] for s in names[a:a + step]}
+            dealt.append(_deal(rows.where(F.col("shard").isin(list(some))), some, overlap, level))
+        rows = common.stored(reduce(DataFrame.union, dealt))
+        parents, level = big, level + 1
+    return common.stored(reduce(DataFrame.union, parts, rows))
 
 
 def prune(x: np.ndarray, i: int, pool: np.ndarray, near: np.ndarray) -> list[int]:
