@@ -28,7 +28,7 @@ def _obs(spark, args):
 
 def cmd_features(spark, args):
     from smogcast.plans.features import engineer_features
-    f = engineer_features(_obs(spark, args), training=not args.serving, chunk_rows="auto")
+    f = engineer_features(_obs(spark, args), training=not args.serving)
     f.write.mode("overwrite").parquet(args.out)
 
 
@@ -37,7 +37,7 @@ def cmd_train(spark, args):
     from smogcast.plans.training import TrainConfig, train_two_stage
     cfg = TrainConfig(gbt_rounds=args.rounds, asym_rounds=max(1, args.rounds // 2), forest_trees=args.trees,
                       refit_on_val=args.refit_on_val)
-    res = train_two_stage(engineer_features(_obs(spark, args), training=True, chunk_rows="auto"), cfg)
+    res = train_two_stage(engineer_features(_obs(spark, args), training=True), cfg)
     res.model.save(args.model_dir, spark)
     if args.report:
         res.regression.write.mode("overwrite").json(f"{args.report}/regression")
@@ -68,7 +68,7 @@ def cmd_forecast(spark, args):
                                  F.col("temp").alias("temperature"), F.col("windspeed").alias("wind_speed"))
     o = cleaning.drop_any_null(ts.interpolate_linear(o, "y", date="ds"), subset=["ds", "y"])
     o = o.withColumn("is_stubble_burning", season_flag("ds"))
-    ev = joins.festival_events(spark)
+    ev = joins.peak_day_events(o, value="y", date="ds")
     model = SeasonalForecaster().fit(joins.flag_near_events(o, ev, date="ds"))
     hz = joins.future_horizon(o, args.horizon, date="ds")
     clim = climatology.doy_climatology(o.withColumnRenamed("ds", "date"), ["temperature", "wind_speed"], date="date")

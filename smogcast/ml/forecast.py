@@ -1,15 +1,15 @@
 """Seasonal forecaster (OP-77) and date forecasts (OP-78).
 
 Model per series on the log scale (multiplicative seasonality):
-log y = intercept + slope*t + sum_j d_j*max(0, t - s_j)      (piecewise trend)
+log(1 + y) = intercept + slope*t + sum_j d_j*max(0, t - s_j)      (piecewise trend)
         + yearly Fourier (order 10) + weekly Fourier (order 3)
         + event flag + standardised regressors.
 Fitted as ridge regression from per-series normal equations:
 
-1. rows are hash-partitioned by (series, 16-way salt), so even a series
-   holding a third of all rows is spread over 16 tasks; every task computes
-   partial X'X, X'y, y'y, n for the series it holds (``mapInPandas``, numpy
-   on an Arrow batch);
+1. every scan task computes partial X'X, X'y, y'y, n of the series it meets
+   (``mapInPandas``, numpy on an Arrow batch) and emits them when it ends or
+   holds ``HELD`` series; no row is shuffled, and a series that holds a third
+   of all rows is spread like all rows are;
 2. the partial matrices are summed element-wise by a Spark aggregate keyed
    by (series, cell) with map-side combine;
 3. each series' (p^2 + p + 2)-cell total is solved with numpy
@@ -17,7 +17,7 @@ Fitted as ridge regression from per-series normal equations:
 
 Prediction joins the per-series coefficients (one row per series) and takes a
 dot product with ``aggregate(zip_with(...))`` on the JVM. The interval is
-exp(mean +- z * residual sigma).
+expm1(mean +- z * residual sigma).
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from smogcast.functions.categories import CATEGORY_NAMES, aqi_category
 from smogcast.functions.scalars import clip
 
+HELD = 256  # series whose partial matrices a task holds at a time
 Z95 = 1.959963984540054
 
 
@@ -73,7 +74,7 @@ class SeasonalForecaster:
 
     def design(self, df: DataFrame, stats: DataFrame) -> DataFrame:
         """Adds ``__x`` (array of p doubles) using per-series scaling stats."""
-        j = df.join(stats, self.key, "inner")
+        j = df.join(stats.withColumnRenamed(self.key, "__sk"), F.col(self.key).eqNullSafe(F.col("__sk")), "left").drop("__sk")
         days = F.datediff(F.col(self.date), F.lit("1970-01-01").cast("date")).cast("double")
         span = F.greatest(F.col("__t1") - F.col("__t0"), F.lit(1)).cast("double")
         t = (days - F.col("__t0").cast("double")) / span
@@ -94,26 +95,26 @@ class SeasonalForecaster:
     def fit(self, df: DataFrame) -> "SeasonalForecastModel":
         p = self.n_features
         stats = self._stats(df)
-        d = self.design(df.where(F.col(self.value).isNotNull() & (F.col(self.value) > 0)), stats)
-        d = d.select(F.col(self.key).cast("string").alias("k"), "__x", F.log(F.col(self.value)).alias("__y"))
-        # Hash-partition by (series, salt of the date) and keep each series'
-        # rows contiguous: a series is spread over at most `salts` tasks (a
-        # hot series is never gathered into one), while each Arrow batch
-        # emits one partial matrix per series it holds instead of one per
-        # scattered (series, batch) pair.
-        salts = 16
-        salt = F.pmod(F.xxhash64(F.col("__x")), F.lit(salts))
-        d = d.repartition("k", salt).sortWithinPartitions("k")
+        d = self.design(df.where(F.col(self.value).isNotNull() & F.col(self.key).isNotNull()
+                                 & F.col(self.date).isNotNull()), stats)
+        d = d.select(F.col(self.key).cast("string").alias("k"), "__x",
+                     F.log1p(F.greatest(F.col(self.value).cast("double"), F.lit(0.0))).alias("__y"))
+        def emit(held):
+            for k, cells in held.items():
+                yield pd.DataFrame({"k": k, "cell": np.arange(len(cells), dtype=np.int32), "v": cells})
 
         def partial(batches):
+            held = {}
             for pdf in batches:
-                if pdf.empty:
-                    continue
                 for k, g in pdf.groupby("k", sort=False):
                     X = np.vstack(g["__x"].to_numpy())
                     y = g["__y"].to_numpy(dtype=float)
                     cells = np.concatenate([(X.T @ X).ravel(), X.T @ y, [float(y @ y), float(len(y))]])
-                    yield pd.DataFrame({"k": k, "cell": np.arange(len(cells), dtype=np.int32), "v": cells})
+                    held[k] = held[k] + cells if k in held else cells
+                    if len(held) >= HELD:
+                        yield from emit(held)
+                        held = {}
+            yield from emit(held)
 
         parts = d.mapInPandas(partial, "k string, cell int, v double")
         totals = parts.groupBy("k", "cell").agg(F.sum("v").alias("v"))
@@ -147,7 +148,10 @@ class SeasonalForecastModel:
         s = self.spec
         coef = self.coef.select("__kstr", "beta", "sigma")
         d = s.design(df, self.stats)
-        d = d.join(coef, F.col(s.key).cast("string") == F.col("__kstr"), "inner").drop("__kstr")
+        d = d.join(coef, F.col(s.key).cast("string") == F.col("__kstr"), "left")
+        d = d.withColumn("status", F.when(F.col(s.key).isNull(), F.lit("missing_series"))
+                         .when(F.col("__kstr").isNull(), F.lit("unknown_series"))
+                         .when(F.col(s.date).isNull(), F.lit("missing_date")).otherwise(F.lit("ok"))).drop("__kstr")
         dot = F.aggregate(F.zip_with("__x", "beta", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
         n_trend = 2 + s.n_changepoints
         trend = F.aggregate(F.slice(F.zip_with("__x", "beta", lambda a, b: a * b), 1, n_trend),
@@ -156,11 +160,11 @@ class SeasonalForecastModel:
         lo, hi = clip_range
         out = d.withColumns({
             "__m": dot,
-            "trend": F.exp(trend),
+            "trend": F.expm1(trend),
         }).withColumns({
-            "yhat": clip(F.exp(F.col("__m")), lo, hi),
-            "yhat_lower": clip(F.exp(F.col("__m") - z * F.col("sigma")), lo, hi),
-            "yhat_upper": clip(F.exp(F.col("__m") + z * F.col("sigma")), lo, hi),
+            "yhat": clip(F.expm1(F.col("__m")), lo, hi),
+            "yhat_lower": clip(F.expm1(F.col("__m") - z * F.col("sigma")), lo, hi),
+            "yhat_upper": clip(F.expm1(F.col("__m") + z * F.col("sigma")), lo, hi),
         })
         code = aqi_category(F.col("yhat"))
         out = out.withColumn("aqi_category",

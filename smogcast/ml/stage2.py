@@ -106,23 +106,17 @@ class IsotonicCalibrator:
     models: dict
 
     @classmethod
-    def fit(cls, df: DataFrame, probs: str, label: str, n: int = N_CLASSES,
-            bins: int | None = None) -> "IsotonicCalibrator":
-        """``bins`` (optional): snap probabilities to a grid of that many
-        steps and fit on (grid value, mean indicator, row count) with weights.
-        MLlib finishes isotonic regression with one driver-side pass over the
-        pooled blocks of all partitions; binning bounds that input by
-        ``bins`` per class whatever the validation size. Default: exact fit
-        on the raw values."""
+    def fit(cls, df: DataFrame, probs: str, label: str, n: int = N_CLASSES) -> "IsotonicCalibrator":
+        """Rows of equal probability are first replaced by their mean indicator
+        with their number as weight, which leaves the fit as it is; MLlib's last
+        pooling on the driver then reads blocks of distinct probabilities."""
         models = {}
         # n fits read the same two columns: materialise them once.
         base = df.select(F.col(probs).alias("__p"), F.col(label).cast("int").alias("__y")).transform(materialize)
         def fit_one(c):
             d = base.select(F.element_at("__p", c + 1).alias("__x"),
-                            (F.col("__y") == c).cast("double").alias("__t"), F.lit(1.0).alias("__w"))
-            if bins:
-                d = (d.withColumn("__x", F.round(F.col("__x") * F.lit(float(bins))) / F.lit(float(bins)))
-                      .groupBy("__x").agg(F.avg("__t").alias("__t"), F.sum("__w").alias("__w")))
+                            (F.col("__y") == c).cast("double").alias("__t")).groupBy("__x").agg(
+                F.avg("__t").alias("__t"), F.count(F.lit(1)).cast("double").alias("__w"))
             return IsotonicRegression(featuresCol="__x", labelCol="__t", weightCol="__w",
                                       predictionCol="__cal", isotonic=True).fit(d)
 

@@ -61,10 +61,11 @@ def calendar_means(df: DataFrame, cols: list[str], key="series_key", date="Date"
 
 
 def climatology_lookup(requests: DataFrame, means: DataFrame, cols: list[str], key="series_key",
-                       date="date", global_fill: bool = True) -> DataFrame:
+                       date="date", global_fill: bool = True, raw: tuple = ()) -> DataFrame:
     """OP-50 (second half): for each request date take the (month, day)
     group's means if that group has rows, else the month's, else the
     series'; a NULL mean then falls to the all-series mean and finally 0.
+    Columns named in ``raw`` also come as ``raw_<name>`` without these fills.
 
     The all-series mean is one row, collected as literals (bounded by the
     number of columns) instead of a cross join.
@@ -94,6 +95,8 @@ def climatology_lookup(requests: DataFrame, means: DataFrame, cols: list[str], k
                    .when(F.col("__month_n").isNotNull(), F.col(f"__month_{c}"))
                    .otherwise(F.col(f"__series_{c}")))
         g = glob.get(c)
+        if c in raw:
+            new[f"raw_{c}"] = chosen.cast("double")
         new[c] = F.coalesce(chosen.cast("double"), F.lit(g).cast("double"), F.lit(0.0))
     new["clim_level"] = (F.when(F.col("__month_day_n").isNotNull(), F.lit("month_day"))
                           .when(F.col("__month_n").isNotNull(), F.lit("month"))
@@ -103,8 +106,10 @@ def climatology_lookup(requests: DataFrame, means: DataFrame, cols: list[str], k
 
 
 def weather_with_defaults(df: DataFrame, defaults: dict[str, float] = WEATHER_DEFAULTS) -> DataFrame:
-    """OP-51: weather values made safe (NULL/NaN/inf -> fixed default)."""
-    return df.withColumns({c: safe_number(F.col(c), d) for c, d in defaults.items() if c in df.columns})
+    """OP-51: weather made safe (NULL/NaN/inf -> fixed default), from the
+    ``raw_<name>`` column where there is one: feature fills must not hide gaps."""
+    raw = {c: F.col(f"raw_{c}" if f"raw_{c}" in df.columns else c) for c in defaults if c in df.columns}
+    return df.withColumns({c: safe_number(x, defaults[c]) for c, x in raw.items()}).drop(*[f"raw_{c}" for c in raw])
 
 
 def climatology_trend(requests: DataFrame, means: DataFrame, value: str = "AQI", key="series_key",

@@ -11,46 +11,36 @@ PDF_POINTS = 40
 
 
 def month_stats(df: DataFrame, value: str = "AQI", key="series_key", date="Date",
-                approx_median: bool = False, by_month: bool = True) -> DataFrame:
+                by_month: bool = True) -> DataFrame:
     """OP-53: per (series, month): n, mean, median, mode, sample variance and
-    std (0 when n <= 1).
+    std (0 when n <= 1). ``by_month=False``: of the whole series (month NULL).
 
-    The mode is a two-level aggregate (count per value, then the highest count
-    with the lowest value via ``max(struct(count, -value))``), both partially
-    aggregated before the shuffle. The exact median buffers one (series,
-    month) group, which holds at most 31 x years rows since sources are unique
-    per day; ``approx_median`` switches to ``percentile_approx`` for inputs
-    without that bound.
+    One pass: rows are counted per distinct value (map-side combined), and all
+    statistics come from that table, the median by its counts. The mode is the
+    lowest of the most frequent values. The variance is taken around the mean, over the group's
+    distinct values (with unique days, the calendar bounds their number).
     """
-    # by_month=False: whole-series statistics (month NULL), the fallback for a
-    # month without data.
     month = F.month(date) if by_month else F.lit(None).cast("int")
     base = df.where(F.col(value).isNotNull()).withColumn("month", month)
-    per_val = base.groupBy(key, "month", value).agg(F.count(F.lit(1)).alias("__c"))
-    mode = per_val.groupBy(key, "month").agg(
-        F.max(F.struct(F.col("__c"), (-F.col(value)).alias("__neg"))).alias("__best")
-    ).select(key, "month", (-F.col("__best.__neg")).alias("mode"))
-    med = (F.percentile_approx(value, 0.5, 10000) if approx_median else F.median(value))
-    stats = base.groupBy(key, "month").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(value).alias("mean"),
-        med.cast("double").alias("median"),
-        F.var_samp(value).alias("__var"),
-        F.stddev_samp(value).alias("__std"))
-    stats = stats.select(
-        key, "month", "n", "mean", "median",
-        F.when(F.col("n") > 1, F.col("__var")).otherwise(F.lit(0.0)).alias("variance"),
-        F.when(F.col("n") > 1, F.col("__std")).otherwise(F.lit(0.0)).alias("std_dev"))
-    m = mode.withColumnsRenamed({key: "__k", "month": "__m"})
-    cond = (stats[key] == m["__k"]) & stats["month"].eqNullSafe(m["__m"])
-    return stats.join(m, cond, "left").drop("__k", "__m")
+    per = base.groupBy(key, "month", F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    mid = per.groupBy(key, "month").agg(
+        F.sum("__c").alias("n"), (F.sum(F.col("__c") * F.col("__v")) / F.sum("__c")).alias("mean"),
+        F.percentile("__v", F.lit(0.5), F.col("__c")).alias("median"),
+        F.max(F.struct(F.col("__c"), (-F.col("__v")).alias("neg"))).alias("__best"),
+        F.collect_list(F.struct("__c", "__v")).alias("__all"))
+    square = F.aggregate("__all", F.lit(0.0), lambda a, e: a + e["__c"] * (e["__v"] - F.col("mean")) * (e["__v"] - F.col("mean")))
+    var = F.when(F.col("n") > 1, square / (F.col("n") - 1)).otherwise(F.lit(0.0))
+    return mid.select(key, "month", "n", "mean", "median", var.alias("variance"), F.sqrt(var).alias("std_dev"),
+                      (-F.col("__best.neg")).alias("mode"))
 
 
-def month_trend_slope(df: DataFrame, value: str = "AQI", key="series_key", date="Date") -> DataFrame:
-    """OP-54: least-squares slope of the yearly means within each month;
-    0 when fewer than two years."""
+def month_trend_slope(df: DataFrame, value: str = "AQI", key="series_key", date="Date",
+                      by_month: bool = True) -> DataFrame:
+    """OP-54: least-squares slope of the yearly means within each month (or of
+    the whole series, month NULL); 0 when fewer than two years."""
+    month = F.month(date) if by_month else F.lit(None).cast("int")
     yearly = (df.where(F.col(value).isNotNull())
-                .groupBy(key, F.month(date).alias("month"), F.year(date).alias("year"))
+                .groupBy(key, month.alias("month"), F.year(date).alias("year"))
                 .agg(F.avg(value).alias("ym")))
     slope = F.regr_slope(F.col("ym"), F.col("year").cast("double"))
     return yearly.groupBy(key, "month").agg(

@@ -64,15 +64,26 @@ def split_summary(df: DataFrame, split: str = "split", key="series_key", date="D
 
 def stratified_split(df: DataFrame, label: str, test_frac: float = 0.15, seed: int = 42,
                      id_cols: tuple[str, ...] = ("series_key", "Date"), out: str = "split") -> DataFrame:
-    """OP-66: stratified random split without a shuffle.
-
-    Each row gets a uniform number from a 64-bit hash of its identity and the
-    seed; rows below ``test_frac`` are test. Every class is thinned with the
-    same probability, so each class keeps its share in expectation. The hash
-    depends only on the row, so the split is reproducible under any
-    repartitioning, needs no sort of a (possibly huge) class, and a class that
-    holds a third of all rows costs nothing extra.
+    """OP-66: stratified split with exact class counts: of each class's n rows,
+    floor(n * test_frac + 0.5) are test, those first by a seeded MD5 of the row's
+    identity (so the split doesn't depend on partitioning).
+
+    No class is sorted as a whole: rows are counted per (class, hash bucket), the
+    counts tell which bucket holds the class's last test row, and only that
+    bucket's rows are ranked. A NULL label is a class of its own.
     """
-    h = F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed))
-    u = (F.pmod(h, F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30)))
-    return df.withColumn(out, F.when(u < F.lit(float(test_frac)), F.lit("test")).otherwise(F.lit("train")))
+    h = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols], F.lit(str(seed))))
+    d = df.withColumns({"__h": h, "__b": F.conv(F.substring(h, 1, 4), 16, 10).cast("int")})
+    hist = d.groupBy(F.col(label).alias("__l"), F.col("__b").alias("__c")).agg(F.count(F.lit(1)).alias("__n"))
+    run = Window.partitionBy("__l").orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    goal = F.floor(F.sum("__n").over(Window.partitionBy("__l")) * F.lit(float(test_frac)) + F.lit(0.5))
+    cut = (hist.withColumns({"__before": F.coalesce(F.sum("__n").over(run), F.lit(0)), "__goal": goal})
+           .where((F.col("__before") < F.col("__goal")) & (F.col("__goal") <= F.col("__before") + F.col("__n")))
+           .select("__l", "__c", (F.col("__goal") - F.col("__before")).alias("__room")))
+    d = d.join(cut, d[label].eqNullSafe(cut["__l"]), "left").drop("__l")
+    clear = d.where(F.col("__c").isNull() | (F.col("__b") != F.col("__c"))).withColumn(
+        out, F.when(F.col("__b") < F.col("__c"), F.lit("test")).otherwise(F.lit("train")))
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("__h", *id_cols))
+    edge = d.where(F.col("__b") == F.col("__c")).withColumn(
+        out, F.when(rank <= F.col("__room"), F.lit("test")).otherwise(F.lit("train")))
+    return clear.unionByName(edge).drop("__h", "__b", "__c", "__room")

@@ -101,25 +101,37 @@ def add_rolling(df: DataFrame, col: str, windows: list[int] = ROLL_WINDOWS, key=
 
 
 # ---- OP-23 ------------------------------------------------------------------
-def ewm_mean(x, span: int, w: WindowSpec, include_current: bool = True,
-             frame_rows: int | None = None) -> Column:
-    """OP-23: exponentially weighted mean, ``adjust=False`` recursion
-    y_t = (1-a) y_{t-1} + a x_t seeded by the first value, a = 2/(span+1).
-
-    Evaluated as a fold over a bounded frame of K rows (K from
-    :func:`ewm_frame_rows`): identical to the unbounded recursion at double
-    precision, with O(K) work per row instead of an unbounded list. With
-    ``include_current=False`` the frame is shifted one row back, which is the
-    leak-free (yesterday's) value. NULL values are skipped.
+def add_ewm(df: DataFrame, value: str, outs: dict[str, bool], span: int = EWM_SPAN,
+            key: str | list[str] = "series_key", date: str = "Date") -> DataFrame:
+    """OP-23: exponentially weighted means, ``adjust=False`` recursion seeded by
+    the first value, a = 2/(span+1). ``outs``: output name -> whether the current
+    row counts (False: the leak-free value of the row before).
+
+    A NULL doesn't count but the older weight decays across it: after a gap of g
+    rows a value x gives (d*y + a*x)/(d + a) with d = (1-a)^g; a NULL row keeps
+    the mean so far. Each value folds over the K values before it (K from
+    :func:`ewm_frame_rows`, equal to the unbounded recursion at double precision),
+    with the gaps between them; the window over the values alone makes any run of
+    NULLs between them as cheap as none.
     """
-    k = frame_rows or ewm_frame_rows(span)
-    alpha = 2.0 / (span + 1.0)
-    lo, hi = (-(k - 1), 0) if include_current else (-k, -1)
-    vals = F.collect_list(_c(x)).over(w.rowsBetween(lo, hi))
-    folded = F.aggregate(
-        F.slice(vals, 2, k), F.try_element_at(vals, F.lit(1)),
-        lambda acc, v: acc * F.lit(1.0 - alpha) + v * F.lit(alpha))
-    return F.when(F.size(vals) > 0, folded)
+    k, alpha = ewm_frame_rows(span), 2.0 / (span + 1.0)
+    w = series_window(key, date)
+    keys = [key] if isinstance(key, str) else list(key)
+    v = F.col(value)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    values = Window.partitionBy(*keys, v.isNull()).orderBy(date).rowsBetween(-(k - 1), 0)
+    out = df.withColumn("__pos", F.when(v.isNotNull(), F.row_number().over(w)))
+    out = out.withColumn("__gap", F.col("__pos") - F.last("__pos", ignorenulls=True).over(before))
+    items = F.collect_list(F.struct(v.cast("double").alias("v"), F.col("__gap").alias("g"))).over(values)
+
+    def step(acc, e):
+        d = F.when(e["g"] == 1, F.lit(1.0 - alpha)).otherwise(F.pow(F.lit(1.0 - alpha), e["g"]))
+        return (acc * d + e["v"] * F.lit(alpha)) / (d + F.lit(alpha))
+    folded = F.aggregate(F.slice(F.col("__items"), 2, k), F.col("__items")[0]["v"], step)
+    out = out.withColumn("__items", items).withColumn("__ewm", F.when(v.isNotNull(), folded))
+    out = out.withColumn("__ewm", F.last("__ewm", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return out.withColumns({name: F.col("__ewm") if current else F.lag("__ewm", 1).over(w)
+                            for name, current in outs.items()}).drop("__pos", "__gap", "__items", "__ewm")
 
 
 # ---- OP-24 .. OP-26 -------------------------------------------------------------
@@ -223,8 +235,9 @@ def sequence_windows(df: DataFrame, features: list[str], target: str, steps: int
 
 # ---- OP-79 (feature pipeline) -------------------------------------------------
 def feature_columns(value: str = "AQI", w: WindowSpec | None = None) -> dict:
-    """All engineered features as one dict of column expressions over one
-    shared window spec, so Catalyst plans a single Exchange + Sort + Window.
+    """The engineered features but the EWM (see :func:`add_ewm`) as one dict of
+    column expressions over one shared window spec, so Catalyst plans a single
+    Exchange + Sort + Window.
 
     The three "precomputed" columns of the reference's input (inclusive
     rolling mean, inclusive EWM and first difference) are derived here and
@@ -234,7 +247,6 @@ def feature_columns(value: str = "AQI", w: WindowSpec | None = None) -> dict:
     w = w or series_window()
     v = value
     cols = {f"{v}_lag_1": lag_col(v, 1, w)}
-    cols[f"{v}_ewma_{EWM_SPAN}"] = ewm_mean(v, EWM_SPAN, w, include_current=False)
     for k in LAGS:
         cols[f"{v}_lag_{k}"] = lag_col(v, k, w)
     cols.update(rolling_columns(v, ROLL_WINDOWS, w))
@@ -257,14 +269,15 @@ def leakage_audit(df: DataFrame, stored_roll: str | None = None, stored_ewm: str
     w = series_window(key, date)
     sel = [F.col(key)]
     pairs = []
+    if stored_ewm:
+        df = add_ewm(df, value, {"__ei": True, "__ex": False}, span, key, date)
     if stored_roll:
         sel += [F.col(stored_roll).alias("__sr"),
                 trailing_stat(value, "mean", size, w, include_current=True).alias("__ri"),
                 trailing_stat(value, "mean", size, w, include_current=False).alias("__rx")]
         pairs += [("roll_share_inclusive", "__sr", "__ri"), ("roll_share_exclusive", "__sr", "__rx")]
     if stored_ewm:
-        sel += [F.col(stored_ewm).alias("__se"), ewm_mean(value, span, w, True).alias("__ei"),
-                ewm_mean(value, span, w, False).alias("__ex")]
+        sel += [F.col(stored_ewm).alias("__se"), F.col("__ei"), F.col("__ex")]
         pairs += [("ewm_share_inclusive", "__se", "__ei"), ("ewm_share_exclusive", "__se", "__ex")]
     t = df.select(*sel)
 
@@ -280,8 +293,8 @@ def leakage_audit(df: DataFrame, stored_roll: str | None = None, stored_ewm: str
 
 # ---- long series: exact computation in bounded chunks ---------------------------
 def max_lookback() -> int:
-    """Longest row lookback of :func:`feature_columns` (the exclusive EWM frame)."""
-    return max(ewm_frame_rows(EWM_SPAN), max(ROLL_WINDOWS), max(LAGS), 2)
+    """Longest row lookback of :func:`feature_columns`."""
+    return max(max(ROLL_WINDOWS), max(LAGS), 2)
 
 
 def with_series_position(df: DataFrame, key: str = "series_key", date: str = "Date",

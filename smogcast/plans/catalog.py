@@ -65,9 +65,8 @@ def leak_shift(spark, sf_dir):
     """The three leaky input columns computed as they arrive (inclusive of
     the current day), then shifted one row later."""
     w = ts.series_window()
-    o = obs(spark, sf_dir).withColumns({
+    o = ts.add_ewm(obs(spark, sf_dir), "AQI", {"AQI_ewma_7": True}).withColumns({
         "AQI_roll_mean_7": ts.trailing_stat("AQI", "mean", 7, w, include_current=True),
-        "AQI_ewma_7": ts.ewm_mean("AQI", ts.EWM_SPAN, w, include_current=True),
         "AQI_diff_1": F.col("AQI") - F.lag("AQI", 1).over(w),
     })
     raw = o.select("series_key", "Date", *[F.col(c).alias(f"{c}_raw") for c in ts.LEAKY_COLUMNS],
@@ -88,23 +87,26 @@ def rolling_features(spark, sf_dir):
 
 
 def ewm_feature(spark, sf_dir):
-    w = ts.series_window()
-    o = obs(spark, sf_dir).withColumns({
-        "ewma_inclusive": ts.ewm_mean("AQI", ts.EWM_SPAN, w, include_current=True),
-        "ewma_exclusive": ts.ewm_mean("AQI", ts.EWM_SPAN, w, include_current=False),
-    })
+    o = ts.add_ewm(obs(spark, sf_dir), "AQI", {"ewma_inclusive": True, "ewma_exclusive": False})
+    return finish(o.select("series_key", "Date", "AQI", "ewma_inclusive", "ewma_exclusive"))
+
+
+def ewm_masked(spark, sf_dir):
+    """OP-23 on the series with missing days: weights decay across NULLs."""
+    o = ts.add_ewm(binding.sparse_readings_masked(spark, sf_dir), "AQI", {"ewma_inclusive": True, "ewma_exclusive": False})
     return finish(o.select("series_key", "Date", "AQI", "ewma_inclusive", "ewma_exclusive"))
 
 
 def leakage_audit(spark, sf_dir):
-    """Audit of the leaky input columns (inclusive rolling mean and EWM, as
-    they arrive before the shift) against inclusive and exclusive
-    recomputation."""
+    """Audit of stored columns of both sorts: the first two series hold the
+    leaky (inclusive) rolling mean and EWM, the others the exclusive ones."""
     w = ts.series_window()
-    o = obs(spark, sf_dir).withColumns({
-        "stored_roll": ts.trailing_stat("AQI", "mean", 7, w, include_current=True),
-        "stored_ewm": ts.ewm_mean("AQI", ts.EWM_SPAN, w, include_current=True),
-    })
+    leaky = F.col("series_key") < "3"
+    o = ts.add_ewm(obs(spark, sf_dir), "AQI", {"__i": True, "__x": False}).withColumns({
+        "stored_roll": F.when(leaky, ts.trailing_stat("AQI", "mean", 7, w, include_current=True))
+                        .otherwise(ts.trailing_stat("AQI", "mean", 7, w, include_current=False)),
+        "stored_ewm": F.when(leaky, F.col("__i")).otherwise(F.col("__x")),
+    }).drop("__i", "__x")
     return finish(ts.leakage_audit(o, stored_roll="stored_roll", stored_ewm="stored_ewm"))
 
 
@@ -233,7 +235,7 @@ def climatology_features(spark, sf_dir):
     # bounded (series x 366 x 3 levels + 1 row) and read twice: keep it cached
     means = climatology.calendar_means(f, FEATURES).persist()
     req = _requests(spark, sf_dir)
-    out = climatology.climatology_lookup(req, means, FEATURES)
+    out = climatology.climatology_lookup(req, means, FEATURES, raw=tuple(WEATHER_COLS))
     out = climatology.weather_with_defaults(out)
     return finish(out.select("request_id", "series_key", "date", "clim_level", *FEATURES))
 
@@ -496,18 +498,19 @@ def two_stage_train(spark, sf_dir):
 
 
 def _forecaster_input(spark, sf_dir):
-    """The forecaster's preparation: rename to (ds, y) (OP-07), interpolate y
+    """The forecaster's rows and events. Preparation: rename to (ds, y) (OP-07), interpolate y
     by position (OP-27), drop rows with NULL ds/y (OP-10), event flag (OP-49)."""
     fi = cleaning.rename(binding.forecast_input(spark, sf_dir), {"date": "ds", "aqi": "y"})
     fi = cleaning.drop_any_null(ts.interpolate_linear(fi, "y", date="ds"), subset=["ds", "y"])
-    return joins.flag_near_events(fi, joins.festival_events(spark), date="ds")
+    events = joins.peak_day_events(fi, value="y", date="ds")
+    return joins.flag_near_events(fi, events, date="ds"), events
 
 
 def seasonal_forecast(spark, sf_dir):
     """OP-77: fit on the part before the 90-day cut; forecast history plus 30
     days with day-of-year weather climatology; output the forecast columns."""
     from smogcast.ml.forecast import SeasonalForecaster
-    fi = _forecaster_input(spark, sf_dir)
+    fi, events = _forecaster_input(spark, sf_dir)
     part = splits.cutoff_split(fi, days=90, date="ds")
     train = part.where(F.col("split") == "train").drop("split")
     model = SeasonalForecaster().fit(train)
@@ -517,26 +520,27 @@ def seasonal_forecast(spark, sf_dir):
     fut = climatology.join_doy_climatology(horizon, clim, ["temperature", "wind_speed"], date="ds")
     fut = ts.fill_forward_backward(fut, ["temperature", "wind_speed"], date="ds")
     fut = joins.flag_near_events(fut.withColumn("is_stubble_burning", cal.season_flag("ds")),
-                                 joins.festival_events(spark), date="ds")
+                                 events, date="ds")
     out = model.transform(fut)
     return out.select("series_key", "ds", "yhat", "yhat_lower", "yhat_upper", "trend", "aqi_category")
 
 
 def forecast_dates(spark, sf_dir):
     """OP-78: forecasts for arbitrary requested dates with expected weather
-    from the day-of-year climatology (fallback day 365), clipped to [0, 500]."""
+    from the day-of-year climatology (fallback day 365), clipped to [0, 500].
+    Every request gets a row; ``status`` tells why one has no forecast."""
     from smogcast.ml.forecast import SeasonalForecaster
-    fi = _forecaster_input(spark, sf_dir)
+    fi, events = _forecaster_input(spark, sf_dir)
     model = SeasonalForecaster().fit(fi)
     clim = climatology.doy_climatology(fi.withColumnRenamed("ds", "date"), ["temperature", "wind_speed"],
                                        date="date")
-    req = _requests(spark, sf_dir).where(F.col("date").isNotNull()).withColumnRenamed("date", "ds")
+    req = _requests(spark, sf_dir).withColumnRenamed("date", "ds")
     req = climatology.join_doy_climatology(req, clim, ["temperature", "wind_speed"], date="ds",
                                            fallback_doy=climatology.FALLBACK_DOY)
     req = joins.flag_near_events(req.withColumn("is_stubble_burning", cal.season_flag("ds")),
-                                 joins.festival_events(spark), date="ds")
+                                 events, date="ds")
     out = model.transform(req)
-    return out.select("request_id", "series_key", "ds", "yhat", "yhat_lower", "yhat_upper", "aqi_category",
+    return out.select("request_id", "series_key", "ds", "status", "yhat", "yhat_lower", "yhat_upper", "aqi_category",
                       "temperature", "wind_speed", "is_stubble_burning")
 
 
@@ -551,14 +555,15 @@ def score_requests(spark, sf_dir):
 def score_lookup(spark, sf_dir):
     """The SQL-checkable lookup part of OP-81: status, whether the date is in
     the data, the actual value and the month statistics of each request."""
-    from smogcast.plans.scoring import parse_requests
-    req = parse_requests(binding.all_requests(spark, sf_dir))
-    o = obs(spark, sf_dir).select("series_key", F.col("Date").alias("req_date"), F.col("AQI").alias("actual_aqi"))
+    from smogcast.plans.scoring import parse_requests, with_series_status
+    req = with_series_status(parse_requests(binding.all_requests(spark, sf_dir)), obs(spark, sf_dir))
+    o = obs(spark, sf_dir).select("series_key", F.col("Date").alias("req_date"), F.col("AQI").alias("actual_aqi"),
+                                  F.lit(True).alias("__there"))
     out = req.join(o, ["series_key", "req_date"], "left").withColumn("month", F.month("req_date"))
     st = distribution.month_stats(obs(spark, sf_dir)).select("series_key", "month", "mean", "median", "std_dev")
     out = out.join(st, ["series_key", "month"], "left")
     return finish(out.select("request_id", "series_key", F.col("date_text").alias("date"), "status",
-                             F.col("actual_aqi").isNull().alias("is_future"), "actual_aqi",
+                             F.when(F.col("status") == "ok", F.col("__there").isNull()).alias("is_future"), "actual_aqi",
                              "mean", "median", "std_dev"))
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from smogcast.functions.calendar import add_cyclic_encodings
 from smogcast.functions.categories import aqi_category
-from smogcast.operators.timeseries import (chunk_with_halo, chunked_window, feature_columns, max_lookback,
-                                          series_window)
+from smogcast.operators.timeseries import (EWM_SPAN, add_ewm, chunk_with_halo, chunked_window, feature_columns,
+                                          max_lookback, series_window)
 from smogcast.sources.observations import WEATHER_COLS
 
 # Feature list in model order: the input table's own columns first (observed
@@ -35,20 +35,8 @@ def select_features(df: DataFrame, deny: set[str] = NOT_FEATURES) -> list[str]:
     return [c for c in df.columns if c not in deny]
 
 
-MAX_ROWS_PER_WINDOW_TASK = 2_000_000
-
-
-def auto_chunk_rows(obs: DataFrame, key: str = "series_key",
-                    limit: int = MAX_ROWS_PER_WINDOW_TASK) -> int | None:
-    """Measure the longest series (one aggregate, one number to the driver)
-    and return a chunk size only if a whole series would exceed ``limit`` rows
-    in one window task; otherwise None (plain keyed windows)."""
-    longest = obs.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    return limit if longest > limit else None
-
-
 def engineer_features(obs: DataFrame, training: bool = True, key: str = "series_key",
-                      date: str = "Date", value: str = "AQI", chunk_rows: int | str | None = None) -> DataFrame:
+                      date: str = "Date", value: str = "AQI", chunk_rows: int | None = None) -> DataFrame:
     """Observations -> feature table.
 
     ``training=True`` drops every row with a NULL anywhere (OP-09) and adds the
@@ -58,8 +46,8 @@ def engineer_features(obs: DataFrame, training: bool = True, key: str = "series_
     with a halo of the longest lookback copied from the previous chunk, so a
     series of any length is spread over many tasks; results are identical.
     """
-    if chunk_rows == "auto":
-        chunk_rows = auto_chunk_rows(obs, key)
+    ewm = f"{value}_ewma_{EWM_SPAN}"
+    obs = add_ewm(obs, value, {ewm: False}, EWM_SPAN, key, date)
     if chunk_rows:
         halo = max_lookback()
         src = chunk_with_halo(obs, chunk_rows, halo, key, date)

@@ -72,6 +72,21 @@ SQL["ewm_feature"] = with_obs(
     f"FROM obs WINDOW {win('wi', -(K - 1), 0)}, {win('wx', -K, -1)}")
 
 
+# The recursion itself, one step a row: mean so far and the weight it still has.
+SQL["ewm_masked"] = with_obs(
+    f'SELECT m.series_key, m."Date", {r6("m.AQI")} AS AQI, {r6("e.y")} AS ewma_inclusive, '
+    f'{r6("lag(e.y, 1) OVER (PARTITION BY m.series_key ORDER BY m.rn)")} AS ewma_exclusive '
+    "FROM m JOIN e ON m.series_key = e.series_key AND m.rn = e.rn",
+    extra="""m AS (SELECT series_key, "Date", AQI, row_number() OVER (PARTITION BY series_key ORDER BY "Date") AS rn FROM masked),
+e AS (SELECT series_key, rn, AQI AS y, 1.0::DOUBLE AS old FROM m WHERE rn = 1
+      UNION ALL
+      SELECT m.series_key, m.rn,
+             CASE WHEN e.y IS NULL THEN m.AQI WHEN m.AQI IS NULL THEN e.y
+                  ELSE (e.old * 0.75::DOUBLE * e.y + 0.25::DOUBLE * m.AQI) / (e.old * 0.75::DOUBLE + 0.25::DOUBLE) END,
+             CASE WHEN e.y IS NULL OR m.AQI IS NOT NULL THEN 1.0::DOUBLE ELSE e.old * 0.75::DOUBLE END
+      FROM e JOIN m ON m.series_key = e.series_key AND m.rn = e.rn + 1)""").replace("WITH", "WITH RECURSIVE", 1)
+
+
 def _share(a: str, b: str) -> str:
     both = f"({a} IS NOT NULL AND {b} IS NOT NULL)"
     return (f"CASE WHEN sum(CASE WHEN {both} THEN 1 ELSE 0 END) > 0 THEN "
@@ -85,9 +100,10 @@ SQL["leakage_audit"] = with_obs(
     f"{r6(_share('se', 'ei'))} AS ewm_share_inclusive, {r6(_share('se', 'ex'))} AS ewm_share_exclusive "
     "FROM a GROUP BY series_key",
     extra=f"""a AS (SELECT series_key,
-      {guarded("avg", "AQI", "wi7", 7)} AS sr, {guarded("avg", "AQI", "wi7", 7)} AS ri,
+      CASE WHEN series_key < '3' THEN {guarded("avg", "AQI", "wi7", 7)} ELSE {guarded("avg", "AQI", "w7", 7)} END AS sr,
+      {guarded("avg", "AQI", "wi7", 7)} AS ri,
       {guarded("avg", "AQI", "w7", 7)} AS rx,
-      {ewm_sql("AQI", "wie")} AS se, {ewm_sql("AQI", "wie")} AS ei, {ewm_sql("AQI", "wxe")} AS ex
+      CASE WHEN series_key < '3' THEN {ewm_sql("AQI", "wie")} ELSE {ewm_sql("AQI", "wxe")} END AS se, {ewm_sql("AQI", "wie")} AS ei, {ewm_sql("AQI", "wxe")} AS ex
     FROM obs WINDOW {win("wi7", -6, 0)}, {win("w7", -7, -1)}, {win("wie", -(K - 1), 0)}, {win("wxe", -K, -1)})""")
 
 _vent = "CASE WHEN humidity + 1.0::DOUBLE <> 0 THEN windspeed / (humidity + 1.0::DOUBLE) END"
@@ -243,12 +259,14 @@ def _avgs(prefix=""):
     return ", ".join(f"avg({c}) AS {c}" for c in FEATURE_NAMES)
 
 
+# Weather gaps take fixed values, other features the overall mean.
+_WEATHER_OR = {"temp": "25.0", "humidity": "50.0", "precip": "0.0", "windspeed": "10.0", "sealevelpressure": "1010.0"}
 _chosen = ("CASE WHEN md.n IS NOT NULL THEN md.{c} WHEN mo.n IS NOT NULL THEN mo.{c} ELSE se.{c} END")
 SQL["climatology_features"] = with_obs(
     "SELECT r.request_id, r.series_key, r.date, "
     "CASE WHEN md.n IS NOT NULL THEN 'month_day' WHEN mo.n IS NOT NULL THEN 'month' "
     "WHEN se.n IS NOT NULL THEN 'series' END AS clim_level, "
-    + ", ".join(f"{r6('coalesce(CAST(' + _chosen.format(c=c) + ' AS DOUBLE), g.' + c + ', 0.0::DOUBLE)')} AS {c}"
+    + ", ".join(f"{r6('coalesce(CAST(' + _chosen.format(c=c) + ' AS DOUBLE), ' + _WEATHER_OR.get(c, 'g.' + c + ', 0.0') + '::DOUBLE)')} AS {c}"
                 for c in FEATURE_NAMES)
     + ' FROM req r LEFT JOIN md ON r.series_key = md.series_key AND month(r.date) = md.m AND day(r.date) = md.dd '
     "LEFT JOIN mo ON r.series_key = mo.series_key AND month(r.date) = mo.m "
@@ -338,6 +356,11 @@ SQL["split_fraction"] = with_split('SELECT series_key, "Date", split FROM split'
 SQL["split_cutoff"] = with_obs(
     'SELECT series_key, "Date", CASE WHEN "Date" <= max("Date") OVER (PARTITION BY series_key) - 180 '
     "THEN 'train' ELSE 'test' END AS split FROM train", train_cte())
+SQL["split_stratified"] = with_obs(
+    'SELECT series_key, "Date", AQI_Category, CASE WHEN pos <= floor(CAST(n AS DOUBLE) * 0.15::DOUBLE + 0.5::DOUBLE) '
+    "THEN 'test' ELSE 'train' END AS split FROM (SELECT series_key, \"Date\", AQI_Category, "
+    "row_number() OVER (PARTITION BY AQI_Category ORDER BY md5(series_key || '|' || strftime(\"Date\", '%Y-%m-%d') || '|42'), "
+    "series_key, \"Date\") AS pos, count(*) OVER (PARTITION BY AQI_Category) AS n FROM train)", train_cte())
 SQL["split_summary"] = with_split(
     'SELECT series_key, split, min("Date") AS min_date, max("Date") AS max_date, count(*) AS n_rows '
     "FROM split GROUP BY 1, 2")
@@ -499,7 +522,8 @@ SQL["voting_mean"] = with_obs(
 
 
 SQL["score_lookup"] = with_obs(
-    f"SELECT p.request_id, p.series_key, p.date_text AS date, p.status, o.AQI IS NULL AS is_future, "
+    "SELECT p.request_id, p.series_key, p.date_text AS date, p.status, "
+    "CASE WHEN p.status = 'ok' THEN o.series_key IS NULL END AS is_future, "
     f"{r6('o.AQI')} AS actual_aqi, {r6('st.mean')} AS mean, {r6('st.med')} AS median, {r6('st.std_dev')} AS std_dev "
     "FROM p LEFT JOIN obs o ON p.series_key = o.series_key AND p.req_date = o.\"Date\" "
     "LEFT JOIN st ON p.series_key = st.series_key AND month(p.req_date) = st.m",
@@ -510,7 +534,9 @@ allreq AS (SELECT o_orderkey AS request_id, o_orderpriority AS series_key, strft
            SELECT -(request_id + 1), series_key, strftime(date, '%Y-%m-%d') FROM req),
 p AS (SELECT *, TRY_CAST(trim(date_text) AS DATE) AS req_date,
              CASE WHEN date_text IS NULL OR trim(date_text) = '' THEN 'missing_date'
-                  WHEN TRY_CAST(trim(date_text) AS DATE) IS NULL THEN 'invalid_date' ELSE 'ok' END AS status
+                  WHEN TRY_CAST(trim(date_text) AS DATE) IS NULL THEN 'invalid_date'
+                  WHEN series_key IS NULL THEN 'missing_series'
+                  WHEN series_key NOT IN (SELECT series_key FROM obs) THEN 'unknown_series' ELSE 'ok' END AS status
       FROM allreq)""")
 
 # The chunked path must reproduce the plain feature table exactly.

@@ -14,6 +14,7 @@ QUERIES = {
     "diff_spike": c.diff_spike,
     "rolling_features": c.rolling_features,
     "ewm_feature": c.ewm_feature,
+    "ewm_masked": c.ewm_masked,
     "leakage_audit": c.leakage_audit,
     "ventilation_features": c.ventilation_features,
     "interpolate_gaps": c.interpolate_gaps,

@@ -1,7 +1,8 @@
 """OP-81: batch scoring of a table of requested dates (and OP-05 responses).
 
 A request is (request_id, series_key, date text). Every request becomes one
-response row, bad input included (``status`` = missing_date / invalid_date).
+response row, bad input included (``status`` = missing_date / invalid_date /
+missing_series / unknown_series).
 
 All per-date context is precomputed once per series and equi-joined to the
 requests, never recomputed per request:
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from smogcast.functions.categories import aqi_category, category_color, category_name
 from smogcast.functions.scalars import round_half_up, safe_number
-from smogcast.operators import climatology, cleaning, distribution
+from smogcast.operators import climatology, distribution, splits
 from smogcast.operators import timeseries as ts
 from smogcast.plans.features import FEATURES, engineer_features
 from smogcast.sources.observations import WEATHER_COLS, to_date_col
@@ -43,24 +44,51 @@ def parse_requests(requests: DataFrame, date_col: str = "date") -> DataFrame:
                                  "status": status})
 
 
+def with_series_status(requests: DataFrame, obs: DataFrame) -> DataFrame:
+    """Valid dates of a NULL series become missing_series, those of a series
+    without observations unknown_series."""
+    known = obs.select("series_key").distinct().withColumnRenamed("series_key", "__k")
+    r = requests.join(known, requests["series_key"] == known["__k"], "left")
+    ok = F.col("status") == "ok"
+    return r.withColumn("status", F.when(ok & F.col("series_key").isNull(), F.lit("missing_series"))
+                        .when(ok & F.col("__k").isNull(), F.lit("unknown_series"))
+                        .otherwise(F.col("status"))).drop("__k")
+
+
+def _distribution(obs: DataFrame, by_month: bool) -> DataFrame:
+    """Statistics, slope and density curve per (series, month) or per series."""
+    on = ["series_key", "month"] if by_month else ["series_key"]
+    stats = distribution.month_stats(obs, by_month=by_month)
+    slope = distribution.month_trend_slope(obs, by_month=by_month)
+    if not by_month:
+        stats, slope = stats.drop("month"), slope.drop("month")
+    stats = stats.join(slope.drop("n_years"), on, "left")
+    points = (distribution.normal_pdf_points(stats).groupBy(*on)
+              .agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("__pts"))
+              .select(*on, F.transform("__pts", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("pdf")))
+    return stats.join(points, on, "left")
+
+
 def context_tables(obs: DataFrame) -> dict[str, DataFrame]:
-    """Everything the responses need, computed once from the observations."""
+    """Everything the responses need, computed once from the observations.
+
+    Feature gaps are filled with means of the training part (the first 70 % of
+    each series), as the model saw them; weather is kept unfilled beside them,
+    since responses show fixed defaults for missing weather."""
     serving = engineer_features(obs, training=False)
-    filled = cleaning.fill_with_means(serving, FEATURES, key="series_key")
+    train = splits.chronological_split(serving).where(F.col("split") == "train")
+    own = train.groupBy(F.col("series_key").alias("__k")).agg(*[F.avg(c).alias(f"__m_{c}") for c in FEATURES])
+    filled = (serving.withColumns({f"raw_{c}": F.col(c) for c in WEATHER_COLS})
+              .join(own, F.col("series_key") == F.col("__k"), "left")
+              .withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}"), F.lit(0.0)) for c in FEATURES})
+              .drop("__k", *[f"__m_{c}" for c in FEATURES]))
     trend = ts.preceding_context(obs.select("series_key", "Date", "AQI"))
     exact = filled.join(trend.select("series_key", "Date", "trend"), ["series_key", "Date"], "left")
     # bounded by series x 366 (+ month and series levels); read by three lookups
-    means = climatology.calendar_means(serving, FEATURES + ["AQI"]).persist()
-    stats = distribution.month_stats(obs).join(distribution.month_trend_slope(obs), ["series_key", "month"],
-                                               "left")
-    # whole-series statistics for requested months absent from a series
-    fallback = distribution.month_stats(obs, by_month=False).drop("month")
-    pdf = (distribution.normal_pdf_points(stats)
-           .groupBy("series_key", "month")
-           .agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("__pts"))
-           .select("series_key", "month",
-                   F.transform("__pts", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("pdf")))
-    return {"exact": exact, "means": means, "stats": stats, "pdf": pdf, "fallback": fallback}
+    means = materialize(climatology.calendar_means(serving, FEATURES + ["AQI"]))
+    return {"exact": exact, "means": means, "stats": _distribution(obs, True),
+            # for requested months without data
+            "fallback": _distribution(obs, False), "series": obs}
 
 
 def score_keys(keys: DataFrame, model, ctx: dict) -> DataFrame:
@@ -73,16 +101,18 @@ def score_keys(keys: DataFrame, model, ctx: dict) -> DataFrame:
     hit = keys.join(ex, ["series_key", "req_date"], "inner").withColumns({
         "is_future": F.lit(False),
         "actual_aqi": F.col("AQI"),
-        "weather": F.struct(*[safe_number(F.col(c), climatology.WEATHER_DEFAULTS[c]).alias(c)
+        "weather": F.struct(*[safe_number(F.col(f"raw_{c}"), climatology.WEATHER_DEFAULTS[c]).alias(c)
                               for c in WEATHER_COLS]),
         "trend": F.transform("trend", lambda t: F.struct(
             F.date_format(t["date"], "yyyy-MM-dd").alias("date"),
             safe_number(t["aqi"], climatology.TREND_DEFAULT).alias("aqi"),
-            t["category"].alias("category"), t["color"].alias("color"))),
+            category_name(aqi_category(safe_number(t["aqi"], climatology.TREND_DEFAULT))).alias("category"),
+            category_color(aqi_category(safe_number(t["aqi"], climatology.TREND_DEFAULT))).alias("color"))),
     })
 
     miss = keys.join(ex.select("series_key", "req_date"), ["series_key", "req_date"], "left_anti")
-    look = climatology.climatology_lookup(miss, ctx["means"], FEATURES + ["AQI"], date="req_date")
+    look = climatology.climatology_lookup(miss, ctx["means"], FEATURES + ["AQI"], date="req_date",
+                                          raw=tuple(WEATHER_COLS))
     tr = climatology.climatology_trend(miss, ctx["means"].where(F.col("level").isin("month_day", "month")),
                                        date="req_date")
     tcode = aqi_category(F.col("trend_aqi"))
@@ -96,7 +126,7 @@ def score_keys(keys: DataFrame, model, ctx: dict) -> DataFrame:
     look = look.join(tr, ["series_key", "req_date"], "left").withColumns({
         "is_future": F.lit(True),
         "actual_aqi": F.lit(None).cast("double"),
-        "weather": F.struct(*[safe_number(F.col(c), climatology.WEATHER_DEFAULTS[c]).alias(c)
+        "weather": F.struct(*[safe_number(F.col(f"raw_{c}"), climatology.WEATHER_DEFAULTS[c]).alias(c)
                               for c in WEATHER_COLS]),
     })
 
@@ -109,10 +139,9 @@ def score_keys(keys: DataFrame, model, ctx: dict) -> DataFrame:
     both = hit.select(*keep).unionByName(look.select(*keep)).transform(materialize)
     pred = model.predict(both)
 
-    stats = ctx["stats"].join(ctx["pdf"], ["series_key", "month"], "left")
-    pred = pred.withColumn("month", F.month("req_date")).join(stats, ["series_key", "month"], "left")
-    # month without data -> whole-series statistics (chosen by presence)
-    stat_cols = ["mean", "median", "mode", "variance", "std_dev"]
+    pred = pred.withColumn("month", F.month("req_date")).join(ctx["stats"], ["series_key", "month"], "left")
+    # month without data -> whole-series statistics, slope and curve (chosen by presence)
+    stat_cols = ["mean", "median", "mode", "variance", "std_dev", "trend_slope", "pdf"]
     fb = ctx["fallback"].select("series_key", *[F.col(c).alias(f"__f_{c}") for c in stat_cols])
     pred = pred.join(fb, "series_key", "left").withColumns({
         c: F.when(F.col("n").isNotNull(), F.col(c)).otherwise(F.col(f"__f_{c}")) for c in stat_cols})
@@ -144,7 +173,7 @@ def score_requests(requests: DataFrame, obs: DataFrame, model, ctx: dict | None
     and attached to the requests with one equi-join (AQE broadcasts the
     per-key table when small, or splits a hot key's partition when skewed)."""
     ctx = ctx or context_tables(obs)
-    req = parse_requests(requests)
+    req = with_series_status(parse_requests(requests), ctx["series"])
     ok = req.where(F.col("status") == "ok")
     per_key = score_keys(ok.select("series_key", "req_date").distinct(), model, ctx)
     resp = (ok.select("request_id", "series_key", "req_date", F.col("date_text").alias("date"), "status")

@@ -49,7 +49,7 @@ class TrainConfig:
     refit_on_val: bool = False
     seed: int = 42
     # variants of the reference's experiments
-    split_kind: str = "chronological"        # or "stratified" (15 % test, hash-based)
+    split_kind: str = "chronological"        # or "stratified" (15 % of each class is test)
     weight_kind: str = "weight_scaled"       # balanced x base cost; or "weight_boosted"
     calibrate: bool = True                   # isotonic on validation (needs a val part)
     tune_on: str = "val"                     # part the thresholds are tuned on
@@ -57,7 +57,6 @@ class TrainConfig:
     tune_start: float = th.GRID_START
     tune_stop: float = th.GRID_STOP
     fixed_thresholds: tuple | None = None    # e.g. ((2, 3, 0.585),): no tuning
-    calibration_bins: int | None = None      # bound the isotonic fit's driver-side input
 
 
 def stage2_probs(model, df: DataFrame) -> DataFrame:
@@ -177,8 +176,7 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
         forest = fit_forest(weighted, s2_features, LABEL, "weight", cfg.forest_trees, cfg.forest_depth, cfg.seed)
     probs = stage2_probs(forest, s1)
     if cfg.calibrate:
-        calibrator = IsotonicCalibrator.fit(probs.where(F.col("split") == "val"), "probs", LABEL,
-                                            bins=cfg.calibration_bins)
+        calibrator = IsotonicCalibrator.fit(probs.where(F.col("split") == "val"), "probs", LABEL)
         cal = calibrator.transform(probs, "probs", "cal_probs").transform(materialize)
     else:
         calibrator = None

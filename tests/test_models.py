@@ -25,18 +25,20 @@ def test_isotonic_fixture(spark):
         assert sum(r["cal_probs"]) == pytest.approx(1.0)
 
 
-def test_isotonic_binned_equals_exact_on_grid_values(spark):
-    """When probabilities already lie on the grid, the binned (weighted) fit
-    equals the exact fit."""
+def test_isotonic_grouping_equals_the_fit_of_all_rows(spark):
+    """Equal probabilities are grouped before the fit; MLlib on all rows gives the same."""
+    from pyspark.ml.regression import IsotonicRegression
     from smogcast.ml.stage2 import IsotonicCalibrator
     rng = np.random.default_rng(4)
     x = rng.integers(0, 21, size=400) / 20.0
     y = (rng.uniform(size=400) < x).astype(int)
     rows = [([float(v), 1.0 - float(v), 0.0, 0.0, 0.0, 0.0], 0 if t else 1) for v, t in zip(x, y)]
     df = spark.createDataFrame(rows, "probs array<double>, y int")
-    a = IsotonicCalibrator.fit(df, "probs", "y").transform(df, "probs").select("cal_probs").collect()
-    b = IsotonicCalibrator.fit(df, "probs", "y", bins=20).transform(df, "probs").select("cal_probs").collect()
-    assert np.allclose(np.array([r[0] for r in a]), np.array([r[0] for r in b]), atol=1e-12)
+    own = IsotonicCalibrator.fit(df, "probs", "y").models[0]
+    flat = spark.createDataFrame([(float(v), float(t)) for v, t in zip(x, y)], "x double, t double")
+    every = IsotonicRegression(featuresCol="x", labelCol="t").fit(flat)
+    for v in np.linspace(0, 1, 41):
+        assert abs(own.predict(float(v)) - every.predict(float(v))) < 1e-12
 
 
 def test_ridge_equals_closed_form(spark):

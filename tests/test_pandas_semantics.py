@@ -56,14 +56,31 @@ def test_rolling_shift_diff_match_pandas(spark, seed):
 @pytest.mark.parametrize("seed", [3, 4])
 def test_ewm_matches_pandas(spark, seed):
     df, exp = _frame(spark, seed, n=300)
-    w = ts.series_window()
-    out = df.withColumns({"inc": ts.ewm_mean("AQI", 7, w, True), "exc": ts.ewm_mean("AQI", 7, w, False)}).cache()
+    out = ts.add_ewm(df, "AQI", {"inc": True, "exc": False}).cache()
     for k, s in exp.items():
         e = s.ewm(span=7, adjust=False).mean()
         _same(_got(out, "inc", k), e.tolist(), 1e-12)
         _same(_got(out, "exc", k), e.shift(1).tolist(), 1e-12)
 
 
+@pytest.mark.parametrize("share", [0.1, 0.6, 0.97])
+def test_ewm_decays_across_nulls_as_pandas_does(spark, share):
+    rng = np.random.default_rng(int(share * 100))
+    rows, exp = [], {}
+    for k in ("A", "B"):
+        v = pd.Series(np.where(rng.uniform(size=400) < share, np.nan, rng.uniform(20, 400, 400).round(2)))
+        exp[k] = v
+        rows += [(k, d, None if np.isnan(x) else float(x)) for d, x in zip(pd.date_range("2020-01-01", periods=400).date, v)]
+    rows += [("C", d, None) for d in pd.date_range("2020-01-01", periods=5).date]
+    exp["C"] = pd.Series([np.nan] * 5)
+    out = ts.add_ewm(spark.createDataFrame(rows, "series_key string, Date date, AQI double"), "AQI",
+                     {"inc": True, "exc": False}).cache()
+    for k, s in exp.items():
+        e = s.ewm(span=7, adjust=False).mean()
+        _same(_got(out, "inc", k), e.tolist(), 1e-9)
+        _same(_got(out, "exc", k), e.shift(1).tolist(), 1e-9)
+
+
 def test_month_stats_and_slope_match_pandas(spark):
     from smogcast.operators import distribution
     from smogcast.sources import binding

@@ -108,3 +108,27 @@ def test_stream_restart_processes_only_new_files(spark, trained):
     ids = sorted(r.request_id for r in out.select("request_id").collect())
     assert ids == [1, 2, 3, 4]
     assert out.select("batch_id").distinct().count() == 2
+
+
+def test_gaps_months_and_series_without_data(spark, trained):
+    """Weather defaults, whole-series statistics, filled trend categories and series status."""
+    import datetime as dt
+
+    from smogcast.plans.scoring import score_requests
+    start, rows = dt.date(2020, 1, 1), []
+    for i in range(400):
+        d = start + dt.timedelta(days=i)
+        if d.month == 6:
+            continue
+        rows.append(("A", d, None if i in (20, 21) else 60.0 + (i * 7) % 200, None if i == 25 else 10.0, 50.0, 1.0, 5.0, 1000.0))
+    obs = spark.createDataFrame(rows, "series_key string, Date date, AQI double, temp double, humidity double, "
+                                      "precip double, windspeed double, sealevelpressure double")
+    req = spark.createDataFrame([(1, "A", "2020-01-26"), (2, "A", "2020-06-10"), (3, None, "2020-01-26"), (4, "X", "2020-01-26"),
+                                 (5, "A", "bad")], "request_id long, series_key string, date string")
+    got = {r.request_id: r for r in score_requests(req, obs, trained.model).collect()}
+    assert {k: r.status for k, r in got.items()} == {1: "ok", 2: "ok", 3: "missing_series", 4: "unknown_series", 5: "invalid_date"}
+    assert got[1].weather.temp == 25.0 and got[1].weather.humidity == 50.0 and got[1].is_future is False
+    gap = [t for t in got[1].trend if t.date == "2020-01-21"][0]
+    assert (gap.aqi, gap.category) == (150.0, "Moderate")
+    assert got[2].is_future and len(got[2].stats.pdf) == 40 and got[2].stats.trend_slope != 0.0
+    assert got[3].predicted_aqi is None and got[4].predicted_aqi is None

@@ -78,7 +78,7 @@ def test_cleaning_helpers(spark):
 
 
 def test_event_proximity(spark):
-    ev = joins.festival_events(spark)
+    ev = spark.createDataFrame([(dt.date(2020, 11, 14),), (dt.date(2021, 11, 4),)], "event_date date")
     df = spark.createDataFrame([(dt.date(2020, 11, 13),), (dt.date(2020, 11, 16),), (dt.date(2021, 11, 5),)],
                                "Date date")
     got = [r.near_event for r in joins.flag_near_events(df, ev).orderBy("Date").collect()]

@@ -43,8 +43,17 @@ def test_stratified_split_reproducible_under_repartition(spark):
     a = splits.stratified_split(df, "y").orderBy("Date").select("split").collect()
     b = splits.stratified_split(df.repartition(7), "y").orderBy("Date").select("split").collect()
     assert a == b
-    share = sum(1 for r in a if r.split == "test") / len(a)
-    assert 0.10 < share < 0.20
+    both = splits.stratified_split(df, "y").groupBy("y").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("split") == "test").cast("int")).alias("t")).collect()
+    assert all((r.n, r.t) == (100, 15) for r in both)
+
+
+def test_stratified_split_keeps_rare_and_null_classes(spark):
+    rows = [("A", d, 0 if i % 50 else None) for i, d in enumerate(days(500))] + [("B", d, 7) for d in days(3)]
+    df = spark.createDataFrame(rows, "series_key string, Date date, y int")
+    out = splits.stratified_split(df, "y").groupBy("y").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("split") == "test").cast("int")).alias("t")).collect()
+    assert {(r.y, r.n, r.t) for r in out} == {(0, 490, 74), (None, 10, 2), (7, 3, 0)}
 
 
 def test_class_weights_balanced(spark):

@@ -27,8 +27,8 @@ def test_f6_lag_roll_diff_spike(series_df):
         "lag2": ts.lag_col("AQI", 2, w),
         **ts.rolling_columns("AQI", [3], w),
         **ts.diff_columns("AQI", w),
-        "ewm": ts.ewm_mean("AQI", 7, w, include_current=True),
     })
+    df = ts.add_ewm(df, "AQI", {"ewm": True})
     close(col(df, "lag2"), [None, None, 40, 60, 120, 180, 250, 350])
     close(col(df, "AQI_roll_mean_3"), [None, None, None, 73.333333, 120, 183.333333, 260, 350])
     close(col(df, "AQI_roll_std_3"), [None, None, None, 41.633320, 60, 65.064071, 85.440037, 100])
@@ -39,8 +39,7 @@ def test_f6_lag_roll_diff_spike(series_df):
 
 
 def test_ewm_exclusive_is_previous_inclusive(series_df):
-    w = ts.series_window()
-    df = series_df.withColumns({"inc": ts.ewm_mean("AQI", 7, w, True), "exc": ts.ewm_mean("AQI", 7, w, False)})
+    df = ts.add_ewm(series_df, "AQI", {"inc": True, "exc": False})
     inc, exc = col(df, "inc"), col(df, "exc")
     assert exc[0] is None
     close(exc[1:], inc[:-1], 1e-12)
@@ -49,7 +48,7 @@ def test_ewm_exclusive_is_previous_inclusive(series_df):
 def test_ewm_bounded_frame_equals_recursion(spark):
     vals = [float((i * 37) % 101) for i in range(400)]
     df = spark.createDataFrame([("A", d, v) for d, v in zip(days(400), vals)], "series_key string, Date date, AQI double")
-    got = col(df.withColumn("e", ts.ewm_mean("AQI", 7, ts.series_window())), "e")
+    got = col(ts.add_ewm(df, "AQI", {"e": True}), "e")
     y, exp = None, []
     for v in vals:
         y = v if y is None else 0.75 * y + 0.25 * v
@@ -115,12 +114,10 @@ def test_feature_table_invariant_under_repartitioning(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_chunked_path_exact_and_auto_choice(spark):
+def test_chunked_path_exact(spark):
     from smogcast.plans import features as fx
     from smogcast.sources import binding
     obs = binding.observations(spark, "/root/testdata/sf0.001")
     plain = fx.engineer_features(obs, training=False)
     chunked = fx.engineer_features(obs, training=False, chunk_rows=140)
     assert plain.exceptAll(chunked).count() == 0 and chunked.exceptAll(plain).count() == 0
-    assert fx.auto_chunk_rows(obs) is None                 # short series: plain windows
-    assert fx.auto_chunk_rows(obs, limit=150) == 150       # long series: chunked
