@@ -108,4 +108,5 @@ def judged(docs: DataFrame, limit: float = LIMIT, z: float = Z) -> DataFrame:
 
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(common.table(spark, sf_dir, "documents")).select(
-        "doc_id", *COUNTS, "base_failed", "kept", "host_rate")
+        "doc_id", *COUNTS, "base_failed", "kept",
+        (F.floor(F.col("host_rate") * 1048576.0 + 0.5) / 1048576.0).alias("host_rate"))

@@ -7,6 +7,7 @@ from smogcast.llm.brown import op8_brown
 from smogcast.llm.host_rules import op5_host_rules
 from smogcast.llm.mixing import op9_mixing
 from smogcast.llm.nbsvm import op4_nbsvm
+from smogcast.llm.oracle import SQL
 from smogcast.llm.packing import op6_packing
 from smogcast.llm.pii_crf import op2_pii_crf
 from smogcast.llm.secrets_cnn import op1_secrets_cnn
@@ -28,4 +29,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]

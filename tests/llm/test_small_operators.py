@@ -328,7 +328,7 @@ def test_secret_network(spark, docs):
     fresh = [secrets_cnn.window(*v) for v in ((f"{_noise(rng, 9)} password={key(18)} {_noise(rng, 9)}",) for _ in range(40))
              for v in [(v[0], v[0].index("=") + 1, v[0].index("=") + 19)]]
     hosts = [secrets_cnn.window(t, *secrets_cnn.candidates(t, [])[0]) for t in (
-        f"{_noise(rng, 9)} host{i}.example.com/{i} {_noise(rng, 9)}" for i in range(200, 240))]
+        f"{_noise(rng, 9)} host{i}.example.com/{rng.choice('abc')}{i} room-2{i}-floor {_noise(rng, 5)}" for i in range(150, 190))]
     assert (net.probability(fresh) >= net.threshold).mean() >= 0.8
     assert (net.probability(hosts) >= net.threshold).mean() <= 0.1
     new = [f"{_noise(rng, 20)} the key is x{key(22)} {_noise(rng, 9)}" for _ in range(30)]
