@@ -15,13 +15,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def finite_or_null(x) -> Column:
-    """NULL unless a finite double. Spark keeps NaN as a value (and NaN > 50
-    is true in Spark), so NaN must be turned into NULL at the source."""
-    v = _c(x).cast("double")
-    return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
-
-
 def safe_number(x, default) -> Column:
     """OP-12: null / NaN / +-inf / uncastable text -> ``default``."""
     v = _c(x).try_cast("double")

@@ -30,13 +30,13 @@ def assembler(features: list[str], out: str = "features") -> VectorAssembler:
 def fit_gbt(df: DataFrame, features: list[str], label: str, max_iter: int = 20, depth: int = 5,
             step: float = 0.1, subsample: float = 0.8, seed: int = 42,
             pred: str = "pred_gbt") -> PipelineModel:
-    """OP-69: boosted regression trees (squared loss). Depth, step size and
-    row subsampling map one-to-one; leaf count and L1/L2 terms have no MLlib
+    """OP-69: boosted regression trees (squared loss). Depth, step size, row
+    and column subsampling map one-to-one; leaf count and L1/L2 terms have no MLlib
     counterpart."""
     from pyspark.ml import Pipeline
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol=pred, maxIter=max_iter,
                        maxDepth=depth, stepSize=step, subsamplingRate=subsample,
-                       featureSubsetStrategy="all", seed=seed, maxBins=64)
+                       featureSubsetStrategy="0.8", seed=seed, maxBins=64)
     return Pipeline(stages=[assembler(features), gbt]).fit(df)
 
 

@@ -42,10 +42,6 @@ def fill_with_means(df: DataFrame, cols: list[str], key: str | None = "series_ke
     })
 
 
-def fill_with_constants(df: DataFrame, defaults: dict[str, float]) -> DataFrame:
-    return df.na.fill(defaults)
-
-
 def where_date(df: DataFrame, date_col: str = "Date", equals=None, before=None,
                month: int | None = None, day: int | None = None) -> DataFrame:
     """OP-13: date equality / order / month / day predicates (pushed to scans)."""

@@ -10,8 +10,6 @@ from smogcast.functions.scalars import argmax_index
 # --- fixed values -----------------------------------------------------------
 # Adjacent class boundaries, applied in this order.
 BOUNDARIES = [(1, 2), (2, 3), (3, 4), (4, 5)]
-BOUNDARY_NAMES = ["Satisfactory -> Moderate", "Moderate -> Poor", "Poor -> Very Poor",
-                  "Very Poor -> Severe"]
 # Threshold grid: 90 evenly spaced points from 0.05 to 0.95 inclusive.
 GRID_START, GRID_STOP, GRID_NUM = 0.05, 0.95, 90
 REL_EPS = 1e-9

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from smogcast.functions import calendar as cal
 from smogcast.functions.categories import aqi_category, with_category_info
 from smogcast.functions.scalars import (alarm, argmax_index, clip, exp_target, log_target, quantize,
-                                        safe_number, trend_label)
+                                        safe_number, signed_text, trend_label)
 from smogcast.operators import cleaning, climatology, distribution, joins, metrics, splits
 from smogcast.operators import thresholds as th
 from smogcast.operators import timeseries as ts
@@ -186,6 +186,43 @@ def aqi_category_query(spark, sf_dir):
     return finish(o.select("series_key", "Date", "code", "category_name", "color", "advice_title"))
 
 
+def rename_columns(spark, sf_dir):
+    """OP-07: the forecaster's names."""
+    o = cleaning.rename(binding.forecast_input(spark, sf_dir), {"date": "ds", "aqi": "y"})
+    return finish(o.select("series_key", "ds", "y", "is_stubble_burning"))
+
+
+def selected_features(spark, sf_dir):
+    """OP-08: every column of the serving table but the deny-list, with its number of values."""
+    from smogcast.plans.features import select_features
+    f = engineer_features(obs(spark, sf_dir), training=False)
+    names = select_features(f)
+    return f.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "feature", "n_values")
+
+
+def drop_missing_days(spark, sf_dir):
+    """OP-10: rows with a value, whatever the weather holds."""
+    o = cleaning.drop_any_null(binding.sparse_readings_masked(spark, sf_dir), subset=["AQI"])
+    return finish(o.select("series_key", "Date", "AQI", "temp"))
+
+
+def date_filter(spark, sf_dir):
+    """OP-13: a month and day in every year before a date."""
+    o = cleaning.where_date(obs(spark, sf_dir), before="1997-01-01", month=3, day=15)
+    return finish(o.select("series_key", "Date", "AQI"))
+
+
+def row_slice(spark, sf_dir):
+    """OP-16: rows 10 to 24 of each series."""
+    return finish(cleaning.row_slice(obs(spark, sf_dir), 10, 25).select("series_key", "Date", "AQI"))
+
+
+def trend_text(spark, sf_dir):
+    """OP-41: the whole part of each month's slope as signed text."""
+    s = distribution.month_trend_slope(obs(spark, sf_dir))
+    return s.select("series_key", "month", signed_text(F.floor("trend_slope").cast("long")).alias("slope_text"))
+
+
 def clip_values(spark, sf_dir):
     m = binding.sparse_readings_masked(spark, sf_dir).select("series_key", "Date", "AQI")
     raw = F.col("AQI") * F.lit(1.2) - F.lit(30.0)

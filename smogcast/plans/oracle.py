@@ -202,6 +202,27 @@ SQL["aqi_category"] = with_obs(
     f'list_extract({_list([a[1] for a in ADVICE])}, code + 1) AS advice_title '
     f'FROM (SELECT series_key, "Date", {category_sql("AQI")} AS code FROM obs)')
 
+SQL["rename_columns"] = with_obs(
+    f'SELECT series_key, "Date" AS ds, {r6("AQI")} AS y, '
+    'CAST((month("Date") = 10 AND day("Date") >= 15) OR (month("Date") = 11 AND day("Date") <= 15) AS INTEGER) '
+    "AS is_stubble_burning FROM obs")
+SQL["selected_features"] = with_obs(
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n_values FROM feat" for c in FEATURE_NAMES),
+    extra=f"feat AS ({feature_select('obs')})")
+SQL["drop_missing_days"] = with_obs(
+    f'SELECT series_key, "Date", {r6("AQI")} AS AQI, {r6("temp")} AS temp FROM masked WHERE AQI IS NOT NULL')
+SQL["date_filter"] = with_obs(
+    f'SELECT series_key, "Date", {r6("AQI")} AS AQI FROM obs '
+    "WHERE \"Date\" < DATE '1997-01-01' AND month(\"Date\") = 3 AND day(\"Date\") = 15")
+SQL["row_slice"] = with_obs(
+    f'SELECT series_key, "Date", {r6("AQI")} AS AQI FROM obs '
+    'QUALIFY row_number() OVER (PARTITION BY series_key ORDER BY "Date") BETWEEN 11 AND 25')
+SQL["trend_text"] = with_obs(
+    "SELECT series_key, CAST(m AS INTEGER) AS month, CASE WHEN f > 0 THEN '+' ELSE '' END || CAST(CAST(f AS BIGINT) AS VARCHAR) "
+    "AS slope_text FROM (SELECT series_key, m, floor(CASE WHEN count(*) > 1 THEN regr_slope(ym, CAST(yr AS DOUBLE)) ELSE 0 END) AS f "
+    "FROM y GROUP BY 1, 2)",
+    extra='y AS (SELECT series_key, month("Date") AS m, year("Date") AS yr, avg(AQI) AS ym FROM obs GROUP BY 1, 2, 3)')
+
 _raw = "(AQI * 1.2::DOUBLE - 30.0::DOUBLE)"
 SQL["clip_values"] = with_obs(
     'SELECT series_key, "Date", '

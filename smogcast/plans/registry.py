@@ -31,6 +31,13 @@ QUERIES = {
     # cleaning, feature pipeline (OP-09 .. OP-11, OP-79)
     "feature_table": c.feature_table,
     "clean_drop_fill": c.clean_drop_fill,
+    # small helpers on their own (OP-07, 08, 10, 13, 16, 41)
+    "rename_columns": c.rename_columns,
+    "selected_features": c.selected_features,
+    "drop_missing_days": c.drop_missing_days,
+    "date_filter": c.date_filter,
+    "row_slice": c.row_slice,
+    "trend_text": c.trend_text,
 }
 
 QUERIES.update({
