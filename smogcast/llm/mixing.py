@@ -122,13 +122,18 @@ def _first_words(batches):
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed rows: whole copies of every document, then fractional ones cut after their taken words."""
-    d = common.numbered(docs, "doc_id", "source", "text")
-    plan = taken(d, "_row", **options).select("_row", "whole", F.col("part").cast("int").alias("_last"))
+    """The mixed rows: whole copies of every document, then fractional ones cut after their taken words.
+
+    What is taken of a row follows from its source's plan, so texts stay where they
+    are; only those of the buckets that hold a source's end are moved and ranked.
+    """
+    d = common.own_names(docs, "doc_id", "source", "text")
+    names = d.columns
+    plan = taken(d, *[c for c in names if c not in ("doc_id", "source")], **options)
+    last = F.col("part").cast("int")
     copies = F.concat(F.array_repeat(F.lit(-1), F.col("whole").cast("int")),
-                      F.when(F.col("_last") > 0, F.array("_last")).otherwise(F.array().cast("array<int>")))
-    names = [c for c in d.columns if c != "_row"]
-    rows = d.join(plan, "_row").select(*names, F.explode(copies).alias("_part"))
+                      F.when(last > 0, F.array(last)).otherwise(F.array().cast("array<int>")))
+    rows = plan.select(*names, F.explode(copies).alias("_part"))
     return rows.mapInArrow(_first_words, rows.drop("_part").schema).toDF(*docs.columns)
 
 

@@ -162,7 +162,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     n = marked.where(fold("_id") != 0).count()
     if n > sample:
         marked = marked.where(F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * sample / n))
-    got = rows.join(marked, F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text").mapInArrow(
+    # (marked holds about ``sample`` rows at most, so it may be broadcast)
+    got = rows.join(F.broadcast(marked), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text").mapInArrow(
         _features, T.StructType([rows.schema["doc_id"], T.StructField("label", T.IntegerType()),
                                  T.StructField("places", T.BinaryType())])).toPandas()
     got = got.assign(k=[zlib.crc32(p) for p in got.places]).sort_values(["k", "doc_id"], kind="stable")

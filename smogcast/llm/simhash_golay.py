@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smogcast.llm import common
+from smogcast.llm.bloom import without
 
 SHINGLE, BITS, SEED = 3, 2, 42
 HOT = 64
@@ -187,9 +188,11 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
     d = common.numbered(docs, "doc_id", "text")
     f = common.stored(fingerprints(d, shingle, "_row"))
     each = common.stored(f.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    one = f.join(_groups(each, bits), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
-        "group").agg(F.min("_row").alias("_row"))
-    return d.join(common.stored(one.select("_row")), "_row", "left_semi").drop("_row").toDF(*docs.columns)
+    member = common.stored(f.join(_groups(each, bits), "fp").select(
+        "_row", "group", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("least")))
+    one = member.where("least").groupBy("group").agg(F.min("_row").alias("_row"))
+    others = common.stored(member.join(one.select("_row"), "_row", "left_anti").select("_row"))
+    return without(d, others, "_row").drop("_row").toDF(*docs.columns)
 
 
 def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
