@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from smogcast.llm import common
 
 COSINE = 0.93
-SHARD, LARGEST, OVERLAP, PIVOTS, WIDTH = 500, 2000, 3, 20_000, 8
+SHARD, LARGEST, OVERLAP, PIVOTS, WIDTH = 80, 600, 3, 20_000, 8
 DEGREE, POOL, ALPHA, BEAM = 20, 64, 1.2, 16
 AUDIT, LEAST_RECALL, SEED = 256, 0.95, 5
 
