@@ -3,7 +3,9 @@
 Equal vectors of a label are one node. The nodes of a (label, dimension) are a
 shard; a shard above ``LARGEST`` nodes draws pivots from them, about one per
 ``SHARD`` and ``PIVOTS`` in all at a time, and a node goes to the shards of its
-``overlap`` nearest pivots, again and again until shards are small. Each shard
+``overlap`` nearest pivots, again and again until shards are small. No two pivots
+of a shard are linked, so a group of near-equal vectors keeps one pivot and stays
+together; only above ``WHOLE`` nodes do linked pivots split it too. Each shard
 builds a flat graph with robust pruning, the adjacency lists of a node's shards
 are united, and in every shard all members are searched greedily from the medoid
 over the united lists; nodes in range are expanded until no new one is found.
@@ -33,6 +35,7 @@ from smogcast.llm import common
 
 COSINE = 0.93
 SHARD, LARGEST, OVERLAP, PIVOTS, WIDTH = 80, 600, 3, 20_000, 8
+WHOLE = 8 * LARGEST
 DEGREE, POOL, ALPHA, BEAM = 20, 64, 1.2, 16
 AUDIT, LEAST_RECALL, SEED = 256, 0.95, 5
 
@@ -79,26 +82,52 @@ def _nearest(pivots, overlap):
     return run
 
 
-def _deal(rows: DataFrame, sizes: dict[str, int], overlap: int, level: int) -> DataFrame:
+def unlinked(p: np.ndarray, cosine: float) -> np.ndarray:
+    """Rows of ``p`` in their order, without those linked to an earlier row that stays."""
+    kept = p[:0]
+    for a in range(0, len(p), 512):
+        new = p[a:a + 512]
+        if len(kept):
+            new = new[(new @ kept.T).max(1) < cosine]
+        near, alive = new @ new.T >= cosine, np.ones(len(new), bool)
+        for i in range(len(new)):
+            if alive[i]:
+                alive[i + 1:] &= ~near[i, i + 1:]
+        kept = np.concatenate([kept, new[alive]])
+    return kept
+
+
+def _pivots(drawn: list, n: int, overlap: int, cosine: float) -> np.ndarray | None:
+    """Pivots of a shard of ``n`` nodes; None if it stays whole, being one group of near-equal vectors or two."""
+    if not drawn:
+        return None
+    p = _matrix(pa.array(drawn))
+    apart = unlinked(p, cosine)
+    if len(apart) > overlap:
+        return apart
+    return p if n > WHOLE else None
+
+
+def _deal(rows: DataFrame, sizes: dict[str, int], overlap: int, level: int, cosine: float) -> DataFrame:
     """Split the shards named in ``sizes`` by pivots of their own, about ``PIVOTS`` in all."""
     most = PIVOTS // len(sizes)
     share = F.create_map(*[F.lit(x) for s, n in sizes.items()
                            for x in (s, min(1.0, 1.2 * min(most, max(4 * overlap, -(-n // SHARD))) / n))])
     chance = F.pmod(F.xxhash64("node", F.lit(SEED + level)), F.lit(1 << 40)) / float(1 << 40)
     drawn = rows.where(chance < share[F.col("shard")]).select("shard", "node", "vec").collect()
-    pivots: dict = {}
+    by_shard: dict = {}
     for r in sorted(drawn, key=lambda r: (r["shard"], r["node"])):
-        pivots.setdefault(r["shard"], []).append(r["vec"])
-    table = {s: ([f"{s}/{j}" for j in range(len(pivots.get(s, ())) or 1)],
-                 _matrix(pa.array(pivots[s])) if s in pivots else None) for s in sizes}
+        by_shard.setdefault(r["shard"], []).append(r["vec"])
+    pivots = {s: _pivots(by_shard.get(s, []), n, overlap, cosine) for s, n in sizes.items()}
+    table = {s: ([f"{s}/{j}" for j in range(1 if p is None else len(p))], p) for s, p in pivots.items()}
     return rows.mapInArrow(_nearest(table, overlap), rows.schema)
 
 
-def shards(n: DataFrame, overlap: int = OVERLAP) -> DataFrame:
+def shards(n: DataFrame, overlap: int = OVERLAP, cosine: float = COSINE) -> DataFrame:
     """(shard, node, vec): overlapping shards of at most about ``LARGEST`` nodes.
 
-    A shard is split while its parts are clearly smaller; one of near-equal
-    vectors that pivots can't part stays whole.
+    A shard is split while its parts are clearly smaller. A group of near-equal
+    vectors stays whole up to ``WHOLE`` nodes.
     """
     rows = n.select(F.concat_ws("/", F.col("label").cast("string"), "dim").alias("shard"), "node", "vec")
     parts, parents, level = [], {}, 0
@@ -112,7 +141,7 @@ def shards(n: DataFrame, overlap: int = OVERLAP) -> DataFrame:
         names, step, dealt = sorted(big), max(1, PIVOTS // (4 * overlap)), []
         for a in range(0, len(names), step):
             some = {s: big[s] for s in names[a:a + step]}
-            dealt.append(_deal(rows.where(F.col("shard").isin(list(some))), some, overlap, level))
+            dealt.append(_deal(rows.where(F.col("shard").isin(list(some))), some, overlap, level, cosine))
         rows = common.stored(reduce(DataFrame.union, dealt))
         parents, level = big, level + 1
     return common.stored(reduce(DataFrame.union, parts, rows))
@@ -222,7 +251,7 @@ def _search(cosine):
 
 def found_links(n: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP) -> DataFrame:
     """Distinct verified links (src, dst) between nodes."""
-    parts = shards(n, overlap)
+    parts = shards(n, overlap, cosine)
     lists = parts.groupBy("shard").applyInArrow(_build, "node long, near array<long>")
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     ready = common.stored(parts.join(united, "node").select("shard", "node", "vec", "near"))

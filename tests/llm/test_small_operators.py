@@ -427,6 +427,36 @@ def _vectors(spark):
     return rows, spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, node string").repartition(3)
 
 
+def test_pivots_are_not_linked():
+    rng = np.random.default_rng(8)
+    p = np.concatenate([rng.normal(size=(700, 12)), rng.normal(size=12) + rng.normal(size=(600, 12)) * 0.05])
+    p = p[rng.permutation(len(p))] / 1.0
+    p /= np.linalg.norm(p, axis=1)[:, None]
+    want: list = []
+    for x in p:
+        if all(x @ y < 0.93 for y in want):
+            want.append(x)
+    assert np.array_equal(vector_graph.unlinked(p, 0.93), np.array(want)) and len(want) < 720
+
+
+@pytest.mark.parametrize("whole,together", [(400, True), (100, False)])
+def test_dense_groups_stay_together_up_to_a_bound(spark, monkeypatch, whole, together):
+    for name, value in (("SHARD", 10), ("LARGEST", 60), ("WHOLE", whole)):
+        monkeypatch.setattr(vector_graph, name, value)
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=24)
+    x = np.concatenate([rng.normal(size=(300, 24)), centre + rng.normal(size=(200, 24)) * 0.1])
+    df = spark.createDataFrame([(i, [float(c) for c in v], 0) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<float>, label int")
+    n = common.stored(vector_graph.nodes(df))
+    rows = vector_graph.shards(n).join(n.select("node", "first"), "node").select("shard", "first").collect()
+    members = collections.defaultdict(set)
+    for r in rows:
+        members[r["shard"]].add(r["first"])
+    assert set().union(*members.values()) == set(range(500))
+    assert any(set(range(300, 500)) <= m for m in members.values()) == together
+
+
 @pytest.mark.parametrize("shard,largest", [(500, 2000), (40, 90)])
 def test_vector_links(spark, monkeypatch, shard, largest):
     monkeypatch.setattr(vector_graph, "SHARD", shard)
