@@ -9,7 +9,8 @@ together; only above ``WHOLE`` nodes do linked pivots split it too. Each shard
 builds a flat graph with robust pruning, the adjacency lists of a node's shards
 are united, and in every shard all members are searched greedily from the medoid
 over the united lists; nodes in range are expanded until no new one is found.
-Links are verified in double precision.
+Links are verified in double precision. Components are taken over a spanning
+forest of each shard's links, which grows with its nodes, not with its links.
 
 The recall of every run is audited: ``AUDIT`` nodes or so, chosen by hash, are
 compared with all rows in blocks; below ``LEAST_RECALL`` the build is repeated
@@ -226,6 +227,28 @@ def search(x: np.ndarray, near: np.ndarray, queries: np.ndarray, start: int, cos
     return queries[r], c, dots[r, c]
 
 
+def forest(src: np.ndarray, dst: np.ndarray, m: int) -> np.ndarray:
+    """Mask of the distinct links (src, dst) among ``m`` nodes that form a spanning forest of them."""
+    ends, others = np.concatenate([src, dst]), np.concatenate([dst, src])
+    order = np.argsort(ends, kind="stable")
+    others, link = others[order], order % max(1, len(src))
+    first = np.searchsorted(ends[order], np.arange(m + 1))
+    seen, mask = np.zeros(m, bool), np.zeros(len(src), bool)
+    for root in range(m):
+        if seen[root]:
+            continue
+        seen[root] = True
+        todo = [root]
+        while todo:
+            i = todo.pop()
+            at = np.arange(first[i], first[i + 1])
+            at = at[~seen[others[at]]]
+            seen[others[at]] = True
+            mask[link[at]] = True
+            todo += others[at].tolist()
+    return mask
+
+
 def _search(cosine):
     def run(key, rows):
         names, x = rows.column("node").to_numpy(), _matrix(rows.column("vec"))
@@ -240,22 +263,23 @@ def _search(cosine):
         for a in range(0, len(x), 128):
             q, found, _ = search(x, near, np.arange(a, min(a + 128, len(x))), start, cosine)
             ok = q != found
-            src.append(names[q[ok]])
-            dst.append(names[found[ok]])
+            src.append(q[ok])
+            dst.append(found[ok])
         s, d = np.concatenate(src), np.concatenate(dst)
-        low, high = np.minimum(s, d), np.maximum(s, d)
-        both = np.unique(np.stack([low, high], 1), axis=0) if len(low) else np.zeros((0, 2), np.int64)
-        return pa.table({"src": both[:, 0], "dst": both[:, 1]})
+        s, d = np.divmod(np.unique(np.minimum(s, d) * len(x) + np.maximum(s, d)), len(x))
+        a, b = names[s], names[d]
+        return pa.table({"src": np.minimum(a, b), "dst": np.maximum(a, b), "tree": forest(s, d, len(x))})
     return run
 
 
 def found_links(n: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP) -> DataFrame:
-    """Distinct verified links (src, dst) between nodes."""
+    """Distinct verified links (src, dst, tree) between nodes; those of a ``tree`` connect the same nodes as all."""
     parts = shards(n, overlap, cosine)
     lists = parts.groupBy("shard").applyInArrow(_build, "node long, near array<long>")
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     ready = common.stored(parts.join(united, "node").select("shard", "node", "vec", "near"))
-    return common.stored(ready.groupBy("shard").applyInArrow(_search(cosine), "src long, dst long").distinct())
+    found = ready.groupBy("shard").applyInArrow(_search(cosine), "src long, dst long, tree boolean")
+    return common.stored(found.groupBy("src", "dst").agg(F.max("tree").alias("tree")))
 
 
 def _compare(queries, cosine):
@@ -290,7 +314,7 @@ def audit(n: DataFrame, links: DataFrame, cosine: float = COSINE, sample: int =
     queries = {s: (np.array([i for i, _ in q]), _matrix(pa.array([v for _, v in q]))) for s, q in queries.items()}
     true = own.mapInArrow(_compare(queries, cosine), "src long, dst long").select(
         F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-    hit = links.withColumn("hit", F.lit(1))
+    hit = links.select("src", "dst", F.lit(1).alias("hit"))
     there, got = true.join(hit, ["src", "dst"], "left").agg(F.count(F.lit(1)), F.count("hit")).first()
     return got / there if there else 1.0
 
@@ -305,10 +329,10 @@ def linked(vectors: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP) -
         if recall >= LEAST_RECALL or overlap >= 24:
             break
         overlap *= 2
-    both = links.union(links.select("dst", "src"))
+    both = links.select("src", "dst").union(links.select("dst", "src"))
     sums = both.join(n.select(F.col("node").alias("dst"), "copies"), "dst").groupBy(F.col("src").alias("node")).agg(
         F.sum("copies").alias("others"))
-    comp = common.components(links).withColumnRenamed("id", "node").withColumnRenamed("component_id", "comp")
+    comp = common.components(links.where("tree")).withColumnRenamed("id", "node").withColumnRenamed("component_id", "comp")
     each = common.stored(n.drop("vec").join(sums, "node", "left").join(comp, "node", "left")
                          .withColumn("comp", F.coalesce("comp", "node")))
     low = each.groupBy("comp").agg(F.min("first").alias("component_id"))

@@ -427,6 +427,22 @@ def _vectors(spark):
     return rows, spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, node string").repartition(3)
 
 
+def test_forest_connects_what_links_connect():
+    def parts(links, m):
+        low = list(range(m))
+        for _ in range(m):
+            for a, b in links:
+                low[a] = low[b] = min(low[a], low[b])
+        return low
+    rng = np.random.default_rng(10)
+    for m, k in ((1, 0), (30, 0), (30, 12), (30, 60), (40, 700)):
+        links = sorted({(min(a, b), max(a, b)) for a, b in rng.integers(0, m, (k, 2)).tolist() if a != b})
+        src, dst = np.array(links, np.int64).reshape(-1, 2).T
+        mask = vector_graph.forest(src, dst, m)
+        kept = [e for e, on in zip(links, mask) if on]
+        assert parts(kept, m) == parts(links, m) and len(kept) == m - len(set(parts(links, m)))
+
+
 def test_pivots_are_not_linked():
     rng = np.random.default_rng(8)
     p = np.concatenate([rng.normal(size=(700, 12)), rng.normal(size=12) + rng.normal(size=(600, 12)) * 0.05])
