@@ -5,16 +5,20 @@ shard; a shard above ``LARGEST`` nodes draws pivots from them, about one per
 ``SHARD`` and ``PIVOTS`` in all at a time, and a node goes to the shards of its
 ``overlap`` nearest pivots, again and again until shards are small. No two pivots
 of a shard are linked, so a group of near-equal vectors keeps one pivot and stays
-together; only above ``WHOLE`` nodes do linked pivots split it too. Each shard
+together. A shard left above ``WHOLE`` nodes is dealt into blocks by hash, and every
+two blocks are compared exactly in a task of their own, which gives counts of
+links and a spanning forest, never the links. Each other shard
 builds a flat graph with robust pruning, the adjacency lists of a node's shards
 are united, and in every shard all members are searched greedily from the medoid
 over the united lists; nodes in range are expanded until no new one is found.
-Links are verified in double precision. Components are taken over a spanning
+Links are verified in double precision; one met in several shards counts once.
+Components are taken over a spanning
 forest of each shard's links, which grows with its nodes, not with its links.
 
 The recall of every run is audited: ``AUDIT`` nodes or so, chosen by hash, are
 compared with all rows in blocks; below ``LEAST_RECALL`` the build is repeated
-with twice the overlap.
+with twice the overlap, and past ``MOST_OVERLAP`` all rows of a label are compared
+in blocks, which finds every link at a cost that grows with the square of a label.
 
 Edge cases: vectors that are null, empty, zero or hold a null or non-finite
 component, and rows with a null label, link with nothing and are their own
@@ -38,7 +42,7 @@ COSINE = 0.93
 SHARD, LARGEST, OVERLAP, PIVOTS, WIDTH = 80, 600, 3, 20_000, 8
 WHOLE = 8 * LARGEST
 DEGREE, POOL, ALPHA, BEAM = 20, 64, 1.2, 16
-AUDIT, LEAST_RECALL, SEED = 256, 0.95, 5
+AUDIT, LEAST_RECALL, MOST_OVERLAP, SEED = 256, 0.95, 24, 5
 
 
 def _matrix(column) -> np.ndarray:
@@ -98,15 +102,12 @@ def unlinked(p: np.ndarray, cosine: float) -> np.ndarray:
     return kept
 
 
-def _pivots(drawn: list, n: int, overlap: int, cosine: float) -> np.ndarray | None:
-    """Pivots of a shard of ``n`` nodes; None if it stays whole, being one group of near-equal vectors or two."""
+def _pivots(drawn: list, overlap: int, cosine: float) -> np.ndarray | None:
+    """Pivots of a shard; None if it stays whole, being one group of near-equal vectors or two."""
     if not drawn:
         return None
-    p = _matrix(pa.array(drawn))
-    apart = unlinked(p, cosine)
-    if len(apart) > overlap:
-        return apart
-    return p if n > WHOLE else None
+    apart = unlinked(_matrix(pa.array(drawn)), cosine)
+    return apart if len(apart) > overlap else None
 
 
 def _deal(rows: DataFrame, sizes: dict[str, int], overlap: int, level: int, cosine: float) -> DataFrame:
@@ -119,18 +120,13 @@ def _deal(rows: DataFrame, sizes: dict[str, int], overlap: int, level: int, cosi
     by_shard: dict = {}
     for r in sorted(drawn, key=lambda r: (r["shard"], r["node"])):
         by_shard.setdefault(r["shard"], []).append(r["vec"])
-    pivots = {s: _pivots(by_shard.get(s, []), n, overlap, cosine) for s, n in sizes.items()}
+    pivots = {s: _pivots(by_shard.get(s, []), overlap, cosine) for s in sizes}
     table = {s: ([f"{s}/{j}" for j in range(1 if p is None else len(p))], p) for s, p in pivots.items()}
     return rows.mapInArrow(_nearest(table, overlap), rows.schema)
 
 
-def shards(n: DataFrame, overlap: int = OVERLAP, cosine: float = COSINE) -> DataFrame:
-    """(shard, node, vec): overlapping shards of at most about ``LARGEST`` nodes.
-
-    A shard is split while its parts are clearly smaller. A group of near-equal
-    vectors stays whole up to ``WHOLE`` nodes.
-    """
-    rows = n.select(F.concat_ws("/", F.col("label").cast("string"), "dim").alias("shard"), "node", "vec")
+def _dealt(rows: DataFrame, overlap: int, cosine: float) -> DataFrame:
+    """``rows`` in shards of at most about ``LARGEST`` nodes; one is split while its parts are clearly smaller."""
     parts, parents, level = [], {}, 0
     while True:
         sizes = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LARGEST)
@@ -148,6 +144,31 @@ def shards(n: DataFrame, overlap: int = OVERLAP, cosine: float = COSINE) -> Data
     return common.stored(reduce(DataFrame.union, parts, rows))
 
 
+def shards(n: DataFrame, overlap: int = OVERLAP, cosine: float = COSINE, exact: bool = False) -> DataFrame:
+    """(shard, node, vec, copies, block, home, dense): overlapping shards of at most about ``WHOLE`` nodes.
+
+    A larger one, or with ``exact`` every (label, dim), comes as a shard for every two of its blocks of about
+    ``WHOLE`` / 4 nodes. There ``block`` is the node's and ``home`` names the whole; both are null elsewhere.
+    ``dense`` are the homes of a node.
+    """
+    rows = n.select(F.concat_ws("/", F.col("label").cast("string"), "dim").alias("shard"), "node", "vec", "copies")
+    rows = rows if exact else _dealt(rows, overlap, cosine)
+    sizes = common.stored(rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > (0 if exact else WHOLE)))
+    if sizes.isEmpty():
+        return rows.select("*", F.lit(None).cast("long").alias("block"), F.lit(None).cast("long").alias("home"),
+                           F.lit(None).cast("array<long>").alias("dense"))
+    rows = rows.join(sizes, "shard", "left").withColumn("home", F.when(F.col("n").isNotNull(), F.xxhash64("shard")))
+    homes = rows.where("home is not null").groupBy("node").agg(F.collect_set("home").alias("dense"))
+    blocks = F.ceil(F.col("n") / F.lit(max(1, WHOLE // 4)))
+    rows = common.stored(rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(SEED + 50)), blocks))
+                         .withColumn("blocks", blocks).join(homes, "node", "left"))
+    columns = ["shard", "node", "vec", "copies", "block", "home", "dense"]
+    paired = rows.where("home is not null").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    paired = paired.withColumn("shard", F.concat_ws("|", "shard", F.least("block", "other").cast("string"),
+                                                    F.greatest("block", "other").cast("string")))
+    return rows.where("home is null").select(columns).union(paired.select(columns))
+
+
 def prune(x: np.ndarray, i: int, pool: np.ndarray, near: np.ndarray) -> list[int]:
     """Robust pruning: take the nearest of ``pool``, drop what it is closer to by ``ALPHA`` than ``i`` is, go on."""
     gap = np.sqrt(np.maximum(0.0, 2 - 2 * near))
@@ -268,18 +289,85 @@ def _search(cosine):
         s, d = np.concatenate(src), np.concatenate(dst)
         s, d = np.divmod(np.unique(np.minimum(s, d) * len(x) + np.maximum(s, d)), len(x))
         a, b = names[s], names[d]
-        return pa.table({"src": np.minimum(a, b), "dst": np.maximum(a, b), "tree": forest(s, d, len(x))})
+        dense = [set(h or ()) for h in rows.column("dense").to_pylist()]
+        counts = np.fromiter((dense[i].isdisjoint(dense[j]) for i, j in zip(s.tolist(), d.tolist())), bool, len(s))
+        return pa.table({"src": np.minimum(a, b), "dst": np.maximum(a, b), "tree": forest(s, d, len(x)), "counts": counts})
+    return run
+
+
+def block_forest(near: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the links of ``near`` that form a spanning forest; ``same``: rows and columns are the same nodes."""
+    p, q = near.shape
+    shift = 0 if same else p
+    seen, src, dst = np.zeros(p if same else p + q, bool), [], []
+    for root in range(p):
+        if seen[root]:
+            continue
+        seen[root] = True
+        todo = [root]
+        while todo:
+            i = todo.pop()
+            if i < p:
+                to = np.flatnonzero(near[i] & ~seen[shift:])
+                src.append(np.full(len(to), i))
+                dst.append(to)
+                to = to + shift
+            else:
+                to = np.flatnonzero(near[:, i - p] & ~seen[:p])
+                src.append(to)
+                dst.append(np.full(len(to), i - p))
+            seen[to] = True
+            todo += to.tolist()
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *src]), np.concatenate([none, *dst])
+
+
+def _blocks(cosine):
+    """Two blocks of a large shard: counts of links by node (``dst`` null) and a spanning forest of them."""
+    def run(key, rows):
+        names, x, copies = rows.column("node").to_numpy(), _matrix(rows.column("vec")), rows.column("copies").to_numpy()
+        a, b = (int(i) for i in key[0].as_py().split("|")[-2:])
+        block, home = rows.column("block").to_numpy(), rows.column("home")[0].as_py()
+        left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
+        near = x[left] @ x[right].T >= cosine
+        if a == b:
+            np.fill_diagonal(near, False)
+        # two nodes that meet in several large shards count in the one of the lowest name
+        dense = rows.column("dense").to_pylist()
+        for h in {h for own in dense for h in own if h < home}:
+            there = np.array([h in own for own in dense])
+            near &= ~np.outer(there[left], there[right])
+        s, d = block_forest(near, a == b)
+        sums = [(names[left], near.sum(1), near @ copies[right])]
+        if a != b:
+            sums.append((names[right], near.sum(0), copies[left] @ near))
+        node, links, others = (np.concatenate(c).astype(np.int64) for c in zip(*sums))
+        return pa.table({"src": np.concatenate([node, names[left[s]]]),
+                         "dst": pa.concat_arrays([pa.nulls(len(node), pa.int64()), pa.array(names[right[d]], pa.int64())]),
+                         "links": np.concatenate([links, np.zeros(len(s), np.int64)]),
+                         "others": np.concatenate([others, np.zeros(len(s), np.int64)])})
     return run
 
 
-def found_links(n: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP) -> DataFrame:
-    """Distinct verified links (src, dst, tree) between nodes; those of a ``tree`` connect the same nodes as all."""
-    parts = shards(n, overlap, cosine)
+def found_links(n: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(node, links, others): distinct verified links of a node and the rows at their other ends;
+    (src, dst): links that connect the same nodes as all."""
+    every = shards(n, overlap, cosine, exact)
+    parts = every.where("home is null")
     lists = parts.groupBy("shard").applyInArrow(_build, "node long, near array<long>")
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    ready = common.stored(parts.join(united, "node").select("shard", "node", "vec", "near"))
-    found = ready.groupBy("shard").applyInArrow(_search(cosine), "src long, dst long, tree boolean")
-    return common.stored(found.groupBy("src", "dst").agg(F.max("tree").alias("tree")))
+    ready = common.stored(parts.join(united, "node").select("shard", "node", "vec", "near", "dense"))
+    found = ready.groupBy("shard").applyInArrow(_search(cosine), "src long, dst long, tree boolean, counts boolean")
+    links = common.stored(found.groupBy("src", "dst").agg(F.max("tree").alias("tree"), F.max("counts").alias("counts")))
+    far = common.stored(every.where("home is not null").groupBy("shard").applyInArrow(
+        _blocks(cosine), "src long, dst long, links long, others long"))
+    own = links.where("counts")
+    both = own.select("src", "dst").union(own.select("dst", "src"))
+    sums = both.join(n.select(F.col("node").alias("dst"), "copies"), "dst").groupBy(F.col("src").alias("node")).agg(
+        F.count(F.lit(1)).alias("links"), F.sum("copies").alias("others"))
+    sums = sums.union(far.where("dst is null").select(F.col("src").alias("node"), "links", "others"))
+    return (common.stored(sums.groupBy("node").agg(F.sum("links").alias("links"), F.sum("others").alias("others"))),
+            links.where("tree").select("src", "dst").union(far.where("dst is not null").select("src", "dst")))
 
 
 def _compare(queries, cosine):
@@ -289,22 +377,18 @@ def _compare(queries, cosine):
                 continue
             names = batch.column("node").to_numpy()
             shard = np.array(batch.column("shard").to_pylist(), object)
-            src, dst = [], []
             for s in dict.fromkeys(shard.tolist()):
                 if s in queries:
                     at = np.flatnonzero(shard == s)
                     ids, q = queries[s]
-                    r, c = np.nonzero(_matrix(batch.column("vec").take(pa.array(at))) @ q.T >= cosine)
-                    src.append(ids[c])
-                    dst.append(names[at[r]])
-            if src:
-                a, b = np.concatenate(src), np.concatenate(dst)
-                yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["src", "dst"])
+                    near = _matrix(batch.column("vec").take(pa.array(at))) @ q.T >= cosine
+                    near &= names[at][:, None] != ids
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(near.sum(0))], ["node", "true"])
     return run
 
 
-def audit(n: DataFrame, links: DataFrame, cosine: float = COSINE, sample: int = AUDIT) -> float:
-    """Share of the links of about ``sample`` nodes, compared with all rows in blocks, that ``links`` holds."""
+def audit(n: DataFrame, counts: DataFrame, cosine: float = COSINE, sample: int = AUDIT) -> float:
+    """Share of the links of about ``sample`` nodes, compared with all rows in blocks, that ``counts`` holds."""
     total = max(1, n.count())
     own = n.select("node", "vec", F.concat_ws("/", F.col("label").cast("string"), "dim").alias("shard"))
     chance = F.pmod(F.xxhash64("node", F.lit(SEED + 99)), F.lit(1 << 40)) / float(1 << 40)
@@ -312,11 +396,9 @@ def audit(n: DataFrame, links: DataFrame, cosine: float = COSINE, sample: int =
     for r in own.where(chance < min(1.0, sample / total)).collect():
         queries.setdefault(r["shard"], []).append((r["node"], r["vec"]))
     queries = {s: (np.array([i for i, _ in q]), _matrix(pa.array([v for _, v in q]))) for s, q in queries.items()}
-    true = own.mapInArrow(_compare(queries, cosine), "src long, dst long").select(
-        F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-    hit = links.select("src", "dst", F.lit(1).alias("hit"))
-    there, got = true.join(hit, ["src", "dst"], "left").agg(F.count(F.lit(1)), F.count("hit")).first()
-    return got / there if there else 1.0
+    true = own.mapInArrow(_compare(queries, cosine), "node long, true long").groupBy("node").agg(F.sum("true").alias("true"))
+    there, got = true.join(counts, "node", "left").agg(F.sum("true"), F.sum("links")).first()
+    return (got or 0) / there if there else 1.0
 
 
 def linked(vectors: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP) -> DataFrame:
@@ -324,16 +406,16 @@ def linked(vectors: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP) -
     v = vectors.select("vec_id", "label", "embedding")
     n = common.stored(nodes(v))
     while True:
-        links = found_links(n, cosine, overlap)
-        recall = audit(n, links, cosine)
-        if recall >= LEAST_RECALL or overlap >= 24:
+        exact = overlap > MOST_OVERLAP
+        sums, tree = found_links(n, cosine, overlap, exact)
+        recall = audit(n, sums, cosine)
+        if recall >= LEAST_RECALL:
             break
+        if exact:
+            raise RuntimeError(f"links lost in an exact comparison: recall {recall}")
         overlap *= 2
-    both = links.select("src", "dst").union(links.select("dst", "src"))
-    sums = both.join(n.select(F.col("node").alias("dst"), "copies"), "dst").groupBy(F.col("src").alias("node")).agg(
-        F.sum("copies").alias("others"))
-    comp = common.components(links.where("tree")).withColumnRenamed("id", "node").withColumnRenamed("component_id", "comp")
-    each = common.stored(n.drop("vec").join(sums, "node", "left").join(comp, "node", "left")
+    comp = common.components(tree).withColumnRenamed("id", "node").withColumnRenamed("component_id", "comp")
+    each = common.stored(n.drop("vec").join(sums.drop("links"), "node", "left").join(comp, "node", "left")
                          .withColumn("comp", F.coalesce("comp", "node")))
     low = each.groupBy("comp").agg(F.min("first").alias("component_id"))
     each = each.join(low, "comp").select("node", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

@@ -497,6 +497,42 @@ def test_vector_links(spark, monkeypatch, shard, largest):
         assert r["kept"] == (r["component_id"] == i)
 
 
+def _dense(spark, sizes, others):
+    rng = np.random.default_rng(12)
+    x = [rng.normal(size=24) + rng.normal(size=(m, 24)) * 0.15 for m in sizes] + [rng.normal(size=(others, 24))]
+    x = np.concatenate(x).astype(np.float32).astype(float)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, [float(c) for c in v], 0) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<float>, label int").repartition(3)
+    return df, near
+
+
+def _check_links(out, near):
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out.collect()}
+    low = np.arange(len(near))
+    for _ in range(len(near)):
+        new = np.minimum(low, np.where(near, low, len(near)).min(1))
+        if (new == low).all():
+            break
+        low = new
+    assert got == {i: (int(near[i].sum()), int(low[i])) for i in range(len(near))}
+
+
+def test_links_of_groups_above_the_bound(spark, monkeypatch):
+    for name, value in (("SHARD", 10), ("LARGEST", 40), ("WHOLE", 120)):
+        monkeypatch.setattr(vector_graph, name, value)
+    df, near = _dense(spark, (700,), 0)
+    _check_links(vector_graph.linked(df), near)
+
+
+def test_a_failing_audit_leads_to_the_exact_comparison(spark, monkeypatch):
+    monkeypatch.setattr(vector_graph, "build", lambda x: [[] for _ in x])
+    df, near = _dense(spark, (60, 30), 50)
+    _check_links(vector_graph.linked(df, overlap=24), near)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     labels = spark.createDataFrame([], "doc_id long, quality int")
