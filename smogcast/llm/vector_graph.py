@@ -5,7 +5,7 @@ shard; a shard above ``LARGEST`` nodes draws pivots from them, about one per
 ``SHARD`` and ``PIVOTS`` in all at a time, and a node goes to the shards of its
 ``overlap`` nearest pivots, again and again until shards are small. No two pivots
 of a shard are linked, so a group of near-equal vectors keeps one pivot and stays
-together. A shard left above ``WHOLE`` nodes is dealt into blocks by hash, and every
+together. A shard that no longer shrinks above ``WHOLE`` nodes is dealt into blocks by hash, and every
 two blocks are compared exactly in a task of their own, which gives counts of
 links and a spanning forest, never the links. Each other shard
 builds a flat graph with robust pruning, the adjacency lists of a node's shards
@@ -127,11 +127,20 @@ def _deal(rows: DataFrame, sizes: dict[str, int], overlap: int, level: int, cosi
 
 def _dealt(rows: DataFrame, overlap: int, cosine: float) -> DataFrame:
     """``rows`` in shards of at most about ``LARGEST`` nodes; one is split while its parts are clearly smaller."""
-    parts, parents, level = [], {}, 0
+    parts, parents, level, before = [], {}, 0, rows
     while True:
         sizes = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LARGEST)
-        big = {r["shard"]: r["n"] for r in sizes.toLocalIterator()
-               if r["n"] < 0.75 * parents.get(r["shard"].rpartition("/")[0], float("inf"))}
+        big, stuck = {}, set()
+        for shard, m in sizes.toLocalIterator():
+            parent = shard.rpartition("/")[0]
+            if m < 0.75 * parents.get(parent, float("inf")):
+                big[shard] = m
+            elif m > WHOLE:
+                stuck.add(parent)
+        if stuck:  # compared in blocks once, as the parent, not once for each part that holds nearly all of it
+            parts.append(before.where(F.col("shard").isin(list(stuck))))
+            rows = rows.where(~F.regexp_replace("shard", "/[^/]*$", "").isin(list(stuck)))
+            big = {s: m for s, m in big.items() if s.rpartition("/")[0] not in stuck}
         if not big:
             break
         parts.append(rows.where(~F.col("shard").isin(list(big))))
@@ -139,7 +148,7 @@ def _dealt(rows: DataFrame, overlap: int, cosine: float) -> DataFrame:
         for a in range(0, len(names), step):
             some = {s: big[s] for s in names[a:a + step]}
             dealt.append(_deal(rows.where(F.col("shard").isin(list(some))), some, overlap, level, cosine))
-        rows = common.stored(reduce(DataFrame.union, dealt))
+        before, rows = rows, common.stored(reduce(DataFrame.union, dealt))
         parents, level = big, level + 1
     return common.stored(reduce(DataFrame.union, parts, rows))
 

@@ -527,6 +527,16 @@ def test_links_of_groups_above_the_bound(spark, monkeypatch):
     _check_links(vector_graph.linked(df), near)
 
 
+def test_no_group_among_others_is_one_task(spark, monkeypatch):
+    for name, value in (("SHARD", 10), ("LARGEST", 40), ("WHOLE", 120)):
+        monkeypatch.setattr(vector_graph, name, value)
+    df, near = _dense(spark, (300,), 600)
+    n = common.stored(vector_graph.nodes(df))
+    sizes = vector_graph.shards(n).groupBy("shard").count().agg(F.max("count"), F.sum("count")).first()
+    assert sizes[0] <= 150 and sizes[1] < 18_000
+    _check_links(vector_graph.linked(df), near)
+
+
 def test_a_failing_audit_leads_to_the_exact_comparison(spark, monkeypatch):
     monkeypatch.setattr(vector_graph, "build", lambda x: [[] for _ in x])
     df, near = _dense(spark, (60, 30), 50)
