@@ -38,9 +38,11 @@ def repeat_words(tokens: list) -> int:
         return 0
     ids: dict = {}
     w = np.fromiter((ids.setdefault(t, len(ids)) for t in tokens), np.int64, n)
-    if len(ids) >= 1 << 21:
-        raise ValueError("over two million distinct words in one text")
-    grams = (w[:-2] << 42) | (w[1:-1] << 21) | w[2:]
+    if len(ids) < 1 << 21:
+        grams = (w[:-2] << 42) | (w[1:-1] << 21) | w[2:]
+    else:  # three numbers don't fit: pairs are numbered first
+        pairs = np.unique((w[:-1] << 32) | w[1:], return_inverse=True)[1]
+        grams = (pairs[:-1] << 32) | w[2:]
     order = np.argsort(grams, kind="stable")
     same = grams[order][1:] == grams[order][:-1]
     twice = np.zeros(n - 2, bool)

@@ -63,6 +63,12 @@ def test_host_rules(docs, rows):
     assert got == want
 
 
+def test_repeat_words_of_a_text_with_millions_of_words():
+    tokens = [b"%d" % i for i in range((1 << 21) + 5)]
+    assert host_rules.repeat_words(tokens) == 0
+    assert host_rules.repeat_words(tokens + tokens[-4:] + [b"x"] + tokens[7:10]) == 4 + 4 + 3 + 3
+
+
 def test_host_verdict_needs_evidence(spark):
     good, bad = " ".join(f"w{i}" for i in range(80)), "no no " * 60
     rows = [(i, bad, "spam") for i in range(60)] + [(100, good, "spam")]
