@@ -298,14 +298,15 @@ def _examples(batches):
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Tagger:
     """A tagger of ``docs``' own labelled windows, at most ``sample`` different ones with and without findings."""
-    rows = common.stored(docs.select("text").mapInArrow(_examples, "has int, win string, tags binary"))
+    rows = common.stored(docs.select("text").mapInArrow(_examples, "has int, win string, tags binary")
+                         .groupBy("has", "win").agg(F.min("tags").alias("tags")))
     got = []
     for has in (0, 1):
         n = rows.where(F.col("has") == has).agg(F.count(F.lit(1))).first()[0]
         some = rows.where(F.col("has") == has).where(
             F.pmod(F.xxhash64("win"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 3 * sample / max(1, n))))
-        got += [(r["win"], bytes(r["tags"])) for r in some.groupBy("win").agg(
-            F.min("tags").alias("tags"), F.xxhash64("win", F.lit(SEED)).alias("h")).orderBy("h", "win").limit(sample).collect()]
+        got += [(r["win"], bytes(r["tags"])) for r in some.select(
+            "win", "tags", F.xxhash64("win", F.lit(SEED)).alias("h")).orderBy("h", "win").limit(sample).collect()]
     got.sort(key=lambda g: (zlib.crc32(g[0].encode()), g))
     windows = []
     for win, tags in got:

@@ -352,6 +352,19 @@ def test_secret_network(spark, docs):
     assert secrets_cnn.train(docs.limit(0)).threshold > 1
 
 
+@pytest.mark.parametrize("module", [secrets_cnn, pii_crf])
+def test_copies_do_not_shrink_the_sample(spark, monkeypatch, module):
+    seen = []
+    monkeypatch.setattr(module, "fit", lambda windows, *more: seen.append((windows, *more)))
+    texts = [f"no {i} token = 'k{i:06d}zq' or mail a{i}@b{i}.example now" for i in range(300)] + ["token = 'abcdef123456' u@v.example 1"] * 20_000
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    module.train(docs, 60)
+    if module is secrets_cnn:
+        assert seen[0][1].sum() == 60
+    else:
+        assert sum(bool(y.any()) for _, y in seen[0][0]) == 60
+
+
 def test_personal_patterns(rows):
     emails = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
