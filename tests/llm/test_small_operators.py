@@ -365,6 +365,18 @@ def test_copies_do_not_shrink_the_sample(spark, monkeypatch, module):
         assert sum(bool(y.any()) for _, y in seen[0][0]) == 60
 
 
+def test_every_part_of_a_long_candidate_is_seen():
+    class Net(secrets_cnn.Network):
+        def probability(self, windows):
+            body = slice(secrets_cnn.SIDE, secrets_cnn.SIDE + secrets_cnn.BODY)
+            return np.array([float("sk_live_51H8" in w[body]) for w in windows])
+    net = Net({}, threshold=0.5)
+    for pad in range(0, 120, 7):
+        value = f"see {'q' * pad}/sk_live_51H8/{'w' * (119 - pad)} and release2024build or x1{'y' * 60}"
+        assert [s[:2] for s in secrets_cnn.spans_of(value, net)[1]] == [(4, 3)]
+    assert len(secrets_cnn.windows_of("z" * 40, 0, 40)) == 1
+
+
 def test_personal_patterns(rows):
     emails = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
