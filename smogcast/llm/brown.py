@@ -7,8 +7,11 @@ joined to the tokens that need them, so the vocabulary may grow without limit.
 
 Classes: exchange clustering moves each of the ``EXCHANGED`` most frequent words
 to the class that most raises the likelihood of the class bigrams, until a
-round moves none. Less frequent head words are classed by the power of two of
-their count; the lowest of these classes also holds all words beyond the head
+round moves none. Less frequent head words start in a class by the power of two of
+their count; then each goes to the class that most raises the likelihood, judged
+by its own neighbour classes, counted and compared in Spark, all words of a round
+at once; a round that does not raise the likelihood is undone and the next moves
+a part of the words. The lowest class by count also holds all words beyond the head
 and unseen ones; the end is a class. Bigram
 counts between these symbols are summed over the whole training fold in Spark;
 what reaches the driver is bounded by the number of symbols squared.
@@ -39,6 +42,7 @@ from smogcast.llm import common, text
 FOLDS, HELD_OUT = 5, 1
 HEAD, EXCHANGED, CLASSES, ROUNDS = 1 << 20, 512, 32, 12
 END_KEY = np.uint64(1)
+SPREAD_ROUNDS = 3
 BACKOFF = 20.0
 
 
@@ -182,6 +186,120 @@ def exchange(pairs: np.ndarray, movable: int, classes: int = CLASSES, rounds: in
     return of
 
 
+def likelihood(grid: np.ndarray) -> float:
+    """Log likelihood of class bigrams, without the part that no exchange changes."""
+    return float(_xlogx(grid).sum() - _xlogx(grid.sum(0)).sum() - _xlogx(grid.sum(1)).sum())
+
+
+def move_gains(grid: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """(words, classes): likelihood of each word in each class, less that without the word. ``right`` and ``left``:
+    counts of its neighbour classes, ``own``: of the word after itself, which they leave out; ``old``: its class."""
+    w = np.arange(len(old))
+    g = np.repeat(grid[None], len(old), 0)
+    g[w, old] -= right
+    g[w, :, old] -= left
+    g[w, old, old] -= own
+    out, inn, d = g.sum(2) + left, g.sum(1) + right, np.einsum("wkk->wk", g)
+    logs = _xlogx(g)
+    gains = (_xlogx(g + right[:, None, :]) - logs).sum(2) + (_xlogx(g + left[:, :, None]) - logs).sum(1)
+    gains += _xlogx(d + right + left + own[:, None]) + _xlogx(d) - _xlogx(d + right) - _xlogx(d + left)
+    n_out, n_in = (right.sum(1) + own)[:, None], (left.sum(1) + own)[:, None]
+    return gains - _xlogx(out + n_out) + _xlogx(out) - _xlogx(inn + n_in) + _xlogx(inn)
+
+
+def _contexts(keys, kinds, k, tail, end, rest):
+    """Counts of the neighbour classes of the words of ``rest``: code c after the word, k + c before it, 2k itself."""
+    width, free = 2 * k + 1, np.append(rest, False)
+
+    def merged(cells, counts):
+        cell, back = np.unique(np.concatenate(cells), return_inverse=True)
+        return cell, np.bincount(back, weights=np.concatenate(counts)).astype(np.int64)
+
+    def batch(cell, n):
+        return pa.RecordBatch.from_arrays([pa.array(cell // width), pa.array(cell % width), pa.array(n)], ["pos", "code", "n"])
+
+    def run(batches):
+        head, cells, counts, size = Head(keys), [], [], 0
+        for rows, raw, at in text.pieces(batches):
+            h, doc = token_hashes(raw, at)
+            word = head.find(h)
+            last = np.searchsorted(doc, np.arange(rows.num_rows), "right")
+            kind = np.insert(np.where(word >= 0, kinds[word], tail), last, end)
+            word = np.insert(word, last, -1)
+            kind_before, word_before = np.concatenate([[end], kind[:-1]]), np.concatenate([[-1], word[:-1]])
+            same = word == word_before
+            a, b, c = free[word_before] & ~same, free[word] & ~same, free[word] & same
+            cell, n = np.unique(np.concatenate([word_before[a] * width + kind[a], word[b] * width + k + kind_before[b],
+                                                word[c] * width + 2 * k]), return_counts=True)
+            cells.append(cell)
+            counts.append(n)
+            size += len(cell)
+            if size > 1 << 21:
+                cell, n = merged(cells, counts)
+                cells, counts, size = [cell], [n], len(cell)
+                if size > 1 << 20:
+                    yield batch(cell, n)
+                    cells, counts, size = [], [], 0
+        if size:
+            yield batch(*merged(cells, counts))
+    return run
+
+
+def _choices(grid, kinds, classes):
+    """The class of the highest gain for each word, where it is not its own: one of ``classes`` exchanged ones."""
+    k = len(grid)
+
+    def run(batches):
+        table = pa.Table.from_batches(list(batches), pa.schema([("pos", pa.int64()), ("code", pa.int64()), ("n", pa.int64())]))
+        pos, code, n = (table.column(c).to_numpy() for c in ("pos", "code", "n"))
+        order = np.argsort(pos, kind="stable")
+        pos, code, n = pos[order], code[order], n[order]
+        words, first = np.unique(pos, return_index=True)
+        first = np.append(first, len(pos))
+        for a in range(0, len(words), 128):
+            some = words[a:a + 128]
+            at = slice(first[a], first[min(a + 128, len(words))])
+            seen = np.zeros((len(some), 2 * k + 1))
+            seen[np.searchsorted(some, pos[at]), code[at]] = n[at]
+            old, each = kinds[some], np.arange(len(some))
+            gains = move_gains(grid, seen[:, :k], seen[:, k:2 * k], seen[:, 2 * k], old)
+            new = gains[:, :classes].argmax(1)
+            moves = gains[each, new] > gains[each, old] + 1e-6
+            yield pa.RecordBatch.from_arrays([pa.array(some[moves]), pa.array(new[moves])], ["pos", "kind"])
+    return run
+
+
+def _grid(training: DataFrame, keys, symbols, n: int, tail: int, end: int) -> np.ndarray:
+    """Bigram counts between symbols over all of ``training``."""
+    cells = (training.select("text").mapInArrow(_symbol_pairs(keys, symbols, n, tail, end), "code long, n long")
+             .groupBy("code").agg(F.sum("n").alias("n")).toArrow())
+    pairs = np.zeros(n * n)
+    pairs[cells.column("code").to_numpy()] = cells.column("n").to_numpy()
+    return pairs.reshape(n, n)
+
+
+def spread(training: DataFrame, keys, kinds, rest, grid, classes: int, tail: int, end: int,
+           rounds: int = SPREAD_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the head words, and bigram counts of classes, after the words of ``rest`` chose theirs."""
+    k, share = len(grid), 1
+    for turn in range(rounds if classes and rest.any() else 0):
+        counts = training.select("text").mapInArrow(_contexts(keys, kinds, k, tail, end, rest), "pos long, code long, n long")
+        got = (counts.repartition("pos").groupBy("pos", "code").agg(F.sum("n").alias("n"))
+               .mapInArrow(_choices(grid, kinds, classes), "pos long, kind long").toArrow())
+        pos, new = got.column("pos").to_numpy(), got.column("kind").to_numpy()
+        some = pos % share == turn % share
+        if not some.any():
+            break
+        tried = kinds.copy()
+        tried[pos[some]] = new[some]
+        table = _grid(training, keys, tried, k, tail, end)
+        if likelihood(table) > likelihood(grid):
+            kinds, grid = tried, table
+        else:
+            share *= 4
+    return kinds, grid
+
+
 @dataclass
 class Model:
     """Everything a scoring task needs; arrays over head words and classes only."""
@@ -219,25 +337,22 @@ def train(training: DataFrame, head: int = HEAD, exchanged: int = EXCHANGED, cla
     symbols = np.where(rest, movable + np.searchsorted(bands, band), rank)
     tail, end = movable, movable + max(1, len(bands))
     n = end + 1
-    cells = (training.select("text").mapInArrow(_symbol_pairs(keys, symbols, n, tail, end), "code long, n long")
-             .groupBy("code").agg(F.sum("n").alias("n")).toArrow())
-    pairs = np.zeros(n * n)
-    pairs[cells.column("code").to_numpy()] = cells.column("n").to_numpy()
-    pairs = pairs.reshape(n, n)
+    pairs = _grid(training, keys, symbols, n, tail, end)
     of = exchange(pairs, movable, classes)
     k = int(of.max()) + 1
     member = np.zeros((n, k))
     member[np.arange(n), of] = 1
-    grid = member.T @ pairs @ member
+    kind, grid = spread(training, keys, of[symbols], rest, member.T @ pairs @ member,
+                        min(classes, movable), int(of[tail]), int(of[end]))
     mass = grid.sum(0)
     alone = (mass + 0.5) / (mass.sum() + 0.5 * k)
     out = grid.sum(1, keepdims=True)
     steps = np.log10((grid + BACKOFF * alone[None, :]) / (out + BACKOFF))
-    kinds = np.bincount(of[symbols], minlength=k).astype(float)
+    kinds = np.bincount(kind, minlength=k).astype(float)
     kinds[of[tail]] += distinct - len(keys) - (end_count > 0)
     kinds[of[end]] = 1
     held = np.log10(mass + 0.5 * (kinds + 1))
-    return Model(int(total), int(distinct), int(end_count), keys, c, of[symbols], int(of[tail]), int(of[end]),
+    return Model(int(total), int(distinct), int(end_count), keys, c, kind, int(of[tail]), int(of[end]),
                  steps, held), counts
 
 

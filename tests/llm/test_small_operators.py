@@ -278,6 +278,38 @@ def test_exchange_raises_the_likelihood():
     assert len(set(of[:4])) == 1 and len(set(of[4:])) == 1 and of[0] != of[4]
 
 
+def test_move_gains_are_likelihood_differences():
+    rng = np.random.default_rng(14)
+    pairs = rng.poisson(2.0, (9, 9)).astype(float)
+    of = np.arange(9) % 4
+
+    def table(of):
+        member = np.eye(4)[of]
+        return member.T @ pairs @ member
+    member = np.eye(4)[of]
+    right = pairs @ member - np.diag(pairs)[:, None] * member
+    left = pairs.T @ member - np.diag(pairs)[:, None] * member
+    gains = brown.move_gains(table(of), right, left, np.diag(pairs), of)
+    for w in range(9):
+        for c in range(4):
+            new = of.copy()
+            new[w] = c
+            assert gains[w, c] - gains[w, of[w]] == pytest.approx(brown.likelihood(table(new)) - brown.likelihood(table(of)))
+
+
+def test_words_beyond_the_seed_get_classes_by_context(spark):
+    rng = random.Random(3)
+    kinds = [[f"{k}{i}" for i in range(60)] for k in "ab"]  # words of the two kinds alternate
+    texts = [" ".join(rng.choice(kinds[j % 2][:2] if rng.random() < 0.5 else kinds[j % 2]) for j in range(60)) for _ in range(200)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    model, _ = brown.train(docs, exchanged=4, classes=2)
+    kind = dict(zip(model.keys.tolist(), model.word_class.tolist()))
+    hashes = [[brown.token_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0] for w in words] for words in kinds]
+    found = [[kind[int(h)] for h in hs] for hs in hashes]
+    a, b = (max(set(f), key=f.count) for f in found)
+    assert a != b and found[0].count(a) >= 55 and found[1].count(b) >= 55
+
+
 def test_lm_probabilities_sum_to_one_at_most(docs):
     model, _ = brown.train(docs.where(brown.fold() != 1))
     assert np.allclose((10 ** model.steps).sum(1), 1)
