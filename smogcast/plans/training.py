@@ -33,6 +33,9 @@ from smogcast.session import ensure_checkpoint_dir
 from smogcast.session import materialize
 
 
+MEMBERS = ("gbt", "asym", "ridge")
+
+
 @dataclass
 class TrainConfig:
     gbt_rounds: int = 20
@@ -49,6 +52,8 @@ class TrainConfig:
     refit_on_val: bool = False
     seed: int = 42
     # variants of the reference's experiments
+    members: tuple = MEMBERS                 # voting regressors of stage 1; "gbt2": a second one of squared loss
+    gbt2_depth: int = 6
     split_kind: str = "chronological"        # or "stratified" (15 % of each class is test)
     weight_kind: str = "weight_scaled"       # balanced x base cost; or "weight_boosted"
     calibrate: bool = True                   # isotonic on validation (needs a val part)
@@ -69,21 +74,29 @@ def stage2_probs(model, df: DataFrame) -> DataFrame:
 
 @dataclass
 class TwoStageModel:
-    gbt: PipelineModel
-    ridge: PipelineModel
-    asym: AsymmetricBoostModel
+    gbt: PipelineModel | None                # stage-1 models that are not members are None
+    ridge: PipelineModel | None
+    asym: AsymmetricBoostModel | None
     forest: PipelineModel
     calibrator: IsotonicCalibrator
     thresholds: list
     features: list = field(default_factory=lambda: list(FEATURES))
+    gbt2: PipelineModel | None = None
+
+    @property
+    def members(self) -> list[str]:
+        return [m for m in ("gbt", "asym", "ridge", "gbt2") if getattr(self, m) is not None]
 
     # ---- scoring -------------------------------------------------------------
     def predict_stage1(self, df: DataFrame) -> DataFrame:
-        cur = self.gbt.transform(df).drop("features")
-        cur = self.ridge.transform(cur).drop("features")
-        cur = self.asym.transform(assembler(self.features).transform(cur), "pred_asym").drop("features")
-        mean_log = voting_column([F.col("pred_gbt"), F.col("pred_asym"), F.col("pred_ridge")])
-        return cur.withColumn("Predicted_AQI", exp_target(mean_log)).drop("pred_gbt", "pred_asym", "pred_ridge")
+        cur = df
+        for m in (self.gbt, self.ridge, self.gbt2):
+            if m is not None:
+                cur = m.transform(cur).drop("features")
+        if self.asym is not None:
+            cur = self.asym.transform(assembler(self.features).transform(cur), "pred_asym").drop("features")
+        preds = [f"pred_{m}" for m in self.members]
+        return cur.withColumn("Predicted_AQI", exp_target(voting_column([F.col(p) for p in preds]))).drop(*preds)
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds Predicted_AQI, alarms, probs, cal_probs and ``predicted``
@@ -98,9 +111,11 @@ class TwoStageModel:
 
     # ---- OP-04 bundle --------------------------------------------------------------
     def save(self, path: str, spark: SparkSession) -> None:
-        self.gbt.write().overwrite().save(f"{path}/stage1_gbt")
-        self.ridge.write().overwrite().save(f"{path}/stage1_ridge")
-        self.asym.save(f"{path}/stage1_asym", spark)
+        for m in self.members:
+            if m == "asym":
+                self.asym.save(f"{path}/stage1_asym", spark)
+            else:
+                getattr(self, m).write().overwrite().save(f"{path}/stage1_{m}")
         if isinstance(self.forest, OneVsRestBoost):
             self.forest.save(f"{path}/stage2_ovr")
         else:
@@ -110,7 +125,7 @@ class TwoStageModel:
         spark.createDataFrame([(i, lo, hi, float(t)) for i, (lo, hi, t) in enumerate(self.thresholds)],
                               "ord int, low int, high int, t double").write.mode("overwrite").parquet(
             f"{path}/thresholds")
-        meta = {"features": self.features, "calibrated": self.calibrator is not None,
+        meta = {"features": self.features, "members": self.members, "calibrated": self.calibrator is not None,
                 "ovr_classes": sorted(self.forest.models) if isinstance(self.forest, OneVsRestBoost) else None}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode(
             "overwrite").json(f"{path}/feature_columns")
@@ -124,9 +139,9 @@ class TwoStageModel:
             stage2 = OneVsRestBoost.load(f"{path}/stage2_ovr", meta["ovr_classes"], meta["features"] + STAGE2_EXTRA)
         else:
             stage2 = PipelineModel.load(f"{path}/stage2_forest")
-        return cls(PipelineModel.load(f"{path}/stage1_gbt"), PipelineModel.load(f"{path}/stage1_ridge"),
-                   AsymmetricBoostModel.load(f"{path}/stage1_asym", spark),
-                   stage2, cal, thr, meta["features"])
+        own = {m: AsymmetricBoostModel.load(f"{path}/stage1_asym", spark) if m == "asym"
+               else PipelineModel.load(f"{path}/stage1_{m}") for m in meta.get("members", MEMBERS)}
+        return cls(own.get("gbt"), own.get("ridge"), own.get("asym"), stage2, cal, thr, meta["features"], own.get("gbt2"))
 
 
 @dataclass
@@ -152,17 +167,20 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
     train = data.where(F.col("split") == "train")
     fit1 = data.where(F.col("split").isin("train", "val")) if cfg.refit_on_val else train
 
-    # The three members are independent: submit their jobs concurrently (the
+    # The members are independent: submit their jobs concurrently (the
     # scheduler interleaves their tasks, as CrossValidator's parallelism does).
     from concurrent.futures import ThreadPoolExecutor
+    fits = {
+        "gbt": lambda: fit_gbt(fit1, FEATURES, "__ylog", cfg.gbt_rounds, cfg.gbt_depth, cfg.gbt_step, seed=cfg.seed),
+        "gbt2": lambda: fit_gbt(fit1, FEATURES, "__ylog", cfg.gbt_rounds, cfg.gbt2_depth, cfg.gbt_step,
+                                seed=cfg.seed + 1, pred="pred_gbt2"),
+        "ridge": lambda: fit_ridge(fit1, FEATURES, "__ylog", cfg.ridge_alpha),
+        "asym": lambda: fit_asymmetric_boost(assembler(FEATURES).transform(fit1), "__ylog", rounds=cfg.asym_rounds,
+                                             step=cfg.asym_step, max_depth=cfg.asym_depth, seed=cfg.seed)}
     with ThreadPoolExecutor(max_workers=3) as pool:
-        f_gbt = pool.submit(fit_gbt, fit1, FEATURES, "__ylog", cfg.gbt_rounds, cfg.gbt_depth, cfg.gbt_step,
-                            seed=cfg.seed)
-        f_ridge = pool.submit(fit_ridge, fit1, FEATURES, "__ylog", cfg.ridge_alpha)
-        f_asym = pool.submit(fit_asymmetric_boost, assembler(FEATURES).transform(fit1), "__ylog",
-                             rounds=cfg.asym_rounds, step=cfg.asym_step, max_depth=cfg.asym_depth, seed=cfg.seed)
-        gbt, ridge, asym = f_gbt.result(), f_ridge.result(), f_asym.result()
-    partial = TwoStageModel(gbt, ridge, asym, None, None, [], list(FEATURES))
+        own = {m: f.result() for m, f in [(m, pool.submit(fits[m])) for m in cfg.members]}
+    stage1 = own.get("gbt"), own.get("ridge"), own.get("asym")
+    partial = TwoStageModel(*stage1, None, None, [], list(FEATURES), own.get("gbt2"))
     s1 = add_stage2_features(partial.predict_stage1(data)).transform(materialize)
 
     s2_features = list(FEATURES) + STAGE2_EXTRA
@@ -192,7 +210,7 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
         thresholds = th.collect_thresholds(tuned)
     scored = th.apply_thresholds(cal, "cal_probs", thresholds, "predicted")
 
-    model = TwoStageModel(gbt, ridge, asym, forest, calibrator, thresholds, list(FEATURES))
+    model = TwoStageModel(*stage1, forest, calibrator, thresholds, list(FEATURES), own.get("gbt2"))
     test = scored.where(F.col("split") == "test")
     return TrainResult(
         model=model, scored=scored,

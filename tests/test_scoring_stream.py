@@ -132,3 +132,22 @@ def test_gaps_months_and_series_without_data(spark, trained):
     assert (gap.aqi, gap.category) == (150.0, "Moderate")
     assert got[2].is_future and len(got[2].stats.pdf) == 40 and got[2].stats.trend_slope != 0.0
     assert got[3].predicted_aqi is None and got[4].predicted_aqi is None
+
+
+@pytest.mark.parametrize("members", [("gbt",), ("gbt", "gbt2", "ridge")])
+def test_stage1_votes_over_the_configured_members(spark, tmp_path, members):
+    from smogcast.plans import catalog
+    from smogcast.plans.training import TrainConfig, TwoStageModel, train_two_stage
+    feat = catalog.training_table(spark, SF_SMALL)
+    cfg = TrainConfig(gbt_rounds=2, members=members, forest_trees=3, calibrate=False, fixed_thresholds=((2, 3, 0.585),))
+    model = train_two_stage(feat, cfg).model
+    assert set(model.members) == set(members)
+    path = f"file://{tmp_path}/bundle"
+    model.save(path, spark)
+    assert set(TwoStageModel.load(path, spark).members) == set(members)
+    want = feat
+    for m in members:
+        want = getattr(model, m).transform(want).drop("features")
+    want = want.withColumn("want", F.exp(sum(F.col(f"pred_{m}") for m in members) / len(members)) - 1)
+    both = model.predict_stage1(want.drop(*[f"pred_{m}" for m in members]))
+    assert both.where(F.abs(F.col("want") - F.col("Predicted_AQI")) > 1e-6).count() == 0 < both.count()
