@@ -44,3 +44,46 @@ m AS (SELECT id, min(reach) AS component_id FROM c GROUP BY id),
 n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
 SELECT v.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept, 1.0::DOUBLE AS recall
 FROM v JOIN m ON v.vec_id = m.id LEFT JOIN n ON v.vec_id = n.a"""
+
+#: Each byte of the decimal doc_id enters a CRC-32 register that then takes eight single-bit steps.
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)))"""
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+_HEAD = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+SQL["op11_merkle"] = f"""
+WITH RECURSIVE a AS (SELECT *, {_CRC} AS crc FROM documents),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, 'n') AS tree, sha256({_HEAD} || {_field("text")}) AS leaf,
+             CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN sha256({_HEAD} || {_field("replace(text, chr(10), '')")})
+                  ELSE sha256({_HEAD} || {_field("text")}) END AS other FROM a),
+l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i,
+             count(*) OVER (PARTITION BY tree) AS n, dense_rank() OVER (ORDER BY tree) - 1 AS place FROM d),
+t(tree, place, lvl, i, n, h) AS (
+    SELECT tree, place, 0, i, n, leaf FROM l
+    UNION ALL SELECT tree, place, lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1
+    GROUP BY tree, place, lvl, n, i // 3),
+s AS (SELECT tree, place, lvl AS height, h AS subroot FROM t WHERE n = 1),
+u(lvl, i, n, h) AS (
+    SELECT 0, place, (SELECT count(*) FROM s), subroot FROM s
+    UNION ALL SELECT lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY lvl, n, i // 3),
+b AS (SELECT r, t.lvl AS step, t.i < l.i // CAST(3 ** t.lvl AS BIGINT) AS ahead, t.i, h
+      FROM l JOIN t ON l.tree = t.tree AND t.n > 1 AND t.i // 3 = l.i // CAST(3 ** (t.lvl + 1) AS BIGINT) AND t.i <> l.i // CAST(3 ** t.lvl AS BIGINT)
+      UNION ALL
+      SELECT r, s.height + u.lvl, u.i < l.place // CAST(3 ** u.lvl AS BIGINT), u.i, h
+      FROM l JOIN s ON l.tree = s.tree JOIN u ON u.n > 1 AND u.i // 3 = l.place // CAST(3 ** (u.lvl + 1) AS BIGINT)
+           AND u.i <> l.place // CAST(3 ** u.lvl AS BIGINT)),
+p AS (SELECT r, sha256(string_agg(h, '' ORDER BY step, i)) AS proof FROM b GROUP BY r),
+e AS (SELECT r, step, coalesce(string_agg(h, '' ORDER BY i) FILTER (ahead), '') AS before,
+             coalesce(string_agg(h, '' ORDER BY i) FILTER (NOT ahead), '') AS after FROM b GROUP BY r, step),
+m AS (SELECT l.r, s.height + (SELECT max(lvl) FROM u) AS steps FROM l JOIN s ON l.tree = s.tree),
+f(r, step, h) AS (
+    SELECT r, 0, other FROM l
+    UNION ALL SELECT f.r, f.step + 1, sha256(coalesce(e.before, '') || f.h || coalesce(e.after, ''))
+    FROM f JOIN m ON f.r = m.r AND f.step < m.steps LEFT JOIN e ON f.r = e.r AND f.step = e.step)
+SELECT doc_id, leaf, subroot, u.h AS root, coalesce(proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = u.h AS verified
+FROM l JOIN s ON l.tree = s.tree JOIN u ON u.n = 1 JOIN m ON l.r = m.r JOIN f ON f.r = l.r AND f.step = m.steps LEFT JOIN p ON l.r = p.r"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from smogcast.llm.brown import op8_brown
 from smogcast.llm.host_rules import op5_host_rules
+from smogcast.llm.merkle import op11_merkle
 from smogcast.llm.mixing import op9_mixing
 from smogcast.llm.nbsvm import op4_nbsvm
 from smogcast.llm.oracle import SQL
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_brown": op8_brown,
     "op9_mixing": op9_mixing,
     "op10_vector_graph": op10_vector_graph,
+    "op11_merkle": op11_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
