@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from smogcast.llm.brown import op8_brown
 from smogcast.llm.host_rules import op5_host_rules
+from smogcast.llm.imatch import op12_imatch
 from smogcast.llm.merkle import op11_merkle
 from smogcast.llm.mixing import op9_mixing
 from smogcast.llm.nbsvm import op4_nbsvm
@@ -14,6 +15,7 @@ from smogcast.llm.pii_crf import op2_pii_crf
 from smogcast.llm.secrets_cnn import op1_secrets_cnn
 from smogcast.llm.simhash_golay import op7_simhash_golay
 from smogcast.llm.suffix_dedup import op3_suffix_dedup
+from smogcast.llm.turns import op13_turns
 from smogcast.llm.vector_graph import op10_vector_graph
 
 QUERIES = {
@@ -28,6 +30,8 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_vector_graph": op10_vector_graph,
     "op11_merkle": op11_merkle,
+    "op12_imatch": op12_imatch,
+    "op13_turns": op13_turns,
     "pipeline": corpus_pipeline.run,
 }
 
