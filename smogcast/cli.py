@@ -33,10 +33,15 @@ def cmd_features(spark, args):
 
 
 def cmd_train(spark, args):
+    from dataclasses import replace
+
+    from smogcast.ml.stage1 import ASYMMETRIC, GBT
+    from smogcast.ml.stage2 import BOOSTED
     from smogcast.plans.features import engineer_features
     from smogcast.plans.training import TrainConfig, train_two_stage
-    cfg = TrainConfig(gbt_rounds=args.rounds, asym_rounds=max(1, args.rounds // 2), forest_trees=args.trees,
-                      refit_on_val=args.refit_on_val)
+    cfg = TrainConfig(gbt=replace(GBT, rounds=args.rounds), asym=replace(ASYMMETRIC, rounds=args.rounds),
+                      boosted=replace(BOOSTED, rounds=max(1, args.rounds // 2)), classifier=args.classifier,
+                      forest_trees=args.trees, refit_on_val=args.refit_on_val)
     res = train_two_stage(engineer_features(_obs(spark, args), training=True), cfg)
     res.model.save(args.model_dir, spark)
     if args.report:
@@ -91,7 +96,8 @@ def main(argv=None):
     f.add_argument("--out", required=True); f.add_argument("--serving", action="store_true")
     t = sub.add_parser("train"); common(t)
     t.add_argument("--model-dir", required=True); t.add_argument("--report")
-    t.add_argument("--rounds", type=int, default=20); t.add_argument("--trees", type=int, default=30)
+    t.add_argument("--rounds", type=int, default=1000); t.add_argument("--trees", type=int, default=300)
+    t.add_argument("--classifier", choices=["boosted", "forest"], default="boosted")
     t.add_argument("--refit-on-val", action="store_true")
     s = sub.add_parser("score"); common(s)
     s.add_argument("--model-dir", required=True); s.add_argument("--requests", required=True)

@@ -1,19 +1,32 @@
 """Stage 1: regression members and their voting ensemble (OP-69 .. OP-72).
 
-* boosted trees  - ``GBTRegressor`` (squared loss)
-* asymmetric boosting - :mod:`smogcast.ml.asymmetric`
+* boosted trees, squared and asymmetric loss - :mod:`smogcast.ml.boosting`
 * ridge - ``LinearRegression`` with the penalty rescaled to the closed form
 * voting - unweighted mean of the members on the log scale
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smogcast.ml.boosting import BoostConfig
+
+#: Published sizes of the boosted members (fixed values): rounds, step, depth, leaves, rows and columns drawn, L1 and L2.
+GBT = BoostConfig(rounds=1000, step=0.01, max_depth=7, leaves=31, row_share=0.8, column_share=0.8, reg_alpha=1.0, reg_lambda=2.0)
+#: Levels of 2^6 leaves; a child needs a Hessian of 1 instead of a number of rows.
+DEPTHWISE = BoostConfig(rounds=1000, step=0.01, max_depth=6, leaves=64, row_share=0.8, column_share=0.8, reg_alpha=1.0,
+                        reg_lambda=2.0, min_rows=1, min_hessian=1.0)
+ASYMMETRIC = replace(DEPTHWISE, loss="asymmetric")
+#: The earlier job's only member.
+GBT_STRATIFIED = BoostConfig(rounds=600, step=0.015, max_depth=5, leaves=18, min_rows=25, row_share=0.7, column_share=0.7,
+                             reg_alpha=1.0, reg_lambda=3.0)
+
 
 def voting_column(members: list[Column]) -> Column:
     """OP-72: unweighted mean of member predictions."""
@@ -27,19 +40,6 @@ def assembler(features: list[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="keep")
 
 
-def fit_gbt(df: DataFrame, features: list[str], label: str, max_iter: int = 20, depth: int = 5,
-            step: float = 0.1, subsample: float = 0.8, seed: int = 42,
-            pred: str = "pred_gbt") -> PipelineModel:
-    """OP-69: boosted regression trees (squared loss). Depth, step size, row
-    and column subsampling map one-to-one; leaf count and L1/L2 terms have no MLlib
-    counterpart."""
-    from pyspark.ml import Pipeline
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol=pred, maxIter=max_iter,
-                       maxDepth=depth, stepSize=step, subsamplingRate=subsample,
-                       featureSubsetStrategy="0.8", seed=seed, maxBins=64)
-    return Pipeline(stages=[assembler(features), gbt]).fit(df)
-
-
 def ridge_reg_param(df: DataFrame, label: str, alpha: float) -> float:
     """MLlib minimises (1/2n)||r||^2 + (lambda/2)||b||^2 on a label it scales
     by its std; the closed-form ridge ||r||^2 + alpha ||b||^2 therefore needs

@@ -1,22 +1,21 @@
-"""Stage 2: stacked features, weighted multiclass trees, isotonic calibration
-(OP-73, OP-74, OP-75) and feature importance (OP-68)."""
+"""Stage 2: stacked features, weighted multiclass trees and feature importance
+(OP-73, OP-74, OP-68); calibration (OP-75) is in :mod:`smogcast.ml.isotonic`."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogcast.functions.scalars import alarm
+from smogcast.ml.boosting import BoostConfig
+from smogcast.ml.isotonic import N_CLASSES, IsotonicCalibrator  # noqa: F401
 from smogcast.ml.stage1 import assembler
-from smogcast.session import materialize
 
-N_CLASSES = 6
 STAGE2_EXTRA = ["Predicted_AQI", "alarm_predicted_poor", "alarm_lag_poor"]
 
 
@@ -42,113 +41,18 @@ def fit_forest(df: DataFrame, features: list[str], label: str, weight: str | Non
     return Pipeline(stages=[assembler(features), rf]).fit(df.withColumn(label, F.col(label).cast("double")))
 
 
-@dataclass
-class OneVsRestBoost:
-    """OP-74 boosted variant: one weighted binary ``GBTClassifier`` per class
-    present (MLlib's GBT is binary only); probabilities normalised."""
-    models: dict
-    features: list
-
-    @classmethod
-    def fit(cls, df: DataFrame, features: list[str], label: str, weight: str | None = "weight",
-            classes: list[int] | None = None, max_iter: int = 20, depth: int = 4, seed: int = 42):
-        if classes is None:   # at most N_CLASSES values
-            classes = sorted(int(r[0]) for r in df.select(label).distinct().collect())
-        a = assembler(features).transform(df)
-
-        def fit_one(c):
-            lab = f"__is_{c}"
-            gbt = GBTClassifier(featuresCol="features", labelCol=lab, weightCol=weight, maxIter=max_iter,
-                                maxDepth=depth, seed=seed, stepSize=0.1)
-            return gbt.fit(a.withColumn(lab, (F.col(label) == c).cast("double")))
-
-        # independent per-class fits: submitted concurrently
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=max(1, len(classes))) as pool:
-            models = dict(zip(classes, pool.map(fit_one, classes)))
-        return cls(models, features)
-
-    def transform(self, df: DataFrame, out: str = "probs") -> DataFrame:
-        cur = assembler(self.features).transform(df)
-        cols = []
-        for c, m in sorted(self.models.items()):
-            m = m.copy()
-            m.setProbabilityCol(f"__p{c}").setPredictionCol(f"__y{c}").setRawPredictionCol(f"__raw{c}")
-            cur = m.transform(cur)
-            cols.append((c, vector_to_array(F.col(f"__p{c}"))[1]))
-        per = {c: e for c, e in cols}
-        raw = F.array(*[per.get(c, F.lit(0.0)) for c in range(N_CLASSES)])
-        cur = cur.withColumn(out, normalise(raw))
-        return cur.drop(*[x for x in cur.columns if x.startswith("__")], "features")
-
-    def save(self, path: str) -> None:
-        for c, m in self.models.items():
-            m.write().overwrite().save(f"{path}/class_{c}")
-
-    @classmethod
-    def load(cls, path: str, classes: list[int], features: list[str]) -> "OneVsRestBoost":
-        from pyspark.ml.classification import GBTClassificationModel
-        return cls({c: GBTClassificationModel.load(f"{path}/class_{c}") for c in classes}, features)
-
-
-def normalise(arr: Column, n: int = N_CLASSES) -> Column:
-    """Row-normalise a probability array; all-zero rows become uniform."""
-    s = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(s > 0, F.transform(arr, lambda x: x / s)).otherwise(
-        F.array_repeat(F.lit(1.0 / n), n))
-
-
-@dataclass
-class IsotonicCalibrator:
-    """OP-75: one isotonic regression per class on the validation part
-    (probability of the class vs. indicator of the class), then row
-    normalisation. Classes absent from the validation labels calibrate to 0."""
-    models: dict
-
-    @classmethod
-    def fit(cls, df: DataFrame, probs: str, label: str, n: int = N_CLASSES) -> "IsotonicCalibrator":
-        """Rows of equal probability are first replaced by their mean indicator
-        with their number as weight, which leaves the fit as it is; MLlib's last
-        pooling on the driver then reads blocks of distinct probabilities."""
-        models = {}
-        # n fits read the same two columns: materialise them once.
-        base = df.select(F.col(probs).alias("__p"), F.col(label).cast("int").alias("__y")).transform(materialize)
-        def fit_one(c):
-            d = base.select(F.element_at("__p", c + 1).alias("__x"),
-                            (F.col("__y") == c).cast("double").alias("__t")).groupBy("__x").agg(
-                F.avg("__t").alias("__t"), F.count(F.lit(1)).cast("double").alias("__w"))
-            return IsotonicRegression(featuresCol="__x", labelCol="__t", weightCol="__w",
-                                      predictionCol="__cal", isotonic=True).fit(d)
-
-        # independent per-class fits: submitted concurrently
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=n) as pool:
-            models = dict(zip(range(n), pool.map(fit_one, range(n))))
-        return cls(models)
-
-    def transform(self, df: DataFrame, probs: str, out: str = "cal_probs") -> DataFrame:
-        cur = df
-        for c, m in sorted(self.models.items()):
-            m = m.copy()
-            m.setFeaturesCol(f"__x{c}").setPredictionCol(f"__c{c}")
-            cur = m.transform(cur.withColumn(f"__x{c}", F.element_at(F.col(probs), c + 1)))
-        cur = cur.withColumn(out, normalise(F.array(*[F.col(f"__c{c}") for c in sorted(self.models)])))
-        return cur.drop(*[x for x in cur.columns if x.startswith("__")])
-
-    def save(self, path: str) -> None:
-        for c, m in self.models.items():
-            m.write().overwrite().save(f"{path}/class_{c}")
-
-    @classmethod
-    def load(cls, path: str, n: int = N_CLASSES) -> "IsotonicCalibrator":
-        return cls({c: IsotonicRegressionModel.load(f"{path}/class_{c}") for c in range(n)})
+#: Published sizes of the boosted classifier (fixed values) and of the earlier job's.
+BOOSTED = BoostConfig(rounds=500, step=0.02, max_depth=6, leaves=31, min_rows=15, row_share=0.8, column_share=0.8, reg_alpha=1.0,
+                      reg_lambda=2.0, loss="softmax", classes=N_CLASSES)
+BOOSTED_STRATIFIED = replace(BOOSTED, rounds=300, step=0.03, max_depth=5, leaves=20, min_rows=20)
+BOOSTED_ENSEMBLE = replace(BOOSTED, min_rows=20, row_share=1.0, column_share=1.0, reg_alpha=0.0, reg_lambda=0.0)
 
 
 def feature_importance(spark: SparkSession, importances, names: list[str], top: int = 10,
                        subset: list[str] | None = None) -> DataFrame:
     """OP-68: (Feature, Importance) sorted descending, top-k (the limit is the
     feature: a top-k report), optionally restricted to a subset of names."""
-    rows = [(n, float(v)) for n, v in zip(names, importances.toArray())]
+    rows = [(n, float(v)) for n, v in zip(names, importances)]
     df = spark.createDataFrame(rows, "Feature string, Importance double")
     if subset is not None:
         return df.where(F.col("Feature").isin(subset)).orderBy(F.col("Importance").desc(), "Feature")

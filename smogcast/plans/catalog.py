@@ -446,85 +446,84 @@ def _fit_frame(spark, sf_dir):
     return split_table(spark, sf_dir).withColumn("__ylog", log_target(F.col("AQI"))).transform(materialize)
 
 
-def _stage1_output(model, frame, pred_col):
-    out = model.transform(frame)
-    return out.select("series_key", "Date", "split", "AQI", exp_target(F.col(pred_col)).alias("predicted"))
+def _boosted_output(spark, sf_dir, cfg):
+    """A member fitted on the training part at its published size, applied to all rows."""
+    from smogcast.ml.boosting import fit_boosted
+    f = _fit_frame(spark, sf_dir)
+    m = fit_boosted(f.where(F.col("split") == "train"), FEATURES, "__ylog", cfg)
+    return f.select("series_key", "Date", "split", "AQI", exp_target(m.score()).alias("predicted"))
 
 
 def gbt_regression(spark, sf_dir):
-    from smogcast.ml.stage1 import fit_gbt
-    f = _fit_frame(spark, sf_dir)
-    m = fit_gbt(f.where(F.col("split") == "train"), FEATURES, "__ylog", max_iter=10)
-    return _stage1_output(m, f, "pred_gbt")
+    """OP-69: 1000 rounds of squared loss."""
+    from smogcast.ml.stage1 import GBT
+    return _boosted_output(spark, sf_dir, GBT)
 
 
 def ridge_regression(spark, sf_dir):
     from smogcast.ml.stage1 import fit_ridge
     f = _fit_frame(spark, sf_dir)
     m = fit_ridge(f.where(F.col("split") == "train"), FEATURES, "__ylog", alpha=10.0)
-    return _stage1_output(m, f, "pred_ridge")
+    return m.transform(f).select("series_key", "Date", "split", "AQI", exp_target(F.col("pred_ridge")).alias("predicted"))
 
 
 def asymmetric_boost(spark, sf_dir):
-    from smogcast.ml.asymmetric import fit_asymmetric_boost
-    from smogcast.ml.stage1 import assembler
-    f = assembler(FEATURES).transform(_fit_frame(spark, sf_dir))
-    m = fit_asymmetric_boost(f.where(F.col("split") == "train"), "__ylog", rounds=5, step=0.2)
-    return _stage1_output(m, f, "pred_asym")
-
-
-def _forest_probs(spark, sf_dir):
-    from smogcast.ml.stage2 import fit_forest, padded_probs
-    from smogcast.ml.stage2 import STAGE2_EXTRA, add_stage2_features
-    f = _fit_frame(spark, sf_dir).withColumn("Predicted_AQI", F.col("AQI_ewma_7"))
-    f = add_stage2_features(f)
+    """OP-70: 1000 rounds of the asymmetric loss."""
+    from smogcast.ml.stage1 import ASYMMETRIC
+    return _boosted_output(spark, sf_dir, ASYMMETRIC)
+
+
+def _class_probs(spark, sf_dir, kind):
+    """Class probabilities of all rows by a classifier fitted on the weighted training part."""
+    from smogcast.ml.boosting import fit_boosted
+    from smogcast.ml.stage2 import BOOSTED, STAGE2_EXTRA, add_stage2_features, fit_forest
+    from smogcast.plans.training import stage2_probs
+    f = add_stage2_features(_fit_frame(spark, sf_dir).withColumn("Predicted_AQI", F.col("AQI_ewma_7")))
     tr = f.where(F.col("split") == "train")
-    cw = wts.class_weights(tr, LABEL)
-    m = fit_forest(wts.attach_class_weight(tr, LABEL, cw), FEATURES + STAGE2_EXTRA, LABEL, "weight", trees=20)
-    out = m.transform(f).withColumn("probs", padded_probs("probability"))
-    return m, out.drop("features", "rawPrediction", "probability", "prediction").transform(materialize)
+    w = wts.attach_class_weight(tr, LABEL, wts.class_weights(tr, LABEL))
+    if kind == "boosted":
+        m = fit_boosted(w, FEATURES + STAGE2_EXTRA, LABEL, BOOSTED, "weight")
+    else:
+        m = fit_forest(w, FEATURES + STAGE2_EXTRA, LABEL, "weight", trees=300)
+    return stage2_probs(m, f).transform(materialize)
+
+
+def _test_probs(p):
+    return p.where(F.col("split") == "test").select(
+        "series_key", "Date", LABEL, *[F.col("probs")[i].alias(f"p{i}") for i in range(6)], argmax_index("probs").alias("argmax"))
 
 
 def stage2_classifier(spark, sf_dir):
-    _, p = _forest_probs(spark, sf_dir)
-    p = p.where(F.col("split") == "test")
-    return p.select("series_key", "Date", LABEL, *[F.col("probs")[i].alias(f"p{i}") for i in range(6)],
-                    argmax_index("probs").alias("argmax"))
+    """OP-74, forest: 300 weighted trees; test-part probabilities and argmax."""
+    return _test_probs(_class_probs(spark, sf_dir, "forest"))
 
 
 def stage2_boosted(spark, sf_dir):
-    """OP-74 boosted variant: one weighted binary GBT per class present,
-    probabilities normalised; test-part probabilities and argmax."""
-    from smogcast.ml.stage2 import STAGE2_EXTRA, OneVsRestBoost, add_stage2_features
-    f = add_stage2_features(_fit_frame(spark, sf_dir).withColumn("Predicted_AQI", F.col("AQI_ewma_7")))
-    tr = f.where(F.col("split") == "train")
-    w = wts.attach_class_weight(tr, LABEL, wts.class_weights(tr, LABEL))
-    m = OneVsRestBoost.fit(w, FEATURES + STAGE2_EXTRA, LABEL, "weight", max_iter=10)
-    p = m.transform(f.where(F.col("split") == "test"), "probs")
-    return p.select("series_key", "Date", LABEL, *[F.col("probs")[i].alias(f"p{i}") for i in range(6)],
-                    argmax_index("probs").alias("argmax"))
+    """OP-74: 500 rounds of weighted softmax boosting over all six classes; test-part probabilities and argmax."""
+    return _test_probs(_class_probs(spark, sf_dir, "boosted"))
 
 
 def isotonic_calibration(spark, sf_dir):
-    from smogcast.ml.stage2 import IsotonicCalibrator
-    _, p = _forest_probs(spark, sf_dir)
+    """OP-75: the boosted classifier's probabilities calibrated on the validation part; test part."""
+    from smogcast.ml.isotonic import IsotonicCalibrator
+    p = _class_probs(spark, sf_dir, "boosted")
     cal = IsotonicCalibrator.fit(p.where(F.col("split") == "val"), "probs", LABEL)
     out = cal.transform(p.where(F.col("split") == "test"), "probs", "cal_probs")
     return out.select("series_key", "Date", LABEL, *[F.col("cal_probs")[i].alias(f"c{i}") for i in range(6)])
 
 
 def feature_importance(spark, sf_dir):
-    from smogcast.ml.stage1 import fit_gbt
+    from smogcast.ml.boosting import fit_boosted
+    from smogcast.ml.stage1 import GBT
     from smogcast.ml.stage2 import feature_importance as fi
     f = _fit_frame(spark, sf_dir)
-    m = fit_gbt(f.where(F.col("split") == "train"), FEATURES, "__ylog", max_iter=10)
-    return fi(spark, m.stages[-1].featureImportances, FEATURES, top=10)
+    m = fit_boosted(f.where(F.col("split") == "train"), FEATURES, "__ylog", GBT)
+    return fi(spark, m.importance(), FEATURES, top=10)
 
 
 def _train(spark, sf_dir, cfg=None):
     from smogcast.plans.training import TrainConfig, train_two_stage
-    cfg = cfg or TrainConfig(gbt_rounds=10, asym_rounds=5, forest_trees=20)
-    return train_two_stage(training_table(spark, sf_dir), cfg)
+    return train_two_stage(training_table(spark, sf_dir), cfg or TrainConfig())
 
 
 def two_stage_train(spark, sf_dir):
@@ -615,7 +614,9 @@ def two_stage_stratified(spark, sf_dir):
     weights, no calibration, Moderate/Poor threshold tuned on the training
     part over 0.1..0.9; test predictions."""
     from smogcast.plans.training import TrainConfig, train_two_stage
-    cfg = TrainConfig(gbt_rounds=10, members=("gbt",), forest_trees=20, split_kind="stratified",
+    from smogcast.ml.stage1 import GBT_STRATIFIED
+    from smogcast.ml.stage2 import BOOSTED_STRATIFIED
+    cfg = TrainConfig(gbt=GBT_STRATIFIED, members=("gbt",), boosted=BOOSTED_STRATIFIED, split_kind="stratified",
                       weight_kind="weight_boosted", calibrate=False, tune_on="train",
                       tune_boundaries=((2, 3),), tune_start=0.1, tune_stop=0.9)
     res = train_two_stage(training_table(spark, sf_dir), cfg)
@@ -627,7 +628,8 @@ def ensemble_fixed_threshold(spark, sf_dir):
     Moderate/Poor threshold 0.585; accuracy, macro-F1 and weighted-F1 over
     the union of true and predicted labels (OP-59) on the test part."""
     from smogcast.plans.training import TrainConfig, train_two_stage
-    cfg = TrainConfig(gbt_rounds=10, gbt_depth=7, members=("gbt", "gbt2", "ridge"), forest_trees=20,
+    from smogcast.ml.stage2 import BOOSTED_ENSEMBLE
+    cfg = TrainConfig(members=("gbt", "gbt2", "ridge"), boosted=BOOSTED_ENSEMBLE,
                       split_kind="stratified", weight_kind="weight_boosted", calibrate=False,
                       fixed_thresholds=((2, 3, th.FIXED_MODERATE_POOR),))
     res = train_two_stage(training_table(spark, sf_dir), cfg)

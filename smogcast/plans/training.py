@@ -1,8 +1,8 @@
 """OP-80: the two-stage training job, and OP-04: its model bundle.
 
 features -> chronological split -> stage 1 (boosted trees, asymmetric
-boosting, ridge; voting on log scale) -> stage-2 features -> weighted forest
--> isotonic calibration on validation -> per-boundary thresholds tuned on
+boosting, ridge; voting on log scale) -> stage-2 features -> weighted boosted
+classifier (or forest) -> isotonic calibration on validation -> per-boundary thresholds tuned on
 validation -> test predictions and metrics.
 
 Decisions (see README): stage 1 is fitted on the training part only by
@@ -13,7 +13,7 @@ calibration and thresholds use the validation part.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from smogcast.functions.categories import CATEGORY_NAMES
 from smogcast.functions.scalars import exp_target, log_target
-from smogcast.ml.asymmetric import AsymmetricBoostModel, fit_asymmetric_boost
-from smogcast.ml.stage1 import assembler, fit_gbt, fit_ridge, voting_column
-from smogcast.ml.stage2 import (STAGE2_EXTRA, IsotonicCalibrator, OneVsRestBoost, add_stage2_features,
-                                fit_forest, padded_probs)
+from smogcast.ml.boosting import BoostConfig, BoostedModel, fit_boosted
+from smogcast.ml.isotonic import IsotonicCalibrator
+from smogcast.ml.stage1 import ASYMMETRIC, DEPTHWISE, GBT, fit_ridge, voting_column
+from smogcast.ml.stage2 import BOOSTED, STAGE2_EXTRA, add_stage2_features, fit_forest, padded_probs
 from smogcast.operators import metrics, splits
 from smogcast.operators import thresholds as th
 from smogcast.operators import weights as wts
@@ -38,22 +38,19 @@ MEMBERS = ("gbt", "asym", "ridge")
 
 @dataclass
 class TrainConfig:
-    gbt_rounds: int = 20
-    gbt_depth: int = 5
-    gbt_step: float = 0.1
-    asym_rounds: int = 10
-    asym_depth: int = 5
-    asym_step: float = 0.2
+    """Published sizes by default."""
+    gbt: BoostConfig = GBT
+    asym: BoostConfig = ASYMMETRIC
+    gbt2: BoostConfig = DEPTHWISE
     ridge_alpha: float = 10.0
+    classifier: str = "boosted"              # or "forest"
+    boosted: BoostConfig = BOOSTED
     forest_trees: int = 30
     forest_depth: int = 6
-    classifier: str = "forest"               # or "gbt_ovr": one weighted boosted model per class
-    ovr_rounds: int = 20
     refit_on_val: bool = False
     seed: int = 42
     # variants of the reference's experiments
     members: tuple = MEMBERS                 # voting regressors of stage 1; "gbt2": a second one of squared loss
-    gbt2_depth: int = 6
     split_kind: str = "chronological"        # or "stratified" (15 % of each class is test)
     weight_kind: str = "weight_scaled"       # balanced x base cost; or "weight_boosted"
     calibrate: bool = True                   # isotonic on validation (needs a val part)
@@ -66,22 +63,22 @@ class TrainConfig:
 
 def stage2_probs(model, df: DataFrame) -> DataFrame:
     """Class probabilities (array of 6) from either stage-2 model kind."""
-    if isinstance(model, OneVsRestBoost):
-        return model.transform(df, "probs")
+    if isinstance(model, BoostedModel):
+        return df.withColumn("probs", model.probabilities())
     cur = model.transform(df).withColumn("probs", padded_probs("probability"))
     return cur.drop("features", "rawPrediction", "probability", "prediction")
 
 
 @dataclass
 class TwoStageModel:
-    gbt: PipelineModel | None                # stage-1 models that are not members are None
+    gbt: BoostedModel | None                 # stage-1 models that are not members are None
     ridge: PipelineModel | None
-    asym: AsymmetricBoostModel | None
-    forest: PipelineModel
-    calibrator: IsotonicCalibrator
+    asym: BoostedModel | None
+    classifier: BoostedModel | PipelineModel | None
+    calibrator: IsotonicCalibrator | None
     thresholds: list
     features: list = field(default_factory=lambda: list(FEATURES))
-    gbt2: PipelineModel | None = None
+    gbt2: BoostedModel | None = None
 
     @property
     def members(self) -> list[str]:
@@ -89,12 +86,10 @@ class TwoStageModel:
 
     # ---- scoring -------------------------------------------------------------
     def predict_stage1(self, df: DataFrame) -> DataFrame:
-        cur = df
-        for m in (self.gbt, self.ridge, self.gbt2):
-            if m is not None:
-                cur = m.transform(cur).drop("features")
-        if self.asym is not None:
-            cur = self.asym.transform(assembler(self.features).transform(cur), "pred_asym").drop("features")
+        boosted = [m for m in self.members if m != "ridge"]
+        cur = df.withColumns({f"pred_{m}": getattr(self, m).score() for m in boosted}) if boosted else df
+        if self.ridge is not None:
+            cur = self.ridge.transform(cur).drop("features")
         preds = [f"pred_{m}" for m in self.members]
         return cur.withColumn("Predicted_AQI", exp_target(voting_column([F.col(p) for p in preds]))).drop(*preds)
 
@@ -102,7 +97,7 @@ class TwoStageModel:
         """Adds Predicted_AQI, alarms, probs, cal_probs and ``predicted``
         (category code after the boundary thresholds)."""
         cur = add_stage2_features(self.predict_stage1(df))
-        cur = stage2_probs(self.forest, cur)
+        cur = stage2_probs(self.classifier, cur)
         if self.calibrator is not None:
             cur = self.calibrator.transform(cur, "probs", "cal_probs")
         else:
@@ -112,21 +107,22 @@ class TwoStageModel:
     # ---- OP-04 bundle --------------------------------------------------------------
     def save(self, path: str, spark: SparkSession) -> None:
         for m in self.members:
-            if m == "asym":
-                self.asym.save(f"{path}/stage1_asym", spark)
+            if m == "ridge":
+                self.ridge.write().overwrite().save(f"{path}/stage1_ridge")
             else:
-                getattr(self, m).write().overwrite().save(f"{path}/stage1_{m}")
-        if isinstance(self.forest, OneVsRestBoost):
-            self.forest.save(f"{path}/stage2_ovr")
+                getattr(self, m).save(f"{path}/stage1_{m}", spark)
+        boosted = isinstance(self.classifier, BoostedModel)
+        if boosted:
+            self.classifier.save(f"{path}/stage2_boosted", spark)
         else:
-            self.forest.write().overwrite().save(f"{path}/stage2_forest")
+            self.classifier.write().overwrite().save(f"{path}/stage2_forest")
         if self.calibrator is not None:
-            self.calibrator.save(f"{path}/stage2_calibration")
+            self.calibrator.save(f"{path}/stage2_calibration", spark)
         spark.createDataFrame([(i, lo, hi, float(t)) for i, (lo, hi, t) in enumerate(self.thresholds)],
                               "ord int, low int, high int, t double").write.mode("overwrite").parquet(
             f"{path}/thresholds")
         meta = {"features": self.features, "members": self.members, "calibrated": self.calibrator is not None,
-                "ovr_classes": sorted(self.forest.models) if isinstance(self.forest, OneVsRestBoost) else None}
+                "classifier": "boosted" if boosted else "forest"}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode(
             "overwrite").json(f"{path}/feature_columns")
 
@@ -134,13 +130,11 @@ class TwoStageModel:
     def load(cls, path: str, spark: SparkSession) -> "TwoStageModel":
         thr = th.collect_thresholds(spark.read.parquet(f"{path}/thresholds"))
         meta = json.loads(spark.read.json(f"{path}/feature_columns").first()["meta"])
-        cal = IsotonicCalibrator.load(f"{path}/stage2_calibration") if meta["calibrated"] else None
-        if meta.get("ovr_classes") is not None:
-            stage2 = OneVsRestBoost.load(f"{path}/stage2_ovr", meta["ovr_classes"], meta["features"] + STAGE2_EXTRA)
-        else:
-            stage2 = PipelineModel.load(f"{path}/stage2_forest")
-        own = {m: AsymmetricBoostModel.load(f"{path}/stage1_asym", spark) if m == "asym"
-               else PipelineModel.load(f"{path}/stage1_{m}") for m in meta.get("members", MEMBERS)}
+        cal = IsotonicCalibrator.load(f"{path}/stage2_calibration", spark) if meta["calibrated"] else None
+        stage2 = BoostedModel.load(f"{path}/stage2_boosted", spark) if meta["classifier"] == "boosted" \
+            else PipelineModel.load(f"{path}/stage2_forest")
+        own = {m: PipelineModel.load(f"{path}/stage1_ridge") if m == "ridge" else BoostedModel.load(f"{path}/stage1_{m}", spark)
+               for m in meta["members"]}
         return cls(own.get("gbt"), own.get("ridge"), own.get("asym"), stage2, cal, thr, meta["features"], own.get("gbt2"))
 
 
@@ -170,13 +164,10 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
     # The members are independent: submit their jobs concurrently (the
     # scheduler interleaves their tasks, as CrossValidator's parallelism does).
     from concurrent.futures import ThreadPoolExecutor
-    fits = {
-        "gbt": lambda: fit_gbt(fit1, FEATURES, "__ylog", cfg.gbt_rounds, cfg.gbt_depth, cfg.gbt_step, seed=cfg.seed),
-        "gbt2": lambda: fit_gbt(fit1, FEATURES, "__ylog", cfg.gbt_rounds, cfg.gbt2_depth, cfg.gbt_step,
-                                seed=cfg.seed + 1, pred="pred_gbt2"),
-        "ridge": lambda: fit_ridge(fit1, FEATURES, "__ylog", cfg.ridge_alpha),
-        "asym": lambda: fit_asymmetric_boost(assembler(FEATURES).transform(fit1), "__ylog", rounds=cfg.asym_rounds,
-                                             step=cfg.asym_step, max_depth=cfg.asym_depth, seed=cfg.seed)}
+    def boosted(c: BoostConfig):
+        return lambda: fit_boosted(fit1, FEATURES, "__ylog", replace(c, seed=cfg.seed))
+    fits = {"gbt": boosted(cfg.gbt), "gbt2": boosted(cfg.gbt2), "asym": boosted(cfg.asym),
+            "ridge": lambda: fit_ridge(fit1, FEATURES, "__ylog", cfg.ridge_alpha)}
     with ThreadPoolExecutor(max_workers=3) as pool:
         own = {m: f.result() for m, f in [(m, pool.submit(fits[m])) for m in cfg.members]}
     stage1 = own.get("gbt"), own.get("ridge"), own.get("asym")
@@ -187,13 +178,13 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
     tr2 = s1.where(F.col("split") == "train")
     cw = wts.class_weights(tr2, LABEL)
     weighted = wts.attach_class_weight(tr2, LABEL, cw, which=cfg.weight_kind)
-    if cfg.classifier == "gbt_ovr":
-        forest = OneVsRestBoost.fit(weighted, s2_features, LABEL, "weight", max_iter=cfg.ovr_rounds,
-                                    seed=cfg.seed)
+    if cfg.classifier == "boosted":
+        classifier = fit_boosted(weighted, s2_features, LABEL, replace(cfg.boosted, seed=cfg.seed), "weight")
     else:
-        forest = fit_forest(weighted, s2_features, LABEL, "weight", cfg.forest_trees, cfg.forest_depth, cfg.seed)
-    probs = stage2_probs(forest, s1)
+        classifier = fit_forest(weighted, s2_features, LABEL, "weight", cfg.forest_trees, cfg.forest_depth, cfg.seed)
+    probs = stage2_probs(classifier, s1)
     if cfg.calibrate:
+        probs = probs.transform(materialize)
         calibrator = IsotonicCalibrator.fit(probs.where(F.col("split") == "val"), "probs", LABEL)
         cal = calibrator.transform(probs, "probs", "cal_probs").transform(materialize)
     else:
@@ -210,7 +201,7 @@ def train_two_stage(feat: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainR
         thresholds = th.collect_thresholds(tuned)
     scored = th.apply_thresholds(cal, "cal_probs", thresholds, "predicted")
 
-    model = TwoStageModel(*stage1, forest, calibrator, thresholds, list(FEATURES), own.get("gbt2"))
+    model = TwoStageModel(*stage1, classifier, calibrator, thresholds, list(FEATURES), own.get("gbt2"))
     test = scored.where(F.col("split") == "test")
     return TrainResult(
         model=model, scored=scored,

@@ -10,37 +10,6 @@ from pyspark.sql import functions as F
 from tests.conftest import days
 
 
-def test_isotonic_fixture(spark):
-    from smogcast.ml.stage2 import IsotonicCalibrator
-    rows = [([x, 1.0 - x, 0.0, 0.0, 0.0, 0.0], y) for x, y in [(0.1, 0), (0.2, 1), (0.3, 0), (0.6, 1)]]
-    # class 0 probability is x; label 0 <-> class 0: invert so "label == class 0" follows the fixture
-    df = spark.createDataFrame([(p, 0 if y == 1 else 1) for p, y in rows], "probs array<double>, y int")
-    cal = IsotonicCalibrator.fit(df, "probs", "y")
-    m = cal.models[0]
-    test = spark.createDataFrame([(0.0,), (0.45,), (0.9,)], "x double")
-    got = [r[0] for r in m.copy().setFeaturesCol("x").setPredictionCol("c").transform(test).select("c").collect()]
-    assert got == pytest.approx([0.0, 0.75, 1.0])
-    out = cal.transform(df, "probs").collect()
-    for r in out:
-        assert sum(r["cal_probs"]) == pytest.approx(1.0)
-
-
-def test_isotonic_grouping_equals_the_fit_of_all_rows(spark):
-    """Equal probabilities are grouped before the fit; MLlib on all rows gives the same."""
-    from pyspark.ml.regression import IsotonicRegression
-    from smogcast.ml.stage2 import IsotonicCalibrator
-    rng = np.random.default_rng(4)
-    x = rng.integers(0, 21, size=400) / 20.0
-    y = (rng.uniform(size=400) < x).astype(int)
-    rows = [([float(v), 1.0 - float(v), 0.0, 0.0, 0.0, 0.0], 0 if t else 1) for v, t in zip(x, y)]
-    df = spark.createDataFrame(rows, "probs array<double>, y int")
-    own = IsotonicCalibrator.fit(df, "probs", "y").models[0]
-    flat = spark.createDataFrame([(float(v), float(t)) for v, t in zip(x, y)], "x double, t double")
-    every = IsotonicRegression(featuresCol="x", labelCol="t").fit(flat)
-    for v in np.linspace(0, 1, 41):
-        assert abs(own.predict(float(v)) - every.predict(float(v))) < 1e-12
-
-
 def test_ridge_equals_closed_form(spark):
     from smogcast.ml.stage1 import fit_ridge
     rng = np.random.default_rng(3)
@@ -55,25 +24,6 @@ def test_ridge_equals_closed_form(spark):
     assert lr.intercept == pytest.approx(y.mean() - X.mean(axis=0) @ beta, abs=1e-8)
 
 
-def test_asymmetric_boost_reduces_asymmetric_loss(spark):
-    from smogcast.ml.asymmetric import fit_asymmetric_boost
-    from smogcast.ml.stage1 import assembler
-    rng = np.random.default_rng(5)
-    X = rng.uniform(size=(400, 2))
-    y = np.sin(4 * X[:, 0]) + X[:, 1]
-    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(X, y)], "a double, b double, y double")
-    a = assembler(["a", "b"]).transform(df)
-    m = fit_asymmetric_boost(a, "y", rounds=6, step=0.5, max_depth=3, reg_lambda=0.0, reg_alpha=0.0)
-    pred = m.transform(a, "p").select("y", "p").toPandas()
-    r = pred["y"] - pred["p"]
-    loss = np.mean(np.where(r > 0, 2 * r ** 2, r ** 2))
-    r0 = y - y.mean()
-    loss0 = np.mean(np.where(r0 > 0, 2 * r0 ** 2, r0 ** 2))
-    assert loss < 0.5 * loss0
-    # under-prediction is penalised more: mean residual leans negative vs. plain mean fit
-    assert r.mean() < 0.05
-
-
 def test_forecaster_recovers_seasonal_signal(spark):
     from smogcast.ml.forecast import SeasonalForecaster
     d = days(3 * 365, start=dt.date(2015, 1, 1))
@@ -97,42 +47,3 @@ def test_minmax_constant_column(spark):
     st = fit_minmax(df, ["c", "v"], key="series_key")
     out = transform_minmax(df, st, ["c", "v"], key="series_key").orderBy("v").collect()
     assert [r.c_scaled for r in out] == [0.0, 0.0] and [r.v_scaled for r in out] == [0.0, 1.0]
-
-
-def test_asymmetric_boost_equal_weights_is_plain_boosting(spark):
-    """With weight 1 on both sides and no L1/L2 terms every leaf value is the
-    tree's own leaf mean, i.e. plain least-squares boosting with the same trees."""
-    from pyspark.ml.regression import DecisionTreeRegressor
-    from smogcast.ml.asymmetric import fit_asymmetric_boost
-    from smogcast.ml.stage1 import assembler
-    rng = np.random.default_rng(11)
-    X = rng.uniform(size=(300, 2))
-    y = np.cos(3 * X[:, 0]) + 0.5 * X[:, 1]
-    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(X, y)],
-                               "a double, b double, y double")
-    a = assembler(["a", "b"]).transform(df).cache()
-    m = fit_asymmetric_boost(a, "y", rounds=3, step=0.5, max_depth=3, reg_lambda=0.0, reg_alpha=0.0,
-                             under_weight=1.0, seed=7)
-    got = m.transform(a, "p").select("a", "b", "p").toPandas().sort_values(["a", "b"])["p"].to_numpy()
-    cur = a.withColumn("f", F.lit(float(np.mean(y))))
-    for r in range(3):
-        work = cur.withColumns({"r": F.col("y") - F.col("f"), "w": F.lit(1.0)})
-        t = DecisionTreeRegressor(featuresCol="features", labelCol="r", weightCol="w", maxDepth=3,
-                                  seed=7 + r, maxBins=64, predictionCol="tp").fit(work)
-        cur = t.transform(work).withColumn("f", F.col("f") + 0.5 * F.col("tp")).drop("tp", "r", "w")
-    exp = cur.select("a", "b", "f").toPandas().sort_values(["a", "b"])["f"].to_numpy()
-    assert np.allclose(got, exp, atol=1e-9)
-
-
-def test_isotonic_output_monotone(spark):
-    from smogcast.ml.stage2 import IsotonicCalibrator
-    rng = np.random.default_rng(2)
-    p = rng.dirichlet(np.ones(6), size=300)
-    y = rng.integers(0, 6, size=300)
-    df = spark.createDataFrame([(p[i].tolist(), int(y[i])) for i in range(300)], "probs array<double>, y int")
-    cal = IsotonicCalibrator.fit(df, "probs", "y")
-    grid = spark.createDataFrame([(float(x),) for x in np.linspace(0, 1, 51)], "x double")
-    for c, mdl in cal.models.items():
-        vals = [r[0] for r in mdl.copy().setFeaturesCol("x").setPredictionCol("c").transform(grid)
-                .orderBy("x").select("c").collect()]
-        assert all(b >= a - 1e-12 for a, b in zip(vals, vals[1:])), c

@@ -83,12 +83,3 @@ def test_event_proximity(spark):
                                "Date date")
     got = [r.near_event for r in joins.flag_near_events(df, ev).orderBy("Date").collect()]
     assert got == [1, 0, 1]
-
-
-def test_one_vs_rest_boost(spark):
-    from smogcast.ml.stage2 import OneVsRestBoost
-    rows = [(float(i % 10), float((i * 7) % 5), int(i % 10 >= 5) + 2 * int(i % 5 == 0)) for i in range(200)]
-    df = spark.createDataFrame(rows, "a double, b double, y int").withColumn("weight", F.lit(1.0))
-    m = OneVsRestBoost.fit(df, ["a", "b"], "y", max_iter=3, depth=2)
-    out = m.transform(df).select("probs").collect()
-    assert all(len(r[0]) == 6 and abs(sum(r[0]) - 1) < 1e-9 for r in out)
