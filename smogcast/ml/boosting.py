@@ -75,7 +75,7 @@ class BoostConfig:
     loss: str = "squared"            # or "asymmetric", "softmax"
     under_weight: float = 2.0        # asymmetric: cost of under-prediction
     classes: int = 1                 # softmax
-    rounds_per_job: int = 250
+    rounds_per_job: int = 500
     rows_per_task: int = 1 << 18
 
 
@@ -169,9 +169,15 @@ class Grower:
             gain, node = heapq.heappop(heap)
             if gain >= 0:
                 break
-            if self.kids[node] is None:  # with it, all that may be chosen from what is left of the leaves
-                more = heapq.nsmallest(self.cfg.leaves - leaves - 1, heap)
-                return [node, *[k for g, k in more if g < 0 and self.kids[k] is None]]
+            if self.kids[node] is None:  # with it, whatever else may be chosen for the leaves that are left
+                open_, more = list(heap), []
+                while open_:
+                    entry = open_.pop()
+                    if self.kids[entry[1]]:
+                        open_ += [self._entry(k) for k in self.kids[entry[1]]]
+                    elif entry[0] < 0:
+                        more.append(entry)
+                return [node, *[k for _, k in heapq.nsmallest(self.cfg.leaves - leaves - 1, more)]]
             self.order.append(node)
             leaves += 1
             for kid in self.kids[node]:
@@ -181,17 +187,21 @@ class Grower:
     def _entry(self, node: int) -> tuple[float, int]:
         return -(self.split[node][0] if self.split[node] else 0.0), node
 
-    def open(self, node: int, codes: np.ndarray) -> tuple[int, int]:
-        """Splits ``node``; numbers of its children, whose sums are still to come."""
-        _, column, cut = self.split[node]
-        kids = len(self.depth), len(self.depth) + 1
-        own = np.flatnonzero(self.of == node)
-        self.of[own] = np.where(codes[own, self.columns[column]] <= cut, kids[0], kids[1])
-        self.kids[node] = kids
-        for x in (self.sums, self.split, self.kids):
-            x += [None, None]
-        self.depth += [self.depth[node] + 1] * 2
-        return kids
+    def open(self, nodes: list[int], codes: np.ndarray) -> None:
+        """Splits ``nodes``; the sums of their children are still to come."""
+        n = len(self.depth)
+        column, cut, kid = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, -1, np.int32)
+        for node in nodes:
+            _, at, cut[node] = self.split[node]
+            column[node], kid[node] = self.columns[at], len(self.depth)
+            self.kids[node] = (len(self.depth), len(self.depth) + 1)
+            for x in (self.sums, self.split, self.kids):
+                x += [None, None]
+            self.depth += [self.depth[node] + 1] * 2
+        first = kid[self.of]
+        own = np.flatnonzero(first >= 0)
+        node = self.of[own]
+        self.of[own] = first[own] + (codes[own, column[node]] > cut[node])
 
     def finished(self, round_: int, class_: int) -> tuple[pd.DataFrame, np.ndarray]:
         """(rows of the node table, value of each row's leaf)."""
@@ -239,12 +249,15 @@ def grow_round(cfg: BoostConfig, codes: np.ndarray, flat: np.ndarray, g: np.ndar
         """3 x nodes x columns x bins over this task's drawn rows in ``nodes`` of tree ``c``."""
         tree = trees[c]
         if c not in own_flat:  # codes of the tree's columns, each column with bins of its own
-            own_flat[c] = flat[:, tree.columns] + (np.arange(width, dtype=np.int32) * bins)[None, :]
+            own_flat[c] = np.take(flat, tree.columns, axis=1) + np.arange(width) * bins
         slot = np.full(len(tree.depth), -1, np.int64)
         slot[nodes] = np.arange(len(nodes))
         at = slot[tree.of]
         rows = np.flatnonzero((at >= 0) & drawn)
-        keys = (own_flat[c][rows] + (at[rows] * (width * bins))[:, None]).ravel()
+        keys = np.take(own_flat[c], rows, axis=0)
+        if len(nodes) > 1:
+            keys += (at[rows] * (width * bins))[:, None]
+        keys = keys.ravel()
         size = len(nodes) * width * bins
         count = np.bincount(keys, minlength=size).astype(float)
         grad = np.bincount(keys, np.repeat(g[rows, c], width), size)
@@ -263,10 +276,12 @@ def grow_round(cfg: BoostConfig, codes: np.ndarray, flat: np.ndarray, g: np.ndar
     while True:
         pairs = []                                       # (class, node, smaller child, larger child)
         for c, tree in enumerate(trees):
-            for node in tree.wanted():
+            nodes = tree.wanted()
+            if nodes:
+                tree.open(nodes, codes)
+            for node in nodes:
                 _, column, cut = tree.split[node]
-                rows = tree.sums[node][2, column]
-                a, z = tree.open(node, codes)
+                rows, (a, z) = tree.sums[node][2, column], tree.kids[node]
                 pairs.append((c, node, a, z) if 2 * rows[:cut + 1].sum() <= rows.sum() else (c, node, z, a))
         if not pairs:
             break
@@ -330,7 +345,7 @@ def _boost(cfg: BoostConfig, start: list[float], before: dict[str, np.ndarray],
         gather, task = _summing()
         key, y, w = (table.column(c).to_numpy() for c in ("key", "y", "w"))
         codes = _codes(table.column("codes"), width)
-        flat = codes.astype(np.int32)
+        flat = codes.astype(np.int64)
         f = np.array(start)[None, :] + leaf_values(codes, before, len(start))
         made = []
         for round_ in range(first, min(first + cfg.rounds_per_job, cfg.rounds)):
