@@ -31,11 +31,8 @@ SPIKE_JUMP = 50.0
 LEAKY_COLUMNS = ["AQI_roll_mean_7", "AQI_ewma_7", "AQI_diff_1"]
 # --- end of fixed values ----------------------------------------------------
 
-# A bounded EWM frame of K rows equals the infinite recursion to double
-# precision once (1-alpha)^K < 1e-16.
-def ewm_frame_rows(span: int, eps: float = 1e-16) -> int:
-    alpha = 2.0 / (span + 1.0)
-    return int(math.ceil(math.log(eps) / math.log(1.0 - alpha)))
+#: A value that has decayed by exp(-HORIZON) is below the last bit of a double.
+EWM_HORIZON = 40.0
 
 
 def series_window(key: str | list[str] = "series_key", date: str = "Date",
@@ -101,37 +98,112 @@ def add_rolling(df: DataFrame, col: str, windows: list[int] = ROLL_WINDOWS, key=
 
 
 # ---- OP-23 ------------------------------------------------------------------
-def add_ewm(df: DataFrame, value: str, outs: dict[str, bool], span: int = EWM_SPAN,
-            key: str | list[str] = "series_key", date: str = "Date") -> DataFrame:
-    """OP-23: exponentially weighted means, ``adjust=False`` recursion seeded by
-    the first value, a = 2/(span+1). ``outs``: output name -> whether the current
-    row counts (False: the leak-free value of the row before).
+def _ewm_map(value: Column, gap: Column, alpha: float) -> tuple[Column, Column, Column]:
+    """The affine map y -> A y + b that a value ``gap`` rows after the one before applies to the mean.
+
+    A is given as (n, e) with A = (1 - alpha)^n exp(-e), exact for neighbours; a
+    NULL is the identity and a series' first value (no gap) forgets what was before.
+    """
+    d = F.pow(F.lit(1.0 - alpha), gap.cast("double"))
+    known, apart = value.isNotNull() & gap.isNotNull(), gap > 1
+    n = F.when(known & ~apart, F.lit(1)).otherwise(F.lit(0))
+    e = F.when(known & apart, F.log1p(F.lit(alpha) / d)).otherwise(F.lit(0.0))
+    b = F.when(gap.isNull(), value).when(apart, F.lit(alpha) * value / (d + F.lit(alpha))).otherwise(F.lit(alpha) * value)
+    return n, e, F.coalesce(b, F.lit(0.0))
+
+
+def _ewm_maps(df: DataFrame, value: str, keys: list[str], date: str, alpha: float) -> DataFrame:
+    """Adds ``__n``, ``__e`` (decay from the series' first value to this row) and ``__b``."""
+    w, v = series_window(keys, date), F.col(value).cast("double")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    out = df.withColumn("__at", F.when(v.isNotNull(), F.row_number().over(w)))
+    out = out.withColumn("__gap", F.col("__at") - F.last("__at", ignorenulls=True).over(before))
+    n, e, b = _ewm_map(v, F.col("__gap"), alpha)
+    return out.withColumns({"__n": F.sum(n).over(w), "__e": F.sum(e).over(w), "__b": b}).drop("__at", "__gap")
+
+
+def _ewm_maps_chunked(df: DataFrame, value: str, keys: list[str], date: str, alpha: float, chunk: str) -> DataFrame:
+    """:func:`_ewm_maps` by an associative scan: maps are composed inside time chunks, chunks by a window over one row each."""
+    v, whole = F.col(value).cast("double"), [*keys, "__chunk"]
+    df = df.withColumn("__chunk", F.date_trunc(chunk, F.col(date)))
+    w = series_window(whole, date)
+    rows = df.withColumn("__rn", F.row_number().over(w)).withColumn("__at", F.when(v.isNotNull(), F.col("__rn")))
+    rows = rows.withColumn("__gap", F.col("__at") - F.last("__at", True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    n, e, _ = _ewm_map(v, F.col("__gap"), alpha)
+    chunks = rows.withColumns({"__n": n, "__e": e}).groupBy(*whole).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("__at").alias("first"), F.max("__at").alias("last"),
+        F.sum("__n").alias("n"), F.sum("__e").alias("e"))
+    order = Window.partitionBy(*keys).orderBy("__chunk")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("off", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    chunks = chunks.withColumn("__lead", F.col("off") + F.col("first") - F.last(F.col("off") + F.col("last"), True).over(before))
+    n1, e1, _ = _ewm_map(F.col("first").cast("double"), F.col("__lead"), alpha)   # of the chunk's first value
+    chunks = chunks.withColumns({"n1": n1, "e1": e1})
+    start = chunks.select(*whole, "__lead",
+                          F.coalesce(F.sum(F.col("n") + F.col("n1")).over(before), F.lit(0)).alias("__n0"),
+                          F.coalesce(F.sum(F.col("e") + F.col("e1")).over(before), F.lit(0.0)).alias("__e0"))
+    out = rows.join(start, whole).withColumn("__gap", F.coalesce("__gap", F.when(v.isNotNull(), F.col("__lead"))))
+    n, e, b = _ewm_map(v, F.col("__gap"), alpha)
+    return out.withColumns({"__n": F.col("__n0") + F.sum(n).over(w), "__e": F.col("__e0") + F.sum(e).over(w), "__b": b}).drop(
+        "__chunk", "__rn", "__at", "__gap", "__lead", "__n0", "__e0")
+
+
+def ewm(df: DataFrame, value: str, out: str, span: int = EWM_SPAN, key: str | list[str] = "series_key", date: str = "Date",
+        chunk: str | None = None) -> DataFrame:
+    """OP-23: exponentially weighted mean, ``adjust=False`` recursion seeded by the
+    first value, a = 2/(span+1), the current row included.
 
     A NULL doesn't count but the older weight decays across it: after a gap of g
     rows a value x gives (d*y + a*x)/(d + a) with d = (1-a)^g; a NULL row keeps
-    the mean so far. Each value folds over the K values before it (K from
-    :func:`ewm_frame_rows`, equal to the unbounded recursion at double precision),
-    with the gaps between them; the window over the values alone makes any run of
-    NULLs between them as cheap as none.
+    the mean so far.
+
+    Each value is an affine map of the mean, so the mean is a sum of values times
+    the decay since. Rows are cut into stretches of ``EWM_HORIZON`` e-folds: inside
+    one the decays fit a double, and the sum up to a row is a running sum; what lies
+    before the preceding stretch has decayed below the last bit, so the totals of that
+    one stretch are all that must be carried over. No lists, no recursion.
+
+    With ``chunk`` (a unit of ``date_trunc``) no window holds more than such a chunk
+    or stretch of a series, and tables of one row a chunk or stretch carry the rest, so a
+    series of any length spreads over many tasks; the results are the same.
     """
-    k, alpha = ewm_frame_rows(span), 2.0 / (span + 1.0)
+    alpha, keys = 2.0 / (span + 1.0), [key] if isinstance(key, str) else list(key)
+    maps = _ewm_maps_chunked(df, value, keys, date, alpha, chunk) if chunk else _ewm_maps(df, value, keys, date, alpha)
+    decayed = F.col("__n") * F.lit(-math.log(1.0 - alpha)) + F.col("__e")
+    maps = maps.withColumn("__k", F.floor(decayed / F.lit(EWM_HORIZON)))
+    w = series_window([*keys, "__k"], date)
+
+    def decay(n: Column, e: Column) -> Column:
+        return F.pow(F.lit(1.0 - alpha), n.cast("double")) * F.exp(-e)
+    maps = maps.withColumns({"__nk": F.first("__n").over(w), "__ek": F.first("__e").over(w)})
+    own = F.sum(F.col("__b") * decay(F.col("__nk") - F.col("__n"), F.col("__ek") - F.col("__e"))).over(w)
+    maps = maps.withColumns({"__s": own, "__any": F.max(F.col(value).isNotNull()).over(w)})
+    carried = (F.lag("__s"), F.lag("__nk"), F.lag("__ek"))
+    if chunk:
+        ends = maps.groupBy(*keys, "__k").agg(F.max(F.struct(date, "__s", "__nk", "__ek")).alias("z")).select(
+            *keys, "__k", F.col("z.__s").alias("__s"), F.col("z.__nk").alias("__nk"), F.col("z.__ek").alias("__ek"))
+        order = Window.partitionBy(*keys).orderBy("__k")
+        ps, pn, pe = (c.over(order) for c in carried)
+        ends = ends.select(*keys, "__k", (ps * decay(F.col("__nk") - pn, F.col("__ek") - pe)).alias("__r"))
+        maps = maps.join(ends, [*keys, "__k"])
+    else:
+        ps, pn, pe = (c.over(series_window(keys, date)) for c in carried)
+        other = F.lag("__k").over(series_window(keys, date)) != F.col("__k")
+        maps = maps.withColumn("__r", F.when(other, ps * decay(F.col("__nk") - pn, F.col("__ek") - pe)))
+        maps = maps.withColumn("__r", F.first("__r").over(w))
+    mean = decay(F.col("__n") - F.col("__nk"), F.col("__e") - F.col("__ek")) * (F.col("__s") + F.coalesce("__r", F.lit(0.0)))
+    return maps.withColumn(out, F.when(F.col("__any") | (F.col("__k") > 0), mean)).drop(
+        "__n", "__e", "__b", "__k", "__nk", "__ek", "__s", "__any", "__r")
+
+
+def add_ewm(df: DataFrame, value: str, outs: dict[str, bool], span: int = EWM_SPAN,
+            key: str | list[str] = "series_key", date: str = "Date") -> DataFrame:
+    """Columns of :func:`ewm`; ``outs``: output name -> whether the current row
+    counts (False: the leak-free value of the row before)."""
+    out = ewm(df, value, "__ewm", span, key, date)
     w = series_window(key, date)
-    keys = [key] if isinstance(key, str) else list(key)
-    v = F.col(value)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    values = Window.partitionBy(*keys, v.isNull()).orderBy(date).rowsBetween(-(k - 1), 0)
-    out = df.withColumn("__pos", F.when(v.isNotNull(), F.row_number().over(w)))
-    out = out.withColumn("__gap", F.col("__pos") - F.last("__pos", ignorenulls=True).over(before))
-    items = F.collect_list(F.struct(v.cast("double").alias("v"), F.col("__gap").alias("g"))).over(values)
-
-    def step(acc, e):
-        d = F.when(e["g"] == 1, F.lit(1.0 - alpha)).otherwise(F.pow(F.lit(1.0 - alpha), e["g"]))
-        return (acc * d + e["v"] * F.lit(alpha)) / (d + F.lit(alpha))
-    folded = F.aggregate(F.slice(F.col("__items"), 2, k), F.col("__items")[0]["v"], step)
-    out = out.withColumn("__items", items).withColumn("__ewm", F.when(v.isNotNull(), folded))
-    out = out.withColumn("__ewm", F.last("__ewm", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return out.withColumns({name: F.col("__ewm") if current else F.lag("__ewm", 1).over(w)
-                            for name, current in outs.items()}).drop("__pos", "__gap", "__items", "__ewm")
+                            for name, current in outs.items()}).drop("__ewm")
 
 
 # ---- OP-24 .. OP-26 -------------------------------------------------------------
@@ -213,12 +285,13 @@ def fill_forward_backward(df: DataFrame, cols: list[str], key="series_key", date
 def preceding_context(df: DataFrame, value: str = "AQI", rows: int = 7, key="series_key",
                       date="Date", out: str = "trend") -> DataFrame:
     """OP-29: for each row, the preceding ``rows`` rows as an ordered array of
-    (date, aqi, category, color) structs; computed once per series with one
+    (date, aqi, category, color) structs (NULL category and colour for a NULL value); computed once per series with one
     bounded frame, so requests are answered by an equi-join, not a range join."""
     w = series_window(key, date).rowsBetween(-rows, -1)
-    code = aqi_category(F.col(value))
+    code = F.when(F.col(value).isNotNull(), aqi_category(F.col(value)))   # a missing value has no category
     item = F.struct(F.col(date).alias("date"), F.col(value).alias("aqi"),
-                    category_name(code).alias("category"), category_color(code).alias("color"))
+                    F.when(code.isNotNull(), category_name(code)).alias("category"),
+                    F.when(code.isNotNull(), category_color(code)).alias("color"))
     return df.withColumn(out, F.collect_list(item).over(w))
 
 
@@ -235,7 +308,7 @@ def sequence_windows(df: DataFrame, features: list[str], target: str, steps: int
 
 # ---- OP-79 (feature pipeline) -------------------------------------------------
 def feature_columns(value: str = "AQI", w: WindowSpec | None = None) -> dict:
-    """The engineered features but the EWM (see :func:`add_ewm`) as one dict of
+    """The engineered features but the EWM (see :func:`ewm`) as one dict of
     column expressions over one shared window spec, so Catalyst plans a single
     Exchange + Sort + Window.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from smogcast.functions.calendar import add_cyclic_encodings
 from smogcast.functions.categories import aqi_category
-from smogcast.operators.timeseries import (EWM_SPAN, add_ewm, chunk_with_halo, chunked_window, feature_columns,
+from smogcast.operators.timeseries import (EWM_SPAN, chunk_with_halo, chunked_window, ewm, feature_columns, lag_col,
                                           max_lookback, series_window)
 from smogcast.sources.observations import WEATHER_COLS
 
@@ -43,19 +43,22 @@ def engineer_features(obs: DataFrame, training: bool = True, key: str = "series_
     category label; the serving variant keeps all rows.
 
     With ``chunk_rows`` the windows run per (series, chunk of that many rows)
-    with a halo of the longest lookback copied from the previous chunk, so a
-    series of any length is spread over many tasks; results are identical.
+    with a halo of the longest lookback copied from the previous chunk, and the
+    EWM carries one row a chunk, so a series of any length is spread over many
+    tasks; results are identical.
     """
-    ewm = f"{value}_ewma_{EWM_SPAN}"
-    obs = add_ewm(obs, value, {ewm: False}, EWM_SPAN, key, date)
+    name = f"{value}_ewma_{EWM_SPAN}"
+    obs = ewm(obs, value, name, EWM_SPAN, key, date, chunk="year" if chunk_rows else None)
     if chunk_rows:
         halo = max_lookback()
         src = chunk_with_halo(obs, chunk_rows, halo, key, date)
-        cols = feature_columns(value, chunked_window(key, date))
+        w = chunked_window(key, date)
+        cols = {**feature_columns(value, w), name: lag_col(name, 1, w)}
         df = add_cyclic_encodings(src, date).withColumns(cols)
         df = df.where(F.col("__chunk") == F.col("__home")).drop("__chunk", "__home")
     else:
-        cols = feature_columns(value, series_window(key, date))
+        w = series_window(key, date)
+        cols = {**feature_columns(value, w), name: lag_col(name, 1, w)}
         df = add_cyclic_encodings(obs, date).withColumns(cols)
     out = df.select(key, date, value, *FEATURES)
     if training:

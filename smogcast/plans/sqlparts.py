@@ -6,7 +6,9 @@ tables in plain SQL; nothing here is used by the Spark plans.
 
 from __future__ import annotations
 
-from smogcast.operators.timeseries import EWM_SPAN, ewm_frame_rows
+import math
+
+from smogcast.operators.timeseries import EWM_SPAN
 
 
 def r6(expr: str) -> str:
@@ -40,7 +42,8 @@ masked AS (
   FROM series s LEFT JOIN weather w ON s."Date" = w."Date")
 """
 
-K = ewm_frame_rows(EWM_SPAN)
+# the recursion over so many rows equals the unbounded one to double precision: (1 - a)^K < 1e-16
+K = math.ceil(math.log(1e-16) / math.log(1 - 2 / (EWM_SPAN + 1)))
 ALPHA = 2.0 / (EWM_SPAN + 1.0)
 
 
