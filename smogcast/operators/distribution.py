@@ -4,34 +4,64 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from smogcast.operators.timeseries import attach
+
 PDF_POINTS = 40
+BINS = 1024
+
+
+def _median(counts: DataFrame, ranges: DataFrame, groups: list[str], refine: int) -> DataFrame:
+    """Exact medians of ``counts`` (groups, v, c) by refining histograms.
+
+    ``ranges``: groups, lo, hi, n. Each step counts the values in ``BINS`` equal ranges
+    and keeps the one or two that hold the middle ranks, with the number of values below
+    them; what is left after ``refine`` steps is ranked by a running sum.
+    """
+    left = attach(counts, ranges.withColumn("below", F.lit(0)), groups)
+    first, last = F.expr("(n + 1) div 2"), F.expr("n div 2 + 1")
+    for step in range(refine):
+        width = (F.col("hi") - F.col("lo")) / F.lit(float(BINS))
+        left = left.withColumn("bin", F.when(width > 0, F.least(F.lit(BINS - 1), F.floor((F.col("v") - F.col("lo")) / width))).otherwise(0))
+        bins = left.groupBy(*groups, "bin").agg(F.sum("c").alias("held"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+                                                F.first("n").alias("n"), F.first("below").alias("below"))
+        run = Window.partitionBy(*groups).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        bins = bins.withColumn("below", F.col("below") + F.coalesce(F.sum("held").over(run), F.lit(0)))
+        bins = bins.where((F.col("below") < last) & (F.col("below") + F.col("held") >= first))
+        kept = bins.select(*groups, "bin", "lo", "hi", "n", "below")
+        span = kept.groupBy(*groups).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("below").alias("below"), F.first("n").alias("n"))
+        inside = attach(left.select(*groups, "v", "c", "bin"), kept.select(*groups, "bin"), [*groups, "bin"], "left_semi")
+        left = attach(inside.drop("bin"), span, groups)
+    run = Window.partitionBy(*groups).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = left.withColumn("to", F.col("below") + F.sum("c").over(run)).withColumn("from", F.col("to") - F.col("c") + 1)
+    middle = ranked.where((F.col("from") <= last) & (F.col("to") >= first))
+    # one value holds both middle ranks, or two hold one each
+    return middle.groupBy(*groups).agg(((F.min("v") + F.max("v")) / 2).alias("median"))
 
 
 def month_stats(df: DataFrame, value: str = "AQI", key="series_key", date="Date",
-                by_month: bool = True) -> DataFrame:
+                by_month: bool = True, refine: int = 1) -> DataFrame:
     """OP-53: per (series, month): n, mean, median, mode, sample variance and
     std (0 when n <= 1). ``by_month=False``: of the whole series (month NULL).
 
-    One pass: rows are counted per distinct value (map-side combined), and all
-    statistics come from that table, the median by its counts. The mode is the
-    lowest of the most frequent values. The variance is taken around the mean, over the group's
-    distinct values (with unique days, the calendar bounds their number).
+    Mean and variance come from mergeable moments (count, mean, squared
+    deviations), the mode (lowest of the most frequent values) from a table of
+    counts per distinct value, the median from refined histograms of it. No step
+    gathers a group's values; every aggregate combines map-side.
     """
     month = F.month(date) if by_month else F.lit(None).cast("int")
-    base = df.where(F.col(value).isNotNull()).withColumn("month", month)
-    per = base.groupBy(key, "month", F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    mid = per.groupBy(key, "month").agg(
-        F.sum("__c").alias("n"), (F.sum(F.col("__c") * F.col("__v")) / F.sum("__c")).alias("mean"),
-        F.percentile("__v", F.lit(0.5), F.col("__c")).alias("median"),
-        F.max(F.struct(F.col("__c"), (-F.col("__v")).alias("neg"))).alias("__best"),
-        F.collect_list(F.struct("__c", "__v")).alias("__all"))
-    square = F.aggregate("__all", F.lit(0.0), lambda a, e: a + e["__c"] * (e["__v"] - F.col("mean")) * (e["__v"] - F.col("mean")))
-    var = F.when(F.col("n") > 1, square / (F.col("n") - 1)).otherwise(F.lit(0.0))
-    return mid.select(key, "month", "n", "mean", "median", var.alias("variance"), F.sqrt(var).alias("std_dev"),
-                      (-F.col("__best.neg")).alias("mode"))
+    base = df.where(F.col(value).isNotNull()).select(key, month.alias("month"), F.col(value).cast("double").alias("v"))
+    groups = [key, "month"]
+    moments = base.groupBy(*groups).agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.var_samp("v").alias("var"),
+                                        F.min("v").alias("lo"), F.max("v").alias("hi"))
+    counts = base.groupBy(*groups, "v").agg(F.count(F.lit(1)).alias("c"))
+    mode = counts.groupBy(*groups).agg((-F.max(F.struct("c", (-F.col("v")).alias("neg")))["neg"]).alias("mode"))
+    median = _median(counts, moments.select(*groups, "lo", "hi", "n"), groups, refine)
+    out = attach(attach(moments, mode, groups), median, groups)
+    var = F.when(F.col("n") > 1, F.col("var")).otherwise(F.lit(0.0))
+    return out.select(*groups, "n", "mean", "median", var.alias("variance"), F.sqrt(var).alias("std_dev"), "mode")
 
 
 def month_trend_slope(df: DataFrame, value: str = "AQI", key="series_key", date="Date",

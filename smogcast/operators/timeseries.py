@@ -46,6 +46,16 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def attach(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``cols``, of which null equals null; ``right`` brings its other columns."""
+    named = right.toDF(*[f"__on_{c}" if c in cols else c for c in right.columns])
+    on = None
+    for c in cols:
+        same = left[c].eqNullSafe(named[f"__on_{c}"])
+        on = same if on is None else on & same
+    return left.join(named, on, how).drop(*[f"__on_{c}" for c in cols])
+
+
 # ---- OP-17 / OP-18 ----------------------------------------------------------
 def lag_col(x, k: int, w: WindowSpec) -> Column:
     return F.lag(_c(x), k).over(w)
@@ -142,7 +152,7 @@ def _ewm_maps_chunked(df: DataFrame, value: str, keys: list[str], date: str, alp
     start = chunks.select(*whole, "__lead",
                           F.coalesce(F.sum(F.col("n") + F.col("n1")).over(before), F.lit(0)).alias("__n0"),
                           F.coalesce(F.sum(F.col("e") + F.col("e1")).over(before), F.lit(0.0)).alias("__e0"))
-    out = rows.join(start, whole).withColumn("__gap", F.coalesce("__gap", F.when(v.isNotNull(), F.col("__lead"))))
+    out = attach(rows, start, whole).withColumn("__gap", F.coalesce("__gap", F.when(v.isNotNull(), F.col("__lead"))))
     n, e, b = _ewm_map(v, F.col("__gap"), alpha)
     return out.withColumns({"__n": F.col("__n0") + F.sum(n).over(w), "__e": F.col("__e0") + F.sum(e).over(w), "__b": b}).drop(
         "__chunk", "__rn", "__at", "__gap", "__lead", "__n0", "__e0")
@@ -185,7 +195,7 @@ def ewm(df: DataFrame, value: str, out: str, span: int = EWM_SPAN, key: str | li
         order = Window.partitionBy(*keys).orderBy("__k")
         ps, pn, pe = (c.over(order) for c in carried)
         ends = ends.select(*keys, "__k", (ps * decay(F.col("__nk") - pn, F.col("__ek") - pe)).alias("__r"))
-        maps = maps.join(ends, [*keys, "__k"])
+        maps = attach(maps, ends, [*keys, "__k"])
     else:
         ps, pn, pe = (c.over(series_window(keys, date)) for c in carried)
         other = F.lag("__k").over(series_window(keys, date)) != F.col("__k")
@@ -235,50 +245,87 @@ def weather_lag_columns(w: WindowSpec) -> dict:
 
 
 # ---- OP-27 / OP-28 --------------------------------------------------------------
+def _with_chunk_edges(df: DataFrame, cols: list[str], keys: list[str], date: str, chunk: str) -> DataFrame:
+    """Carry scan over time chunks: adds ``__chunk``, ``__at`` (row position in the series) and per column ``i`` the
+    last value before the chunk and the first one after it, ``__p{i}`` and ``__q{i}`` (structs at, v).
+
+    A chunk is summarised by its number of rows and its first and last values, and
+    only these rows, one a chunk, meet in a window over the series.
+    """
+    whole = [*keys, "__chunk"]
+    rows = df.withColumn("__chunk", F.date_trunc(chunk, F.col(date)))
+    rows = rows.withColumn("__rn", F.row_number().over(series_window(whole, date)))
+    ends = []
+    for i, c in enumerate(cols):
+        known = F.when(F.col(c).isNotNull(), F.struct("__rn", F.col(c).alias("v")))
+        ends += [F.min(known).alias(f"f{i}"), F.max(known).alias(f"l{i}")]
+    order = Window.partitionBy(*keys).orderBy("__chunk")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys).orderBy(F.col("__chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    edges = rows.groupBy(*whole).agg(F.count(F.lit(1)).alias("rows"), *ends)
+    edges = edges.withColumn("__off", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+
+    def placed(name: str) -> Column:
+        x = F.col(name)
+        return F.when(x.isNotNull(), F.struct((F.col("__off") + x["__rn"]).alias("at"), x["v"].alias("v")))
+    edges = edges.select(*whole, "__off", *[F.last(placed(f"l{i}"), True).over(before).alias(f"__p{i}") for i in range(len(cols))],
+                         *[F.last(placed(f"f{i}"), True).over(after).alias(f"__q{i}") for i in range(len(cols))])
+    return attach(rows, edges, whole).withColumn("__at", F.col("__off") + F.col("__rn")).drop("__off", "__rn")
+
+
 def interpolate_linear(df: DataFrame, col: str, key="series_key", date="Date",
-                       out: str | None = None) -> DataFrame:
+                       out: str | None = None, chunk: str | None = None) -> DataFrame:
     """OP-27: fill interior NULLs linearly by row position; trailing NULLs
     repeat the last value; leading NULLs stay NULL.
 
     Previous known value/position come from a running ``last(ignorenulls)`` in
     ascending order, the next ones from the same running frame in descending
     order (a running frame is incremental; an unbounded-following one is not).
+    With ``chunk`` (a unit of ``date_trunc``) the windows hold such a chunk of a
+    series only, and what lies beyond comes from :func:`_with_chunk_edges`.
     """
-    out = out or col
-    asc = series_window(key, date)
-    desc = series_window(key, date, descending=True)
+    out, keys = out or col, [key] if isinstance(key, str) else list(key)
+    if chunk:
+        df, keys = _with_chunk_edges(df, [col], keys, date, chunk), [*keys, "__chunk"]
+    asc, desc = series_window(keys, date), series_window(keys, date, descending=True)
     run_a = asc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run_d = desc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     v = F.col(col)
-    tmp = (df.withColumn("__rn", F.row_number().over(asc))
-             .withColumn("__pv", F.last(v, True).over(run_a))
-             .withColumn("__pp", F.last(F.when(v.isNotNull(), F.col("__rn")), True).over(run_a))
-             .withColumn("__nv", F.last(v, True).over(run_d))
-             .withColumn("__np", F.last(F.when(v.isNotNull(), F.col("__rn")), True).over(run_d)))
+    tmp = df if chunk else df.withColumn("__at", F.row_number().over(asc))
+    item = F.when(v.isNotNull(), F.struct(F.col("__at").alias("at"), v.alias("v")))
+    p, q = F.last(item, True).over(run_a), F.last(item, True).over(run_d)
+    tmp = tmp.withColumns({"__p": F.coalesce(p, "__p0") if chunk else p, "__q": F.coalesce(q, "__q0") if chunk else q})
+    p, q = F.col("__p"), F.col("__q")
     filled = (F.when(v.isNotNull(), v)
-               .when(F.col("__pv").isNotNull() & F.col("__nv").isNotNull(),
-                     F.col("__pv") + (F.col("__nv") - F.col("__pv"))
-                     / (F.col("__np") - F.col("__pp")).cast("double")
-                     * (F.col("__rn") - F.col("__pp")).cast("double"))
-               .when(F.col("__pv").isNotNull(), F.col("__pv")))
-    return tmp.withColumn(out, filled).drop("__rn", "__pv", "__pp", "__nv", "__np")
+               .when(p.isNotNull() & q.isNotNull(),
+                     p["v"] + (q["v"] - p["v"]) / (q["at"] - p["at"]).cast("double") * (F.col("__at") - p["at"]).cast("double"))
+               .when(p.isNotNull(), p["v"]))
+    return tmp.withColumn(out, filled).drop("__at", "__p", "__q", "__p0", "__q0", "__chunk")
 
 
 def forward_fill(x, key="series_key", date="Date") -> Column:
-    w = series_window(key, date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.last(_c(x), True).over(w)
+    return F.last(_c(x), True).over(series_window(key, date).rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
 def backward_fill(x, key="series_key", date="Date") -> Column:
-    w = series_window(key, date, descending=True).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return F.last(_c(x), True).over(w)
+    return F.last(_c(x), True).over(series_window(key, date, descending=True).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
 
 
-def fill_forward_backward(df: DataFrame, cols: list[str], key="series_key", date="Date") -> DataFrame:
-    """OP-28: forward fill, then backward fill what is still NULL (leading gap)."""
-    df = df.withColumns({c: forward_fill(c, key, date) for c in cols})
-    return df.withColumns({c: backward_fill(c, key, date) for c in cols})
+def fill_forward_backward(df: DataFrame, cols: list[str], key="series_key", date="Date",
+                          chunk: str | None = None) -> DataFrame:
+    """OP-28: forward fill, then backward fill what is still NULL (leading gap).
+    With ``chunk``, as :func:`interpolate_linear`."""
+    keys = [key] if isinstance(key, str) else list(key)
+    if chunk:
+        df, keys = _with_chunk_edges(df, cols, keys, date, chunk), [*keys, "__chunk"]
+    filled = {}
+    for i, c in enumerate(cols):
+        ways = [forward_fill(c, keys, date), backward_fill(c, keys, date)]
+        if chunk:
+            ways = [ways[0], F.col(f"__p{i}.v"), ways[1], F.col(f"__q{i}.v")]
+        filled[c] = F.coalesce(*ways)
+    return df.withColumns(filled).drop("__chunk", "__at", *[f"__{x}{i}" for x in "pq" for i in range(len(cols))])
 
 
 # ---- OP-29 / OP-30 --------------------------------------------------------------

@@ -140,6 +140,19 @@ def fill_gaps(spark, sf_dir):
     return finish(ts.fill_forward_backward(m, ["AQI_filled", "temp_filled"]))
 
 
+def interpolate_gaps_chunked(spark, sf_dir):
+    """OP-27 by calendar years with carried edges (same oracle as the whole-series form)."""
+    m = binding.sparse_readings_masked(spark, sf_dir).select("series_key", "Date", "AQI")
+    return finish(ts.interpolate_linear(m, "AQI", out="AQI_interp", chunk="year"))
+
+
+def fill_gaps_chunked(spark, sf_dir):
+    """OP-28 by calendar months with carried edges (same oracle as the whole-series form)."""
+    m = binding.sparse_readings_masked(spark, sf_dir).select("series_key", "Date", "AQI", "temp")
+    m = m.withColumns({"AQI_filled": F.col("AQI"), "temp_filled": F.col("temp")})
+    return finish(ts.fill_forward_backward(m, ["AQI_filled", "temp_filled"], chunk="month"))
+
+
 def preceding_context(spark, sf_dir):
     o = ts.preceding_context(obs(spark, sf_dir).select("series_key", "Date", "AQI"))
     out = o.select("series_key", "Date", F.posexplode("trend").alias("pos", "t"))
@@ -269,18 +282,16 @@ def climatology_features(spark, sf_dir):
     (month, day) -> month -> series means by group presence, then the
     all-series mean, then 0; weather made safe with fixed defaults."""
     f = engineer_features(obs(spark, sf_dir), training=False)
-    # bounded (series x 366 x 3 levels + 1 row) and read twice: keep it cached
-    means = climatology.calendar_means(f, FEATURES).persist()
-    req = _requests(spark, sf_dir)
-    out = climatology.climatology_lookup(req, means, FEATURES, raw=tuple(WEATHER_COLS))
+    calendar = climatology.closed_calendar(f, FEATURES, raw=tuple(WEATHER_COLS))
+    out = calendar.lookup(_requests(spark, sf_dir))
     out = climatology.weather_with_defaults(out)
     return finish(out.select("request_id", "series_key", "date", "clim_level", *FEATURES))
 
 
 def climatology_trend(spark, sf_dir):
     """OP-52: seven climatological trend points before each requested date."""
-    means = climatology.calendar_means(obs(spark, sf_dir), ["AQI"])
-    out = climatology.climatology_trend(_requests(spark, sf_dir), means)
+    calendar = climatology.closed_calendar(obs(spark, sf_dir), [], trend="AQI")
+    out = climatology.climatology_trend(_requests(spark, sf_dir), calendar)
     return finish(out.select("request_id", "offset", "trend_date", "trend_aqi"))
 
 

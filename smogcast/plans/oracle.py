@@ -562,6 +562,8 @@ p AS (SELECT *, TRY_CAST(trim(date_text) AS DATE) AS req_date,
 
 # The chunked path must reproduce the plain feature table exactly.
 SQL["feature_table_chunked"] = SQL["feature_table"]
+SQL["interpolate_gaps_chunked"] = SQL["interpolate_gaps"]
+SQL["fill_gaps_chunked"] = SQL["fill_gaps"]
 
 
 def tune_sql(split: str, bounds: list[tuple[int, int]], start: float, stop: float, num: int) -> str:

@@ -84,9 +84,10 @@ def context_tables(obs: DataFrame) -> dict[str, DataFrame]:
               .drop("__k", *[f"__m_{c}" for c in FEATURES]))
     trend = ts.preceding_context(obs.select("series_key", "Date", "AQI"))
     exact = filled.join(trend.select("series_key", "Date", "trend"), ["series_key", "Date"], "left")
-    # bounded by series x 366 (+ month and series levels); read by three lookups
-    means = materialize(climatology.calendar_means(serving, FEATURES + ["AQI"]))
-    return {"exact": exact, "means": means, "stats": _distribution(obs, True),
+    # 731 rows a series, every fallback and trend resolved
+    calendar = climatology.closed_calendar(serving, FEATURES, raw=tuple(WEATHER_COLS), trend="AQI")
+    calendar.table = materialize(calendar.table)
+    return {"exact": exact, "calendar": calendar, "stats": _distribution(obs, True),
             # for requested months without data
             "fallback": _distribution(obs, False), "series": obs}
 
@@ -111,23 +112,15 @@ def score_keys(keys: DataFrame, model, ctx: dict) -> DataFrame:
     })
 
     miss = keys.join(ex.select("series_key", "req_date"), ["series_key", "req_date"], "left_anti")
-    look = climatology.climatology_lookup(miss, ctx["means"], FEATURES + ["AQI"], date="req_date",
-                                          raw=tuple(WEATHER_COLS))
-    tr = climatology.climatology_trend(miss, ctx["means"].where(F.col("level").isin("month_day", "month")),
-                                       date="req_date")
-    tcode = aqi_category(F.col("trend_aqi"))
-    tr = (tr.groupBy("series_key", "req_date")
-            .agg(F.array_sort(F.collect_list(F.struct(
-                F.col("trend_date").alias("__d"),
-                F.struct(F.date_format("trend_date", "yyyy-MM-dd").alias("date"), F.col("trend_aqi").alias("aqi"),
-                         category_name(tcode).alias("category"), category_color(tcode).alias("color")
-                         ).alias("__v")))).alias("__t"))
-            .select("series_key", "req_date", F.transform("__t", lambda x: x["__v"]).alias("trend")))
-    look = look.join(tr, ["series_key", "req_date"], "left").withColumns({
+    look = ctx["calendar"].lookup(miss, "req_date")
+    look = look.withColumns({
         "is_future": F.lit(True),
         "actual_aqi": F.lit(None).cast("double"),
         "weather": F.struct(*[safe_number(F.col(f"raw_{c}"), climatology.WEATHER_DEFAULTS[c]).alias(c)
                               for c in WEATHER_COLS]),
+        "trend": F.transform("trend", lambda v, i: F.struct(
+            F.date_format(F.date_sub(F.col("req_date"), F.lit(climatology.TREND_DAYS) - i), "yyyy-MM-dd").alias("date"),
+            v.alias("aqi"), category_name(aqi_category(v)).alias("category"), category_color(aqi_category(v)).alias("color"))),
     })
 
     keep = ["series_key", "req_date", "is_future", "actual_aqi", "weather", "trend"] + FEATURES

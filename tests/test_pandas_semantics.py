@@ -120,10 +120,10 @@ def test_climatology_requests_match_per_request_loop(spark):
             dt.date(2040, 12, 31), dt.date(2035, 3, 1)]
     rq = spark.createDataFrame([(i, "1-URGENT", d) for i, d in enumerate(reqs)],
                                "request_id int, series_key string, date date")
-    means = climatology.calendar_means(feat, cols + ["AQI"])
-    got = {r.request_id: r for r in climatology.climatology_lookup(rq, means, cols).collect()}
+    calendar = climatology.closed_calendar(feat, cols, trend="AQI")
+    got = {r.request_id: r for r in calendar.lookup(rq).collect()}
     trend = {}
-    for r in climatology.climatology_trend(rq, means).collect():
+    for r in climatology.climatology_trend(rq, calendar).collect():
         trend.setdefault(r.request_id, {})[r.offset] = r.trend_aqi
     gmean = pdf[cols].mean()
     for i, d in enumerate(reqs):

@@ -76,9 +76,9 @@ def test_absent_leap_day_falls_back_to_month(spark):
     d = [dt.date(2019, 2, 27), dt.date(2019, 2, 28), dt.date(2021, 2, 28), dt.date(2021, 3, 1)]
     obs = spark.createDataFrame([("A", x, v) for x, v in zip(d, [10.0, 20.0, 30.0, 100.0])],
                                 "series_key string, Date date, AQI double")
-    means = climatology.calendar_means(obs, ["AQI"])
+    calendar = climatology.closed_calendar(obs, ["AQI"])
     req = spark.createDataFrame([(1, "A", dt.date(2024, 2, 29)), (2, "A", dt.date(2024, 2, 28))],
                                 "request_id int, series_key string, date date")
-    out = {r.request_id: r for r in climatology.climatology_lookup(req, means, ["AQI"]).collect()}
+    out = {r.request_id: r for r in calendar.lookup(req).collect()}
     assert out[1]["clim_level"] == "month" and out[1]["AQI"] == 20.0
     assert out[2]["clim_level"] == "month_day" and out[2]["AQI"] == 25.0
