@@ -3,13 +3,15 @@
 Texts are split into pieces by array operations and every distinct piece of a
 chunk is merged once, so the cost follows the distinct pieces. The split knows
 Latin letters, digits, ASCII marks and white space; a text with an apostrophe
-(contractions) or any other character goes to the ``tokenizers`` library whole.
-Both ways give the same ids (tests hold them against each other).
+(contractions), with one of the vocabulary's added tokens (their strings are one
+id) or with any other character goes to the ``tokenizers`` library whole. Both ways
+give the same ids (tests hold them against the library itself).
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import unicodedata
 from functools import cache
 
@@ -46,6 +48,8 @@ class Ids:
         path = ranks if "/" in ranks else public_tokenizers.path(ranks)
         with open(path, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        with open(self.vocabulary, encoding="utf-8") as f:
+            self.added = [t["content"].encode() for t in json.load(f).get("added_tokens") or [] if t["content"]]
         self.merge = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
                                        special_tokens={}).encode_ordinary
         self.whole = None
@@ -55,7 +59,6 @@ class Ids:
         if self.whole is None:
             from tokenizers import Tokenizer
             self.whole = Tokenizer.from_file(self.vocabulary)
-            self.whole.encode_special_tokens = True
         return np.array(self.whole.encode(value, add_special_tokens=False).ids, np.uint32)
 
     def split(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +96,14 @@ class Ids:
         n = len(at) - 1
         if not len(raw):
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
+        data = raw.tobytes()
         starts, not_plain = self.split(raw, at)
+        for mark in self.added:
+            found = data.find(mark)
+            while found >= 0:
+                row = int(np.searchsorted(at, found, "right")) - 1
+                not_plain[row] = True
+                found = data.find(mark, int(at[row + 1]))
         ends = np.append(starts[1:], len(raw))
         rows = np.searchsorted(at, starts, "right") - 1
         if not_plain.any():
@@ -102,7 +112,7 @@ class Ids:
         found, first, inverse = np.unique(text.span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         if len(self.known) > KEEP_PIECES:
             self.known.clear()
-        data, known, merge = raw.tobytes(), self.known, self.merge
+        known, merge = self.known, self.merge
         pieces = []
         for h, a, z in zip(found.tolist(), starts[first].tolist(), ends[first].tolist()):
             ids = known.get(h)
