@@ -7,12 +7,12 @@ joined to the tokens that need them, so the vocabulary may grow without limit.
 
 Classes: exchange clustering moves each of the ``EXCHANGED`` most frequent words
 to the class that most raises the likelihood of the class bigrams, until a
-round moves none. Less frequent head words start in a class by the power of two of
-their count; then each goes to the class that most raises the likelihood, judged
-by its own neighbour classes, counted and compared in Spark, all words of a round
-at once; a round that does not raise the likelihood is undone and the next moves
-a part of the words. The lowest class by count also holds all words beyond the head
-and unseen ones; the end is a class. Bigram
+round moves none. Every other head word seen ``LEAST`` times or more then goes to the
+class that most raises it, judged by the neighbour classes of all its places, which
+are counted and compared in Spark; this stands if the likelihood rises with each token left
+out of its own counts. Rarer words, which fewer than 2 ``LEAST`` neighbours would place by chance,
+keep the class of the power of two of their count; the lowest of these also holds
+the words beyond the head and unseen ones; the end is a class. Bigram
 counts between these symbols are summed over the whole training fold in Spark;
 what reaches the driver is bounded by the number of symbols squared.
 
@@ -42,7 +42,7 @@ from smogcast.llm import common, text
 FOLDS, HELD_OUT = 5, 1
 HEAD, EXCHANGED, CLASSES, ROUNDS = 1 << 20, 512, 32, 12
 END_KEY = np.uint64(1)
-SPREAD_ROUNDS = 3
+LEAST = 4
 BACKOFF = 20.0
 
 
@@ -150,9 +150,9 @@ def exchange(pairs: np.ndarray, movable: int, classes: int = CLASSES, rounds: in
     member = np.zeros((n, k))
     member[np.arange(n), of] = 1
     grid = member.T @ pairs @ member
+    right, left = pairs @ member, pairs.T @ member  # kept in step with every move
     for _ in range(rounds):
         moved = False
-        right, left = pairs @ member, pairs.T @ member  # kept in step with every move
         for w in range(movable):
             old, own = of[w], pairs[w, w]
             row, col = right[w].copy(), left[w].copy()
@@ -278,26 +278,31 @@ def _grid(training: DataFrame, keys, symbols, n: int, tail: int, end: int) -> np
     return pairs.reshape(n, n)
 
 
-def spread(training: DataFrame, keys, kinds, rest, grid, classes: int, tail: int, end: int,
-           rounds: int = SPREAD_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the head words, and bigram counts of classes, after the words of ``rest`` chose theirs."""
-    k, share = len(grid), 1
-    for turn in range(rounds if classes and rest.any() else 0):
-        counts = training.select("text").mapInArrow(_contexts(keys, kinds, k, tail, end, rest), "pos long, code long, n long")
-        got = (counts.repartition("pos").groupBy("pos", "code").agg(F.sum("n").alias("n"))
-               .mapInArrow(_choices(grid, kinds, classes), "pos long, kind long").toArrow())
-        pos, new = got.column("pos").to_numpy(), got.column("kind").to_numpy()
-        some = pos % share == turn % share
-        if not some.any():
-            break
-        tried = kinds.copy()
-        tried[pos[some]] = new[some]
-        table = _grid(training, keys, tried, k, tail, end)
-        if likelihood(table) > likelihood(grid):
-            kinds, grid = tried, table
-        else:
-            share *= 4
-    return kinds, grid
+def left_out(grid: np.ndarray, words: np.ndarray) -> float:
+    """Log likelihood of the model when every token is judged by the counts of all others (but for the words' own counts,
+    which no choice of classes changes). ``words``: the number of words of each class."""
+    mass, out = grid.sum(0), grid.sum(1, keepdims=True)
+    alone = (mass + 0.5) / (mass.sum() + 0.5 * len(grid))
+    step = (np.maximum(grid - 1, 0) + BACKOFF * alone[None, :]) / (np.maximum(out - 1, 0) + BACKOFF)
+    return float((grid * np.log(step)).sum() - (mass * np.log(np.maximum(mass - 1, 0) + 0.5 * (words + 1))).sum())
+
+
+def spread(training: DataFrame, keys, kinds, rest, grid, classes: int, tail: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the head words, and bigram counts of classes, after the words of ``rest`` chose theirs.
+
+    The choice stands if it raises the likelihood with each token left out of its own counts.
+    """
+    k = len(grid)
+    if not classes or not rest.any():
+        return kinds, grid
+    counts = training.select("text").mapInArrow(_contexts(keys, kinds, k, tail, end, rest), "pos long, code long, n long")
+    got = (counts.repartition("pos").groupBy("pos", "code").agg(F.sum("n").alias("n"))
+           .mapInArrow(_choices(grid, kinds, classes), "pos long, kind long").toArrow())
+    tried = kinds.copy()
+    tried[got.column("pos").to_numpy()] = got.column("kind").to_numpy()
+    table = _grid(training, keys, tried, k, tail, end)
+    before, after = (left_out(g, np.bincount(x, minlength=k)) for g, x in ((grid, kinds), (table, tried)))
+    return (tried, table) if after > before else (kinds, grid)
 
 
 @dataclass
@@ -342,7 +347,7 @@ def train(training: DataFrame, head: int = HEAD, exchanged: int = EXCHANGED, cla
     k = int(of.max()) + 1
     member = np.zeros((n, k))
     member[np.arange(n), of] = 1
-    kind, grid = spread(training, keys, of[symbols], rest, member.T @ pairs @ member,
+    kind, grid = spread(training, keys, of[symbols], rest & (c >= LEAST), member.T @ pairs @ member,
                         min(classes, movable), int(of[tail]), int(of[end]))
     mass = grid.sum(0)
     alone = (mass + 0.5) / (mass.sum() + 0.5 * k)

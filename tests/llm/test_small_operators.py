@@ -170,7 +170,10 @@ def test_mixing_targets_and_copies(docs, rows):
 
 def test_ids_equal_the_library(rows):
     own = tokens.Ids()
+    import public_tokenizers
     import pyarrow as pa
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
     from smogcast.llm import text
     odd = ["it's 'tis 'll", "  a\n\n b \r\n", "日本 x", "\x1c a b", "1st ½ ²", "<|endoftext|>", "áb"]
@@ -178,7 +181,7 @@ def test_ids_equal_the_library(rows):
     raw, at = text.buffers(pa.array(values))
     ids, offsets = own.encode(raw, at)
     for i, v in enumerate(values):
-        assert ids[offsets[i]:offsets[i + 1]].tolist() == own.by_library(v or "").tolist()
+        assert ids[offsets[i]:offsets[i + 1]].tolist() == library.encode(v or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("size,windows", [(2048, 32), (64, 2), (8, 1)])
@@ -278,6 +281,64 @@ def test_exchange_raises_the_likelihood():
     assert len(set(of[:4])) == 1 and len(set(of[4:])) == 1 and of[0] != of[4]
 
 
+def _classes_likelihood(pairs, of):
+    member = np.eye(of.max() + 1)[of]
+    return brown.likelihood(member.T @ pairs @ member)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_exchange_ends_where_no_move_gains(seed):
+    rng = np.random.default_rng(seed)
+    share = rng.dirichlet(np.full(110, 0.5))
+    pairs = rng.poisson(40_000 * np.outer(share, share)).astype(float)
+    if seed == 2:  # with structure: words of one kind follow words of the next
+        kind = np.arange(110) % 5
+        pairs *= np.where(kind[None, :] == (kind[:, None] + 1) % 5, 5, 1)
+    start = np.arange(110) % 16
+    of = brown.exchange(pairs, 110, 16, rounds=60)
+    best = _classes_likelihood(pairs, of)
+    assert len(np.unique(of)) == 16 and best > _classes_likelihood(pairs, start)
+    for w in range(110):
+        for c in range(16):
+            moved = of.copy()
+            moved[w] = c
+            assert len(np.unique(moved)) < 16 or _classes_likelihood(pairs, moved) <= best + 1e-6
+    if seed == 2:
+        assert best >= _classes_likelihood(pairs, kind)
+
+
+def test_scores_by_a_plain_walk(docs, rows):
+    model, counts = brown.train(docs.where(brown.fold() != 1), 1 << 20, 40, 6)
+    assert len(np.unique(model.word_class)) > 6
+    place = {int(k): i for i, k in enumerate(model.keys)}
+    want = []
+    for d, t, _ in rows:
+        at, total = model.end_class, 0.0
+        for w in re.findall(r"[^\x20\x09-\x0D]+", t or "") + [None]:
+            if w is None:
+                kind, c = model.end_class, model.end_count
+            else:
+                raw = np.frombuffer(w.encode(), np.uint8)
+                i = place.get(int(brown.token_hashes(raw, np.array([0, len(raw)]))[0][0]))
+                kind, c = (model.tail_class, 0) if i is None else (int(model.word_class[i]), int(model.counts[i]))
+            total += model.steps[at, kind] + np.log10(c + 0.5) - model.held[kind]
+            at = kind
+        want.append((d is None, d or 0, total))
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in brown.scored(docs, model, counts).collect())
+    for g, w in zip(got, sorted(want)):
+        assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], rel=1e-9)
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_class_model_beats_the_unigram_on_held_out_texts(spark, sf):
+    docs = common.table(spark, f"/root/testdata/sf{sf}", "documents")
+    model, counts = brown.train(docs.where(brown.fold() != 1))
+    assert (np.bincount(model.word_class)[:brown.CLASSES] > 0).all()
+    held = brown.scored(docs.where(brown.fold() == 1), model, counts)
+    mine, base = held.agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
+    assert mine > base + 0.1
+
+
 def test_move_gains_are_likelihood_differences():
     rng = np.random.default_rng(14)
     pairs = rng.poisson(2.0, (9, 9)).astype(float)
