@@ -29,7 +29,8 @@ def test_scans_read_only_needed_columns(spark):
 def test_no_cartesian_products_anywhere(spark):
     from smogcast.plans.registry import QUERIES
     skip = {"gbt_regression", "asymmetric_boost", "ridge_regression", "stage2_classifier", "isotonic_calibration",
-            "feature_importance", "two_stage_train", "seasonal_forecast", "forecast_dates", "score_requests"}
+            "feature_importance", "two_stage_train", "seasonal_forecast", "forecast_dates", "score_requests",
+            "stage2_boosted", "two_stage_stratified", "ensemble_fixed_threshold"}
     for name, fn in QUERIES.items():
         if name in skip:
             continue
