@@ -4,20 +4,29 @@ Model per series on the log scale (multiplicative seasonality):
 log(1 + y) = intercept + slope*t + sum_j d_j*max(0, t - s_j)      (piecewise trend)
         + yearly Fourier (order 10) + weekly Fourier (order 3)
         + event flag + standardised regressors.
-Fitted as ridge regression from per-series normal equations:
+Values below 0 count as 0 (an index is not negative).
+
+The slope changes d_j have a Laplace prior of scale ``changepoint_prior``, so most of
+them are exactly 0; all else but the intercept and slope is ridge. With noise
+variance s2 that is least squares plus (s2 / scale) * sum |d_j|: the unpenalised and
+ridge coordinates are eliminated from the normal equations, the changes are found by
+coordinate descent with soft thresholds on what is left, and s2 is updated.
 
 1. every scan task computes partial X'X, X'y, y'y, n of the series it meets
    (``mapInPandas``, numpy on an Arrow batch) and emits them when it ends or
    holds ``HELD`` series; no row is shuffled, and a series that holds a third
    of all rows is spread like all rows are;
-2. the partial matrices are summed element-wise by a Spark aggregate keyed
-   by (series, cell) with map-side combine;
-3. each series' (p^2 + p + 2)-cell total is solved with numpy
-   (``applyInPandas``; the group size is fixed by p, not by the data).
+2. the partial matrices (upper triangles) are summed element-wise by a Spark
+   aggregate keyed by (series, cell) with map-side combine;
+3. each series' totals are solved with numpy (``applyInPandas``; the group
+   size is fixed by the number of features p, not by the data).
 
 Prediction joins the per-series coefficients (one row per series) and takes a
 dot product with ``aggregate(zip_with(...))`` on the JVM. The interval is
-expm1(mean +- z * residual sigma).
+expm1(mean +- z * sd) with sd^2 = sigma^2 + drift * max(0, t - 1)^3: beyond the
+training part (t > 1) slopes go on changing at the fitted rate, by changes of the
+fitted mean size m; changes at rate r that are Laplace with scale m give the trend a
+variance of r * 2 m^2 * (t - 1)^3 / 3.
 """
 
 from __future__ import annotations
@@ -45,6 +54,38 @@ def _fourier(days: Column, period: float, order: int) -> list[Column]:
     return out
 
 
+def fit_changes(xtx: np.ndarray, xty: np.ndarray, yty: float, n: float, changes: np.ndarray, ridge: float,
+                prior: float) -> tuple[np.ndarray, float]:
+    """(coefficients, noise sd) from normal equations: Laplace prior on ``changes``, ridge on the rest but the first two."""
+    p = len(xty)
+    rest = np.setdiff1d(np.arange(p), changes)
+    penalty = np.where(rest < 2, 0.0, ridge)
+    a = xtx[np.ix_(rest, rest)] + np.diag(penalty)
+    cross = xtx[np.ix_(rest, changes)]
+    solved = np.linalg.lstsq(a, np.column_stack([cross, xty[rest]]), rcond=None)[0]
+    s = xtx[np.ix_(changes, changes)] - cross.T @ solved[:, :-1]
+    b = xty[changes] - cross.T @ solved[:, -1]
+    d, beta, sigma = np.zeros(len(changes)), np.zeros(p), 0.0
+    floor = 1e-9 * max(float(np.max(np.diag(s), initial=0.0)), 1e-300)
+    for turn in range(20):
+        least = sigma ** 2 / prior if turn else 0.0
+        for _ in range(500):
+            step = 0.0
+            for j in range(len(changes)):
+                if s[j, j] > floor:
+                    r = b[j] - s[j] @ d + s[j, j] * d[j]
+                    new = np.sign(r) * max(abs(r) - least, 0.0) / s[j, j]
+                    step, d[j] = max(step, abs(new - d[j])), new
+            if step < 1e-8:
+                break
+        beta[rest], beta[changes] = solved[:, -1] - solved[:, :-1] @ d, d
+        sse = max(yty - 2.0 * beta @ xty + beta @ xtx @ beta, 0.0)
+        before, sigma = sigma, math.sqrt(sse / max(n - len(rest) - np.count_nonzero(d), 1.0))
+        if abs(sigma - before) <= 1e-6 * sigma:
+            break
+    return beta, sigma
+
+
 @dataclass
 class SeasonalForecaster:
     key: str = "series_key"
@@ -54,8 +95,9 @@ class SeasonalForecaster:
     event_col: str | None = "near_event"
     yearly_order: int = 10
     weekly_order: int = 3
-    n_changepoints: int = 10
+    n_changepoints: int = 25
     changepoint_range: float = 0.8
+    changepoint_prior: float = 0.1
     ridge: float = 1.0
     interval: float = 0.95
 
@@ -103,13 +145,15 @@ class SeasonalForecaster:
             for k, cells in held.items():
                 yield pd.DataFrame({"k": k, "cell": np.arange(len(cells), dtype=np.int32), "v": cells})
 
+        upper = np.triu_indices(p)
+
         def partial(batches):
             held = {}
             for pdf in batches:
                 for k, g in pdf.groupby("k", sort=False):
                     X = np.vstack(g["__x"].to_numpy())
                     y = g["__y"].to_numpy(dtype=float)
-                    cells = np.concatenate([(X.T @ X).ravel(), X.T @ y, [float(y @ y), float(len(y))]])
+                    cells = np.concatenate([(X.T @ X)[upper], X.T @ y, [float(y @ y), float(len(y))]])
                     held[k] = held[k] + cells if k in held else cells
                     if len(held) >= HELD:
                         yield from emit(held)
@@ -118,22 +162,21 @@ class SeasonalForecaster:
 
         parts = d.mapInPandas(partial, "k string, cell int, v double")
         totals = parts.groupBy("k", "cell").agg(F.sum("v").alias("v"))
-        lam = self.ridge
+        changes = np.arange(2, 2 + self.n_changepoints)
+        ridge, prior = self.ridge, self.changepoint_prior
 
         def solve(pdf: pd.DataFrame) -> pd.DataFrame:
             v = pdf.sort_values("cell")["v"].to_numpy()
-            xtx = v[: p * p].reshape(p, p)
-            xty = v[p * p: p * p + p]
-            yty, n = v[p * p + p], v[p * p + p + 1]
-            pen = np.eye(p) * lam
-            pen[0, 0] = 0.0                      # intercept not penalised
-            beta = np.linalg.lstsq(xtx + pen, xty, rcond=None)[0]
-            sse = max(yty - 2.0 * beta @ xty + beta @ xtx @ beta, 0.0)
-            sigma = math.sqrt(sse / max(n - 1.0, 1.0))
+            m = len(upper[0])
+            xtx = np.zeros((p, p))
+            xtx[upper] = v[:m]
+            xtx = xtx + np.triu(xtx, 1).T
+            beta, sigma = fit_changes(xtx, v[m:m + p], v[m + p], v[m + p + 1], changes, ridge, prior)
+            size = float(np.abs(beta[changes]).mean()) if len(changes) else 0.0
             return pd.DataFrame({"k": [pdf["k"].iloc[0]], "beta": [beta.tolist()], "sigma": [sigma],
-                                 "n": [int(n)]})
+                                 "drift": [2.0 / 3.0 * len(changes) * size ** 2], "n": [int(v[m + p + 1])]})
 
-        coef = totals.groupBy("k").applyInPandas(solve, "k string, beta array<double>, sigma double, n long")
+        coef = totals.groupBy("k").applyInPandas(solve, "k string, beta array<double>, sigma double, drift double, n long")
         coef = coef.withColumnRenamed("k", "__kstr")   # key carried as text through Arrow
         return SeasonalForecastModel(self, stats, coef)
 
@@ -146,7 +189,7 @@ class SeasonalForecastModel:
 
     def transform(self, df: DataFrame, clip_range: tuple = (0.0, 500.0)) -> DataFrame:
         s = self.spec
-        coef = self.coef.select("__kstr", "beta", "sigma")
+        coef = self.coef.select("__kstr", "beta", "sigma", "drift")
         d = s.design(df, self.stats)
         d = d.join(coef, F.col(s.key).cast("string") == F.col("__kstr"), "left")
         d = d.withColumn("status", F.when(F.col(s.key).isNull(), F.lit("missing_series"))
@@ -161,15 +204,16 @@ class SeasonalForecastModel:
         out = d.withColumns({
             "__m": dot,
             "trend": F.expm1(trend),
+            "__sd": F.sqrt(F.pow("sigma", 2) + F.col("drift") * F.pow(F.greatest(F.col("__x")[1] - 1.0, F.lit(0.0)), 3)),
         }).withColumns({
             "yhat": clip(F.expm1(F.col("__m")), lo, hi),
-            "yhat_lower": clip(F.expm1(F.col("__m") - z * F.col("sigma")), lo, hi),
-            "yhat_upper": clip(F.expm1(F.col("__m") + z * F.col("sigma")), lo, hi),
+            "yhat_lower": clip(F.expm1(F.col("__m") - z * F.col("__sd")), lo, hi),
+            "yhat_upper": clip(F.expm1(F.col("__m") + z * F.col("__sd")), lo, hi),
         })
         code = aqi_category(F.col("yhat"))
         out = out.withColumn("aqi_category",
                              F.element_at(F.array(*[F.lit(n) for n in CATEGORY_NAMES]), code + 1))
-        return out.drop(*[c for c in out.columns if c.startswith("__")], "beta", "sigma")
+        return out.drop(*[c for c in out.columns if c.startswith("__")], "beta", "sigma", "drift")
 
 
 def _z(level: float) -> float:

@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 FORECAST_COLUMNS = ["ds", "yhat", "yhat_lower", "yhat_upper", "trend", "aqi_category"]
 
 
+def in_order(df: DataFrame, by: list[str]) -> DataFrame:
+    """OP-67: a total order over many files. Ranges of ``by`` go to numbered partitions, each sorted: the rows
+    of the written files, file after file, are in order, and no task sorts more than its range."""
+    return df.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
 def write_forecast_csv(forecast: DataFrame, path: str, key: str | None = "series_key") -> None:
     """OP-03: the forecast's selected columns as CSV with a header, one folder
-    per series (partitioned write; no single-file coalesce)."""
-    cols = ([key] if key else []) + FORECAST_COLUMNS
-    w = forecast.select(*cols).write.mode("overwrite").option("header", True)
+    per series, in order of date (OP-67)."""
+    order = ([key] if key else []) + ["ds"]
+    w = in_order(forecast.select(*order, *[c for c in FORECAST_COLUMNS if c != "ds"]), order).write.mode("overwrite").option("header", True)
     if key:
         w = w.partitionBy(key)
     w.csv(path)
