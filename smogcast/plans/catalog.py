@@ -673,3 +673,29 @@ def split_global(spark, sf_dir):
     """OP-64 global form: one 70/15/15 cut over all rows ordered by date."""
     t = splits.global_chronological_split(training_table(spark, sf_dir))
     return t.select("series_key", "Date", "split")
+
+
+def ordered_positions(spark, sf_dir):
+    """OP-67: every observation's place in one order by date, then series."""
+    from smogcast.sources.sinks import with_position
+    o = obs(spark, sf_dir).select("series_key", "Date", "AQI")
+    return finish(with_position(o, ["Date", "series_key"]))
+
+
+def forecast_csv(spark, sf_dir):
+    """OP-03: a climatological 30-day forecast (mean, lowest and highest value of each day of year) written as CSV,
+    one folder a series in order of date, and read again."""
+    import uuid
+
+    from smogcast.session import ensure_checkpoint_dir
+    from smogcast.sources.sinks import FORECAST_COLUMNS, read_forecast_csv, write_forecast_csv
+    fi = binding.forecast_input(spark, sf_dir)
+    clim = fi.groupBy("series_key", F.dayofyear("date").alias("dayofyear")).agg(
+        F.avg("aqi").alias("yhat"), F.min("aqi").alias("yhat_lower"), F.max("aqi").alias("yhat_upper"))
+    days = joins.future_horizon(fi.withColumnRenamed("date", "ds"), 30, date="ds", include_history=False).select("series_key", "ds")
+    fc = climatology.join_doy_climatology(days, clim, ["yhat", "yhat_lower", "yhat_upper"], date="ds")
+    slope = distribution.month_trend_slope(obs(spark, sf_dir), by_month=False).select("series_key", F.col("trend_slope").alias("trend"))
+    fc = with_category_info(fc.join(slope, "series_key", "left").withColumn("code", aqi_category("yhat")), "code")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/forecast-{uuid.uuid4().hex}"
+    write_forecast_csv(fc.withColumn("aqi_category", F.col("category_name")), path)
+    return finish(read_forecast_csv(spark, path).select("series_key", *FORECAST_COLUMNS))

@@ -631,3 +631,16 @@ SQL["split_global"] = with_obs(
     "WHEN pos <= floor(CAST(n AS DOUBLE) * 0.85::DOUBLE) THEN 'val' ELSE 'test' END AS split "
     'FROM (SELECT series_key, "Date", row_number() OVER (ORDER BY "Date", series_key) AS pos, '
     "count(*) OVER () AS n FROM train)", train_cte())
+
+SQL["ordered_positions"] = with_obs(
+    f'SELECT series_key, "Date", {r6("AQI")} AS AQI, row_number() OVER (ORDER BY "Date", series_key) AS position FROM obs')
+
+SQL["forecast_csv"] = with_obs(
+    f"SELECT h.series_key, h.ds, {r6('c.yhat')} AS yhat, {r6('c.lo')} AS yhat_lower, {r6('c.hi')} AS yhat_upper, "
+    f"{r6('s.slope')} AS trend, CASE WHEN c.yhat IS NULL THEN 'Severe' ELSE {name_sql(category_sql('c.yhat'))} END AS aqi_category "
+    "FROM h LEFT JOIN c ON h.series_key = c.series_key AND dayofyear(h.ds) = c.doy LEFT JOIN s ON h.series_key = s.series_key",
+    extra="""h AS (SELECT series_key, mx + CAST(o AS INTEGER) AS ds
+      FROM (SELECT series_key, max("Date") AS mx FROM obs GROUP BY 1), unnest(range(1, 31)) AS u(o)),
+c AS (SELECT series_key, dayofyear("Date") AS doy, avg(AQI) AS yhat, min(AQI) AS lo, max(AQI) AS hi FROM obs GROUP BY 1, 2),
+y AS (SELECT series_key, year("Date") AS yr, avg(AQI) AS ym FROM obs WHERE AQI IS NOT NULL GROUP BY 1, 2),
+s AS (SELECT series_key, CASE WHEN count(*) > 1 THEN coalesce(regr_slope(ym, yr), 0) ELSE 0 END AS slope FROM y GROUP BY 1)""")

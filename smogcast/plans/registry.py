@@ -88,6 +88,8 @@ QUERIES.update({
 })
 
 QUERIES["feature_table_chunked"] = c.feature_table_chunked
+QUERIES["ordered_positions"] = c.ordered_positions
+QUERIES["forecast_csv"] = c.forecast_csv
 QUERIES["interpolate_gaps_chunked"] = c.interpolate_gaps_chunked
 QUERIES["fill_gaps_chunked"] = c.fill_gaps_chunked
 
