@@ -88,11 +88,11 @@ def keys(spark, n):
     return np.array([r[0] for r in spark.range(n).select(F.xxhash64("id"), "id").orderBy("id").collect()])
 
 
-@pytest.mark.parametrize("kind", ["squared", "asymmetric", "softmax"])
-def test_equals_the_plain_version(spark, kind):
+@pytest.mark.parametrize("kind, rows", [("squared", 10 ** 6), ("asymmetric", 10 ** 6), ("softmax", 10 ** 6), ("softmax", 110)])
+def test_equals_the_plain_version(spark, kind, rows):
     x, y = table()
     w = np.random.default_rng(8).uniform(0.5, 2.0, len(y)) if kind != "squared" else np.ones(len(y))
-    cfg = replace(SMALL, loss=kind)
+    cfg = replace(SMALL, loss=kind, rows_per_task=rows)
     if kind == "softmax":
         y, cfg = np.digitize(y, [-0.5, 0.5]).astype(float), replace(cfg, classes=4, rounds=6)   # class 3 has no rows
     df = frame(spark, x, y, w)
