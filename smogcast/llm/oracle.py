@@ -45,9 +45,10 @@ n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
 SELECT v.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept, 1.0::DOUBLE AS recall
 FROM v JOIN m ON v.vec_id = m.id LEFT JOIN n ON v.vec_id = n.a"""
 
-#: Each byte of the decimal doc_id enters a CRC-32 register that then takes eight single-bit steps.
-_CRC = """list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
-    lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)))"""
+#: Each byte of an ASCII text enters a CRC-32 register that then takes eight single-bit steps.
+def _crc(value: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({value}, ''),
+    lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))))"""
 
 
 def _field(column: str) -> str:
@@ -57,9 +58,9 @@ def _field(column: str) -> str:
 _HEAD = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
 
 SQL["op11_merkle"] = f"""
-WITH RECURSIVE a AS (SELECT *, {_CRC} AS crc FROM documents),
+WITH RECURSIVE a AS (SELECT *, {_crc('CAST(doc_id AS VARCHAR)')} AS crc FROM documents),
 d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, 'n') AS tree, sha256({_HEAD} || {_field("text")}) AS leaf,
-             CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN sha256({_HEAD} || {_field("replace(text, chr(10), '')")})
+             CASE WHEN crc % 2 = 0 THEN sha256({_HEAD} || {_field("replace(text, chr(10), '')")})
                   ELSE sha256({_HEAD} || {_field("text")}) END AS other FROM a),
 l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i,
              count(*) OVER (PARTITION BY tree) AS n, dense_rank() OVER (ORDER BY tree) - 1 AS place FROM d),
@@ -87,3 +88,55 @@ f(r, step, h) AS (
     FROM f JOIN m ON f.r = m.r AND f.step < m.steps LEFT JOIN e ON f.r = e.r AND f.step = e.step)
 SELECT doc_id, leaf, subroot, u.h AS root, coalesce(proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = u.h AS verified
 FROM l JOIN s ON l.tree = s.tree JOIN u ON u.n = 1 JOIN m ON l.r = m.r JOIN f ON f.r = l.r AND f.step = m.steps LEFT JOIN p ON l.r = p.r"""
+
+#: States: 0 no turn yet, 1 after system, 2 after user, 3 after assistant. ``ins``: where inserted turns lead and what they
+#: write; ``turn``: the next turn's role and the state after it. Strings of edits up to a row are never prefixes of one
+#: another, so the least (cost, edits) of each state is all that is kept from row to row.
+SQL["op13_turns"] = f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS hit FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+             CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+      FROM k, unnest(range(0, CASE WHEN hit = 3 THEN 2 ELSE 1 END)) AS u(x) WHERE hit <> 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen,
+             rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said, left(role, 1) AS initial FROM p),
+f AS (SELECT *, said = '' AS blank, said <> '' AND seen > 1 AS duplicate,
+             said <> '' AND seen = 1 AND right(said, 1) NOT IN ('.', '!', '?') AS cut,
+             lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal FROM o),
+t AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (cut) AS truncated,
+             count(*) FILTER (illegal) AS illegal FROM f GROUP BY conv_id),
+turn(state, role, after) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+ins(state, n, mid, written) AS (SELECT state, 0, state, '' FROM turn
+    UNION ALL SELECT state, 1, after, CASE WHEN state = 0 THEN '' ELSE chr(10) END || role || ':' FROM turn
+    UNION ALL SELECT a.state, 2, b.after, CASE WHEN a.state = 0 THEN '' ELSE chr(10) END || a.role || ':' || chr(10) || b.role || ':'
+              FROM turn a JOIN turn b ON a.after = b.state),
+way(state, n, edit, initial, price, after, written, role) AS (
+    SELECT ins.state, n, 'D', NULL, 3 + 2 * n, mid, written, NULL FROM ins
+    UNION ALL SELECT ins.state, n, 'R', NULL, 2 + 2 * n, after, written || CASE WHEN mid = 0 THEN '' ELSE chr(10) END, role
+              FROM ins JOIN turn ON mid = turn.state
+    UNION ALL SELECT ins.state, n, 'K', left(role, 1), 2 * n, after, written || CASE WHEN mid = 0 THEN '' ELSE chr(10) END, NULL
+              FROM ins JOIN turn ON mid = turn.state
+    UNION ALL SELECT state, 0, 'K', 's', 0, 1, '', NULL FROM ins WHERE mid = 0 AND n = 0),
+r(conv_id, i, state, cost, audit, done) AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, 0, '', '' FROM k
+    UNION ALL
+    SELECT conv_id, i, after, min(cost), substr(min(lpad(CAST(cost AS VARCHAR), 9, '0') || audit), 10),
+           arg_min(done, lpad(CAST(cost AS VARCHAR), 9, '0') || audit)
+    FROM (SELECT r.conv_id, f.i, w.after, r.cost + w.price + CAST(w.edit <> 'D' AND f.cut AS INTEGER) AS cost,
+                 r.audit || repeat('I', w.n) || w.edit AS audit,
+                 r.done || w.written || CASE WHEN w.edit = 'D' THEN '' ELSE coalesce(w.role, f.role) || ':' || f.text END AS done
+          FROM r JOIN f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.i = r.i + 1 JOIN way w ON w.state = r.state
+          WHERE w.edit = 'D' OR NOT f.blank AND NOT f.duplicate AND (w.edit = 'R' OR w.initial = f.initial))
+    GROUP BY conv_id, i, after),
+e AS (SELECT r.conv_id, r.cost + 2 * ins.n AS cost, r.audit || repeat('I', ins.n) AS audit, r.done || ins.written AS done
+      FROM r LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM r.conv_id
+      JOIN ins ON ins.state = r.state AND ins.mid = CASE WHEN r.state = 0 AND ins.n = 0 THEN 0 ELSE 3 END
+      WHERE r.i = coalesce(t.n, 0))
+SELECT e.conv_id, CAST(coalesce(any_value(gaps), 0) AS BIGINT) AS gaps, coalesce(any_value(blank), 0) AS blank,
+       coalesce(any_value(duplicate), 0) AS duplicate, coalesce(any_value(truncated), 0) AS truncated,
+       coalesce(any_value(illegal), 0) AS illegal, CAST(min(cost) AS BIGINT) AS cost,
+       arg_min(audit, lpad(CAST(cost AS VARCHAR), 9, '0') || audit) AS audit,
+       sha256(arg_min(done, lpad(CAST(cost AS VARCHAR), 9, '0') || audit)) AS repaired_sha256
+FROM e LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM e.conv_id GROUP BY e.conv_id"""

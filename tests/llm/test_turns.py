@@ -156,3 +156,16 @@ def test_known_repairs(roles, audit, cost):
     for i, c in enumerate(roles):
         talk.row(i, {"u": "user", "a": "assistant", "s": "system"}[c], f"{i}.", b"%d" % i)
     assert (talk.result()[6], talk.result()[7]) == (cost, audit)
+
+
+def test_sql_gives_the_same():
+    import duckdb
+    import pandas as pd
+
+    from smogcast.llm.oracle import SQL
+    table = random_table(120)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [r[:4] for r in table])
+    got = {None if pd.isna(r[0]) else r[0]: tuple(r[1:]) for r in con.sql(SQL["op13_turns"]).fetchall()}
+    assert got == plain(table)
