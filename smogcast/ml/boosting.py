@@ -465,6 +465,12 @@ class BoostedModel:
         return cls(meta["features"], meta["edges"], [-np.inf if x is None else x for x in meta["start"]], nodes, meta["config"])
 
 
+def _slots(spark: SparkSession) -> int:
+    """Tasks that can run at once: a barrier stage needs all of its own."""
+    sc = spark.sparkContext._jsc.sc()
+    return max(1, sc.maxNumConcurrentTasks(sc.resourceProfileManager().defaultResourceProfile()))
+
+
 def _keys_of_partitions(spark: SparkSession, n: int) -> list[int]:
     """For each of ``n`` hash partitions an integer that goes there."""
     found: dict[int, int] = {}
@@ -479,7 +485,7 @@ def fit_boosted(df: DataFrame, features: list[str], label: str, cfg: BoostConfig
     edges = bin_edges(df, features, cfg.bins)
     binned = binned_table(df, features, label, weight, list(key), edges).transform(materialize)
     start, n = start_scores(cfg, binned), binned.count()
-    slots = df.sparkSession.sparkContext.defaultParallelism   # a barrier stage needs all its tasks at once
+    slots = _slots(df.sparkSession)
     tasks = max(1, min(slots, -(-n // cfg.rows_per_task)))
     lanes = min(slots, cfg.classes) if tasks == 1 else 1      # rows of one task: the classes of a round side by side
     if lanes > 1:
