@@ -17,9 +17,9 @@ job is a barrier stage over the binned table, dealt to about ``rows_per_task`` r
 task, that grows ``rounds_per_job`` rounds: tasks add up their histograms with
 ``BarrierTaskContext.allGather`` (leaf x feature x bin sums, whatever the number of
 rows) and each grows the same tree. Of two children only the smaller one is summed, the
-other is the difference. A table of one task's size needs no sums from elsewhere; the
-classes of a round then grow side by side, a task each, and exchange the rows' leaf values once a
-round. Trees come back
+other is the difference. An exchange takes Spark a second, whatever its size (a task looks
+for the answer once a second). So a table of one task's size exchanges nothing: it is
+one task of a common stage, which grows the classes of a round together. Trees come back
 after each job as rows of a node table, and the next job starts from them, so a lost
 executor costs the rounds of one job. Sums are in the order of the tasks and gains that
 differ by rounding only count as equal, so the trees do not depend on the dealing.
@@ -235,14 +235,14 @@ class Grower:
 
 
 def grow_round(cfg: BoostConfig, codes: np.ndarray, flat: np.ndarray, g: np.ndarray, h: np.ndarray, drawn: np.ndarray,
-               round_: int, gather, classes: list[int] | None = None) -> tuple[list[pd.DataFrame], np.ndarray]:
-    """Trees of ``classes`` (all by default) of a round, grown together; (node tables, rows x classes of leaf values).
+               round_: int, gather) -> tuple[list[pd.DataFrame], np.ndarray]:
+    """Trees of all classes of a round, grown together; (node tables, rows x classes of leaf values).
 
     ``gather`` adds arrays up over all tasks; it is called once for each step of the growth.
     """
     n, features = codes.shape
     bins, plain = cfg.bins, cfg.loss == "squared" and bool((h == 1.0).all())
-    trees = {c: Grower(cfg, sampled_columns(cfg, features, round_, c), n) for c in classes or range(g.shape[1])}
+    trees = {c: Grower(cfg, sampled_columns(cfg, features, round_, c), n) for c in range(g.shape[1])}
     width = len(sampled_columns(cfg, features, round_, 0))
     own_flat = {}
 
@@ -295,19 +295,18 @@ def grow_round(cfg: BoostConfig, codes: np.ndarray, flat: np.ndarray, g: np.ndar
     return [d[0] for d in done], np.stack([d[1] for d in done], axis=1)
 
 
-# ---- the barrier job ----------------------------------------------------------
-def _packed(values: np.ndarray) -> str:
-    return base64.b64encode(np.ascontiguousarray(values).tobytes()).decode()
+# ---- the job of some rounds ----------------------------------------------------
+def _summing(tasks: int):
+    """(adds arrays up over the tasks of the barrier stage, in the tasks' order; this task's number)."""
+    if tasks == 1:
+        return lambda sums: sums, 0
+    from pyspark import BarrierTaskContext
+    context = BarrierTaskContext.get()
 
-
-def _summing(context, tasks: int):
-    """Adds arrays up over the tasks of the barrier stage, in the tasks' order."""
     def gather(sums: np.ndarray) -> np.ndarray:
-        if tasks == 1:
-            return sums
-        parts = context.allGather(_packed(sums))
+        parts = context.allGather(base64.b64encode(np.ascontiguousarray(sums).tobytes()).decode())
         return np.sum([np.frombuffer(base64.b64decode(p)).reshape(sums.shape) for p in parts], axis=0)
-    return gather
+    return gather, context.partitionId()
 
 
 def _codes(column: pa.Array, width: int) -> np.ndarray:
@@ -337,35 +336,23 @@ def _sorted(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
     return {c: nodes[c].to_numpy() for c in nodes.columns}
 
 
-def _boost(cfg: BoostConfig, start: list[float], before: dict[str, np.ndarray], first: int, width: int, lanes: int):
-    """Barrier task: rounds from ``first`` on, as rows of the node table.
-
-    With one lane every task holds other rows, and the first returns the trees. With
-    more, every task holds all rows and grows the trees of its classes.
-    """
+def _boost(cfg: BoostConfig, start: list[float], before: dict[str, np.ndarray], first: int, width: int, tasks: int):
+    """Rounds from ``first`` on; the first of ``tasks`` returns them as rows of the node table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import BarrierTaskContext
         table = pa.Table.from_batches(list(batches), pa.schema([("key", pa.int64()), ("y", pa.float64()), ("w", pa.float64()),
                                                                 ("codes", pa.binary())]))
-        context = BarrierTaskContext.get()
-        task, k = context.partitionId(), len(start)
-        dealt = [list(range(lane, k, lanes)) for lane in range(lanes)]
-        own, gather = dealt[task % lanes], _summing(context, 1 if lanes > 1 else len(context.getTaskInfos()))
+        gather, task = _summing(tasks)
         key, y, w = (table.column(c).to_numpy() for c in ("key", "y", "w"))
         codes = _codes(table.column("codes"), width)
         flat = codes.astype(np.int64)
-        f = np.array(start)[None, :] + leaf_values(codes, before, k)
+        f = np.array(start)[None, :] + leaf_values(codes, before, len(start))
         made = []
         for round_ in range(first, min(first + cfg.rounds_per_job, cfg.rounds)):
             g, h = gradients(cfg, y, f, w)
-            trees, values = grow_round(cfg, codes, flat, g, h, sampled_rows(cfg, key, round_), round_, gather, own)
-            if lanes > 1:
-                for classes, part in zip(dealt, context.allGather(_packed(values))):
-                    f[:, classes] += np.frombuffer(base64.b64decode(part)).reshape(len(f), len(classes))
-            else:
-                f += values
+            trees, values = grow_round(cfg, codes, flat, g, h, sampled_rows(cfg, key, round_), round_, gather)
+            f += values
             made += trees
-        if made and (lanes > 1 or task == 0):
+        if made and task == 0:
             yield from pa.Table.from_pandas(pd.concat(made), pa.schema([(c.split()[0], {
                 "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}[c.split()[1]]) for c in NODES.split(", ")]),
                 preserve_index=False).to_batches()
@@ -471,32 +458,17 @@ def _slots(spark: SparkSession) -> int:
     return max(1, sc.maxNumConcurrentTasks(sc.resourceProfileManager().defaultResourceProfile()))
 
 
-def _keys_of_partitions(spark: SparkSession, n: int) -> list[int]:
-    """For each of ``n`` hash partitions an integer that goes there."""
-    found: dict[int, int] = {}
-    for r in spark.range(64 * n).select(F.col("id").cast("int").alias("v"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("p")).collect():
-        found.setdefault(r["p"], r["v"])
-    return [found[p] for p in range(n)]
-
-
 def fit_boosted(df: DataFrame, features: list[str], label: str, cfg: BoostConfig = BoostConfig(), weight: str | None = None,
                 key: tuple[str, ...] = ("series_key", "Date")) -> BoostedModel:
     """Fits ``cfg.rounds`` rounds. ``key`` names the columns that tell rows apart (for sampling and order)."""
     edges = bin_edges(df, features, cfg.bins)
     binned = binned_table(df, features, label, weight, list(key), edges).transform(materialize)
     start, n = start_scores(cfg, binned), binned.count()
-    slots = _slots(df.sparkSession)
-    tasks = max(1, min(slots, -(-n // cfg.rows_per_task)))
-    lanes = min(slots, cfg.classes) if tasks == 1 else 1      # rows of one task: the classes of a round side by side
-    if lanes > 1:
-        rows = binned.withColumn("lane", F.explode(F.array(*[F.lit(v) for v in _keys_of_partitions(df.sparkSession, lanes)])))
-        dealt = rows.repartition(lanes, "lane").drop("lane")
-    else:
-        dealt = binned.repartition(tasks, "key")
-    dealt = dealt.sortWithinPartitions("key", "y", "w", "codes")
+    tasks = max(1, min(_slots(df.sparkSession), -(-n // cfg.rows_per_task)))
+    dealt = (binned.repartition(tasks, "key") if tasks > 1 else binned.coalesce(1)).sortWithinPartitions("key", "y", "w", "codes")
     nodes = pd.DataFrame({c.split()[0]: np.zeros(0, _NODE_TYPES[c.split()[1]]) for c in NODES.split(", ")})
     for first in range(0, cfg.rounds if n else 0, cfg.rounds_per_job):
-        job = _boost(cfg, start, _sorted(nodes), first, len(features), lanes)
-        made = dealt.mapInArrow(job, NODES, barrier=True).toPandas()   # at most 2 x leaves nodes a tree
+        job = _boost(cfg, start, _sorted(nodes), first, len(features), tasks)
+        made = dealt.mapInArrow(job, NODES, barrier=tasks > 1).toPandas()   # at most 2 x leaves nodes a tree
         nodes = pd.concat([nodes, made], ignore_index=True)
     return BoostedModel(list(features), edges, start, nodes, asdict(cfg))

@@ -1,5 +1,6 @@
 """Histogram boosting against a plain row-by-row version; sampling, dealing, node table and its SQL."""
 
+import time
 from dataclasses import replace
 
 import duckdb
@@ -117,6 +118,17 @@ def test_dealing_and_order_do_not_matter(spark):
     assert np.allclose(one.nodes["value"], many.nodes["value"], atol=1e-12)
 
 
+def test_one_task_exchanges_nothing(spark):
+    """An exchange takes a barrier stage a second: these 40 rounds would take 40."""
+    x, y = table(200)
+    cfg = replace(SMALL, loss="softmax", classes=4, rounds=40, rounds_per_job=40)
+    df = frame(spark, x, np.digitize(y, [-0.5, 0.5]).astype(float)).transform(b.materialize)
+    began = time.monotonic()
+    m = b.fit_boosted(df, NAMES, "y", cfg, None, ("id",))
+    assert time.monotonic() - began < 25
+    assert sorted(set(zip(m.nodes["round"], m.nodes["class"]))) == [(r, c) for r in range(40) for c in range(4)]
+
+
 def test_leaves_depth_and_sampling_hold(spark):
     x, y = table(400)
     m = b.fit_boosted(frame(spark, x, y), NAMES, "y", replace(SMALL, rounds=8, leaves=5, max_depth=3, min_rows=10), None, ("id",))
