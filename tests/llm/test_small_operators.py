@@ -458,6 +458,46 @@ def test_copies_do_not_shrink_the_sample(spark, monkeypatch, module):
         assert sum(bool(y.any()) for _, y in seen[0][0]) == 60
 
 
+def test_secret_network_learns_from_every_finding(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(secrets_cnn, "fit", lambda windows, labels, *_: seen.append([int(sum(labels == y)) for y in (1, 0)]))
+    monkeypatch.setattr(secrets_cnn, "_fit_shards", lambda rows, *_: seen.append(
+        [rows.where(f"label = {y}").count() for y in (1, 0)]), raising=False)
+    letters = lambda n: "".join("abcdefghijklmnop"[int(c, 16)] for c in f"{n:012x}")
+    texts = [f"no {i} token = 'k{i:06d}zq' " + " ".join(letters(6 * i + j) for j in range(6)) + f" host{i}.example" for i in range(2500)]
+    docs = spark.createDataFrame([(t,) for t in texts + texts[:50] + [None, ""]], "text string").repartition(4)
+    secrets_cnn.train(docs)
+    assert seen == [[2500, 15_000 + 2500]]
+
+
+def test_secret_network_of_many_shards(spark):
+    rng = random.Random(4)
+    key = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    texts = [_noise(rng, 40) + f" password={key(18)} " + _noise(rng, 20) for _ in range(150)]
+    texts += [_noise(rng, 30) + f" host{i}.example.com/{rng.choice('abc')}{i} room-2{i}-floor " + _noise(rng, 5) for i in range(150)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    net, again = (secrets_cnn.train(d, shard=150) for d in (df, df.repartition(5)))
+    assert net.threshold == again.threshold <= 1 and all(np.array_equal(w, again.weights[k]) for k, w in net.weights.items())
+    fresh = [secrets_cnn.window(t, t.index("=") + 1, t.index("=") + 19) for t in (
+        f"{_noise(rng, 9)} password={key(18)} {_noise(rng, 9)}" for _ in range(40))]
+    hosts = [secrets_cnn.window(t, *secrets_cnn.candidates(t, [])[0]) for t in (
+        f"{_noise(rng, 9)} host{i}.example.com/{rng.choice('abc')}{i} room-2{i}-floor {_noise(rng, 5)}" for i in range(150, 190))]
+    assert (net.probability(fresh) >= net.threshold).mean() >= 0.8
+    assert (net.probability(hosts) >= net.threshold).mean() <= 0.1
+    few = spark.createDataFrame([(t,) for t in texts[143:]], "text string")
+    assert secrets_cnn.train(few, shard=20).threshold > 1
+
+
+def test_curve_and_rank_over_rows(spark):
+    rng = np.random.default_rng(7)
+    y = (rng.random(400) < 0.3).astype(float)
+    z = np.round(rng.normal(size=400) + 1.5 * y, 2)                     # with ties
+    scores = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, z)], "label int, z double").repartition(3)
+    assert np.allclose(secrets_cnn._curve(scores, int(y.sum()), int(400 - y.sum())), secrets_cnn.logistic(z, y), atol=1e-6)
+    for rank in (0, 1, 200, 398, 399):
+        assert secrets_cnn._ranked(scores, rank) == np.sort(z)[rank]
+
+
 def test_every_part_of_a_long_candidate_is_seen():
     class Net(secrets_cnn.Network):
         def probability(self, windows):
