@@ -595,8 +595,10 @@ def score_requests(spark, sf_dir):
     """OP-81 (+OP-05): responses for every order date (present in the data)
     and every event date (absent: climatology path)."""
     from smogcast.plans.scoring import score_requests as score
-    res = _train(spark, sf_dir)
-    return score(binding.all_requests(spark, sf_dir), obs(spark, sf_dir), res.model)
+    from smogcast.plans.training import train_two_stage
+    o = obs(spark, sf_dir).transform(materialize)  # series x days: for the features and every lookup
+    res = train_two_stage(engineer_features(o, training=True))
+    return score(binding.all_requests(spark, sf_dir), o, res.model)
 
 
 def score_lookup(spark, sf_dir):

@@ -74,8 +74,12 @@ def context_tables(obs: DataFrame) -> dict[str, DataFrame]:
 
     Feature gaps are filled with means of the training part (the first 70 % of
     each series), as the model saw them; weather is kept unfilled beside them,
-    since responses show fixed defaults for missing weather."""
-    serving = engineer_features(obs, training=False)
+    since responses show fixed defaults for missing weather.
+
+    Each table is written down once: all are bounded by series x days, and a plan
+    that carried them unresolved to the last join would be the longest part of it."""
+    obs = obs.transform(materialize)
+    serving = engineer_features(obs, training=False).transform(materialize)
     train = splits.chronological_split(serving).where(F.col("split") == "train")
     own = train.groupBy(F.col("series_key").alias("__k")).agg(*[F.avg(c).alias(f"__m_{c}") for c in FEATURES])
     filled = (serving.withColumns({f"raw_{c}": F.col(c) for c in WEATHER_COLS})
@@ -87,9 +91,10 @@ def context_tables(obs: DataFrame) -> dict[str, DataFrame]:
     # 731 rows a series, every fallback and trend resolved
     calendar = climatology.closed_calendar(serving, FEATURES, raw=tuple(WEATHER_COLS), trend="AQI")
     calendar.table = materialize(calendar.table)
-    return {"exact": exact, "calendar": calendar, "stats": _distribution(obs, True),
+    return {"exact": exact.transform(materialize), "calendar": calendar,
+            "stats": _distribution(obs, True).transform(materialize),
             # for requested months without data
-            "fallback": _distribution(obs, False), "series": obs}
+            "fallback": _distribution(obs, False).transform(materialize), "series": obs}
 
 
 def score_keys(keys: DataFrame, model, ctx: dict) -> DataFrame:
@@ -98,6 +103,7 @@ def score_keys(keys: DataFrame, model, ctx: dict) -> DataFrame:
     All of them (features, weather, trend, model prediction, statistics)
     depend only on the key, so they are computed once per key: the work is
     bounded by series x calendar, not by the number of requests."""
+    keys = keys.transform(materialize)  # both branches read them: the requests are gone through once
     ex = ctx["exact"].withColumnRenamed("Date", "req_date")
     hit = keys.join(ex, ["series_key", "req_date"], "inner").withColumns({
         "is_future": F.lit(False),
@@ -127,8 +133,6 @@ def score_keys(keys: DataFrame, model, ctx: dict) -> DataFrame:
     # The feature rows are the input of the heaviest stage (six models):
     # materialise them once in the reliable checkpoint folder so the model
     # stage neither re-runs the lookups nor loses them with an executor.
-    from smogcast.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(keys.sparkSession)
     both = hit.select(*keep).unionByName(look.select(*keep)).transform(materialize)
     pred = model.predict(both)
 

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from smogcast.operators.climatology import ClosedCalendar
 from smogcast.plans.scoring import context_tables, score_requests
-from smogcast.session import materialize
 
 REQUEST_SCHEMA = "request_id long, series_key string, date string"
 
@@ -75,8 +74,7 @@ def start_request_stream(spark: SparkSession, source_dir: str, sink_dir: str, ch
     """Starts the query over ``obs``, or over the versions published in ``context_dir``."""
     held: dict = {"version": None, "ctx": None}
     if context_dir is None:
-        ctx = context_tables(obs)
-        held["ctx"] = {k: v if isinstance(v, ClosedCalendar) else v.transform(materialize) for k, v in ctx.items()}
+        held["ctx"] = context_tables(obs)
     reader = spark.readStream.schema(REQUEST_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -160,3 +160,24 @@ def test_stage1_votes_over_the_configured_members(spark, tmp_path, members):
     want = want.withColumn("want", F.exp(sum(F.col(f"pred_{m}") for m in members) / len(members)) - 1)
     both = model.predict_stage1(want.drop(*[f"pred_{m}" for m in members]))
     assert both.where(F.abs(F.col("want") - F.col("Predicted_AQI")) > 1e-6).count() == 0 < both.count()
+
+
+def test_responses_read_context_tables_as_written(spark, trained, capsys):
+    """The responses' plan joins finished tables: no window or median step of the context is left in it."""
+    import datetime as dt
+
+    from smogcast.plans.scoring import context_tables, score_requests
+    start = dt.date(2020, 1, 1)
+    rows = [("A", start + dt.timedelta(days=i), 60.0 + (i * 7) % 200, 10.0, 50.0, 1.0, 5.0, 1000.0) for i in range(60)]
+    obs = spark.createDataFrame(rows, "series_key string, Date date, AQI double, temp double, humidity double, "
+                                      "precip double, windspeed double, sealevelpressure double")
+    req = spark.createDataFrame([(1, "A", "2020-01-26"), (2, "A", "2021-06-10"), (3, "A", "2020-01-26")],
+                                "request_id long, series_key string, date string")
+    ctx = context_tables(obs)
+    out = score_requests(req, None, trained.model, ctx)
+    for table in (ctx["exact"], ctx["stats"], ctx["fallback"], ctx["calendar"].table, out):
+        capsys.readouterr()
+        table.explain()
+        assert "Window" not in capsys.readouterr().out
+    got = {r.request_id: r for r in out.collect()}
+    assert [got[i].is_future for i in (1, 2, 3)] == [False, True, False] and got[1].predicted_aqi == got[3].predicted_aqi
